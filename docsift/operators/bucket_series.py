@@ -95,3 +95,16 @@ def sibling(bt: DataFrame, metric: str, name: str, kind: str, key: str = "key",
         return out.select(*[F.col("_a")[i].alias(f"{name}_p{p:g}".replace(".", "_"))
                             for i, p in enumerate(percents)])
     raise ValueError(f"unknown sibling pipeline {kind!r}")
+
+
+def siblings(bt: DataFrame, metric: str, name: str, key: str = "key",
+             percents: Sequence[float] = (50,)) -> DataFrame:
+    """All sibling pipelines in one aggregate over the bucket table: avg, sum,
+    min/max (with the key of the extreme bucket, smallest key on ties),
+    count and percentiles of ``metric`` across buckets."""
+    m = F.col(metric)
+    exprs = [F.avg(m).alias(f"{name}_avg"), F.sum(m).alias(f"{name}_sum"), F.count(m).alias(f"{name}_count"),
+             F.min(m).alias(f"{name}_min"), F.min_by(F.col(key), F.struct(m, F.col(key))).alias(f"{name}_min_key"),
+             F.max(m).alias(f"{name}_max"), F.min_by(F.col(key), F.struct(-m, F.col(key))).alias(f"{name}_max_key")]
+    exprs += [F.percentile(m, p / 100.0).alias(f"{name}_p{p:g}".replace(".", "_")) for p in percents]
+    return bt.agg(*exprs)
