@@ -66,13 +66,18 @@ def upsert(base: DataFrame, new: DataFrame, id_field: str = "id", order_field: s
     union by name (a field missing on either side is NULL)."""
     if clean_names:
         new = clean_field_names(new)
-    new = assign_ids(new, id_field)
+    if id_field not in new.columns or new.schema[id_field].dataType.simpleString() == "string":
+        new = assign_ids(new, id_field)
     new = latest_per_id(new, id_field, order_field)
     if order_field is not None and order_field not in base.columns:
         new = new.drop(order_field)
-    base = base.withColumn(id_field, F.col(id_field).cast("string"))
+    bt, nt = base.schema[id_field].dataType, new.schema[id_field].dataType
+    if bt != nt:
+        base = base.withColumn(id_field, F.col(id_field).cast("string"))
+        new = new.withColumn(id_field, F.col(id_field).cast("string"))
     kept = base.join(new.select(id_field), on=id_field, how="left_anti")
-    return kept.unionByName(new, allowMissingColumns=True)
+    return kept.unionByName(new, allowMissingColumns=True).select(
+        *base.columns, *[c for c in new.columns if c not in base.columns])
 
 
 def _id_table(spark, ids: Sequence, id_field: str, id_type: str) -> DataFrame:

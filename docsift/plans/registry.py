@@ -414,3 +414,4 @@ def m_matrix(spark, sf):
 
 # the remaining groups register themselves on import
 from . import registry_aggs  # noqa: E402,F401
+from . import registry_write  # noqa: E402,F401
