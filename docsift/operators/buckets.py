@@ -378,13 +378,17 @@ class sampler(BucketAgg):  # noqa: N801
     tie_breaker: str | None = None
     hash_field: str | None = None
     modulus: int = 10
+    min_score: float | None = None
 
     def sample(self, df: DataFrame) -> DataFrame:
         if self.score is not None:
             order = [as_col(self.score).desc_nulls_last()]
             if self.tie_breaker:
                 order.append(F.col(self.tie_breaker).asc())
-            return df.orderBy(*order).limit(self.shard_size)
+            top = df.orderBy(*order).limit(self.shard_size)
+            # rows at or below min_score rank last, so dropping them after the
+            # limit equals dropping them before it
+            return top.filter(as_col(self.score) > self.min_score) if self.min_score is not None else top
         return df.filter(F.pmod(F.xxhash64(as_col(self.hash_field)), F.lit(self.modulus)) == 0)
 
     def run(self, df: DataFrame) -> DataFrame:

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from ..functions.common import as_col, null_safe
 from ..functions.text import analyze, distinct_tokens, tokens
+from ..session import spread
 
 # BM25 parameters (the published defaults).
 BM25_K1 = 1.2
@@ -25,7 +26,7 @@ BM25_B = 0.75
 
 def doc_terms(df: DataFrame, text_field: str, keep: Sequence[str] = ()) -> DataFrame:
     """One row per (document, distinct token)."""
-    return df.select(*keep, F.explode(distinct_tokens(text_field)).alias("term"))
+    return spread(df).select(*keep, F.explode(distinct_tokens(text_field)).alias("term"))
 
 
 def token_terms(df: DataFrame, text_field: str, size: int | None = 10) -> DataFrame:
@@ -51,6 +52,7 @@ def significant_terms(df: DataFrame, text_field: str, foreground: Column, size:
     and bg_pct = bg_count/bg_total. One pass: each (document, token) row
     carries a foreground flag, so foreground and background counts come out of
     the same aggregate; the two totals are a one-row aggregate."""
+    df = spread(df)
     flagged = df.select(null_safe(foreground).alias("_fg"), F.explode(distinct_tokens(text_field)).alias("term"))
     totals = df.agg(F.count("*").alias("bg_total"),
                     F.sum(null_safe(foreground).cast("long")).alias("fg_total")).first()
@@ -67,8 +69,14 @@ def significant_terms(df: DataFrame, text_field: str, foreground: Column, size:
     return out.limit(size) if size is not None else out
 
 
-def _equals(value):
-    return lambda x: x == F.lit(value)
+def _per_doc(df: DataFrame, text_field: str, q: list[str]) -> DataFrame:
+    """Tokenize once; keep the document length and, per query term, its
+    occurrence count (length minus the length without that term: built-in,
+    code-generated array functions, no lambda)."""
+    out = spread(df).withColumn("_toks", tokens(text_field)).withColumn("_dl", F.size("_toks"))
+    out = out.withColumns({f"_tf{i}": (F.col("_dl") - F.size(F.array_remove("_toks", t))).cast("double")
+                           for i, t in enumerate(q)})
+    return out.drop("_toks")
 
 
 def bm25_scores(df: DataFrame, text_field: str, query: str, k1: float = BM25_K1, b: float = BM25_B,
@@ -78,39 +86,41 @@ def bm25_scores(df: DataFrame, text_field: str, query: str, k1: float = BM25_K1,
     idf(t) = ln(1 + (N - df + 0.5)/(df + 0.5)); tf = occurrences of t in the
     document; dl = tokens in the document; avgdl over the collection.
 
-    The query has a handful of terms, known on the driver, so per-term
+    The query has a handful of terms, known on the driver, so the collection
     statistics (N, avgdl and df of each query term) are ONE global aggregate
     returning one row, and the score is a column expression: no term table,
     no join, no shuffle besides the final top-k. ``stats_df`` lets the
     collection statistics come from a larger frame than the one scored."""
     q = list(dict.fromkeys(analyze(query)))
-    toks = tokens(text_field)
-    base = df.withColumn("_toks", toks)
-    coll = (stats_df.withColumn("_toks", tokens(text_field)) if stats_df is not None else base)
-    aggs = [F.count("*").alias("n"), F.avg(F.size("_toks")).alias("avgdl")]
-    aggs += [F.sum(F.when(F.array_contains("_toks", t), 1).otherwise(0)).alias(f"df{i}") for i, t in enumerate(q)]
+    per = _per_doc(df, text_field, q)
+    coll = _per_doc(stats_df, text_field, q) if stats_df is not None else per
+    aggs = [F.count("*").alias("n"), F.avg("_dl").alias("avgdl")]
+    aggs += [F.sum((F.col(f"_tf{i}") > 0).cast("long")).alias(f"df{i}") for i in range(len(q))]
     st = coll.agg(*aggs).first()
-    n, avgdl = st["n"], st["avgdl"] or 0.0
+    n, avgdl = st["n"], st["avgdl"] or 1.0
+    norm = F.lit(k1) * (F.lit(1.0 - b) + F.lit(b) * F.col("_dl") / F.lit(float(avgdl)))
     score = F.lit(0.0)
-    for i, t in enumerate(q):
+    for i in range(len(q)):
         dfreq = st[f"df{i}"] or 0
         idf = math.log(1.0 + (n - dfreq + 0.5) / (dfreq + 0.5))
-        tf = F.size(F.filter(F.col("_toks"), _equals(t))).cast("double")
-        norm = F.lit(k1) * (F.lit(1.0 - b) + F.lit(b) * F.size("_toks") / F.lit(float(avgdl) if avgdl else 1.0))
+        tf = F.col(f"_tf{i}")
         score = score + F.lit(idf) * tf * F.lit(k1 + 1.0) / (tf + norm)
-    return base.withColumn("score", score).drop("_toks")
+    return per.withColumn("score", score).drop("_dl", *[f"_tf{i}" for i in range(len(q))])
 
 
 def bm25_top_k(df: DataFrame, text_field: str, query: str, k: int, id_field: str,
                keep: Sequence[str] = (), min_score: float = 0.0) -> DataFrame:
     """Best ``k`` documents by BM25 (ties by id); rows with score <= min_score
     (no query term) do not match. Top-k runs as a distributed
-    TakeOrderedAndProject: each task keeps its own k best."""
+    TakeOrderedAndProject: each task keeps its own k best.
+
+    The score filter is applied *after* the top-k: non-matching rows score 0
+    and sort last, so the result is the same, and a filter above a limit is
+    not pushed down into the projection (where it would re-run the
+    tokenizer once per reference)."""
     scored = bm25_scores(df.select(id_field, text_field, *keep), text_field, query)
-    return (scored.filter(F.col("score") > min_score)
-                  .select(id_field, *keep, "score")
-                  .orderBy(F.col("score").desc(), F.col(id_field).asc())
-                  .limit(k))
+    top = scored.select(id_field, *keep, "score").orderBy(F.col("score").desc(), F.col(id_field).asc()).limit(k)
+    return top.filter(F.col("score") > min_score)
 
 
 def more_like_this(df: DataFrame, text_field: str, id_field: str, like_id, k: int = 10,
@@ -126,6 +136,7 @@ def more_like_this(df: DataFrame, text_field: str, id_field: str, like_id, k: in
     4. every other document's distinct tokens joined to that set, counted per
        document; ranked by shared count desc, then id.
     """
+    df = spread(df)
     like = df.filter(F.col(id_field) == F.lit(like_id))
     like_tf = (like.select(F.explode(tokens(text_field)).alias("term"))
                    .groupBy("term").agg(F.count("*").alias("tf"))

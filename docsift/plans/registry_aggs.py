@@ -12,6 +12,7 @@ from ..operators import bucket_series as S
 from ..operators import buckets as B
 from ..operators import metrics as M
 from ..operators import text as X
+from ..session import spread
 from .registry import docs_with_labels, r6, register, t
 from .search import aggs, execute, query, select_fields
 
@@ -281,14 +282,14 @@ def b_significant(spark, sf):
 SELECT doc_id FROM documents WHERE list_has_any({toks_sql('text')}, ['esat', 'ndat'])
 """)
 def q_match_or(spark, sf):
-    return execute(t(spark, sf, "documents"), query(P.match("text", "Esat ndat")) + select_fields(["doc_id"]))
+    return execute(spread(t(spark, sf, "documents")), query(P.match("text", "Esat ndat")) + select_fields(["doc_id"]))
 
 
 @register("q_match_and", f"""
 SELECT doc_id FROM documents WHERE list_has_all({toks_sql('text')}, ['in', 'the', 'esat'])
 """)
 def q_match_and(spark, sf):
-    return execute(t(spark, sf, "documents"),
+    return execute(spread(t(spark, sf, "documents")),
                    query(P.match("text", "in the esat", operator="and")) + select_fields(["doc_id"]))
 
 
@@ -297,7 +298,7 @@ SELECT doc_id FROM documents
 WHERE len(list_intersect(list_distinct({toks_sql('text')}), ['esat', 'ndat', 'ated', 'atou'])) >= 2
 """)
 def q_match_msm(spark, sf):
-    return execute(t(spark, sf, "documents"),
+    return execute(spread(t(spark, sf, "documents")),
                    query(P.match("text", "esat ndat ated atou", minimum_should_match=2)) + select_fields(["doc_id"]))
 
 
@@ -306,7 +307,7 @@ SELECT doc_id FROM documents
 WHERE contains(' ' || array_to_string({toks_sql('text')}, ' ') || ' ', ' of the ')
 """)
 def q_phrase(spark, sf):
-    return execute(t(spark, sf, "documents"), query(P.match_phrase("text", "Of the")) + select_fields(["doc_id"]))
+    return execute(spread(t(spark, sf, "documents")), query(P.match_phrase("text", "Of the")) + select_fields(["doc_id"]))
 
 
 @register("q_multi_match", f"""
@@ -356,8 +357,8 @@ WITH top AS ({bm25_sql("documents", "doc_id", "text", ["esat", "ndat", "ated"],
 SELECT d.lang AS key, count(*) AS doc_count FROM documents d JOIN top USING (doc_id) GROUP BY 1
 """)
 def b_sampler(spark, sf):
-    docs = X.bm25_scores(t(spark, sf, "documents"), "text", _BM25_Q).filter(F.col("score") > 0)
-    spec = B.sampler(B.terms("lang", size=None), score="score", shard_size=50, tie_breaker="doc_id")
+    docs = X.bm25_scores(t(spark, sf, "documents"), "text", _BM25_Q)
+    spec = B.sampler(B.terms("lang", size=None), score="score", shard_size=50, tie_breaker="doc_id", min_score=0.0)
     return execute(docs, aggs(x=spec))
 
 

@@ -72,3 +72,14 @@ def table_path(sf_dir: str, name: str) -> str:
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, name))
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin repartition only when the input has fewer partitions than
+    the cluster has cores (e.g. one unsplittable Parquet row group), so that
+    CPU-heavy per-row work such as tokenizing runs on every core. On large
+    inputs (thousands of file splits) this is a no-op and adds no shuffle."""
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
