@@ -129,7 +129,7 @@ def apply_actions(base: DataFrame, feed: DataFrame, id_field: str, seq_field: st
     # pass 1: last constant action per id
     last = f.groupBy(id_field).agg(
         F.max(F.when(is_const, F.col(seq_field))).alias("_l_seq"),
-        F.max_by(F.struct(F.col(action_field).alias("a"), *[F.col(c) for c in fields]),
+        F.max_by(F.struct(F.col(action_field).alias("_act"), *[F.col(c) for c in fields]),
                  F.when(is_const, F.col(seq_field))).alias("_l"))
     # pass 2: conditional actions after it
     after = f.join(last.select(id_field, "_l_seq"), on=id_field, how="inner")
@@ -147,7 +147,7 @@ def apply_actions(base: DataFrame, feed: DataFrame, id_field: str, seq_field: st
     b = base.select(id_field, F.struct(*[F.col(c) for c in fields]).alias("_b"), F.lit(True).alias("_in_base"))
     j = b.join(per_id, on=id_field, how="full_outer")
     has_l = F.col("_l_seq").isNotNull()
-    start_present = F.when(has_l, F.col("_l.a") == "index").otherwise(F.coalesce(F.col("_in_base"), F.lit(False)))
+    start_present = F.when(has_l, F.col("_l._act") == "index").otherwise(F.coalesce(F.col("_in_base"), F.lit(False)))
     present = F.when(start_present, F.lit(True)).otherwise(F.col("_c_seq").isNotNull())
     out_cols = []
     for i, c in enumerate(fields):

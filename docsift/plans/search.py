@@ -135,25 +135,25 @@ def resolve_fields(schema: T.StructType, includes: Sequence[str], excludes: Sequ
                    for p in pats)
 
     def walk(dtype, path: str, ref: Column):
+        """Returns (column or None, whole) where whole = nothing was dropped."""
         inc, exc = matches(path, includes), matches(path, excludes)
         if exc:
-            return None
+            return None, False
         if isinstance(dtype, T.StructType):
-            parts = []
+            parts, whole = [], True
             for f in dtype.fields:
-                sub = walk(f.dataType, f"{path}.{f.name}", ref.getField(f.name))
+                sub, sub_whole = walk(f.dataType, f"{path}.{f.name}", ref.getField(f.name))
+                whole = whole and sub_whole
                 if sub is not None:
                     parts.append(sub.alias(f.name))
-            if inc and len(parts) == len(dtype.fields):
-                return ref
-            if parts:
-                return F.struct(*parts)
-            return None
-        return ref if inc else None
+            if inc and whole:
+                return ref, True
+            return (F.struct(*parts) if parts else None), False
+        return (ref, True) if inc else (None, False)
 
     out = []
     for f in schema.fields:
-        c = walk(f.dataType, f.name, F.col(f.name))
+        c, _ = walk(f.dataType, f.name, F.col(f.name))
         if c is not None:
             out.append(c.alias(f.name))
     return out
