@@ -1,10 +1,13 @@
 """Composable, null-safe predicates (the query clauses of a search request).
 
-Every function returns a boolean ``Column`` that is never NULL: a document
-whose field is missing does not match, so ``not_(p)`` keeps it (document
-store semantics, not SQL three-valued logic). All predicates are built-in
-expressions, so Catalyst pushes the simple ones (term, terms, range, exists,
-prefix) into the Parquet scan.
+A document whose field is missing does not match a clause, so ``not_(p)``
+keeps it (document-store semantics, not SQL three-valued logic). A clause is
+returned as a plain boolean ``Column``: inside a filter NULL and FALSE both
+drop the row, so no ``coalesce`` is needed there, and only negation is
+rewritten, as ``NOT p OR p IS NULL``. Keeping the conditions plain lets
+Catalyst push the simple ones (term, terms, range, exists, prefix and their
+negations) into the Parquet scan as ``PushedFilters``; a ``coalesce`` wrapper
+would hide them from the scan.
 """
 
 from __future__ import annotations
@@ -30,31 +33,31 @@ def match_none() -> Column:
 def term(field, value, case_insensitive: bool = False) -> Column:
     c = as_col(field)
     if case_insensitive and isinstance(value, str):
-        return null_safe(normalize(c) == value.lower())
-    return null_safe(c == F.lit(value))
+        return normalize(c) == value.lower()
+    return c == F.lit(value)
 
 
 def terms(field, values: Iterable, case_insensitive: bool = False) -> Column:
     values = list(values)
     c = as_col(field)
     if case_insensitive:
-        return null_safe(normalize(c).isin([v.lower() for v in values]))
-    return null_safe(c.isin(values))
+        return normalize(c).isin([v.lower() for v in values])
+    return c.isin(values)
 
 
 def range_(field, gt=None, gte=None, lt=None, lte=None) -> Column:
     """Range on numbers, strings or timestamps; bounds left as ``None`` are open."""
     c = as_col(field)
-    cond = F.lit(True)
+    conds = [c.isNotNull()]
     if gt is not None:
-        cond = cond & (c > F.lit(gt))
+        conds.append(c > F.lit(gt))
     if gte is not None:
-        cond = cond & (c >= F.lit(gte))
+        conds.append(c >= F.lit(gte))
     if lt is not None:
-        cond = cond & (c < F.lit(lt))
+        conds.append(c < F.lit(lt))
     if lte is not None:
-        cond = cond & (c <= F.lit(lte))
-    return null_safe(c.isNotNull() & cond)
+        conds.append(c <= F.lit(lte))
+    return _and(conds)
 
 
 def exists(field) -> Column:
@@ -68,13 +71,13 @@ def missing(field) -> Column:
 def ids(values: Iterable, id_field: str = "id") -> Column:
     """Documents whose id is in a (driver-side, hence bounded) list. For an id
     list that lives in a table use :func:`terms_lookup` instead."""
-    return null_safe(as_col(id_field).isin(list(values)))
+    return as_col(id_field).isin(list(values))
 
 
 def prefix(field, value: str, case_insensitive: bool = False) -> Column:
     c = normalize(field) if case_insensitive else as_col(field)
     v = value.lower() if case_insensitive else value
-    return null_safe(c.startswith(v))
+    return c.startswith(v)
 
 
 def wildcard_to_like(pattern: str) -> str:
@@ -95,17 +98,17 @@ def wildcard_to_like(pattern: str) -> str:
 def wildcard(field, pattern: str, case_insensitive: bool = False) -> Column:
     c = normalize(field) if case_insensitive else as_col(field)
     p = pattern.lower() if case_insensitive else pattern
-    return null_safe(c.like(wildcard_to_like(p)))
+    return c.like(wildcard_to_like(p))
 
 
 def regexp(field, pattern: str) -> Column:
     """The regular expression must match the whole value."""
-    return null_safe(as_col(field).rlike(f"^(?:{pattern})$"))
+    return as_col(field).rlike(f"^(?:{pattern})$")
 
 
 def fuzzy(field, value: str, max_edits: int = 2) -> Column:
     """Case-insensitive Levenshtein distance of the whole value <= ``max_edits``."""
-    return null_safe(F.levenshtein(F.lower(as_col(field)), F.lit(value.lower())) <= max_edits)
+    return F.levenshtein(F.lower(as_col(field)), F.lit(value.lower())) <= max_edits
 
 
 def _query_tokens(text: str) -> list[str]:
@@ -129,7 +132,7 @@ def match(field, text: str, operator: str = "or", minimum_should_match: int | No
         need = 1
     else:
         raise ValueError(f"unknown operator {operator!r}")
-    return null_safe(hits >= need)
+    return hits >= need
 
 
 def match_phrase(field, text: str) -> Column:
@@ -138,7 +141,7 @@ def match_phrase(field, text: str) -> Column:
     if not q:
         return F.lit(False)
     needle = " " + " ".join(q) + " "
-    return null_safe(F.instr(token_text(field), needle) > 0)
+    return F.instr(token_text(field), needle) > 0
 
 
 def multi_match(fields: Sequence, text: str, operator: str = "or",
@@ -156,28 +159,42 @@ def any_field(df: DataFrame, text: str, operator: str = "or") -> Column:
     return multi_match(fields, text, operator)
 
 
+def _and(conds):
+    out = conds[0]
+    for c in conds[1:]:
+        out = out & c
+    return out
+
+
+def _or(conds):
+    out = conds[0]
+    for c in conds[1:]:
+        out = out | c
+    return out
+
+
 def bool_(must: Sequence[Column] = (), filter: Sequence[Column] = (),  # noqa: A002
           should: Sequence[Column] = (), must_not: Sequence[Column] = (),
           minimum_should_match: int | None = None) -> Column:
     """Boolean combination. ``should`` needs at least one match when there is
     no must/filter clause (or ``minimum_should_match`` when given)."""
-    cond = F.lit(True)
-    for p in list(must) + list(filter):
-        cond = cond & null_safe(p)
-    for p in must_not:
-        cond = cond & ~null_safe(p)
+    conds = list(must) + list(filter) + [not_(p) for p in must_not]
     if should:
         m = minimum_should_match
         if m is None:
             m = 0 if (must or filter) else 1
-        if m > 0:
+        if m == 1:
+            conds.append(_or(list(should)))
+        elif m > 1:
             n = sum((null_safe(p).cast("int") for p in should), F.lit(0))
-            cond = cond & (n >= m)
-    return cond
+            conds.append(n >= m)
+    return _and(conds) if conds else F.lit(True)
 
 
 def not_(p: Column) -> Column:
-    return ~null_safe(p)
+    """Document negation: true when ``p`` is false OR cannot be evaluated
+    (missing field)."""
+    return (~p) | p.isNull()
 
 
 def nested(array_field, element_predicate) -> Column:

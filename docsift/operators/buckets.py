@@ -76,9 +76,9 @@ class terms(BucketAgg):  # noqa: N801
         k = self.key_name
         out = df.withColumn(k, self.key_col()).filter(F.col(k).isNotNull())
         if self.include is not None:
-            out = out.filter(null_safe(F.col(k).cast("string").rlike(f"^(?:{self.include})$")))
+            out = out.filter(F.col(k).cast("string").rlike(f"^(?:{self.include})$"))
         if self.exclude is not None:
-            out = out.filter(~null_safe(F.col(k).cast("string").rlike(f"^(?:{self.exclude})$")))
+            out = out.filter(~F.col(k).cast("string").rlike(f"^(?:{self.exclude})$"))
         return out
 
     def run(self, df: DataFrame) -> DataFrame:
@@ -260,7 +260,7 @@ class single_bucket(BucketAgg):  # noqa: N801
     metrics: Mapping[str, Metric] = field(default_factory=dict)
 
     def run(self, df: DataFrame) -> DataFrame:
-        return aggregate(df.filter(null_safe(self.cond)), [], self.metrics)
+        return aggregate(df.filter(self.cond), [], self.metrics)
 
 
 def missing(field_, metrics=None) -> single_bucket:

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.common import as_col, null_safe
 from ..functions.mapping import clean_field_names
+from ..functions.predicates import not_
 
 # Above this many ids, a driver-side id list is not broadcast by hand: it is
 # joined as a table and AQE decides from its real size.
@@ -98,11 +99,11 @@ def delete_ids(df: DataFrame, ids: Iterable | DataFrame, id_field: str = "id") -
 
 def delete_type(df: DataFrame, type_field: str, doc_type) -> DataFrame:
     """Remove all documents of one type; schema unchanged; NULL types stay."""
-    return df.filter(~null_safe(F.col(type_field) == F.lit(doc_type)))
+    return df.filter(not_(F.col(type_field) == F.lit(doc_type)))
 
 
 def collect_ids(df: DataFrame, where: Column | None = None, id_field: str = "id") -> DataFrame:
-    out = df.filter(null_safe(where)) if where is not None else df
+    out = df.filter(where) if where is not None else df
     return out.select(id_field)
 
 

@@ -162,7 +162,7 @@ def resolve_fields(schema: T.StructType, includes: Sequence[str], excludes: Sequ
 def run_documents(df: DataFrame, req: Request) -> DataFrame:
     if req.kind == "partial":
         raise ValueError("a sort/field selection alone is not executable; add a query")
-    out = df.filter(null_safe(req.where)) if req.where is not None else df
+    out = df.filter(req.where) if req.where is not None else df
     if req.size == 0:
         return out.limit(0)
     if req.sort:
@@ -178,7 +178,7 @@ def run_documents(df: DataFrame, req: Request) -> DataFrame:
 def run_aggs(df: DataFrame, req: Request) -> DataFrame | dict[str, DataFrame]:
     """One DataFrame per named aggregation (a dict when there are several).
     Metric aggregations listed together are evaluated in one aggregate."""
-    filtered = df.filter(null_safe(req.where)) if req.where is not None else df
+    filtered = df.filter(req.where) if req.where is not None else df
     metric_specs = {n: a for n, a in req.aggs.items() if isinstance(a, Metric)}
     results: dict[str, DataFrame] = {}
     if metric_specs:
@@ -223,7 +223,7 @@ class Resource:
             self._df = load(self.spark, self.source, self.fmt)
         out = self._df
         if self.doc_type is not None:
-            out = out.filter(null_safe(F.col(self.type_field) == F.lit(self.doc_type)))
+            out = out.filter(F.col(self.type_field) == F.lit(self.doc_type))
         return out
 
     def search(self, req: Request):
