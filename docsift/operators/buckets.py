@@ -125,61 +125,113 @@ class histogram(BucketAgg):  # noqa: N801
         keyed = df.withColumn("_idx", idx).filter(F.col("_idx").isNotNull())
         out = aggregate(keyed, ["_idx"], self.metrics)
         if self.min_doc_count == 0:
-            out = _fill_gaps(out, "_idx", F.lit(1), self.metrics)
+            out = _fill_gaps(out)
         elif self.min_doc_count > 1:
             out = out.filter(F.col("doc_count") >= self.min_doc_count)
         key = (F.col("_idx").cast("double") * F.lit(float(self.interval)) + F.lit(float(self.offset))).alias("key")
         return out.select(key, *[c for c in out.columns if c != "_idx"]).orderBy("key")
 
 
-def _fill_gaps(out: DataFrame, key: str, step: Column, metrics) -> DataFrame:
-    """Left-join the bucket table onto every key from its min to its max."""
-    bounds = out.agg(F.min(key).alias("_lo"), F.max(key).alias("_hi"))
-    every = bounds.select(F.explode(F.sequence("_lo", "_hi", step)).alias(key))
-    filled = every.join(out, on=key, how="left")
+def _fill_gaps(out: DataFrame, idx: str = "_idx") -> DataFrame:
+    """Add the empty buckets between the first and the last one.
+
+    Buckets are numbered by a bigint index; the index range comes from a
+    one-row aggregate and the full range is generated by ``spark.range``,
+    which is split across tasks, so a fine interval over a long span never
+    materialises in one row or one task. The bucket table is left-joined on it."""
+    b = out.agg(F.min(idx).alias("lo"), F.max(idx).alias("hi")).first()
+    if b is None or b["lo"] is None:
+        return out
+    every = out.sparkSession.range(int(b["lo"]), int(b["hi"]) + 1).withColumnRenamed("id", idx)
+    filled = every.join(out, on=idx, how="left")
     return filled.withColumn("doc_count", F.coalesce(F.col("doc_count"), F.lit(0)))
 
 
-_CALENDAR = {"minute": "minute", "hour": "hour", "day": "day", "week": "week",
-             "month": "month", "quarter": "quarter", "year": "year"}
+_CALENDAR = ("minute", "hour", "day", "week", "month", "quarter", "year")
+_FIXED_UNITS_US = {"microsecond": 1, "millisecond": 1_000, "second": 1_000_000, "minute": 60_000_000,
+                   "hour": 3_600_000_000, "day": 86_400_000_000, "week": 604_800_000_000}
+# Fixed value: weeks start on Monday; 1969-12-29 is the Monday before the epoch.
+_MONDAY_EPOCH_US = -3 * 86_400_000_000
+
+
+def interval_micros(text: str) -> int:
+    """'6 hours' / '90 seconds' / '1 day' -> microseconds."""
+    n, unit = text.split()
+    unit = unit.lower().rstrip("s")
+    if unit not in _FIXED_UNITS_US:
+        raise ValueError(f"fixed intervals use {sorted(_FIXED_UNITS_US)}, got {text!r}")
+    return int(n) * _FIXED_UNITS_US[unit]
+
+
+def _micros(ts: Column) -> Column:
+    # timestamp_ntz -> microseconds since the epoch of its wall-clock value
+    # (sessions built by build_session use UTC)
+    return F.unix_micros(ts.cast("timestamp"))
 
 
 @dataclass
 class date_histogram(BucketAgg):  # noqa: N801
     """Time buckets. ``calendar_interval`` in minute/hour/day/week/month/
-    quarter/year (calendar-aware truncation) or ``fixed_interval`` as a Spark
-    interval string such as ``'6 hours'`` (epoch-aligned). ``min_doc_count=0``
-    fills empty buckets between the first and last one."""
+    quarter/year (calendar-aware; weeks start on Monday) or ``fixed_interval``
+    such as ``'6 hours'`` (epoch-aligned). ``min_doc_count=0`` fills empty
+    buckets between the first and last one."""
     field: object
     calendar_interval: str | None = None
     fixed_interval: str | None = None
     min_doc_count: int = 1
     metrics: Mapping[str, Metric] = field(default_factory=dict)
 
-    def key_col(self) -> Column:
-        ts = as_col(self.field)
-        if self.calendar_interval:
-            return F.date_trunc(_CALENDAR[self.calendar_interval], ts).cast("timestamp_ntz")
+    def _step_us(self) -> int | None:
         if self.fixed_interval:
-            return F.window(ts.cast("timestamp_ntz"), self.fixed_interval)["start"]
-        raise ValueError("give calendar_interval or fixed_interval")
+            return interval_micros(self.fixed_interval)
+        if self.calendar_interval in ("minute", "hour", "day", "week"):
+            return _FIXED_UNITS_US[self.calendar_interval]
+        return None
+
+    def _origin_us(self) -> int:
+        return _MONDAY_EPOCH_US if self.calendar_interval == "week" else 0
+
+    def to_index(self, ts: Column) -> Column:
+        """Bucket number of a timestamp (consecutive buckets differ by 1)."""
+        step = self._step_us()
+        if step is not None:
+            return F.floor((_micros(ts) - F.lit(self._origin_us())) / F.lit(step)).cast("bigint")
+        y, m = F.year(ts).cast("bigint"), F.month(ts).cast("bigint")
+        if self.calendar_interval == "month":
+            return y * 12 + m - 1
+        if self.calendar_interval == "quarter":
+            return y * 4 + F.floor((m - 1) / 3).cast("bigint")
+        if self.calendar_interval == "year":
+            return y
+        raise ValueError(f"calendar_interval must be one of {_CALENDAR}")
+
+    def from_index(self, idx: Column) -> Column:
+        """Start timestamp (timestamp_ntz) of bucket number ``idx``."""
+        step = self._step_us()
+        if step is not None:
+            return F.timestamp_micros(idx * F.lit(step) + F.lit(self._origin_us())).cast("timestamp_ntz")
+        if self.calendar_interval == "month":
+            y, m = F.floor(idx / 12), F.pmod(idx, F.lit(12)) + 1
+        elif self.calendar_interval == "quarter":
+            y, m = F.floor(idx / 4), F.pmod(idx, F.lit(4)) * 3 + 1
+        else:
+            y, m = idx, F.lit(1)
+        return F.make_timestamp_ntz(y.cast("int"), m.cast("int"), F.lit(1), F.lit(0), F.lit(0), F.lit(0))
 
-    def step(self) -> Column:
-        if self.calendar_interval:
-            unit = self.calendar_interval
-            if unit == "quarter":
-                return F.expr("INTERVAL 3 MONTHS")
-            return F.expr(f"INTERVAL 1 {unit.upper()}")
-        return F.expr(f"INTERVAL {self.fixed_interval}")
+    def key_col(self) -> Column:
+        if not (self.calendar_interval or self.fixed_interval):
+            raise ValueError("give calendar_interval or fixed_interval")
+        return self.from_index(self.to_index(as_col(self.field)))
 
     def run(self, df: DataFrame) -> DataFrame:
-        keyed = df.withColumn("key", self.key_col()).filter(F.col("key").isNotNull())
-        out = aggregate(keyed, ["key"], self.metrics)
+        keyed = df.withColumn("_idx", self.to_index(as_col(self.field))).filter(F.col("_idx").isNotNull())
+        out = aggregate(keyed, ["_idx"], self.metrics)
         if self.min_doc_count == 0:
-            out = _fill_gaps(out, "key", self.step(), self.metrics)
+            out = _fill_gaps(out)
         elif self.min_doc_count > 1:
             out = out.filter(F.col("doc_count") >= self.min_doc_count)
-        return out.orderBy("key")
+        return (out.select(self.from_index(F.col("_idx")).alias("key"), *[c for c in out.columns if c != "_idx"])
+                   .orderBy("key"))
 
 
 def _label_explode(df: DataFrame, labelled: Sequence[tuple[str, Column]], name: str = "key") -> DataFrame:

@@ -256,9 +256,12 @@ class string_stats(Metric):  # noqa: N801
 
 
 def _join_on_keys(a: DataFrame, b: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
+    """Join per-bucket results on the bucket keys. Without keys ``b`` is a
+    global aggregate (exactly one row), so it is broadcast: every task of
+    ``a`` joins locally instead of sending all rows to one constant key."""
     if keys:
         return a.join(b, on=keys, how=how)
-    return a.withColumn("_g", F.lit(0)).join(b.withColumn("_g", F.lit(0)), on="_g", how=how).drop("_g")
+    return a.withColumn("_g", F.lit(0)).join(F.broadcast(b.withColumn("_g", F.lit(0))), on="_g", how=how).drop("_g")
 
 
 def aggregate(df: DataFrame, keys: Sequence[str], metrics: Mapping[str, Metric] | None = None,

@@ -129,28 +129,30 @@ def more_like_this(df: DataFrame, text_field: str, id_field: str, like_id, k: in
     """Documents sharing the most informative tokens with document ``like_id``.
 
     1. tokens of the liked document with their term frequency (>= min_term_freq);
-    2. document frequency of every token (one ``groupBy(term)``), keeping
-       terms with min_doc_freq <= df <= max_doc_freq_ratio * N;
-    3. the ``max_query_terms`` best by tf*idf (ties by term) -> a term set whose
-       size is bounded by that parameter, so it is broadcast;
-    4. every other document's distinct tokens joined to that set, counted per
+       this set is bounded by the length of one document, so it is broadcast;
+    2. every document's distinct tokens are semi-joined to that set first, so
+       only (document, liked term) pairs are shuffled, not the vocabulary;
+    3. document frequency per liked term, keeping min_doc_freq <= df <=
+       max_doc_freq_ratio * N, and the ``max_query_terms`` best by tf*ln(N/df)
+       (ties by term): a set bounded by that parameter, broadcast;
+    4. the pairs of every other document joined to it and counted per
        document; ranked by shared count desc, then id.
     """
     df = spread(df)
-    like = df.filter(F.col(id_field) == F.lit(like_id))
-    like_tf = (like.select(F.explode(tokens(text_field)).alias("term"))
-                   .groupBy("term").agg(F.count("*").alias("tf"))
-                   .filter(F.col("tf") >= min_term_freq))
+    like_tf = (df.filter(F.col(id_field) == F.lit(like_id))
+                 .select(F.explode(tokens(text_field)).alias("term"))
+                 .groupBy("term").agg(F.count("*").alias("tf"))
+                 .filter(F.col("tf") >= min_term_freq))
     n = df.count()
-    dfs = doc_terms(df, text_field).groupBy("term").agg(F.count("*").alias("df"))
-    cand = (like_tf.join(dfs, "term")
-                   .filter((F.col("df") >= min_doc_freq) & (F.col("df") <= F.lit(max_doc_freq_ratio * n)))
-                   .withColumn("w", F.col("tf") * F.log(F.lit(float(n)) / F.col("df")))
-                   .orderBy(F.col("w").desc(), F.col("term").asc())
-                   .limit(max_query_terms)
-                   .select("term"))
-    shared = (doc_terms(df.filter(F.col(id_field) != F.lit(like_id)), text_field, keep=[id_field])
-              .join(F.broadcast(cand), "term")
-              .groupBy(id_field).agg(F.count("*").alias("shared_terms"))
-              .filter(F.col("shared_terms") >= minimum_should_match))
+    pairs = doc_terms(df, text_field, keep=[id_field]).join(F.broadcast(like_tf), "term")
+    cand = (pairs.groupBy("term", "tf").agg(F.count("*").alias("df"))
+                 .filter((F.col("df") >= min_doc_freq) & (F.col("df") <= F.lit(max_doc_freq_ratio * n)))
+                 .withColumn("w", F.col("tf") * F.log(F.lit(float(n)) / F.col("df")))
+                 .orderBy(F.col("w").desc(), F.col("term").asc())
+                 .limit(max_query_terms)
+                 .select("term"))
+    shared = (pairs.filter(F.col(id_field) != F.lit(like_id)).select(id_field, "term")
+                   .join(F.broadcast(cand), "term")
+                   .groupBy(id_field).agg(F.count("*").alias("shared_terms"))
+                   .filter(F.col("shared_terms") >= minimum_should_match))
     return shared.orderBy(F.col("shared_terms").desc(), F.col(id_field).asc()).limit(k)

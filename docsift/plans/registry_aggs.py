@@ -99,6 +99,27 @@ def b_date_hist_fixed(spark, sf):
     return execute(t(spark, sf, "events"), aggs(x=spec))
 
 
+@register("b_date_hist_week", """
+WITH b AS (SELECT date_trunc('week', o_orderdate)::TIMESTAMP AS key, count(*) AS doc_count FROM orders
+           WHERE o_orderdate >= TIMESTAMP '1998-01-01' AND o_orderdate < TIMESTAMP '1998-07-01' GROUP BY 1),
+r AS (SELECT unnest(generate_series(min(key), max(key), INTERVAL 7 DAY)) AS key FROM b)
+SELECT r.key, coalesce(b.doc_count, 0) AS doc_count FROM r LEFT JOIN b USING (key)
+""")
+def b_date_hist_week(spark, sf):
+    half = query(P.range_("o_orderdate", gte=dt.datetime(1998, 1, 1), lt=dt.datetime(1998, 7, 1)))
+    spec = B.date_histogram("o_orderdate", calendar_interval="week", min_doc_count=0)
+    return execute(t(spark, sf, "orders"), half + aggs(x=spec))
+
+
+@register("b_date_hist_quarter", """
+SELECT date_trunc('quarter', o_orderdate)::TIMESTAMP AS key, count(*) AS doc_count,
+       round(sum(o_totalprice), 6) AS revenue FROM orders GROUP BY 1
+""")
+def b_date_hist_quarter(spark, sf):
+    spec = B.date_histogram("o_orderdate", calendar_interval="quarter", metrics={"revenue": M.sum_("o_totalprice")})
+    return r6(execute(t(spark, sf, "orders"), aggs(x=spec)))
+
+
 _RANGES = [("cheap", None, 10000.0), ("mid", 5000.0, 30000.0), ("high", 30000.0, None), ("none", 1e9, None)]
 
 
@@ -352,6 +373,26 @@ def q_bm25(spark, sf):
     return r6(X.bm25_top_k(t(spark, sf, "documents"), "text", _BM25_Q, 10, "doc_id"))
 
 
+@register("q_relevance", f"""
+WITH d AS (SELECT doc_id, lang, {toks_sql('text')} AS toks FROM documents),
+st AS (SELECT count(*) AS n, avg(len(toks)) AS avgdl,
+              sum(CASE WHEN list_contains(toks, 'esat') THEN 1 ELSE 0 END) AS df0,
+              sum(CASE WHEN list_contains(toks, 'ndat') THEN 1 ELSE 0 END) AS df1 FROM d),
+tf AS (SELECT doc_id, count(*) FILTER (WHERE w = 'esat')::DOUBLE AS tf0,
+              count(*) FILTER (WHERE w = 'ndat')::DOUBLE AS tf1
+       FROM (SELECT doc_id, unnest(toks) AS w FROM d) GROUP BY 1),
+s AS (SELECT d.doc_id,
+        ln(1 + (n - df0 + 0.5) / (df0 + 0.5)) * tf0 * 2.2 / (tf0 + 1.2 * (0.25 + 0.75 * len(toks) / avgdl))
+      + ln(1 + (n - df1 + 0.5) / (df1 + 0.5)) * tf1 * 2.2 / (tf1 + 1.2 * (0.25 + 0.75 * len(toks) / avgdl)) AS score
+      FROM d JOIN tf USING (doc_id), st WHERE d.lang = 'en')
+SELECT doc_id, round(score, 6) AS score FROM s ORDER BY score DESC, doc_id LIMIT 10
+""")
+def q_relevance(spark, sf):
+    """A sized query without a sort comes back in relevance order."""
+    req = query(P.term("lang", "en"), size=10, rank=("text", "esat ndat", "doc_id")) + select_fields(["doc_id", "score"])
+    return r6(execute(t(spark, sf, "documents"), req))
+
+
 @register("b_sampler", f"""
 WITH top AS ({bm25_sql("documents", "doc_id", "text", ["esat", "ndat", "ated"], 50)})
 SELECT d.lang AS key, count(*) AS doc_count FROM documents d JOIN top USING (doc_id) GROUP BY 1

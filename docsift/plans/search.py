@@ -36,16 +36,21 @@ class Request:
     fields: tuple | None = None  # (includes, excludes)
     size: int | None = None      # None = all documents
     aggs: Mapping | None = None
+    rank: tuple | None = None    # (text field, query text, id field): relevance order
 
     def __add__(self, other: "Request") -> "Request":
         return combine(self, other)
 
 
-def query(where: Column | None = None, size: int | None = None) -> Request:
-    """``size=None`` returns all matching documents, ``size=N`` the first N."""
+def query(where: Column | None = None, size: int | None = None, rank: tuple | None = None) -> Request:
+    """``size=None`` returns all matching documents, ``size=N`` the first N.
+
+    ``rank=(text_field, text, id_field)`` gives an unsorted query a relevance
+    order: documents come back by BM25 score of ``text`` (ties by id), with
+    the score in a ``score`` column. An explicit sort takes precedence."""
     if size is not None and size < 0:
         raise ValueError("size must be >= 0")
-    return Request("query", where=where, size=size)
+    return Request("query", where=where, size=size, rank=rank)
 
 
 def sort_on(*keys) -> Request:
@@ -165,6 +170,12 @@ def run_documents(df: DataFrame, req: Request) -> DataFrame:
     out = df.filter(req.where) if req.where is not None else df
     if req.size == 0:
         return out.limit(0)
+    if req.rank is not None and not req.sort:
+        from ..operators.text import bm25_scores
+        field_, text, id_field = req.rank
+        # collection statistics come from the whole resource, as in a search index
+        out = bm25_scores(out, field_, text, stats_df=df)
+        out = out.orderBy(F.col("score").desc(), F.col(id_field).asc())
     if req.sort:
         out = out.orderBy(*[_sort_col(s) for s in req.sort])
     if req.fields is not None:

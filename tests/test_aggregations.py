@@ -143,3 +143,17 @@ def test_bucket_series(spark):
     row = S.siblings(bt, "v", "s").first()
     assert row.s_max == 60.0 and row.s_max_key == 4 and row.s_min_key == 1 and row.s_p50 == 25.0
     assert S.sibling(bt, "v", "a", "avg").first().a == 30.0
+
+
+def test_calendar_buckets_and_gap_fill(spark):
+    ts = spark.createDataFrame([(dt.datetime(2024, 1, 3, 10),), (dt.datetime(2024, 5, 20),), (dt.datetime(1969, 12, 31),)],
+                               "t timestamp_ntz")
+    week = [r.key for r in B.date_histogram("t", calendar_interval="week").run(ts).collect()]
+    assert week == [dt.datetime(1969, 12, 29), dt.datetime(2024, 1, 1), dt.datetime(2024, 5, 20)]
+    q = [r.key for r in B.date_histogram("t", calendar_interval="quarter").run(ts).collect()]
+    assert q == [dt.datetime(1969, 10, 1), dt.datetime(2024, 1, 1), dt.datetime(2024, 4, 1)]
+    recent = ts.filter(F.year("t") == 2024)
+    months = B.date_histogram("t", calendar_interval="month", min_doc_count=0).run(recent).collect()
+    assert [(r.key.month, r.doc_count) for r in months] == [(1, 1), (2, 0), (3, 0), (4, 0), (5, 1)]
+    years = [r.key for r in B.date_histogram("t", calendar_interval="year").run(ts).collect()]
+    assert years == [dt.datetime(1969, 1, 1), dt.datetime(2024, 1, 1)]
