@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import as_col, null_safe
-from .text import analyze, distinct_tokens, normalize, token_text
+from .text import analyze, normalize
 
 
 def match_all() -> Column:
@@ -112,8 +112,32 @@ def fuzzy(field, value: str, max_edits: int = 2) -> Column:
 
 
 def _query_tokens(text: str) -> list[str]:
-    toks = list(dict.fromkeys(analyze(text)))
-    return toks
+    return list(dict.fromkeys(analyze(text)))
+
+
+# A token is a maximal run of letters/digits, so "token t is present" is the
+# regex t with no letter or digit on either side; "t1 t2 consecutive" is t1,
+# one or more other characters, t2. One regex scan of the lower-cased text,
+# stopping at the first hit, replaces building and intersecting token arrays.
+_WORD_EDGE_BEFORE = r"(?<![\p{L}\p{N}])"
+_WORD_EDGE_AFTER = r"(?![\p{L}\p{N}])"
+_GAP = r"[^\p{L}\p{N}]+"
+
+
+def _words_regex(words: list[str]) -> str:
+    alt = "|".join(re.escape(w) for w in words)
+    return f"{_WORD_EDGE_BEFORE}(?:{alt}){_WORD_EDGE_AFTER}"
+
+
+def _has_words(field, words: list[str]) -> Column:
+    return F.lower(as_col(field)).rlike(_words_regex(words))
+
+
+def _distinct_hits(field, words: list[str]) -> Column:
+    """Number of distinct query words present, in one regex pass (only the
+    matching words are extracted, never the whole token array)."""
+    found = F.regexp_extract_all(F.lower(as_col(field)), F.lit(_words_regex(words)), 0)
+    return F.size(F.array_distinct(found))
 
 
 def match(field, text: str, operator: str = "or", minimum_should_match: int | None = None) -> Column:
@@ -122,17 +146,15 @@ def match(field, text: str, operator: str = "or", minimum_should_match: int | No
     q = _query_tokens(text)
     if not q:
         return F.lit(False)
-    doc = distinct_tokens(field)
-    hits = F.size(F.array_intersect(doc, F.array(*[F.lit(t) for t in q])))
     if minimum_should_match is not None:
-        need = minimum_should_match
-    elif operator == "and":
-        need = len(q)
-    elif operator == "or":
-        need = 1
-    else:
-        raise ValueError(f"unknown operator {operator!r}")
-    return hits >= need
+        if minimum_should_match <= 1:
+            return _has_words(field, q)
+        return _distinct_hits(field, q) >= minimum_should_match
+    if operator == "or":
+        return _has_words(field, q)
+    if operator == "and":
+        return _has_words(field, q) if len(q) == 1 else _distinct_hits(field, q) >= len(q)
+    raise ValueError(f"unknown operator {operator!r}")
 
 
 def match_phrase(field, text: str) -> Column:
@@ -140,8 +162,8 @@ def match_phrase(field, text: str) -> Column:
     q = analyze(text)
     if not q:
         return F.lit(False)
-    needle = " " + " ".join(q) + " "
-    return F.instr(token_text(field), needle) > 0
+    body = _GAP.join(re.escape(w) for w in q)
+    return F.lower(as_col(field)).rlike(f"{_WORD_EDGE_BEFORE}{body}{_WORD_EDGE_AFTER}")
 
 
 def multi_match(fields: Sequence, text: str, operator: str = "or",
