@@ -230,18 +230,22 @@ def nested_flat(parent: DataFrame, child: DataFrame, parent_key: str, child_key:
                 element_predicate: Column) -> DataFrame:
     """Same as :func:`nested` when the elements live in their own table (the
     normalised layout used at scale): a left-semi join, no arrays built."""
-    return parent.join(child.filter(element_predicate).select(F.col(child_key).alias(parent_key)),
-                       on=parent_key, how="left_semi")
+    # distinct keys first: a partial aggregate per task, so a parent with a
+    # huge number of matching elements sends one row, not all of them
+    keys = child.filter(element_predicate).select(F.col(child_key).alias(parent_key)).distinct()
+    return parent.join(keys, on=parent_key, how="left_semi")
 
 
 def terms_lookup(df: DataFrame, field: str, lookup: DataFrame, lookup_field: str) -> DataFrame:
     """Keep rows whose ``field`` value appears in ``lookup.lookup_field``.
 
-    A left-semi join: Spark picks broadcast or sort-merge from statistics and
-    AQE switches at runtime once the real size of the lookup side is known, and
-    splits a skewed key on the probe side."""
-    return df.join(lookup.select(F.col(lookup_field).alias(field)).filter(F.col(field).isNotNull()),
-                   on=field, how="left_semi")
+    A left-semi join against the distinct lookup values (pre-aggregated, so a
+    value repeated a billion times in the lookup is one row). Spark picks
+    broadcast or sort-merge from statistics, AQE switches at runtime once the
+    real size of the lookup side is known and splits a skewed key on the
+    probe side."""
+    keys = lookup.select(F.col(lookup_field).alias(field)).filter(F.col(field).isNotNull()).distinct()
+    return df.join(keys, on=field, how="left_semi")
 
 
 def sql(expr: str) -> Column:

@@ -90,7 +90,7 @@ def delete_ids(df: DataFrame, ids: Iterable | DataFrame, id_field: str = "id") -
     """Remove documents by id; unknown ids are ignored. ``ids`` may be a
     list (broadcast when small) or a DataFrame with an ``id_field`` column."""
     if isinstance(ids, DataFrame):
-        table = ids.select(id_field)
+        table = ids.select(id_field).distinct()  # pre-aggregated: repeated ids shuffle once
     else:
         ids = list(ids)
         table = _id_table(df.sparkSession, ids, id_field, df.schema[id_field].dataType.simpleString())

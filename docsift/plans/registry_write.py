@@ -175,9 +175,9 @@ def apply_actions(spark, sf):
 
 @register("bulk_lines", """
 SELECT n_nationkey::VARCHAR AS _id, 0 AS line_no,
-       to_json({'index': {'_index': 'nation', '_id': n_nationkey::VARCHAR}}) AS line FROM nation
+       to_json({'index': {'_index': 'nation', '_id': n_nationkey::VARCHAR}})::VARCHAR AS line FROM nation
 UNION ALL
-SELECT n_nationkey::VARCHAR, 1, to_json({'n_nationkey': n_nationkey, 'n_name': n_name, 'n_regionkey': n_regionkey})
+SELECT n_nationkey::VARCHAR, 1, to_json({'n_nationkey': n_nationkey, 'n_name': n_name, 'n_regionkey': n_regionkey})::VARCHAR
 FROM nation
 """)
 def bulk_lines(spark, sf):
@@ -185,7 +185,7 @@ def bulk_lines(spark, sf):
 
 
 @register("bulk_delete_lines", """
-SELECT n_nationkey::VARCHAR AS _id, to_json({'delete': {'_index': 'nation', '_id': n_nationkey::VARCHAR}}) AS line
+SELECT n_nationkey::VARCHAR AS _id, to_json({'delete': {'_index': 'nation', '_id': n_nationkey::VARCHAR}})::VARCHAR AS line
 FROM nation
 """)
 def bulk_delete_lines(spark, sf):
