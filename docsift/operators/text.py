@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.common import as_col, null_safe
+from ..functions.common import null_safe
 from ..functions.text import analyze, distinct_tokens, tokens
 from ..session import spread
 

@@ -415,3 +415,23 @@ def m_matrix(spark, sf):
 # the remaining groups register themselves on import
 from . import registry_aggs  # noqa: E402,F401
 from . import registry_write  # noqa: E402,F401
+
+
+# ================================================================ approximate options (sketches differ
+# between engines, so only the exact forms above carry an oracle)
+
+@register("m_cardinality_approx")
+def m_cardinality_approx(spark, sf):
+    return execute(t(spark, sf, "orders"), aggs(x=B.terms("o_orderstatus", size=None, metrics={
+        "customers": M.cardinality("o_custkey", approx=True)})))
+
+
+@register("m_percentiles_approx")
+def m_percentiles_approx(spark, sf):
+    return execute(t(spark, sf, "events"), aggs(x=B.terms("event_type", size=None, metrics={
+        "v": M.percentiles("value", [25, 50, 75, 95], approx=True)})))
+
+
+@register("m_mad_global", "SELECT round(mad(value), 6) AS v_mad FROM events")
+def m_mad_global(spark, sf):
+    return r6(execute(t(spark, sf, "events"), aggs(v_mad=M.median_absolute_deviation("value"))))
