@@ -451,14 +451,18 @@ def top_hits(df: DataFrame, by: Sequence[str], n: int, order: Sequence[Column],
              salt_buckets: int = 16) -> DataFrame:
     """Best ``n`` rows per bucket (``order`` must end in a unique key).
 
-    Two phases so a hot bucket is never ranked in a single task: rows get a
-    salt (hash of the row) and are ranked within (bucket, salt); only the top
-    ``n`` of each salt slice survive, then a final ranking per bucket runs on
-    at most ``n * salt_buckets`` rows per bucket."""
-    salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(salt_buckets))
-    w1 = Window.partitionBy(*by, "_salt").orderBy(*order)
-    pre = (df.withColumn("_salt", salt).withColumn("_r", F.row_number().over(w1))
-             .filter(F.col("_r") <= n).drop("_r"))
+    For ``n`` up to ``spark.sql.optimizer.windowGroupLimitThreshold`` Spark
+    plans the rank filter as a partial ``WindowGroupLimit`` inside every map
+    task before the shuffle, so a hot bucket sends at most ``n`` rows per task.
+    Above that threshold the same bound is built by hand: rows get a salt
+    (hash of the row), are ranked within (bucket, salt) keeping ``n`` per
+    slice, and the final ranking per bucket sees at most ``n * salt_buckets``
+    rows per bucket."""
+    threshold = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
+    if n > threshold:
+        salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(salt_buckets))
+        w1 = Window.partitionBy(*by, "_salt").orderBy(*order)
+        df = (df.withColumn("_salt", salt).withColumn("_r", F.row_number().over(w1))
+                .filter(F.col("_r") <= n).drop("_r", "_salt"))
     w2 = Window.partitionBy(*by).orderBy(*order)
-    return (pre.withColumn("rank", F.row_number().over(w2)).filter(F.col("rank") <= n)
-               .drop("_salt"))
+    return df.withColumn("rank", F.row_number().over(w2)).filter(F.col("rank") <= n)

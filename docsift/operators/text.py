@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from ..functions.common import null_safe
 from ..functions.text import analyze, distinct_tokens, tokens
-from ..session import spread
+from ..session import cut_lineage, spread
 
 # BM25 parameters (the published defaults).
 BM25_K1 = 1.2
@@ -137,6 +137,9 @@ def more_like_this(df: DataFrame, text_field: str, id_field: str, like_id, k: in
        (ties by term): a set bounded by that parameter, broadcast;
     4. the pairs of every other document joined to it and counted per
        document; ranked by shared count desc, then id.
+
+    The (document, liked term) pairs are checkpointed once and read by both
+    aggregates, so the corpus is tokenized a single time.
     """
     df = spread(df)
     like_tf = (df.filter(F.col(id_field) == F.lit(like_id))
@@ -144,7 +147,9 @@ def more_like_this(df: DataFrame, text_field: str, id_field: str, like_id, k: in
                  .groupBy("term").agg(F.count("*").alias("tf"))
                  .filter(F.col("tf") >= min_term_freq))
     n = df.count()
-    pairs = doc_terms(df, text_field, keep=[id_field]).join(F.broadcast(like_tf), "term")
+    # the pairs feed two aggregates; materialise them once (reliable checkpoint
+    # in spark.checkpoint.dir) instead of tokenizing the corpus twice
+    pairs = cut_lineage(doc_terms(df, text_field, keep=[id_field]).join(F.broadcast(like_tf), "term"))
     cand = (pairs.groupBy("term", "tf").agg(F.count("*").alias("df"))
                  .filter((F.col("df") >= min_doc_freq) & (F.col("df") <= F.lit(max_doc_freq_ratio * n)))
                  .withColumn("w", F.col("tf") * F.log(F.lit(float(n)) / F.col("df")))
