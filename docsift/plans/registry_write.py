@@ -45,7 +45,12 @@ def upsert_by_id(spark, sf):
     return r6(out)
 
 
-@register("assign_ids")
+@register("assign_ids", """
+SELECT c_name, c_nationkey, c_acctbal, c_mktsegment,
+       sha256(to_json({'c_name': c_name, 'c_nationkey': c_nationkey, 'c_acctbal': c_acctbal,
+                       'c_mktsegment': c_mktsegment})::VARCHAR) AS id
+FROM customer
+""")
 def assign_ids(spark, sf):
     return W.assign_ids(t(spark, sf, "customer").drop("c_custkey"), "id")
 
