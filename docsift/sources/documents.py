@@ -93,3 +93,13 @@ def require_rows(df: DataFrame, message: str = "query returned no rows") -> Data
     if not df.limit(1).take(1):
         raise LookupError(message)
     return df
+
+
+def require_consistent_types(fields: DataFrame) -> DataFrame:
+    """Raise when :func:`infer_json_fields` saw a field with several types (a
+    typed table cannot hold it). Only the conflicting field names come back to
+    the driver, a list bounded by the number of fields, not by the data."""
+    bad = [r["field"] for r in fields.filter(F.col("n_types") > 1).select("field").limit(1000).collect()]
+    if bad:
+        raise TypeError(f"fields with conflicting types: {sorted(bad)}")
+    return fields

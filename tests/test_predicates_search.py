@@ -80,6 +80,12 @@ def test_nested_exists_and_flat(spark):
     assert [r.oid for r in flat.collect()] == [1]
 
 
+def test_array_of_values_matches_any_element(people):
+    assert ids(people.filter(P.nested("tags", lambda x: x == "z"))) == [2]
+    # empty and missing arrays never match, so their negation keeps them
+    assert ids(people.filter(P.not_(P.nested("tags", lambda x: x.isin("x", "z"))))) == [3, 4]
+
+
 def test_terms_lookup(spark, people):
     lookup = spark.createDataFrame([("a-4",), ("zz",), (None,)], "c string")
     assert ids(P.terms_lookup(people, "code", lookup, "c")) == [4]

@@ -179,6 +179,9 @@ def test_flatten_union_json(spark):
     js = spark.createDataFrame([('{"k": 1}',), ('{"k": "x"}',), ('{"j": 2.5}',)], "p string")
     inf = {r.field: (r.n_types, r.type) for r in D.infer_json_fields(js, "p").collect()}
     assert inf["k"][0] == 2 and inf["j"][0] == 1  # conflict flagged
+    with pytest.raises(TypeError):
+        D.require_consistent_types(D.infer_json_fields(js, "p"))
+    D.require_consistent_types(D.infer_json_fields(js.filter(~F.col("p").contains('"x"')), "p"))
     reply = spark.createDataFrame([('{"hits":{"hits":[{"_id":"1","_source":{"a":1}},{"_id":"2","_source":{"a":2}}]}}',),
                                    ('{"hits":{"hits":[]}}',)], "r string")
     assert sorted((r._id, r.a) for r in D.hits_to_table(reply, "r", "a INT").collect()) == [("1", 1), ("2", 2)]
