@@ -80,7 +80,7 @@ def _per_doc(df: DataFrame, text_field: str, q: list[str]) -> DataFrame:
 
 
 def bm25_scores(df: DataFrame, text_field: str, query: str, k1: float = BM25_K1, b: float = BM25_B,
-                stats_df: DataFrame | None = None) -> DataFrame:
+                stats_df: DataFrame | None = None, materialize: bool = False) -> DataFrame:
     """Adds ``score`` = BM25 of ``query`` against each row's text.
 
     idf(t) = ln(1 + (N - df + 0.5)/(df + 0.5)); tf = occurrences of t in the
@@ -90,9 +90,14 @@ def bm25_scores(df: DataFrame, text_field: str, query: str, k1: float = BM25_K1,
     statistics (N, avgdl and df of each query term) are ONE global aggregate
     returning one row, and the score is a column expression: no term table,
     no join, no shuffle besides the final top-k. ``stats_df`` lets the
-    collection statistics come from a larger frame than the one scored."""
+    collection statistics come from a larger frame than the one scored.
+    ``materialize=True`` checkpoints the per-document numbers (the text is
+    dropped first) so the statistics and the scoring read them instead of
+    tokenizing the corpus twice."""
     q = list(dict.fromkeys(analyze(query)))
     per = _per_doc(df, text_field, q)
+    if materialize:
+        per = cut_lineage(per.drop(text_field))
     coll = _per_doc(stats_df, text_field, q) if stats_df is not None else per
     aggs = [F.count("*").alias("n"), F.avg("_dl").alias("avgdl")]
     aggs += [F.sum((F.col(f"_tf{i}") > 0).cast("long")).alias(f"df{i}") for i in range(len(q))]
@@ -112,13 +117,14 @@ def bm25_top_k(df: DataFrame, text_field: str, query: str, k: int, id_field: str
                keep: Sequence[str] = (), min_score: float = 0.0) -> DataFrame:
     """Best ``k`` documents by BM25 (ties by id); rows with score <= min_score
     (no query term) do not match. Top-k runs as a distributed
-    TakeOrderedAndProject: each task keeps its own k best.
+    TakeOrderedAndProject: each task keeps its own k best. The corpus is
+    tokenized once (per-document numbers are checkpointed).
 
     The score filter is applied *after* the top-k: non-matching rows score 0
     and sort last, so the result is the same, and a filter above a limit is
     not pushed down into the projection (where it would re-run the
     tokenizer once per reference)."""
-    scored = bm25_scores(df.select(id_field, text_field, *keep), text_field, query)
+    scored = bm25_scores(df.select(id_field, text_field, *keep), text_field, query, materialize=True)
     top = scored.select(id_field, *keep, "score").orderBy(F.col("score").desc(), F.col(id_field).asc()).limit(k)
     return top.filter(F.col("score") > min_score)
 
