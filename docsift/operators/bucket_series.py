@@ -15,6 +15,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .quantiles import exact_quantiles
+
 
 def _window(key: str, partition_by: Sequence[str] = ()):
     w = Window.partitionBy(*partition_by) if partition_by else Window.partitionBy()
@@ -90,10 +92,7 @@ def sibling(bt: DataFrame, metric: str, name: str, kind: str, key: str = "key",
                       F.max(m).alias(f"{name}_max"), F.avg(m).alias(f"{name}_avg"),
                       F.sum(m).alias(f"{name}_sum"))
     if kind == "percentiles":
-        arr = F.percentile(m, F.array(*[F.lit(p / 100.0) for p in percents]))
-        out = bt.agg(arr.alias("_a"))
-        return out.select(*[F.col("_a")[i].alias(f"{name}_p{p:g}".replace(".", "_"))
-                            for i, p in enumerate(percents)])
+        return _bucket_percentiles(bt, metric, name, percents)
     raise ValueError(f"unknown sibling pipeline {kind!r}")
 
 
@@ -106,5 +105,17 @@ def siblings(bt: DataFrame, metric: str, name: str, key: str = "key",
     exprs = [F.avg(m).alias(f"{name}_avg"), F.sum(m).alias(f"{name}_sum"), F.count(m).alias(f"{name}_count"),
              F.min(m).alias(f"{name}_min"), F.min_by(F.col(key), F.struct(m, F.col(key))).alias(f"{name}_min_key"),
              F.max(m).alias(f"{name}_max"), F.min_by(F.col(key), F.struct(-m, F.col(key))).alias(f"{name}_max_key")]
-    exprs += [F.percentile(m, p / 100.0).alias(f"{name}_p{p:g}".replace(".", "_")) for p in percents]
-    return bt.agg(*exprs)
+    out = bt.agg(*exprs)
+    if not percents:
+        return out
+    pct = _bucket_percentiles(bt, metric, name, percents)
+    return out.withColumn("_g", F.lit(0)).join(F.broadcast(pct.withColumn("_g", F.lit(0))), "_g", "left").drop("_g")
+
+
+def _bucket_percentiles(bt: DataFrame, metric: str, name: str, percents: Sequence[float]) -> DataFrame:
+    """Exact percentiles of a metric across all buckets, one row; range-split
+    (:func:`exact_quantiles`) so a large bucket table is not ranked by one task."""
+    names = [f"{name}_p{p:g}".replace(".", "_") for p in percents]
+    # without keys the last step is a global aggregate: exactly one row, NULLs
+    # when no bucket has a value
+    return exact_quantiles(bt, [], metric, [p / 100.0 for p in percents], names=names)

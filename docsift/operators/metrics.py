@@ -3,9 +3,9 @@
 A metric is a small spec object. :func:`aggregate` turns a dict of named
 metrics into ONE ``groupBy().agg()`` (a single scan with map-side partial
 aggregation, so a hot key is pre-combined on every task before the shuffle).
-The few metrics that are not a single aggregate expression (median absolute
-deviation, string entropy) run as a second aggregate on the same keys and are
-joined on the reduced bucket table.
+The few metrics that are not a single aggregate expression (exact percentiles,
+median absolute deviation, string entropy) run as separate aggregates on the
+same keys and are joined on the reduced bucket table.
 
 Output naming: a single-valued metric ``m`` gives column ``m``; a
 multi-valued one gives ``m_<part>`` (e.g. ``m_min``, ``m_p50``).
@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.common import as_col
+from .quantiles import check_fractions, exact_quantiles, join_on_keys
 
 
 def _pct_label(p: float) -> str:
@@ -129,28 +130,35 @@ class extended_stats(Metric):  # noqa: N801
 
 @dataclass
 class percentiles(Metric):  # noqa: N801
-    """Interpolated percentiles (``percents`` in 0..100). Exact by default: a
-    partial aggregate holding value counts per task, merged per group (memory
-    grows with the distinct values of a group). ``approx=True`` uses the
-    bounded-memory quantile sketch (``percentile_approx``)."""
+    """Interpolated percentiles (``percents`` in 0..100). Exact by default and
+    split by value range, so a hot group is ranked by many tasks
+    (:func:`exact_quantiles`). ``approx=True`` uses the bounded-memory
+    quantile sketch (``percentile_approx``) in the single aggregate."""
     field: object
     percents: Sequence[float] = (1, 5, 25, 50, 75, 95, 99)
     approx: bool = False
     accuracy: int = 10000
 
+    def __post_init__(self):
+        check_fractions([p / 100.0 for p in self.percents])
+
+    @property
+    def special(self):
+        return not self.approx
+
     def exprs(self, name):
         c = as_col(self.field)
         fr = [p / 100.0 for p in self.percents]
-        if self.approx:
-            agg = F.percentile_approx(c, fr, self.accuracy)
-        else:
-            agg = F.percentile(c, F.array(*[F.lit(x) for x in fr]))
-        return [agg.alias(f"_{name}_arr")]
+        return [F.percentile_approx(c, fr, self.accuracy).alias(f"_{name}_arr")]
 
     def post(self, name):
         return [F.col(f"_{name}_arr")[i].alias(f"{name}_p{_pct_label(p)}")
                 for i, p in enumerate(self.percents)]
 
+    def compute(self, df: DataFrame, keys: list[str], name: str) -> DataFrame:
+        return exact_quantiles(df, keys, self.field, [p / 100.0 for p in self.percents],
+                               names=self.output(name))
+
     def output(self, name):
         return [f"{name}_p{_pct_label(p)}" for p in self.percents]
 
@@ -215,20 +223,26 @@ class matrix_stats(Metric):  # noqa: N801
 @dataclass
 class median_absolute_deviation(Metric):  # noqa: N801
     """median(|x - median(x)|) per group (exact; ``approx=True`` for sketches).
-    Two aggregates: medians per group, joined back to the rows on the group
-    key (the medians table is one row per bucket), then the median of the
-    absolute deviations."""
+    Medians per group (one row per bucket) are joined back to the rows on the
+    group key, then the median of the absolute deviations is taken. The exact
+    medians are range-split like :class:`percentiles`, so a hot group is never
+    ranked by one task."""
     field: object
     approx: bool = False
     special = True
 
     def compute(self, df: DataFrame, keys: list[str], name: str) -> DataFrame:
         c = as_col(self.field)
-        med = (lambda x: F.percentile_approx(x, 0.5, 10000)) if self.approx else (lambda x: F.median(x))
-        base = df.select(*keys, c.alias("_x")).filter(F.col("_x").isNotNull())
-        centers = base.groupBy(*keys).agg(med(F.col("_x")).alias("_m"))
-        dev = _join_on_keys(base, centers, keys, how="inner")
-        return dev.groupBy(*keys).agg(med(F.abs(F.col("_x") - F.col("_m"))).alias(name))
+        base = df.select(*keys, c.cast("double").alias("_x")).filter(F.col("_x").isNotNull())
+        if self.approx:
+            med = lambda x: F.percentile_approx(x, 0.5, 10000)
+            centers = base.groupBy(*keys).agg(med(F.col("_x")).alias("_m"))
+            dev = _join_on_keys(base, centers, keys, how="inner")
+            return dev.groupBy(*keys).agg(med(F.abs(F.col("_x") - F.col("_m"))).alias(name))
+        centers = exact_quantiles(base, keys, "_x", [0.5], names=["_m"])
+        dev = _join_on_keys(base, centers, keys, how="inner").select(
+            *keys, F.abs(F.col("_x") - F.col("_m")).alias("_d"))
+        return exact_quantiles(dev, keys, "_d", [0.5], names=[name])
 
 
 @dataclass
@@ -256,11 +270,12 @@ class string_stats(Metric):  # noqa: N801
 
 
 def _join_on_keys(a: DataFrame, b: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
-    """Join per-bucket results on the bucket keys. Without keys ``b`` is a
-    global aggregate (exactly one row), so it is broadcast: every task of
-    ``a`` joins locally instead of sending all rows to one constant key."""
+    """Join per-bucket results on the bucket keys (NULL keys match each
+    other). Without keys ``b`` is a global aggregate (exactly one row), so it
+    is broadcast: every task of ``a`` joins locally instead of sending all
+    rows to one constant key."""
     if keys:
-        return a.join(b, on=keys, how=how)
+        return join_on_keys(a, b, keys, how=how)
     return a.withColumn("_g", F.lit(0)).join(F.broadcast(b.withColumn("_g", F.lit(0))), on="_g", how=how).drop("_g")
 
 
