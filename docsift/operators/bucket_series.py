@@ -2,43 +2,55 @@
 bucket aggregation), ordered by its key.
 
 Parent pipelines (cumulative sum, derivative, serial diff, moving function,
-bucket sort) are window functions. With ``partition_by`` (the parent bucket
-path of nested buckets) the window is partitioned; without it the window
-runs over the whole bucket table in one task, which is acceptable only
-because the input is already reduced to one row per bucket.
+bucket sort) need each bucket's position along the key order, within its
+parent (``partition_by``, the parent bucket path of nested buckets) or over
+the whole table. A plain ordered window would hand a whole parent, or the
+whole bucket table, to one task; a terms aggregation on a high-cardinality
+field can have billions of buckets. Positions and running sums therefore come
+from range slices (:mod:`docsift.operators.ordered`), and looking back ``n``
+buckets is an equi-join on (parent, position).
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .ordered import join_on_keys, positions, top_n_per_group
 from .quantiles import exact_quantiles
 
 
-def _window(key: str, partition_by: Sequence[str] = ()):
-    w = Window.partitionBy(*partition_by) if partition_by else Window.partitionBy()
-    return w.orderBy(F.col(key).asc())
+def _order(key: str) -> list[Column]:
+    return [F.col(f"`{key}`").asc()]
 
 
 def cumulative_sum(bt: DataFrame, metric: str, name: str, key: str = "key",
                    partition_by: Sequence[str] = ()) -> DataFrame:
-    w = _window(key, partition_by).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return bt.withColumn(name, F.sum(metric).over(w))
+    """Running sum of ``metric`` in key order (per parent with ``partition_by``)."""
+    return positions(bt, partition_by, _order(key), sums={name: F.col(metric)}, position=None)
+
+
+def _shifted(bt: DataFrame, metric: str, key: str, partition_by: Sequence[str], lag: int) -> DataFrame:
+    """Each bucket with ``_prev`` = ``metric`` of the bucket ``lag`` positions
+    earlier: an equi-join on (parent, position), spread over all tasks."""
+    pos = positions(bt, partition_by, _order(key))
+    prev = pos.select(*partition_by, (F.col("_pos") + lag).alias("_pos"), F.col(metric).alias("_prev"))
+    return join_on_keys(pos, prev, [*partition_by, "_pos"], how="left")
 
 
 def derivative(bt: DataFrame, metric: str, name: str, key: str = "key",
                partition_by: Sequence[str] = ()) -> DataFrame:
     """Difference to the previous bucket; NULL for the first bucket."""
-    return bt.withColumn(name, F.col(metric) - F.lag(metric, 1).over(_window(key, partition_by)))
+    return serial_diff(bt, metric, name, 1, key, partition_by)
 
 
 def serial_diff(bt: DataFrame, metric: str, name: str, lag: int = 1, key: str = "key",
                 partition_by: Sequence[str] = ()) -> DataFrame:
     """Difference to the bucket ``lag`` positions earlier; NULL before that."""
-    return bt.withColumn(name, F.col(metric) - F.lag(metric, lag).over(_window(key, partition_by)))
+    out = _shifted(bt, metric, key, partition_by, lag)
+    return out.withColumn(name, F.col(metric) - F.col("_prev")).drop("_pos", "_prev")
 
 
 _MOVING = {"avg": F.avg, "sum": F.sum, "min": F.min, "max": F.max, "std": F.stddev_pop}
@@ -47,9 +59,18 @@ _MOVING = {"avg": F.avg, "sum": F.sum, "min": F.min, "max": F.max, "std": F.stdd
 def moving_fn(bt: DataFrame, metric: str, name: str, window: int, fn: str = "avg",
               shift: int = 0, key: str = "key", partition_by: Sequence[str] = ()) -> DataFrame:
     """Function of the ``window`` previous buckets (current excluded when
-    ``shift=0``; ``shift=1`` includes it). NULL when the window is empty."""
-    w = _window(key, partition_by).rowsBetween(-window + shift, -1 + shift)
-    return bt.withColumn(name, _MOVING[fn](metric).over(w))
+    ``shift=0``; ``shift=1`` includes it). NULL when the window is empty.
+
+    Every bucket sends its value to the ``window`` later positions whose
+    frame covers it (a fan-out fixed by the request), and each position
+    aggregates what it received: plain aggregates keyed by (parent,
+    position), so no task sees more than one position's frame."""
+    lo, hi = -window + shift, -1 + shift          # frame of position t: rows t+lo .. t+hi
+    pos = positions(bt, partition_by, _order(key))
+    sent = pos.select(*partition_by, F.explode(F.sequence(F.col("_pos") - hi, F.col("_pos") - lo)).alias("_pos"),
+                      F.col(metric).alias("_v"))
+    got = sent.groupBy(*partition_by, "_pos").agg(_MOVING[fn]("_v").alias(name))
+    return join_on_keys(pos, got, [*partition_by, "_pos"], how="left").drop("_pos")
 
 
 def bucket_script(bt: DataFrame, name: str, expr: Column | str) -> DataFrame:
@@ -66,12 +87,17 @@ def bucket_selector(bt: DataFrame, cond: Column | str) -> DataFrame:
 def bucket_sort(bt: DataFrame, sort: Sequence[Column], from_: int = 0, size: int | None = None,
                 partition_by: Sequence[str] = ()) -> DataFrame:
     """Sort buckets and keep positions [from_, from_+size), per parent when
-    ``partition_by`` is given. ``sort`` must end in a unique key."""
-    w = (Window.partitionBy(*partition_by) if partition_by else Window.partitionBy()).orderBy(*sort)
-    out = bt.withColumn("_pos", F.row_number().over(w)).filter(F.col("_pos") > from_)
+    ``partition_by`` is given. ``sort`` must end in a unique key.
+
+    Without parents and with a size this is a top-k (each task keeps
+    ``from_ + size`` rows); per parent it is :func:`top_n_per_group`; without
+    a size, positions come from range slices (:func:`positions`). No task
+    holds all buckets of a parent."""
     if size is not None:
-        out = out.filter(F.col("_pos") <= from_ + size)
-    return out.drop("_pos")
+        if not partition_by:
+            return bt.orderBy(*sort).limit(from_ + size).offset(from_)
+        return top_n_per_group(bt, partition_by, list(sort), size, skip=from_)
+    return positions(bt, partition_by, list(sort)).filter(F.col("_pos") >= from_).drop("_pos")
 
 
 def sibling(bt: DataFrame, metric: str, name: str, kind: str, key: str = "key",

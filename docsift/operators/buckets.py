@@ -14,11 +14,12 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.common import as_col, null_safe
 from .metrics import Metric, aggregate
+from .ordered import top_n_per_group
 
 
 def _order_cols(order, key_cols: Sequence[str]) -> list[Column]:
@@ -358,8 +359,8 @@ class sub_terms(BucketAgg):  # noqa: N801
             if size is not None and i == 0:
                 counts = counts.orderBy(F.col(f"{n}_doc_count").desc(), F.col(n).asc()).limit(size)
             elif size is not None:
-                w = Window.partitionBy(*names[:i]).orderBy(F.col(f"{n}_doc_count").desc(), F.col(n).asc())
-                counts = counts.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= size).drop("_r")
+                counts = top_n_per_group(counts, names[:i], [F.col(f"{n}_doc_count").desc(), F.col(n).asc()],
+                                         size)
             if i < len(self.levels) - 1:
                 out = out.join(counts, on=path, how="inner")
             else:
@@ -447,22 +448,10 @@ class sampler(BucketAgg):  # noqa: N801
         return self.inner.run(self.sample(df))
 
 
-def top_hits(df: DataFrame, by: Sequence[str], n: int, order: Sequence[Column],
-             salt_buckets: int = 16) -> DataFrame:
-    """Best ``n`` rows per bucket (``order`` must end in a unique key).
-
-    For ``n`` up to ``spark.sql.optimizer.windowGroupLimitThreshold`` Spark
-    plans the rank filter as a partial ``WindowGroupLimit`` inside every map
-    task before the shuffle, so a hot bucket sends at most ``n`` rows per task.
-    Above that threshold the same bound is built by hand: rows get a salt
-    (hash of the row), are ranked within (bucket, salt) keeping ``n`` per
-    slice, and the final ranking per bucket sees at most ``n * salt_buckets``
-    rows per bucket."""
-    threshold = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
-    if n > threshold:
-        salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(salt_buckets))
-        w1 = Window.partitionBy(*by, "_salt").orderBy(*order)
-        df = (df.withColumn("_salt", salt).withColumn("_r", F.row_number().over(w1))
-                .filter(F.col("_r") <= n).drop("_r", "_salt"))
-    w2 = Window.partitionBy(*by).orderBy(*order)
-    return df.withColumn("rank", F.row_number().over(w2)).filter(F.col("rank") <= n)
+def top_hits(df: DataFrame, by: Sequence[str], n: int, order: Sequence[Column]) -> DataFrame:
+    """Best ``n`` rows per bucket with their ``rank`` (``order`` must end in a
+    unique key). A hot bucket is never ranked by one task: up to Spark's
+    window-group-limit threshold each map task keeps its own best ``n`` per
+    bucket before the shuffle; above it the ranking runs over range slices
+    (:func:`top_n_per_group`)."""
+    return top_n_per_group(df, by, order, n, rank="rank")

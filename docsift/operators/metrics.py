@@ -20,7 +20,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.common import as_col
-from .quantiles import check_fractions, exact_quantiles, join_on_keys
+from .ordered import join_on_keys
+from .quantiles import check_fractions, exact_quantiles
 
 
 def _pct_label(p: float) -> str:

@@ -5,16 +5,11 @@ Spark's ``percentile`` / ``median`` aggregates merge every distinct value of a
 group inside one task. Here a group is split by value range instead:
 
 1. ``(keys, value) -> count``: duplicates are combined map-side.
-2. Range partitioning on ``(keys, value)``: a hot group spans many
-   partitions (slices) of bounded size. The slice id is stored with the rows
-   by a reliable checkpoint, so every later step sees the same slices even
-   after a task retry.
-3. Rows per (group, slice): a small table (at most groups + partitions rows).
-   A window over it gives each slice its rank offset and each group its size
-   ``n``; a window partition here holds one row per slice, never the values.
-4. Inside each slice a window ordered by value gives every distinct value its
-   rank interval ``[start, end)``; a window partition is one slice.
-5. Only the rows holding a wanted rank survive (two per fraction and group);
+2. Running counts along the value order, per group, computed over range
+   slices of the group (:func:`docsift.operators.ordered.positions`): every
+   distinct value gets its rank interval ``[start, end)`` and the group its
+   size, and no task ever holds a whole group.
+3. Only the rows holding a wanted rank survive (two per fraction and group);
    a partial aggregate per group picks them and interpolates.
 
 Interpolation: position ``f * (n - 1)``; value at ``floor`` plus the fraction
@@ -27,28 +22,17 @@ import math
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.common import as_col
-from ..session import cut_lineage
-
-
-def join_on_keys(a: DataFrame, b: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
-    """Join ``b`` to ``a`` on ``keys`` treating NULL keys as equal (a bucket
-    may have a NULL key). Key columns come from ``a``."""
-    keys = list(keys)
-    ren = {k: f"_jk{i}" for i, k in enumerate(keys)}
-    b2 = b.select(*[F.col(f"`{c}`").alias(ren.get(c, c)) for c in b.columns])
-    cond = reduce(lambda x, y: x & y, [a[f"`{k}`"].eqNullSafe(b2[ren[k]]) for k in keys])
-    return a.join(b2, cond, how).drop(*ren.values())
+from .ordered import positions
 
 
 def exact_quantiles(df: DataFrame, keys: Sequence[str], value, fractions: Sequence[float],
-                    names: Sequence[str] | None = None, slices: int | None = None) -> DataFrame:
+                    names: Sequence[str] | None = None) -> DataFrame:
     """One row per group (``keys``) with non-null values, one column per
-    fraction (``names``, default ``_q0, _q1, ...``). ``slices`` sets the number
-    of range partitions (default ``spark.sql.shuffle.partitions``)."""
+    fraction (``names``, default ``_q0, _q1, ...``)."""
     keys = list(keys)
     fr = [float(f) for f in fractions]
     names = list(names) if names is not None else [f"_q{i}" for i in range(len(fr))]
@@ -56,37 +40,26 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value, fractions: Sequen
     vals = df.select(*[F.col(f"`{k}`") for k in keys], x.alias("_x")).filter(
         F.col("_x").isNotNull() & ~F.isnan("_x"))
     counted = vals.groupBy(*keys, "_x").agg(F.count(F.lit(1)).alias("_c"))
-    ranged = (counted.repartitionByRange(slices, *keys, "_x") if slices
-              else counted.repartitionByRange(*keys, "_x"))
-    ranged = cut_lineage(ranged.withColumn("_pid", F.spark_partition_id()))
-
-    per_slice = ranged.groupBy(*keys, "_pid").agg(F.sum("_c").alias("_s"))
-    by_group = Window.partitionBy(*keys)
-    before = by_group.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    per_slice = per_slice.select(*keys, "_pid",
-                                 F.coalesce(F.sum("_s").over(before), F.lit(0)).alias("_off"),
-                                 F.sum("_s").over(by_group).alias("_n"))
-
-    in_slice = (Window.partitionBy(*keys, "_pid").orderBy("_x")
-                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    ranked = join_on_keys(ranged, per_slice, [*keys, "_pid"], how="inner")
-    ranked = ranked.withColumn("_end", F.col("_off") + F.sum("_c").over(in_slice))
-    ranked = ranked.withColumn("_start", F.col("_end") - F.col("_c"))
+    # running count of values up to and including each distinct value, and
+    # the group size, computed over range slices of each group
+    ranked = positions(counted, keys, [F.col("_x").asc()], sums={"_end": F.col("_c")},
+                       position=None, totals=True)
+    ranked = ranked.withColumn("_start", F.col("_end") - F.col("_c")).withColumnRenamed("_end_total", "_size")
 
     def holds(rank: Column) -> Column:
         return (F.col("_start") <= rank) & (rank < F.col("_end"))
 
-    pos = [F.lit(f) * (F.col("_n") - 1) for f in fr]
+    pos = [F.lit(f) * (F.col("_size") - 1) for f in fr]
     lo = [F.floor(p) for p in pos]
     hi = [F.ceil(p) for p in pos]
     wanted = reduce(lambda a, b: a | b, [holds(r) for r in lo + hi])
     picked = ranked.filter(wanted).groupBy(*keys).agg(
-        F.first("_n").alias("_n"),
+        F.first("_size").alias("_size"),
         *[F.max(F.when(holds(r), F.col("_x"))).alias(f"_lo{i}") for i, r in enumerate(lo)],
         *[F.max(F.when(holds(r), F.col("_x"))).alias(f"_hi{i}") for i, r in enumerate(hi)])
     out = []
     for i, f in enumerate(fr):
-        p = F.lit(f) * (F.col("_n") - 1)
+        p = F.lit(f) * (F.col("_size") - 1)
         frac = p - F.floor(p)
         out.append((F.col(f"_lo{i}") + frac * (F.col(f"_hi{i}") - F.col(f"_lo{i}"))).alias(names[i]))
     return picked.select(*keys, *out)

@@ -109,14 +109,14 @@ def test_top_hits_with_hot_bucket(spark):
     df = spark.createDataFrame(rows, "g string, id int, v double")
     want = [("cold", 1, 1990), ("cold", 2, 1980), ("cold", 3, 1970),
             ("hot", 1, 1999), ("hot", 2, 1998), ("hot", 3, 1997)]
-    out = B.top_hits(df, ["g"], 3, [F.col("v").desc(), F.col("id").asc()], salt_buckets=8).collect()
+    out = B.top_hits(df, ["g"], 3, [F.col("v").desc(), F.col("id").asc()]).collect()
     assert sorted((r.g, r.rank, r.id) for r in out) == want
-    # above the window-group-limit threshold the salted two-phase path is used
+    # above the window-group-limit threshold positions come from range slices
     key = "spark.sql.optimizer.windowGroupLimitThreshold"
     old = spark.conf.get(key)
     spark.conf.set(key, "1")
     try:
-        out = B.top_hits(df, ["g"], 3, [F.col("v").desc(), F.col("id").asc()], salt_buckets=8).collect()
+        out = B.top_hits(df, ["g"], 3, [F.col("v").desc(), F.col("id").asc()]).collect()
     finally:
         spark.conf.set(key, old)
     assert sorted((r.g, r.rank, r.id) for r in out) == want
