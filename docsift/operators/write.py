@@ -117,32 +117,34 @@ def apply_actions(base: DataFrame, feed: DataFrame, id_field: str, seq_field: st
 
     No per-id list is ever built. The effect of a sequence of actions on one
     id depends only on: L = the last index/delete; C1 = the first create after
-    L; and, per field, the last non-null update value after L (with its seq).
-    All are order-insensitive aggregates (max/min/max_by/min_by), computed in
-    two ``groupBy(id)`` passes with map-side partial aggregation, so an id
-    carrying a third of the feed is pre-combined in every task. The result is
+    L; and, per field, the last non-null update if it comes after L (the last
+    one overall is after L or there is none after L). L, the last updates and
+    the last create's seq are order-insensitive aggregates (max/max_by) in
+    ONE ``groupBy(id)`` with map-side partial aggregation, so an id carrying
+    a third of the feed is pre-combined in every task. Only ``create`` rows
+    of ids with a create after L are joined back to find C1. The result is
     joined to the base with one full outer join on id.
     """
     fields = list(fields) if fields is not None else [c for c in base.columns if c != id_field]
     f = feed.select(id_field, seq_field, action_field, *fields)
-    is_const = F.col(action_field).isin("index", "delete")
-    # pass 1: last constant action per id
-    last = f.groupBy(id_field).agg(
-        F.max(F.when(is_const, F.col(seq_field))).alias("_l_seq"),
-        F.max_by(F.struct(F.col(action_field).alias("_act"), *[F.col(c) for c in fields]),
-                 F.when(is_const, F.col(seq_field))).alias("_l"))
-    # pass 2: conditional actions after it
-    after = f.join(last.select(id_field, "_l_seq"), on=id_field, how="inner")
-    later = F.col("_l_seq").isNull() | (F.col(seq_field) > F.col("_l_seq"))
-    is_create = later & (F.col(action_field) == "create")
-    aggs = [F.min(F.when(is_create, F.col(seq_field))).alias("_c_seq"),
-            F.min_by(F.struct(*[F.col(c) for c in fields]), F.when(is_create, F.col(seq_field))).alias("_c")]
+    seq, act = F.col(seq_field), F.col(action_field)
+    is_const = act.isin("index", "delete")
+    is_create = act == "create"
+    aggs = [F.max(F.when(is_const, seq)).alias("_l_seq"),
+            F.max_by(F.struct(act.alias("_act"), *[F.col(c) for c in fields]), F.when(is_const, seq)).alias("_l"),
+            F.max(F.when(is_create, seq)).alias("_c_last")]
     for i, c in enumerate(fields):
-        upd = later & (F.col(action_field) == "update") & F.col(c).isNotNull()
-        aggs.append(F.max_by(F.struct(F.col(seq_field).alias("s"), F.col(c).alias("v")),
-                             F.when(upd, F.col(seq_field))).alias(f"_u{i}"))
-    conds = after.groupBy(id_field).agg(*aggs)
-    per_id = last.join(conds, on=id_field, how="inner")
+        upd = (act == "update") & F.col(c).isNotNull()
+        aggs.append(F.max_by(F.struct(seq.alias("s"), F.col(c).alias("v")), F.when(upd, seq)).alias(f"_u{i}"))
+    last = f.groupBy(id_field).agg(*aggs)
+
+    after_l = lambda s: F.col("_l_seq").isNull() | (s > F.col("_l_seq"))
+    need = last.filter(F.col("_c_last").isNotNull() & after_l(F.col("_c_last"))).select(id_field, "_l_seq")
+    creates = (f.filter(is_create).select(id_field, seq_field, *fields)
+                .join(need, on=id_field, how="inner").filter(after_l(seq)))
+    first = creates.groupBy(id_field).agg(F.min(seq).alias("_c_seq"),
+                                          F.min_by(F.struct(*[F.col(c) for c in fields]), seq).alias("_c"))
+    per_id = last.join(first, on=id_field, how="left")
 
     b = base.select(id_field, F.struct(*[F.col(c) for c in fields]).alias("_b"), F.lit(True).alias("_in_base"))
     j = b.join(per_id, on=id_field, how="full_outer")
@@ -153,8 +155,9 @@ def apply_actions(base: DataFrame, feed: DataFrame, id_field: str, seq_field: st
     for i, c in enumerate(fields):
         start_v = F.when(has_l, F.col("_l")[c]).otherwise(F.col("_b")[c])
         u = F.col(f"_u{i}")
-        if_present = F.when(u.isNotNull(), u["v"]).otherwise(start_v)
-        if_created = F.when(u.isNotNull() & (u["s"] > F.col("_c_seq")), u["v"]).otherwise(F.col("_c")[c])
+        u_ok = u.isNotNull() & after_l(u["s"])
+        if_present = F.when(u_ok, u["v"]).otherwise(start_v)
+        if_created = F.when(u_ok & (u["s"] > F.col("_c_seq")), u["v"]).otherwise(F.col("_c")[c])
         out_cols.append(F.when(start_present, if_present).otherwise(if_created).alias(c))
     return j.filter(present).select(id_field, *out_cols)
 

@@ -58,6 +58,11 @@ def stream_date_histogram(stream: DataFrame, ts_field: str, fixed_interval: str,
     """Fixed-interval time buckets over a document stream. The watermark bounds
     the state: a bucket is emitted (append mode) once the watermark passes
     its end, and later documents for it are dropped as late data."""
+    special = sorted(n for n, m in (metrics or {}).items() if m.special)
+    if special:
+        # exact percentiles / MAD / string entropy need joins and checkpoints
+        # over the whole group: batch only (use approx=True sketches here)
+        raise ValueError(f"metrics {special} are batch-only; use approx=True on a stream")
     # event time must be a (session-zone) TIMESTAMP; keys are returned as
     # TIMESTAMP_NTZ like the batch date_histogram
     keyed = (stream.withColumn("_t", F.col(ts_field).cast("timestamp"))

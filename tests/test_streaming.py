@@ -49,3 +49,14 @@ def test_stream_date_histogram_equals_batch(spark):
     batch = B.date_histogram("ts", fixed_interval="6 hours", metrics={"total": M.sum_("value")}).run(events)
     want = {(r.key, r.doc_count, round(r.total, 6)) for r in batch.collect()}
     assert got == want
+
+
+def test_stream_refuses_batch_only_metrics(spark):
+    import pytest
+
+    events = spark.read.parquet(f"{SF}/events.parquet")
+    stream = spark.readStream.schema(events.schema).option("pathGlobFilter", "events.parquet").parquet(SF)
+    with pytest.raises(ValueError):
+        S.stream_date_histogram(stream, "ts", "6 hours", "1 hour", {"p": M.percentiles("value", [50])})
+    # the sketch form is a plain aggregate and streams
+    S.stream_date_histogram(stream, "ts", "6 hours", "1 hour", {"p": M.percentiles("value", [50], approx=True)})

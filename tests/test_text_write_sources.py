@@ -117,7 +117,7 @@ def fold(base, feed):
     return state
 
 
-@pytest.mark.parametrize("seed", [1, 2, 3])
+@pytest.mark.parametrize("seed", range(1, 11))
 def test_apply_actions_equals_sequential_fold(spark, seed):
     rnd = random.Random(seed)
     base = {k: {"a": f"b{k}", "n": k} for k in range(6)}
