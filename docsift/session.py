@@ -13,12 +13,15 @@ from pyspark.sql import DataFrame, SparkSession
 #    sort-merge joins into broadcast joins once the real size of a side is
 #    known (so no side is broadcast on a guess), and splits skewed join
 #    partitions (a hot id holding a third of all rows).
+#  * Checkpoint files (lineage cuts of range-sliced ranking) are removed once
+#    the frames that use them are gone.
 BASE_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "3",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
