@@ -187,3 +187,21 @@ def test_flatten_union_json(spark):
     assert sorted((r._id, r.a) for r in D.hits_to_table(reply, "r", "a INT").collect()) == [("1", 1), ("2", 2)]
     with pytest.raises(LookupError):
         D.require_rows(p2.filter(F.col("id") > 5))
+
+
+def test_wide_write_round_trip(spark):
+    # the largest write of the original client's tests: 7,500 rows x 240
+    # columns, indexed with ids, persisted as a version and read back equal
+    cust = spark.read.parquet("/root/testdata/sf0.01/customer.parquet")
+    rows = cust.select("*", F.explode(F.sequence(F.lit(1), F.lit(5))).alias("copy"))
+    base_cols = [c for c in cust.columns]
+    wide = rows.select((F.col("c_custkey") * 10 + F.col("copy")).alias("ID"),
+                       *[F.col(c).alias(f"Col.{c}.{i}") for i in range(48) for c in base_cols])
+    assert wide.count() == 7500 and len(wide.columns) == 241
+    empty = spark.createDataFrame([], MP.clean_field_names(wide).schema)
+    table = W.upsert(empty, wide, "id")
+    assert all("." not in c and c == c.lower() for c in table.columns)
+    path = W.save_version(table, tempfile.mkdtemp(prefix="docsift-wide-"), "1")
+    back = spark.read.parquet(path)
+    assert back.count() == 7500
+    assert back.exceptAll(table).count() == 0 and table.exceptAll(back).count() == 0
