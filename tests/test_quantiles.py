@@ -73,3 +73,25 @@ def test_percentiles_and_mad_metrics_keep_null_key(skewed):
 def test_fraction_out_of_range():
     with pytest.raises(ValueError):
         M.percentiles("x", [150])
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.sampled_from(["a", "b", None]),
+                          st.one_of(st.none(), st.integers(-5, 5).map(float),
+                                    st.floats(-1e6, 1e6, allow_nan=False))), min_size=1, max_size=60),
+       st.lists(st.floats(0, 1), min_size=1, max_size=4))
+def test_exact_quantiles_property(spark, rows, fractions):
+    df = spark.createDataFrame(rows, "g string, x double")
+    got = {r.g: r for r in exact_quantiles(df, ["g"], "x", fractions).collect()}
+    by = {}
+    for g, x in rows:
+        if x is not None:
+            by.setdefault(g, []).append(x)
+    assert set(got) == set(by)
+    for g, vals in by.items():
+        for i, f in enumerate(fractions):
+            assert got[g][f"_q{i}"] == pytest.approx(_brute(vals, f), rel=1e-9, abs=1e-6)
