@@ -397,7 +397,7 @@ WITH top AS ({bm25_sql("documents", "doc_id", "text", ["esat", "ndat", "ated"],
 SELECT d.lang AS key, count(*) AS doc_count FROM documents d JOIN top USING (doc_id) GROUP BY 1
 """)
 def b_sampler(spark, sf):
-    docs = X.bm25_scores(t(spark, sf, "documents"), "text", _BM25_Q)
+    docs = X.bm25_scores(t(spark, sf, "documents"), "text", _BM25_Q, materialize=True)
     spec = B.sampler(B.terms("lang", size=None), score="score", shard_size=50, tie_breaker="doc_id", min_score=0.0)
     return execute(docs, aggs(x=spec))
 
