@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.common import as_col
+from ..functions.common import as_col, null_safe
 from ..operators.buckets import BucketAgg
 from ..operators.metrics import Metric, aggregate
 
@@ -171,11 +171,14 @@ def run_documents(df: DataFrame, req: Request) -> DataFrame:
     if req.size == 0:
         return out.limit(0)
     if req.rank is not None and not req.sort:
-        from ..operators.text import bm25_scores
         field_, text, id_field = req.rank
-        # collection statistics come from the whole resource, as in a search index
-        out = bm25_scores(out, field_, text, stats_df=df)
-        out = out.orderBy(F.col("score").desc(), F.col(id_field).asc())
+        if req.size is not None:
+            out = _relevance_top(df, req.where, field_, text, id_field, req.size)
+        else:
+            from ..operators.text import bm25_scores
+            # collection statistics come from the whole resource, as in a search index
+            out = bm25_scores(out, field_, text, stats_df=df)
+            out = out.orderBy(F.col("score").desc(), F.col(id_field).asc())
     if req.sort:
         out = out.orderBy(*[_sort_col(s) for s in req.sort])
     if req.fields is not None:
@@ -186,6 +189,24 @@ def run_documents(df: DataFrame, req: Request) -> DataFrame:
     return out
 
 
+def _relevance_top(df: DataFrame, where: Column | None, text_field: str, text: str, id_field: str,
+                   size: int) -> DataFrame:
+    """The ``size`` best documents by BM25 among those matching ``where``,
+    with collection statistics over the whole resource.
+
+    The corpus is tokenized once: per-document numbers (id, match flag,
+    length, query-term counts; no text) are checkpointed, and both the
+    statistics and the scores read them. The top ``size`` (id, score) rows,
+    a set bounded by the request, are then broadcast and joined back to the
+    documents to return them whole (ids must be unique)."""
+    from ..operators.text import bm25_scores
+    hit = null_safe(where) if where is not None else F.lit(True)
+    nums = bm25_scores(df.select(id_field, text_field, hit.alias("_hit")), text_field, text, materialize=True)
+    order = [F.col("score").desc(), F.col(id_field).asc()]
+    top = nums.filter(F.col("_hit")).orderBy(*order).limit(size).select(id_field, "score")
+    return df.join(F.broadcast(top), id_field).select(*df.columns, "score").orderBy(*order)
+
+
 def run_aggs(df: DataFrame, req: Request) -> DataFrame | dict[str, DataFrame]:
     """One DataFrame per named aggregation (a dict when there are several).
     Metric aggregations listed together are evaluated in one aggregate."""
