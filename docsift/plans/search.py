@@ -249,11 +249,16 @@ class Resource:
     _df: DataFrame | None = field(default=None, repr=False)
 
     @property
-    def df(self) -> DataFrame:
+    def all_documents(self) -> DataFrame:
+        """Every document of the table, whatever its type."""
         if self._df is None:
             from ..sources.documents import load
             self._df = load(self.spark, self.source, self.fmt)
-        out = self._df
+        return self._df
+
+    @property
+    def df(self) -> DataFrame:
+        out = self.all_documents
         if self.doc_type is not None:
             out = out.filter(F.col(self.type_field) == F.lit(self.doc_type))
         return out
@@ -265,6 +270,58 @@ class Resource:
         from ..functions.mapping import list_fields
         return list_fields(self.df)
 
+    # -- maintenance: each verb returns the table after the change as a lazy
+    # DataFrame; persist it with ``save`` (a new version, never an overwrite
+    # of the table being read)
+
+    def index(self, new: DataFrame, id_field: str = "id", order_field: str | None = None) -> DataFrame:
+        """Upsert ``new`` by id (rows without an id get a content id); with a
+        document type the new rows carry it."""
+        from ..functions.mapping import clean_field_names
+        from ..operators.write import upsert
+        new = clean_field_names(new)
+        if self.doc_type is not None:
+            new = new.withColumn(self.type_field, F.lit(self.doc_type))
+        return upsert(self.all_documents, new, id_field, order_field, clean_names=False)
+
+    def delete(self, approve: bool = False, ids=None, id_field: str = "id") -> DataFrame | None:
+        """``ids=[...]`` (or a DataFrame of ids): remove those documents.
+        ``approve=True`` with a document type: remove all documents of the
+        type (the schema stays). ``approve=True`` without a type: drop the
+        catalog table and return None. Anything else is refused."""
+        from ..operators.write import delete_ids, delete_type
+        if ids is not None:
+            return delete_ids(self.all_documents, ids, id_field)
+        if approve is not True:
+            raise PermissionError("deleting a whole table or type needs approve=True (or give ids=)")
+        if self.doc_type is not None:
+            return delete_type(self.all_documents, self.type_field, self.doc_type)
+        if isinstance(self.source, str) and "/" not in self.source:
+            from ..functions.mapping import drop_table
+            drop_table(self.spark, self.source, approve=True)
+            self._df = None
+            return None
+        raise ValueError("only catalog tables can be dropped; a path-backed table is dropped by removing "
+                         "its version folders")
+
+    def create(self, schema: T.StructType, path: str | None = None) -> None:
+        """Create the (catalog) table empty with a declared schema; fails when it exists."""
+        from ..functions.mapping import create_table
+        if not isinstance(self.source, str) or "/" in self.source:
+            raise ValueError("create needs a catalog table name")
+        create_table(self.spark, self.source, schema, path)
+        self._df = None
+
+    def list_tables(self, pattern: str | None = None) -> DataFrame:
+        from ..functions.mapping import list_tables
+        return list_tables(self.spark, pattern)
+
+    @staticmethod
+    def save(df: DataFrame, base_path: str, version: str, fmt: str = "parquet") -> str:
+        """Persist a table state as a new version folder; returns its path."""
+        from ..operators.write import save_version
+        return save_version(df, base_path, version, fmt)
+
 
 def search(df: DataFrame, where: Column | None = None, sort: Sequence = (), fields=None,
            size: int | None = None, aggregations: Mapping | None = None):

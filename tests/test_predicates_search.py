@@ -131,3 +131,32 @@ def test_field_patterns(spark):
     assert sub.schema.simpleString() == "struct<id:int,a:struct<c:struct<d:string>>>"
     sub = df.select(*resolve_fields(df.schema, ["*"], ["a.c.e"]))
     assert sub.first()["a"]["c"].asDict() == {"d": "x"}
+
+
+def test_resource_maintenance_verbs(spark):
+    import tempfile
+
+    from pyspark.sql import types as T
+
+    from docsift.plans.search import Resource
+
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("_type", T.StringType()),
+                           T.StructField("name", T.StringType())])
+    res = Resource(spark, "docsift_res_verbs", doc_type="a")
+    res.create(schema)
+    with pytest.raises(Exception):
+        res.create(schema)                                   # exists already
+    assert "docsift_res_verbs" in {r.name for r in res.list_tables().collect()}
+    new = spark.createDataFrame([(1, "x"), (2, "y")], "ID long, Name string")
+    state = res.index(new)
+    assert sorted((r.id, r._type, r.name) for r in state.collect()) == [(1, "a", "x"), (2, "a", "y")]
+    path = Resource.save(state, tempfile.mkdtemp(prefix="docsift-res-"), "1")
+    v1 = Resource(spark, path, doc_type="a")
+    assert sorted(r.id for r in v1.delete(ids=[1]).collect()) == [2]
+    with pytest.raises(PermissionError):
+        v1.delete()
+    assert v1.delete(approve=True).count() == 0              # all documents of type "a"
+    assert v1.delete(approve=True).columns == ["id", "_type", "name"]
+    assert res.delete(approve=True) is not None              # typed: removes the type only
+    Resource(spark, "docsift_res_verbs").delete(approve=True)
+    assert "docsift_res_verbs" not in {r.name for r in res.list_tables().collect()}
