@@ -322,6 +322,15 @@ class Resource:
         from ..operators.write import save_version
         return save_version(df, base_path, version, fmt)
 
+    @staticmethod
+    def save_table(df: DataFrame, name: str, version: str, id_field: str = "id",
+                   buckets: int | None = None) -> str:
+        """Persist a table state as a catalog table bucketed on the id (later
+        upserts and deletes read it without a shuffle) and point view
+        ``name`` at it; returns the versioned table name."""
+        from ..operators.write import save_bucketed_version
+        return save_bucketed_version(df, name, version, id_field, buckets)
+
 
 def search(df: DataFrame, where: Column | None = None, sort: Sequence = (), fields=None,
            size: int | None = None, aggregations: Mapping | None = None):

@@ -205,3 +205,28 @@ def test_wide_write_round_trip(spark):
     back = spark.read.parquet(path)
     assert back.count() == 7500
     assert back.exceptAll(table).count() == 0 and table.exceptAll(back).count() == 0
+
+
+def test_bucketed_version_reads_base_in_place(spark):
+    orders = spark.read.parquet("/root/testdata/sf0.001/orders.parquet").withColumnRenamed("o_orderkey", "id")
+    table = W.save_bucketed_version(orders, "docsift_orders_b", "1", "id", 4)
+    with pytest.raises(Exception):
+        W.save_bucketed_version(orders, "docsift_orders_b", "1", "id", 4)   # never overwrites
+    base = spark.table("docsift_orders_b")
+    new = orders.filter(F.col("id") % 3 == 0).withColumn("o_totalprice", F.lit(1.0))
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        out = W.upsert(base, new, "id")
+        plan = spark.sparkContext._jvm.PythonSQLUtils.explainString(out._jdf.queryExecution(), "simple")
+        assert "Bucketed: true" in plan
+        # one shuffle only: the batch side of the anti join
+        assert plan.count("Exchange hashpartitioning") == 1
+        got = {r.id: r.o_totalprice for r in out.collect()}
+    finally:
+        spark.conf.set(key, old)
+    want = {r.id: (1.0 if r.id % 3 == 0 else r.o_totalprice) for r in orders.collect()}
+    assert got == want
+    spark.sql(f"DROP VIEW docsift_orders_b")
+    spark.sql(f"DROP TABLE {table}")
