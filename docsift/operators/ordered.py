@@ -79,10 +79,11 @@ def positions(df: DataFrame, partition_by: Sequence[str], order: Sequence[Column
     out = {}
     if position:
         out[position] = F.col("_ocnt") + F.row_number().over(local) - 1
-    for v, name in zip(vals, sums):
-        out[name] = _add(F.col(f"_o{v}"), F.sum(v).over(running))
+    # each window expression once; offsets are added in the next projection
+    out.update({f"_l{v}": F.sum(v).over(running) for v in vals})
     res = joined.withColumns(out)
-    return res.drop("_pid", "_ocnt", *vals, *[f"_o{v}" for v in vals])
+    res = res.withColumns({name: _add(F.col(f"_o{v}"), F.col(f"_l{v}")) for v, name in zip(vals, sums)})
+    return res.drop("_pid", "_ocnt", *vals, *[f"_o{v}" for v in vals], *[f"_l{v}" for v in vals])
 
 
 def top_n_per_group(df: DataFrame, partition_by: Sequence[str], order: Sequence[Column], n: int,
