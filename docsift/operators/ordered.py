@@ -45,18 +45,23 @@ def _add(off: Column, local: Column) -> Column:
 
 def positions(df: DataFrame, partition_by: Sequence[str], order: Sequence[Column],
               sums: Mapping[str, Column] | None = None, position: str | None = "_pos",
-              totals: bool = False) -> DataFrame:
+              totals: bool = False, slices: int | None = None) -> DataFrame:
     """Add ``position`` (0-based row number within ``partition_by`` in
     ``order``; the order must be unique within a group for positions to be
     deterministic) and, for each ``name -> column`` in ``sums``, the inclusive
     running sum ``name``. ``totals=True`` also adds ``<name>_total`` (and
-    ``_n`` for the row count): the whole group's sum."""
+    ``_n`` for the row count): the whole group's sum.
+
+    ``slices`` fixes the number of range partitions; by default it is
+    ``spark.sql.shuffle.partitions`` and AQE may merge small neighbouring
+    slices (their ranges stay contiguous, so the result is the same)."""
     pb = list(partition_by)
     sums = dict(sums or {})
     vals = {f"_v{i}": c for i, c in enumerate(sums.values())}
     src = df.withColumns(vals) if vals else df
-    ranged = cut_lineage(src.repartitionByRange(*[F.col(f"`{k}`") for k in pb], *order)
-                            .withColumn("_pid", F.spark_partition_id()))
+    range_cols = [*[F.col(f"`{k}`") for k in pb], *order]
+    ranged = src.repartitionByRange(slices, *range_cols) if slices else src.repartitionByRange(*range_cols)
+    ranged = cut_lineage(ranged.withColumn("_pid", F.spark_partition_id()))
 
     per = ranged.groupBy(*pb, "_pid").agg(F.count(F.lit(1)).alias("_cnt"),
                                            *[F.sum(v).alias(f"_s{v}") for v in vals])

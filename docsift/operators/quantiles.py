@@ -30,9 +30,10 @@ from .ordered import positions
 
 
 def exact_quantiles(df: DataFrame, keys: Sequence[str], value, fractions: Sequence[float],
-                    names: Sequence[str] | None = None) -> DataFrame:
+                    names: Sequence[str] | None = None, slices: int | None = None) -> DataFrame:
     """One row per group (``keys``) with non-null values, one column per
-    fraction (``names``, default ``_q0, _q1, ...``)."""
+    fraction (``names``, default ``_q0, _q1, ...``). ``slices``: number of
+    range partitions (see :func:`docsift.operators.ordered.positions`)."""
     keys = list(keys)
     fr = [float(f) for f in fractions]
     names = list(names) if names is not None else [f"_q{i}" for i in range(len(fr))]
@@ -43,7 +44,7 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value, fractions: Sequen
     # running count of values up to and including each distinct value, and
     # the group size, computed over range slices of each group
     ranked = positions(counted, keys, [F.col("_x").asc()], sums={"_end": F.col("_c")},
-                       position=None, totals=True)
+                       position=None, totals=True, slices=slices)
     ranked = ranked.withColumn("_start", F.col("_end") - F.col("_c")).withColumnRenamed("_end_total", "_size")
 
     def holds(rank: Column) -> Column:

@@ -112,13 +112,16 @@ def test_top_hits_with_hot_bucket(spark):
     out = B.top_hits(df, ["g"], 3, [F.col("v").desc(), F.col("id").asc()]).collect()
     assert sorted((r.g, r.rank, r.id) for r in out) == want
     # above the window-group-limit threshold positions come from range slices
-    key = "spark.sql.optimizer.windowGroupLimitThreshold"
-    old = spark.conf.get(key)
-    spark.conf.set(key, "1")
+    confs = {"spark.sql.optimizer.windowGroupLimitThreshold": "1",
+             "spark.sql.adaptive.coalescePartitions.enabled": "false"}   # keep several slices
+    old = {k: spark.conf.get(k) for k in confs}
+    for k, v in confs.items():
+        spark.conf.set(k, v)
     try:
         out = B.top_hits(df, ["g"], 3, [F.col("v").desc(), F.col("id").asc()]).collect()
     finally:
-        spark.conf.set(key, old)
+        for k, v in old.items():
+            spark.conf.set(k, v)
     assert sorted((r.g, r.rank, r.id) for r in out) == want
 
 

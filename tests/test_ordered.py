@@ -12,6 +12,17 @@ from docsift.operators import bucket_series as S
 from docsift.operators.ordered import positions
 
 
+@pytest.fixture(autouse=True)
+def no_coalesce(spark):
+    # tiny frames: keep AQE from merging all range slices into one, so the
+    # offsets carried across slices are exercised
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    yield
+    spark.conf.set(key, old)
+
+
 @pytest.fixture(scope="module")
 def buckets(spark):
     rnd = random.Random(3)
@@ -28,7 +39,10 @@ def _rows(df, cols):
 
 
 def test_positions_and_running_sum_equal_window(buckets):
-    got = positions(buckets, ["parent"], [F.col("key").asc()], sums={"cum": F.col("v")}, totals=True)
+    # the big parent spans several slices
+    sliced = buckets.repartitionByRange(8, "parent", "key").withColumn("p", F.spark_partition_id())
+    assert sliced.filter(F.col("parent") == "big").select("p").distinct().count() > 3
+    got = positions(buckets, ["parent"], [F.col("key").asc()], sums={"cum": F.col("v")}, totals=True, slices=8)
     w = Window.partitionBy("parent").orderBy("key")
     want = buckets.select("*", (F.row_number().over(w) - 1).alias("_pos"),
                           F.sum("v").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("cum"),
