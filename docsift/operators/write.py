@@ -165,9 +165,9 @@ def apply_actions(base: DataFrame, feed: DataFrame, id_field: str, seq_field: st
 def bulk_lines(df: DataFrame, index: str, id_field: str | None = None, action: str = "index",
                doc_type: str | None = None) -> DataFrame:
     """Export as bulk JSON lines: per document an action line followed by the
-    document line. Returns (``_id``, ``line_no`` 0/1, ``line``); write with
-    ``.orderBy('_id','line_no').select('line').write.text(...)`` or keep the
-    pair per row with :func:`bulk_pairs`."""
+    document line. Returns (``_id``, ``line_no`` 0/1, ``line``). To write a
+    file use :func:`write_bulk_file`, which keeps each pair in one row and
+    needs no sort."""
     pairs = bulk_pairs(df, index, id_field, action, doc_type)
     return pairs.select("_id", F.posexplode(F.array("action_line", "document_line")).alias("line_no", "line"))
 
@@ -189,6 +189,19 @@ def bulk_pairs(df: DataFrame, index: str, id_field: str | None = None, action: s
     return out
 
 
+def write_bulk_file(df: DataFrame, path: str, index: str, id_field: str | None = None,
+                    action: str = "index", doc_type: str | None = None) -> str:
+    """Write bulk JSON lines as text files: each document becomes one output
+    record holding its action line and document line joined by a newline, so
+    the pair stays adjacent in whatever file and order its task writes. No
+    shuffle or global sort; one file per partition. ``delete`` actions have
+    no document line. Refuses to overwrite ``path``."""
+    pairs = bulk_pairs(df, index, id_field, action, doc_type)
+    pairs.select(F.concat_ws("\n", "action_line", "document_line").alias("value")) \
+         .write.mode("errorifexists").text(path)
+    return path
+
+
 def save_version(df: DataFrame, base_path: str, version: str, fmt: str = "parquet") -> str:
     """Persist as a new version folder (never overwrite what is being read);
     readers switch by pointing at the new path."""

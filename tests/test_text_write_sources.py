@@ -230,3 +230,26 @@ def test_bucketed_version_reads_base_in_place(spark):
     assert got == want
     spark.sql(f"DROP VIEW docsift_orders_b")
     spark.sql(f"DROP TABLE {table}")
+
+
+def test_write_bulk_file_keeps_pairs(spark):
+    import glob
+    import json
+
+    nation = spark.read.parquet("/root/testdata/sf0.001/nation.parquet").repartition(3)
+    path = W.write_bulk_file(nation, os.path.join(tempfile.mkdtemp(prefix="docsift-bulk-"), "out"),
+                             "nation", id_field="n_nationkey")
+    lines = []
+    for f in sorted(glob.glob(os.path.join(path, "part-*"))):
+        lines += open(f).read().splitlines()
+    assert len(lines) == 50
+    for action, doc in zip(lines[0::2], lines[1::2]):
+        assert json.loads(action)["index"]["_id"] == str(json.loads(doc)["n_nationkey"])
+    plan = nation.sparkSession.sparkContext._jvm.PythonSQLUtils.explainString(
+        W.bulk_pairs(nation, "nation", "n_nationkey")._jdf.queryExecution(), "simple")
+    assert "Sort" not in plan
+    dpath = W.write_bulk_file(nation, path + "_del", "nation", id_field="n_nationkey", action="delete")
+    dl = []
+    for f in glob.glob(os.path.join(dpath, "part-*")):
+        dl += open(f).read().splitlines()
+    assert len(dl) == 25 and all("delete" in json.loads(x) for x in dl)
