@@ -169,3 +169,17 @@ def test_calendar_buckets_and_gap_fill(spark):
     assert [(r.key.month, r.doc_count) for r in months] == [(1, 1), (2, 0), (3, 0), (4, 0), (5, 1)]
     years = [r.key for r in B.date_histogram("t", calendar_interval="year").run(ts).collect()]
     assert years == [dt.datetime(1969, 1, 1), dt.datetime(2024, 1, 1)]
+
+
+def test_nested_array_terms_equal_child_table(spark):
+    # the same buckets whether the elements are an array of structs in the
+    # parent or rows of their own table; parent_count counts distinct parents
+    li = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet")
+    child = li.select(F.col("l_orderkey").alias("oid"), F.col("l_returnflag").alias("flag"))
+    parents = child.groupBy("oid").agg(F.collect_list(F.struct("flag")).alias("items"))
+    a = {(r.key, r.doc_count, r.parent_count) for r in B.nested_terms("flag", "oid").run(child).collect()}
+    b = {(r.key, r.doc_count, r.parent_count)
+         for r in B.nested_array_terms(parents, "items", "flag", "oid").collect()}
+    want = {(r.flag, r.n, r.p) for r in child.groupBy("flag").agg(F.count("*").alias("n"),
+                                                                  F.countDistinct("oid").alias("p")).collect()}
+    assert a == b == want
