@@ -37,9 +37,3 @@ def analyze(text: str) -> list[str]:
     import regex
 
     return regex.findall(TOKEN_PATTERN, text.lower())
-
-
-def token_text(c) -> Column:
-    """Tokens joined by single spaces and padded, so a phrase test is a
-    plain substring test."""
-    return F.concat(F.lit(" "), F.array_join(tokens(c), " "), F.lit(" "))

@@ -160,3 +160,17 @@ def test_resource_maintenance_verbs(spark):
     assert res.delete(approve=True) is not None              # typed: removes the type only
     Resource(spark, "docsift_res_verbs").delete(approve=True)
     assert "docsift_res_verbs" not in {r.name for r in res.list_tables().collect()}
+
+
+def test_small_public_helpers(spark):
+    from docsift.functions import mapping as MP
+    from docsift.operators import buckets as B
+
+    df = spark.createDataFrame([(1, "a.b", "2024-01-02"), (2, "ab", "1700000000000"), (3, None, "bad")],
+                               "id int, s string, t string")
+    assert df.filter(P.match_none()).count() == 0
+    assert [r.id for r in df.filter(P.regexp("s", P.escape_regex("a.b"))).collect()] == [1]
+    ts = MP.map_timestamps(df, ["t"]).orderBy("id").collect()
+    assert str(ts[0].t) == "2024-01-02 00:00:00" and ts[1].t is not None and ts[2].t is None
+    one = B.filter_(F.col("id") >= 2, {"m": M.max_("id")}).run(df).collect()
+    assert [(r.doc_count, r.m) for r in one] == [(2, 3)]
