@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from ..functions.common import as_col
 from .ordered import join_on_keys
-from .quantiles import check_fractions, exact_quantiles
+from .quantiles import check_fractions, exact_quantiles, value_counts
 
 
 def _pct_label(p: float) -> str:
@@ -240,10 +240,14 @@ class median_absolute_deviation(Metric):  # noqa: N801
             centers = base.groupBy(*keys).agg(med(F.col("_x")).alias("_m"))
             dev = _join_on_keys(base, centers, keys, how="inner")
             return dev.groupBy(*keys).agg(med(F.abs(F.col("_x") - F.col("_m"))).alias(name))
-        centers = exact_quantiles(base, keys, "_x", [0.5], names=["_m"])
-        dev = _join_on_keys(base, centers, keys, how="inner").select(
-            *keys, F.abs(F.col("_x") - F.col("_m")).alias("_d"))
-        return exact_quantiles(dev, keys, "_d", [0.5], names=[name])
+        # both medians work on the distinct values of each group with their
+        # counts: the raw rows are read once, and the centers are joined to
+        # the (smaller) value-count table
+        counted = value_counts(base, keys, "_x")
+        centers = exact_quantiles(counted, keys, "_x", [0.5], names=["_m"], weight="_c")
+        dev = _join_on_keys(counted, centers, keys, how="inner").select(
+            *keys, F.abs(F.col("_x") - F.col("_m")).alias("_d"), "_c")
+        return exact_quantiles(dev, keys, "_d", [0.5], names=[name], weight="_c")
 
 
 @dataclass

@@ -29,18 +29,27 @@ from ..functions.common import as_col
 from .ordered import positions
 
 
+def value_counts(df: DataFrame, keys: Sequence[str], value, weight=None) -> DataFrame:
+    """``(keys, _x, _c)``: each distinct non-null, non-NaN value of a group
+    with its number of rows (or its summed ``weight``), combined map-side."""
+    x = as_col(value).cast("double")
+    c = F.lit(1) if weight is None else as_col(weight)
+    vals = df.select(*[F.col(f"`{k}`") for k in keys], x.alias("_x"), c.alias("_w")).filter(
+        F.col("_x").isNotNull() & ~F.isnan("_x"))
+    return vals.groupBy(*keys, "_x").agg(F.sum("_w").cast("long").alias("_c"))
+
+
 def exact_quantiles(df: DataFrame, keys: Sequence[str], value, fractions: Sequence[float],
-                    names: Sequence[str] | None = None, slices: int | None = None) -> DataFrame:
+                    names: Sequence[str] | None = None, slices: int | None = None,
+                    weight=None) -> DataFrame:
     """One row per group (``keys``) with non-null values, one column per
-    fraction (``names``, default ``_q0, _q1, ...``). ``slices``: number of
-    range partitions (see :func:`docsift.operators.ordered.positions`)."""
+    fraction (``names``, default ``_q0, _q1, ...``). ``weight``: an integer
+    multiplicity per row (a pre-counted table); ``slices``: number of range
+    partitions (see :func:`docsift.operators.ordered.positions`)."""
     keys = list(keys)
     fr = [float(f) for f in fractions]
     names = list(names) if names is not None else [f"_q{i}" for i in range(len(fr))]
-    x = as_col(value).cast("double")
-    vals = df.select(*[F.col(f"`{k}`") for k in keys], x.alias("_x")).filter(
-        F.col("_x").isNotNull() & ~F.isnan("_x"))
-    counted = vals.groupBy(*keys, "_x").agg(F.count(F.lit(1)).alias("_c"))
+    counted = value_counts(df, keys, value, weight)
     # running count of values up to and including each distinct value, and
     # the group size, computed over range slices of each group
     ranked = positions(counted, keys, [F.col("_x").asc()], sums={"_end": F.col("_c")},
