@@ -107,8 +107,11 @@ def regexp(field, pattern: str) -> Column:
 
 
 def fuzzy(field, value: str, max_edits: int = 2) -> Column:
-    """Case-insensitive Levenshtein distance of the whole value <= ``max_edits``."""
-    return F.levenshtein(F.lower(as_col(field)), F.lit(value.lower())) <= max_edits
+    """Case-insensitive Levenshtein distance of the whole value <= ``max_edits``.
+    The bounded form stops as soon as the distance exceeds ``max_edits``
+    (it returns -1 then), so long values cost little."""
+    d = F.levenshtein(F.lower(as_col(field)), F.lit(value.lower()), max_edits)
+    return (d >= 0) & (d <= max_edits)
 
 
 def _query_tokens(text: str) -> list[str]:
