@@ -65,8 +65,8 @@ def moving_fn(bt: DataFrame, metric: str, name: str, window: int, fn: str = "avg
     frame covers it (a fan-out fixed by the request), and each position
     aggregates what it received: plain aggregates keyed by (parent,
     position), so no task sees more than one position's frame."""
-    if window < 1 or shift not in (0, 1):
-        raise ValueError("moving_fn needs window >= 1 and shift 0 or 1")
+    if window < 1:
+        raise ValueError("moving_fn needs window >= 1")
     lo, hi = -window + shift, -1 + shift          # frame of position t: rows t+lo .. t+hi
     pos = positions(bt, partition_by, _order(key))
     sent = pos.select(*partition_by, F.explode(F.sequence(F.col("_pos") - hi, F.col("_pos") - lo)).alias("_pos"),

@@ -82,3 +82,14 @@ def test_bucket_sort_pages(buckets):
     assert sorted((r.parent or "", r.key) for r in per) == sorted(
         [("", 2), ("", 1), ("big", 399), ("big", 398), ("p0", 0)] + [(f"p{i}", k) for i in range(1, 5)
                                                                      for k in (i, i - 1)])
+
+
+def test_moving_fn_any_shift_equals_window(buckets):
+    bt = buckets.filter(F.col("parent") == "big").drop("parent")
+    w = Window.partitionBy().orderBy("key")
+    for window, shift in [(1, 0), (3, 2), (4, -2)]:
+        got = S.moving_fn(bt, "v", "x", window=window, fn="sum", shift=shift)
+        want = bt.withColumn("x", F.sum("v").over(w.rowsBetween(-window + shift, -1 + shift)))
+        assert _rows(got, ["key", "v", "x"]) == _rows(want, ["key", "v", "x"])
+    with pytest.raises(ValueError):
+        S.moving_fn(bt, "v", "x", window=0)
