@@ -22,9 +22,25 @@ from ..operators import write as W
 from ..operators.metrics import Metric, aggregate
 
 
-def append_actions(feed_stream: DataFrame, log_path: str, checkpoint_location: str,
-                   available_now: bool = True, processing_time: str | None = None) -> StreamingQuery:
-    """Start appending an action stream to the action log (Parquet)."""
+def stream_checkpoint(spark: SparkSession, name: str) -> str:
+    """A stable checkpoint location for stream ``name`` under the shared
+    folder the cluster names in ``spark.checkpoint.dir`` (not the per-run
+    subfolder Spark adds for batch checkpoints, so a restarted application
+    resumes the same stream exactly once)."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        raise ValueError("spark.checkpoint.dir is not set; pass checkpoint_location")
+    return f"{base.rstrip('/')}/streams/{name}"
+
+
+def append_actions(feed_stream: DataFrame, log_path: str, checkpoint_location: str | None = None,
+                   available_now: bool = True, processing_time: str | None = None,
+                   name: str = "actions") -> StreamingQuery:
+    """Start appending an action stream to the action log (Parquet). Without
+    ``checkpoint_location`` the stream checkpoints under
+    ``spark.checkpoint.dir`` (see :func:`stream_checkpoint`)."""
+    if checkpoint_location is None:
+        checkpoint_location = stream_checkpoint(feed_stream.sparkSession, name)
     w = (feed_stream.writeStream.format("parquet").outputMode("append")
          .option("path", log_path).option("checkpointLocation", checkpoint_location))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time or "1 minute")

@@ -60,3 +60,12 @@ def test_stream_refuses_batch_only_metrics(spark):
         S.stream_date_histogram(stream, "ts", "6 hours", "1 hour", {"p": M.percentiles("value", [50])})
     # the sketch form is a plain aggregate and streams
     S.stream_date_histogram(stream, "ts", "6 hours", "1 hour", {"p": M.percentiles("value", [50], approx=True)})
+
+
+def test_stream_checkpoint_is_stable_under_shared_dir(spark):
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if base is None:
+        import pytest
+        pytest.skip("no spark.checkpoint.dir in this environment")
+    a = S.stream_checkpoint(spark, "feed")
+    assert a == S.stream_checkpoint(spark, "feed") and a.startswith(base.rstrip("/"))
