@@ -50,16 +50,25 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder the cluster names in
-    ``spark.checkpoint.dir``; only when it is unset (local tests) create one."""
+    """Return the checkpoint folder of this application: Spark derives it
+    from the shared folder the cluster names in ``spark.checkpoint.dir``.
+    Only when that is unset (local tests) is a temporary folder used."""
     sc = spark.sparkContext
-    path = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
-    if not path:
-        path = tempfile.mkdtemp(prefix="docsift-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", path)
     if not sc.getCheckpointDir():
+        path = spark.conf.get("spark.checkpoint.dir", None)
+        if not path:
+            path = tempfile.mkdtemp(prefix="docsift-ckpt-")
         sc.setCheckpointDir(path)
-    return sc.getCheckpointDir() or path
+    return sc.getCheckpointDir()
+
+
+def checkpoint_base(spark: SparkSession) -> str:
+    """The shared folder itself (stable across applications), for state that
+    must survive a restart, such as stream checkpoints."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if base:
+        return base
+    return checkpoint_dir(spark).rstrip("/").rsplit("/", 1)[0]
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

@@ -20,6 +20,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import write as W
 from ..operators.metrics import Metric, aggregate
+from ..session import checkpoint_base
 
 
 def stream_checkpoint(spark: SparkSession, name: str) -> str:
@@ -27,10 +28,7 @@ def stream_checkpoint(spark: SparkSession, name: str) -> str:
     folder the cluster names in ``spark.checkpoint.dir`` (not the per-run
     subfolder Spark adds for batch checkpoints, so a restarted application
     resumes the same stream exactly once)."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        raise ValueError("spark.checkpoint.dir is not set; pass checkpoint_location")
-    return f"{base.rstrip('/')}/streams/{name}"
+    return f"{checkpoint_base(spark).rstrip('/')}/streams/{name}"
 
 
 def append_actions(feed_stream: DataFrame, log_path: str, checkpoint_location: str | None = None,
