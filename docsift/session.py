@@ -82,8 +82,20 @@ def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 
 
+# Table handles already opened in a session: opening a Parquet table (file
+# listing and footer schema) costs a driver round trip, as opening a catalog
+# table once per session would. The handles are lazy DataFrames, reused only
+# by the session that opened them.
+_OPENED: dict[str, DataFrame] = {}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(table_path(sf_dir, name))
+    path = table_path(sf_dir, name)
+    df = _OPENED.get(path)
+    if df is None or df.sparkSession is not spark:
+        df = spark.read.parquet(path)
+        _OPENED[path] = df
+    return df
 
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
