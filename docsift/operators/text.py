@@ -2,7 +2,10 @@
 ranking and more-like-this.
 
 Document frequencies are computed from each document's *distinct* tokens, so a
-term is counted once per document. All term statistics are ``groupBy(term)``
+term is counted once per document. The operators take their input as it is
+partitioned: tokenizing runs in the scan tasks. A text table stored as a few
+unsplittable files can be spread once after reading (:func:`docsift.session.spread`).
+All term statistics are ``groupBy(term)``
 aggregates with map-side partial aggregation: frequent terms ("the", in a
 third of all documents) are pre-combined per task before the shuffle.
 """
@@ -17,7 +20,7 @@ from pyspark.sql import functions as F
 
 from ..functions.common import null_safe
 from ..functions.text import analyze, distinct_tokens, tokens
-from ..session import cut_lineage, spread
+from ..session import cut_lineage
 
 # BM25 parameters (the published defaults).
 BM25_K1 = 1.2
@@ -26,7 +29,7 @@ BM25_B = 0.75
 
 def doc_terms(df: DataFrame, text_field: str, keep: Sequence[str] = ()) -> DataFrame:
     """One row per (document, distinct token)."""
-    return spread(df).select(*keep, F.explode(distinct_tokens(text_field)).alias("term"))
+    return df.select(*keep, F.explode(distinct_tokens(text_field)).alias("term"))
 
 
 def token_terms(df: DataFrame, text_field: str, size: int | None = 10) -> DataFrame:
@@ -52,7 +55,6 @@ def significant_terms(df: DataFrame, text_field: str, foreground: Column, size:
     and bg_pct = bg_count/bg_total. One pass: each (document, token) row
     carries a foreground flag, so foreground and background counts come out of
     the same aggregate; the two totals are a one-row aggregate."""
-    df = spread(df)
     flagged = df.select(null_safe(foreground).alias("_fg"), F.explode(distinct_tokens(text_field)).alias("term"))
     totals = df.agg(F.count("*").alias("bg_total"),
                     F.sum(null_safe(foreground).cast("long")).alias("fg_total")).first()
@@ -73,7 +75,7 @@ def _per_doc(df: DataFrame, text_field: str, q: list[str]) -> DataFrame:
     """Tokenize once; keep the document length and, per query term, its
     occurrence count (length minus the length without that term: built-in,
     code-generated array functions, no lambda)."""
-    out = spread(df).withColumn("_toks", tokens(text_field)).withColumn("_dl", F.size("_toks"))
+    out = df.withColumn("_toks", tokens(text_field)).withColumn("_dl", F.size("_toks"))
     out = out.withColumns({f"_tf{i}": (F.col("_dl") - F.size(F.array_remove("_toks", t))).cast("double")
                            for i, t in enumerate(q)})
     return out.drop("_toks")
@@ -147,7 +149,6 @@ def more_like_this(df: DataFrame, text_field: str, id_field: str, like_id, k: in
     The (document, liked term) pairs are checkpointed once and read by both
     aggregates, so the corpus is tokenized a single time.
     """
-    df = spread(df)
     like_tf = (df.filter(F.col(id_field) == F.lit(like_id))
                  .select(F.explode(tokens(text_field)).alias("term"))
                  .groupBy("term").agg(F.count("*").alias("tf"))

@@ -40,8 +40,14 @@ def r6(df: DataFrame) -> DataFrame:
                        for f in df.schema.fields])
 
 
+# Tables whose rows carry long text: tokenizing and regex scans are heavy per
+# row, and each test table is one unsplittable row group, so they are spread
+# over all cores right after the scan (a no-op on many file splits).
+TEXT_TABLES = {"documents", "conversations", "pages", "benchmark"}
+
+
 def t(spark, sf, name):
-    return read_table(spark, sf, name)
+    return read_table(spark, sf, name, spread_out=name in TEXT_TABLES)
 
 
 def docs_with_labels(spark, sf) -> DataFrame:
