@@ -114,9 +114,13 @@ def collect_ids(spark, sf):
 
 
 def _feed(spark, sf):
+    return _feed_of(t(spark, sf, "events"))
+
+
+def _feed_of(e):
     """An action feed derived from events: one action per event on customer
-    ``user_id + 1400`` (some ids exist, some do not), ordered by event_id."""
-    e = t(spark, sf, "events")
+    ``user_id + 1400`` (some ids exist, some do not), ordered by event_id.
+    Works on the batch table and on a stream of it."""
     action = (F.when(F.col("event_type") == "view", "index").when(F.col("event_type") == "click", "update")
                .when(F.col("event_type") == "purchase", "create").when(F.col("event_type") == "error", "delete")
                .otherwise("update"))
@@ -146,7 +150,7 @@ feed AS (
 
 # The oracle folds the actions one by one with a recursive CTE (an
 # independent formulation of the same semantics).
-@register("apply_actions", "WITH RECURSIVE " + _FEED_SQL + """,
+_FOLD_SQL = "WITH RECURSIVE " + _FEED_SQL + """,
 ids AS (SELECT DISTINCT id FROM feed),
 fold(id, rn, present, c_name, c_nationkey, c_acctbal, c_mktsegment) AS (
   SELECT i.id, 0::BIGINT, c.c_custkey IS NOT NULL, c.c_name, c.c_nationkey, c.c_acctbal, c.c_mktsegment
@@ -172,12 +176,38 @@ SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer
 WHERE c_custkey NOT IN (SELECT id FROM ids)
 UNION ALL
 SELECT id AS c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM last WHERE present
-""")
+"""
+
+
+@register("apply_actions", _FOLD_SQL)
 def apply_actions(spark, sf):
     return W.apply_actions(t(spark, sf, "customer"), _feed(spark, sf), "c_custkey", "seq", "action",
                            ["c_name", "c_nationkey", "c_acctbal", "c_mktsegment"])
 
 
+@register("stream_indexed_view", _FOLD_SQL)
+def stream_indexed_view(spark, sf):
+    """The same action feed arriving as a stream: Structured Streaming reads
+    the events table as a file stream and appends the actions exactly once to
+    an action log (its checkpoint under spark.checkpoint.dir); the table is
+    the customer base merged with the log on read."""
+    import uuid
+
+    from ..session import checkpoint_base
+    from ..streaming import indexing as S
+
+    events = t(spark, sf, "events")
+    stream = (spark.readStream.schema(events.schema).option("pathGlobFilter", "events.parquet")
+                   .option("recursiveFileLookup", "false").parquet(sf))
+    work = f"{checkpoint_base(spark).rstrip('/')}/streams/indexed-{uuid.uuid4().hex}"
+    q = S.append_actions(_feed_of(stream), f"{work}/log", f"{work}/checkpoint")
+    q.awaitTermination(600)
+    if q.exception() is not None:
+        raise q.exception()
+    return S.current_view(spark, t(spark, sf, "customer"), f"{work}/log", "c_custkey",
+                          ["c_name", "c_nationkey", "c_acctbal", "c_mktsegment"])
+
+
 @register("bulk_lines", """
 SELECT n_nationkey::VARCHAR AS _id, 0 AS line_no,
        to_json({'index': {'_index': 'nation', '_id': n_nationkey::VARCHAR}})::VARCHAR AS line FROM nation
