@@ -93,3 +93,20 @@ def test_moving_fn_any_shift_equals_window(buckets):
         assert _rows(got, ["key", "v", "x"]) == _rows(want, ["key", "v", "x"])
     with pytest.raises(ValueError):
         S.moving_fn(bt, "v", "x", window=0)
+
+
+def test_top_n_per_group_slices_path_with_skip(spark, buckets):
+    from docsift.operators.ordered import top_n_per_group
+
+    key = "spark.sql.optimizer.windowGroupLimitThreshold"
+    old = spark.conf.get(key)
+    order = [F.col("v").desc_nulls_last(), F.col("key").asc()]
+    w = Window.partitionBy("parent").orderBy(*order)
+    want = buckets.withColumn("r", F.row_number().over(w)).filter((F.col("r") > 3) & (F.col("r") <= 8))
+    spark.conf.set(key, "1")                     # force the range-slice path
+    try:
+        got = top_n_per_group(buckets, ["parent"], order, 5, skip=3, rank="r")
+        cols = ["parent", "key", "v", "r"]
+        assert _rows(got, cols) == _rows(want, cols)
+    finally:
+        spark.conf.set(key, old)
