@@ -244,7 +244,7 @@ class median_absolute_deviation(Metric):  # noqa: N801
         # counts: the raw rows are read once, and the centers are joined to
         # the (smaller) value-count table
         counted = value_counts(base, keys, "_x")
-        centers = exact_quantiles(counted, keys, "_x", [0.5], names=["_m"], weight="_c")
+        centers = exact_quantiles(counted, keys, "_x", [0.5], names=["_m"], weight="_c", distinct=True)
         dev = _join_on_keys(counted, centers, keys, how="inner").select(
             *keys, F.abs(F.col("_x") - F.col("_m")).alias("_d"), "_c")
         return exact_quantiles(dev, keys, "_d", [0.5], names=[name], weight="_c")

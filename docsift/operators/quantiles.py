@@ -41,15 +41,22 @@ def value_counts(df: DataFrame, keys: Sequence[str], value, weight=None) -> Data
 
 def exact_quantiles(df: DataFrame, keys: Sequence[str], value, fractions: Sequence[float],
                     names: Sequence[str] | None = None, slices: int | None = None,
-                    weight=None) -> DataFrame:
+                    weight=None, distinct: bool = False) -> DataFrame:
     """One row per group (``keys``) with non-null values, one column per
     fraction (``names``, default ``_q0, _q1, ...``). ``weight``: an integer
-    multiplicity per row (a pre-counted table); ``slices``: number of range
-    partitions (see :func:`docsift.operators.ordered.positions`)."""
+    multiplicity per row (a pre-counted table); ``distinct=True`` says each
+    (keys, value) already occurs once (the output of :func:`value_counts`),
+    which saves the counting shuffle; ``slices``: number of range partitions
+    (see :func:`docsift.operators.ordered.positions`)."""
     keys = list(keys)
     fr = [float(f) for f in fractions]
     names = list(names) if names is not None else [f"_q{i}" for i in range(len(fr))]
-    counted = value_counts(df, keys, value, weight)
+    if distinct:
+        counted = df.select(*[F.col(f"`{k}`") for k in keys], as_col(value).cast("double").alias("_x"),
+                            (F.lit(1) if weight is None else as_col(weight)).cast("long").alias("_c")).filter(
+            F.col("_x").isNotNull() & ~F.isnan("_x"))
+    else:
+        counted = value_counts(df, keys, value, weight)
     # running count of values up to and including each distinct value, and
     # the group size, computed over range slices of each group
     ranked = positions(counted, keys, [F.col("_x").asc()], sums={"_end": F.col("_c")},
