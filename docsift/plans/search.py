@@ -130,6 +130,11 @@ def _sort_col(spec) -> Column:
     return c.desc_nulls_first() if missing == "first" else c.desc_nulls_last()
 
 
+def _row_hash(df: DataFrame) -> Column:
+    hashable = [F.col(f"`{f.name}`") for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
+    return F.xxhash64(*hashable) if hashable else F.lit(0)
+
+
 def resolve_fields(schema: T.StructType, includes: Sequence[str], excludes: Sequence[str] = ()) -> list[Column]:
     """Field selection with ``*`` patterns over dotted paths. A struct is kept
     whole when its path matches, or rebuilt with only its matching leaves;
@@ -180,7 +185,15 @@ def run_documents(df: DataFrame, req: Request) -> DataFrame:
             out = bm25_scores(out, field_, text, stats_df=df)
             out = out.orderBy(F.col("score").desc(), F.col(id_field).asc())
     if req.sort:
-        out = out.orderBy(*[_sort_col(s) for s in req.sort])
+        cols = [_sort_col(s) for s in req.sort]
+        if req.size is None:
+            # an unsized sort is range-partitioned on its keys, and rows that
+            # tie on all of them cannot be split: sorting on a field where one
+            # value holds a third of the rows would leave that third to one
+            # task. A hash of the whole row breaks such ties so the range
+            # bounds can split them (their relative order is unspecified).
+            cols.append(_row_hash(out).asc())
+        out = out.orderBy(*cols)
     if req.fields is not None:
         inc, exc = req.fields
         out = out.select(*resolve_fields(out.schema, inc, exc))

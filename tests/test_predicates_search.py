@@ -174,3 +174,21 @@ def test_small_public_helpers(spark):
     assert str(ts[0].t) == "2024-01-02 00:00:00" and ts[1].t is not None and ts[2].t is None
     one = B.filter_(F.col("id") >= 2, {"m": M.max_("id")}).run(df).collect()
     assert [(r.doc_count, r.m) for r in one] == [(2, 3)]
+
+
+def test_unsized_sort_splits_a_hot_sort_value(spark):
+    # one sort value holds most rows: the row-hash tie-breaker lets the range
+    # partitioning of the global sort split them over several tasks
+    rows = [("hot" if i % 4 else f"k{i}", i) for i in range(4000)]
+    df = spark.createDataFrame(rows, "s string, i int")
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        out = execute(df, query() + sort_on("s"))
+        parts = out.withColumn("p", F.spark_partition_id()).filter(F.col("s") == "hot").select("p").distinct()
+        assert parts.count() > 1
+        got = [r.s for r in out.collect()]
+        assert got == sorted(got) and len(got) == 4000
+    finally:
+        spark.conf.set(key, old)
