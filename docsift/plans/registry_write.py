@@ -201,7 +201,9 @@ def stream_indexed_view(spark, sf):
                    .option("recursiveFileLookup", "false").parquet(sf))
     work = f"{checkpoint_base(spark).rstrip('/')}/streams/indexed-{uuid.uuid4().hex}"
     q = S.append_actions(_feed_of(stream), f"{work}/log", f"{work}/checkpoint")
-    q.awaitTermination(600)
+    if not q.awaitTermination(3600):
+        q.stop()
+        raise TimeoutError("the action stream did not drain its input")
     if q.exception() is not None:
         raise q.exception()
     return S.current_view(spark, t(spark, sf, "customer"), f"{work}/log", "c_custkey",
