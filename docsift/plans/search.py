@@ -130,9 +130,20 @@ def _sort_col(spec) -> Column:
     return c.desc_nulls_first() if missing == "first" else c.desc_nulls_last()
 
 
+def _hashable(dt: T.DataType) -> bool:
+    """Types ``xxhash64`` accepts (no maps or variants, also inside nesting)."""
+    if isinstance(dt, (T.MapType, T.VariantType)):
+        return False
+    if isinstance(dt, T.ArrayType):
+        return _hashable(dt.elementType)
+    if isinstance(dt, T.StructType):
+        return all(_hashable(f.dataType) for f in dt.fields)
+    return True
+
+
 def _row_hash(df: DataFrame) -> Column:
-    hashable = [F.col(f"`{f.name}`") for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
-    return F.xxhash64(*hashable) if hashable else F.lit(0)
+    cols = [F.col(f"`{f.name}`") for f in df.schema.fields if _hashable(f.dataType)]
+    return F.xxhash64(*cols) if cols else F.lit(0)
 
 
 def resolve_fields(schema: T.StructType, includes: Sequence[str], excludes: Sequence[str] = ()) -> list[Column]:
