@@ -110,3 +110,13 @@ def test_top_n_per_group_slices_path_with_skip(spark, buckets):
         assert _rows(got, cols) == _rows(want, cols)
     finally:
         spark.conf.set(key, old)
+
+
+def test_empty_bucket_tables(spark, buckets):
+    empty = buckets.filter(F.lit(False))
+    assert S.cumulative_sum(empty, "v", "x", partition_by=["parent"]).count() == 0
+    assert S.derivative(empty, "v", "x").count() == 0
+    assert S.moving_fn(empty, "v", "x", window=3).count() == 0
+    assert S.bucket_sort(empty, [F.col("key")], from_=1).count() == 0
+    row = S.siblings(empty.drop("parent"), "v", "s", percents=[50]).collect()
+    assert len(row) == 1 and row[0].s_count == 0 and row[0].s_p50 is None
