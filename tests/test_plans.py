@@ -53,3 +53,23 @@ def test_overlapping_buckets_explode_labels(spark):
     p = plan(q(spark, "b_range"))
     assert "explode(filter(array(CASE WHEN" in p and "BroadcastHashJoin" in p
     assert sum(1 for line in p.splitlines() if line.startswith("(") and "Scan parquet" in line) == 1
+
+
+def test_unsized_sort_has_row_hash_tie_breaker(spark):
+    p = plan(q(spark, "sort_multi"))
+    assert "xxhash64(" in p and "rangepartitioning" in p
+
+
+def test_pipelines_rank_inside_range_slices(spark):
+    for key in ("p_cumsum", "p_derivative", "p_moving_avg"):
+        p = plan(q(spark, key))
+        # rows are ranked inside slices of a range partitioning fixed by a
+        # checkpoint (read back as an existing RDD), not by one ordered window
+        # over the bucket table
+        assert "Scan ExistingRDD" in p, key
+        assert "windowspecdefinition(_pid" in p, key
+
+
+def test_upsert_is_an_anti_join_on_the_id(spark):
+    p = plan(q(spark, "upsert_by_id"))
+    assert "LeftAnti" in p and "max_by" in p
