@@ -7,18 +7,19 @@ parent (``partition_by``, the parent bucket path of nested buckets) or over
 the whole table. A plain ordered window would hand a whole parent, or the
 whole bucket table, to one task; a terms aggregation on a high-cardinality
 field can have billions of buckets. Positions and running sums therefore come
-from range slices (:mod:`docsift.operators.ordered`), and looking back ``n``
-buckets is an equi-join on (parent, position).
+from range slices (:mod:`docsift.operators.ordered`), and looking back or
+ahead ``n`` buckets is a window over blocks of positions that borrow ``n``
+rows from their neighbours.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .ordered import join_on_keys, positions, top_n_per_group
+from .ordered import positions, top_n_per_group
 from .quantiles import exact_quantiles
 
 
@@ -32,12 +33,34 @@ def cumulative_sum(bt: DataFrame, metric: str, name: str, key: str = "key",
     return positions(bt, partition_by, _order(key), sums={name: F.col(metric)}, position=None)
 
 
-def _shifted(bt: DataFrame, metric: str, key: str, partition_by: Sequence[str], lag: int) -> DataFrame:
-    """Each bucket with ``_prev`` = ``metric`` of the bucket ``lag`` positions
-    earlier: an equi-join on (parent, position), spread over all tasks."""
-    pos = positions(bt, partition_by, _order(key))
-    prev = pos.select(*partition_by, (F.col("_pos") + lag).alias("_pos"), F.col(metric).alias("_prev"))
-    return join_on_keys(pos, prev, [*partition_by, "_pos"], how="left")
+# Rows per block for look-back / look-ahead windows: a block is ranked by one
+# task, together with the few rows it borrows from its neighbours.
+BLOCK_ROWS = 4096
+
+
+def _blocked(pos: DataFrame, before: int, after: int) -> DataFrame:
+    """Cut each parent's positions into blocks of ``BLOCK_ROWS`` and copy the
+    ``before`` last rows of a block into the next block, and the ``after``
+    first rows into the previous one (``_own`` marks the original). A window
+    partitioned by (parent, block) with a frame reaching at most ``before``
+    rows back and ``after`` rows ahead then sees exactly the rows a window
+    over the whole parent would; each row is copied at most twice."""
+    size = max(BLOCK_ROWS, before, after, 1)
+    blk = F.floor(F.col("_pos") / size)
+    off = F.col("_pos") - blk * size
+    own = F.struct(blk.alias("b"), F.lit(True).alias("o"))
+    targets = [own]
+    if before:
+        targets.append(F.when(off >= size - before, F.struct((blk + 1).alias("b"), F.lit(False).alias("o"))))
+    if after:
+        targets.append(F.when(off < after, F.struct((blk - 1).alias("b"), F.lit(False).alias("o"))))
+    copies = F.filter(F.array(*targets), lambda x: x.isNotNull()) if len(targets) > 1 else F.array(own)
+    out = pos.withColumn("_t", F.explode(copies))
+    return out.withColumns({"_blk": F.col("_t.b"), "_own": F.col("_t.o")}).drop("_t")
+
+
+def _block_window(partition_by: Sequence[str]):
+    return Window.partitionBy(*partition_by, "_blk").orderBy("_pos")
 
 
 def derivative(bt: DataFrame, metric: str, name: str, key: str = "key",
@@ -48,9 +71,14 @@ def derivative(bt: DataFrame, metric: str, name: str, key: str = "key",
 
 def serial_diff(bt: DataFrame, metric: str, name: str, lag: int = 1, key: str = "key",
                 partition_by: Sequence[str] = ()) -> DataFrame:
-    """Difference to the bucket ``lag`` positions earlier; NULL before that."""
-    out = _shifted(bt, metric, key, partition_by, lag)
-    return out.withColumn(name, F.col(metric) - F.col("_prev")).drop("_pos", "_prev")
+    """Difference to the bucket ``lag`` positions earlier; NULL before that.
+    A ``lag`` over blocks of positions (each block borrowing the ``lag`` rows
+    before it), so no task holds a whole parent."""
+    pos = positions(bt, partition_by, _order(key))
+    blocks = _blocked(pos, max(lag, 0), max(-lag, 0))
+    prev = F.lag(metric, lag).over(_block_window(partition_by))
+    out = blocks.withColumn(name, F.col(metric) - prev).filter(F.col("_own"))
+    return out.drop("_pos", "_blk", "_own")
 
 
 _MOVING = {"avg": F.avg, "sum": F.sum, "min": F.min, "max": F.max, "std": F.stddev_pop}
@@ -61,18 +89,17 @@ def moving_fn(bt: DataFrame, metric: str, name: str, window: int, fn: str = "avg
     """Function of the ``window`` previous buckets (current excluded when
     ``shift=0``; ``shift=1`` includes it). NULL when the window is empty.
 
-    Every bucket sends its value to the ``window`` later positions whose
-    frame covers it (a fan-out fixed by the request), and each position
-    aggregates what it received: plain aggregates keyed by (parent,
-    position), so no task sees more than one position's frame."""
+    A row frame over blocks of positions: each block borrows the rows its
+    first (last) buckets look back (ahead) to from the neighbouring block, so
+    the frame is exact and no task sees more than one block."""
     if window < 1:
         raise ValueError("moving_fn needs window >= 1")
     lo, hi = -window + shift, -1 + shift          # frame of position t: rows t+lo .. t+hi
     pos = positions(bt, partition_by, _order(key))
-    sent = pos.select(*partition_by, F.explode(F.sequence(F.col("_pos") - hi, F.col("_pos") - lo)).alias("_pos"),
-                      F.col(metric).alias("_v"))
-    got = sent.groupBy(*partition_by, "_pos").agg(_MOVING[fn]("_v").alias(name))
-    return join_on_keys(pos, got, [*partition_by, "_pos"], how="left").drop("_pos")
+    blocks = _blocked(pos, max(-lo, 0), max(hi, 0))
+    frame = _block_window(partition_by).rowsBetween(lo, hi)
+    out = blocks.withColumn(name, _MOVING[fn](metric).over(frame)).filter(F.col("_own"))
+    return out.drop("_pos", "_blk", "_own")
 
 
 def bucket_script(bt: DataFrame, name: str, expr: Column | str) -> DataFrame:

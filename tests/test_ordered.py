@@ -12,6 +12,12 @@ from docsift.operators import bucket_series as S
 from docsift.operators.ordered import positions
 
 
+@pytest.fixture(autouse=True)
+def small_blocks(monkeypatch):
+    # blocks of 7 positions, so look-backs and frames cross block borders
+    monkeypatch.setattr(S, "BLOCK_ROWS", 7)
+
+
 @pytest.fixture(autouse=True)
 def no_coalesce(spark):
     # tiny frames: keep AQE from merging all range slices into one, so the
@@ -87,7 +93,7 @@ def test_bucket_sort_pages(buckets):
 def test_moving_fn_any_shift_equals_window(buckets):
     bt = buckets.filter(F.col("parent") == "big").drop("parent")
     w = Window.partitionBy().orderBy("key")
-    for window, shift in [(1, 0), (3, 2), (4, -2)]:
+    for window, shift in [(1, 0), (3, 2), (4, -2), (2, 5), (9, 0)]:
         got = S.moving_fn(bt, "v", "x", window=window, fn="sum", shift=shift)
         want = bt.withColumn("x", F.sum("v").over(w.rowsBetween(-window + shift, -1 + shift)))
         assert _rows(got, ["key", "v", "x"]) == _rows(want, ["key", "v", "x"])
@@ -120,3 +126,11 @@ def test_empty_bucket_tables(spark, buckets):
     assert S.bucket_sort(empty, [F.col("key")], from_=1).count() == 0
     row = S.siblings(empty.drop("parent"), "v", "s", percents=[50]).collect()
     assert len(row) == 1 and row[0].s_count == 0 and row[0].s_p50 is None
+
+
+def test_serial_diff_negative_lag_looks_ahead(buckets):
+    w = Window.partitionBy("parent").orderBy("key")
+    got = S.serial_diff(buckets, "v", "x", lag=-3, partition_by=["parent"])
+    want = buckets.withColumn("x", F.col("v") - F.lead("v", 3).over(w))
+    cols = ["parent", "key", "v", "x"]
+    assert _rows(got, cols) == _rows(want, cols)
