@@ -46,7 +46,7 @@ def _blocked(pos: DataFrame, before: int, after: int) -> DataFrame:
     rows back and ``after`` rows ahead then sees exactly the rows a window
     over the whole parent would; each row is copied at most twice."""
     size = max(BLOCK_ROWS, before, after, 1)
-    blk = F.floor(F.col("_pos") / size)
+    blk = F.expr(f"_pos div {size}")              # integral: exact for any position
     off = F.col("_pos") - blk * size
     own = F.struct(blk.alias("b"), F.lit(True).alias("o"))
     targets = [own]
