@@ -40,6 +40,13 @@ def hits_to_table(df: DataFrame, column: str, source_schema: T.StructType | str,
               .select(*keep, F.col("_hit._id").alias("_id"), "_hit._source.*"))
 
 
+def read_search_replies(spark: SparkSession, path: str, source_schema: T.StructType | str) -> DataFrame:
+    """Saved search replies, one JSON reply per line in text files under
+    ``path`` -> one row per hit (``_id`` and the ``_source`` fields). Files are
+    split and parsed by the scan tasks; nothing passes through the driver."""
+    return hits_to_table(spark.read.text(path), "value", source_schema)
+
+
 def flatten(df: DataFrame, sep: str = "_", explode_arrays: bool = False) -> DataFrame:
     """Expand nested structs into top-level columns named ``parent<sep>child``.
     Arrays stay arrays. Raises when two flattened names collide."""

@@ -253,3 +253,13 @@ def test_write_bulk_file_keeps_pairs(spark):
     for f in glob.glob(os.path.join(dpath, "part-*")):
         dl += open(f).read().splitlines()
     assert len(dl) == 25 and all("delete" in json.loads(x) for x in dl)
+
+
+def test_read_search_replies_from_files(spark):
+    d = tempfile.mkdtemp(prefix="docsift-replies-")
+    with open(os.path.join(d, "part-0.json"), "w") as f:
+        f.write('{"hits": {"hits": [{"_id": "1", "_source": {"a": 1, "b": "x"}}, '
+                '{"_id": "2", "_source": {"a": 2}}]}}\n')
+        f.write('{"hits": {"hits": []}}\n')
+    rows = D.read_search_replies(spark, d, "a BIGINT, b STRING").orderBy("_id").collect()
+    assert [(r._id, r.a, r.b) for r in rows] == [("1", 1, "x"), ("2", 2, None)]
