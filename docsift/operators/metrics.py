@@ -139,6 +139,7 @@ class percentiles(Metric):  # noqa: N801
     percents: Sequence[float] = (1, 5, 25, 50, 75, 95, 99)
     approx: bool = False
     accuracy: int = 10000
+    slices: int | None = None      # range partitions of the exact form (default: shuffle partitions)
 
     def __post_init__(self):
         check_fractions([p / 100.0 for p in self.percents])
@@ -158,7 +159,7 @@ class percentiles(Metric):  # noqa: N801
 
     def compute(self, df: DataFrame, keys: list[str], name: str) -> DataFrame:
         return exact_quantiles(df, keys, self.field, [p / 100.0 for p in self.percents],
-                               names=self.output(name))
+                               names=self.output(name), slices=self.slices)
 
     def output(self, name):
         return [f"{name}_p{_pct_label(p)}" for p in self.percents]
