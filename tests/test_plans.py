@@ -73,3 +73,18 @@ def test_pipelines_rank_inside_range_slices(spark):
 def test_upsert_is_an_anti_join_on_the_id(spark):
     p = plan(q(spark, "upsert_by_id"))
     assert "LeftAnti" in p and "max_by" in p
+
+
+def test_no_unpartitioned_window_over_rows(spark):
+    # across every registered query, a window without PARTITION BY only ever
+    # runs over the slice table of a range partitioning (ordered by the slice
+    # id, at most one row per partition), never over documents or buckets
+    import re
+
+    pat = re.compile(r"windowspecdefinition\(([^)]*?)specifiedwindowframe")
+    for key, fn in entry.queries().items():
+        p = plan(fn(spark, SF), "simple")
+        for m in pat.finditer(p):
+            first = m.group(1).split(",")[0].strip()
+            if " ASC" in first or " DESC" in first:
+                assert first.startswith("_pid#"), (key, m.group(1))
