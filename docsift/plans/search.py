@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.common import as_col, null_safe
+from ..session import cut_lineage
 from ..operators.buckets import BucketAgg
 from ..operators.metrics import Metric, aggregate
 
@@ -213,6 +214,12 @@ def run_documents(df: DataFrame, req: Request) -> DataFrame:
     return out
 
 
+# Fixed value: the largest single-request result size of the original client
+# (10,000 rows); below it the ids of a sized relevance search are pushed to the
+# scan as a literal list.
+ID_PUSHDOWN_LIMIT = 10_000
+
+
 def _relevance_top(df: DataFrame, where: Column | None, text_field: str, text: str, id_field: str,
                    size: int) -> DataFrame:
     """The ``size`` best documents by BM25 among those matching ``where``,
@@ -222,13 +229,21 @@ def _relevance_top(df: DataFrame, where: Column | None, text_field: str, text: s
     length, query-term counts; no text) are checkpointed, and both the
     statistics and the scores read them. The top ``size`` (id, score) rows,
     a set bounded by the request, are then broadcast and joined back to the
-    documents to return them whole (ids must be unique)."""
+    documents to return them whole (ids must be unique). Up to
+    ``ID_PUSHDOWN_LIMIT`` ids, the ids also go to the scan as an ``IN``
+    filter, so Parquet statistics skip the row groups (and their text) that
+    hold none of them."""
     from ..operators.text import bm25_scores
     hit = null_safe(where) if where is not None else F.lit(True)
     nums = bm25_scores(df.select(id_field, text_field, hit.alias("_hit")), text_field, text, materialize=True)
     order = [F.col("score").desc(), F.col(id_field).asc()]
     top = nums.filter(F.col("_hit")).orderBy(*order).limit(size).select(id_field, "score")
-    return df.join(F.broadcast(top), id_field).select(*df.columns, "score").orderBy(*order)
+    docs = df
+    if size <= ID_PUSHDOWN_LIMIT:
+        top = cut_lineage(top)                     # the ids are read twice below
+        ids = [r[0] for r in top.select(id_field).collect()]
+        docs = df.filter(F.col(f"`{id_field}`").isin(ids)) if ids else df.limit(0)
+    return docs.join(F.broadcast(top), id_field).select(*df.columns, "score").orderBy(*order)
 
 
 def run_aggs(df: DataFrame, req: Request) -> DataFrame | dict[str, DataFrame]:
