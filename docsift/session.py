@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -46,17 +48,41 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    ship_package(spark)
     return spark
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors' Python workers, once per
+    application (Spark's file server hands it out, no shared folder is
+    needed). Functions that run in workers import it from there."""
+    sc = spark.sparkContext
+    if getattr(sc, "_docsift_shipped", False):
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    base = os.path.join(tempfile.mkdtemp(prefix="docsift-pkg-"), "docsift-package")
+    with zipfile.ZipFile(base + ".zip", "w") as z:
+        for folder, _, names in os.walk(package):
+            for n in sorted(names):
+                if n.endswith(".py"):
+                    path = os.path.join(folder, n)
+                    z.write(path, os.path.relpath(path, os.path.dirname(package)))
+    sc.addPyFile(base + ".zip")
+    sc._docsift_shipped = True
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the checkpoint folder of this application: Spark derives it
     from the shared folder the cluster names in ``spark.checkpoint.dir``.
-    Only when that is unset (local tests) is a temporary folder used."""
+    When that is unset, a ``local`` master (driver and executors are one
+    process, as in tests) gets a temporary folder; on a cluster this raises,
+    as executors cannot read each other's folders."""
     sc = spark.sparkContext
     if not sc.getCheckpointDir():
         path = spark.conf.get("spark.checkpoint.dir", None)
         if not path:
+            if not re.fullmatch(r"local(\[.*\])?", sc.master):
+                raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
             path = tempfile.mkdtemp(prefix="docsift-ckpt-")
         sc.setCheckpointDir(path)
     return sc.getCheckpointDir()
