@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import arrow_sequences, packing
+from . import arrow_sequences, mixing, packing, quality, warc
 from .common import documents, work_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -32,3 +33,69 @@ def op3_arrow_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op10_best_fit_packing")
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(packing.pieces(documents(spark, sf_dir)))
+
+
+@register("op1_warc_salvage", """
+WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest,
+           max(page_id) OVER (PARTITION BY coalesce(html, '')) AS first FROM pages)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 1000 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 1000 AND page_id <> first THEN first END AS refers_to
+FROM p
+""")
+def op1_warc_salvage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = work_path(spark, "warc")
+    warc.write_archives(documents(spark, sf_dir, "pages"), path)
+    read = warc.read_archives(spark, path).where("kind = 'record'")
+    number = lambda c: F.when(warc.page_number(c) != "", warc.page_number(c)).cast("long")
+    return read.select(number("record_id").alias("page_id"), "payload_bytes", "payload_digest",
+                       F.col("warc_type").alias("record_type"), number("refers_to").alias("refers_to"))
+
+
+@register("op2_quality_rules")
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    trusted = documents(spark, sf_dir, "labels").where("quality = 1")
+    scored = quality.score(docs, quality.fit(docs, trusted))
+    return scored.select("doc_id", *[f"quality.{c}" for c in (
+        "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "ratio")])
+
+
+@register("op9_pareto_mixing", """
+WITH d AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS size FROM documents),
+s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
+w AS (SELECT *, [3, 1, 2][CAST((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS INT)] AS w FROM s),
+l AS (SELECT *, (2 * source_size)::DOUBLE / w AS level FROM w),
+o AS (SELECT *, ((sum(source_size) OVER ())::DOUBLE * 1.5::DOUBLE
+        - coalesce(sum(2 * source_size) OVER b, 0)::DOUBLE) / (sum(w) OVER () - coalesce(sum(w) OVER b, 0))::DOUBLE AS water
+      FROM l WINDOW b AS (ORDER BY level, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+t AS (SELECT source, source_size, least((SELECT arg_min(water, level) FROM o WHERE water <= level) * w,
+        (2 * source_size)::DOUBLE) AS target FROM o),
+c AS (SELECT source, len(bin(size)) AS class, sum(size) AS class_size FROM d GROUP BY ALL),
+u AS (SELECT c.source, class, class_size, source_size, target,
+        CASE WHEN sum(class * class_size) OVER f > 0 THEN
+          (target - coalesce(sum(2 * class_size) OVER b, 0)::DOUBLE) / (sum(class * class_size) OVER f)::DOUBLE END AS unit
+      FROM c JOIN t ON c.source IS NOT DISTINCT FROM t.source
+      WINDOW b AS (PARTITION BY c.source ORDER BY class DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
+             f AS (PARTITION BY c.source ORDER BY class DESC ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)),
+v AS (SELECT source, max_by(unit, class) AS unit FROM u WHERE unit * class <= 2 GROUP BY source),
+e AS (SELECT u.source, class, class_size, source_size, target, coalesce(least(v.unit * class, 2.0::DOUBLE), 0) AS expected
+      FROM u LEFT JOIN v ON u.source IS NOT DISTINCT FROM v.source),
+x AS (SELECT *, floor(expected) AS whole, target - sum(floor(expected) * class_size) OVER (PARTITION BY source) AS rest
+      FROM e),
+r AS (SELECT d.*, x.source_size, x.target, x.whole, x.rest, expected - whole AS p,
+        (('0x' || substr(md5('mix:' || coalesce(doc_id::VARCHAR, '')), 1, 13))::BIGINT::DOUBLE + 0.5::DOUBLE)
+          / 4503599627370496::DOUBLE AS draw
+      FROM d JOIN x ON d.source IS NOT DISTINCT FROM x.source AND len(bin(d.size)) = x.class),
+q AS (SELECT *, CASE WHEN p > 0 AND size > 0 THEN (draw / (1 - draw)) / (p / (1 - p)) END AS rnk FROM r),
+k AS (SELECT source, rnk, sum(size) AS size, any_value(rest) AS rest FROM q WHERE rnk IS NOT NULL GROUP BY source, rnk),
+m AS (SELECT source, rnk, rest, size, sum(size) OVER (PARTITION BY source ORDER BY rnk) AS upto FROM k),
+cut AS (SELECT source, max(rnk) AS cut FROM m WHERE upto - size::DOUBLE / 2 <= rest GROUP BY source)
+SELECT doc_id, size::BIGINT AS size, source_size, target,
+       CASE WHEN size > 0 THEN (whole + CASE WHEN rnk <= cut THEN 1 ELSE 0 END)::BIGINT * size ELSE 0 END AS taken
+FROM q LEFT JOIN cut ON q.source IS NOT DISTINCT FROM cut.source
+""")
+def op9_pareto_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.sample(documents(spark, sf_dir)).select(
+        "doc_id", "mix.size", "mix.source_size", "mix.target", "mix.taken")
