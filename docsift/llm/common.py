@@ -50,7 +50,7 @@ def read_files(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("binaryFile").load(path).where("length > 0").select("path", "content")
 
 
-def bounded(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int = 8 << 20
+def bounded(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int = 4 << 20
             ) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches so that ``column`` holds about ``max_bytes`` at most
     in each (a single longer value stays whole)."""
@@ -70,3 +70,7 @@ def bounded(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int = 8 <
 def words(text: Column) -> Column:
     """Array of the words ``[^\\x20\\x09-\\x0D]+`` of a text (NULL: none)."""
     return F.filter(F.split(F.coalesce(text, F.lit("")), WORD_GAP), lambda w: w != "")
+
+
+def table_of(**columns) -> pa.RecordBatch:
+    return pa.record_batch(list(columns.values()), list(columns))

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import arrow_sequences, mixing, packing, quality, warc
+from . import arrow_sequences, langid, mixing, packing, quality, toxicity, warc
 from .common import documents, work_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -99,3 +99,24 @@ FROM q LEFT JOIN cut ON q.source IS NOT DISTINCT FROM cut.source
 def op9_pareto_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.sample(documents(spark, sf_dir)).select(
         "doc_id", "mix.size", "mix.source_size", "mix.target", "mix.taken")
+
+
+def _fold(modulus: int) -> Column:
+    """crc32 of the id as text, modulo."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % modulus
+
+
+@register("op4_language_id")
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    model = langid.fit(docs.where(_fold(3) != 1))
+    return langid.predict(docs.select("doc_id", "text"), model).select(
+        "doc_id", (_fold(3) == 1).alias("held_out"), "language.lang_pred", "language.score", "language.phrase_chars")
+
+
+@register("op6_toxicity")
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    model = toxicity.fit(docs, documents(spark, sf_dir, "labels").where(_fold(4) != 2))
+    return toxicity.score(docs, model).select(
+        "doc_id", (_fold(4) == 2).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
