@@ -43,7 +43,7 @@ def _schema(width: pa.DataType, seq_len: int, meta: dict | None = None) -> pa.Sc
 
 
 def stream_bytes(ids: np.ndarray, ends: np.ndarray, doc_ids: list, seq_len: int, vocab_size: int,
-                 batch_rows: int = 256, meta: dict | None = None) -> bytes:
+                 batch_rows: int = 256, meta: dict | None = None) -> pa.Buffer:
     """One whole stream file without its end marker. ``ends`` holds the place
     after the last id of each document."""
     width = pa.uint16() if vocab_size <= 1 << 16 else pa.uint32()
@@ -64,14 +64,14 @@ def stream_bytes(ids: np.ndarray, ends: np.ndarray, doc_ids: list, seq_len: int,
     with pa.ipc.new_stream(sink, table.schema) as writer:
         for lo in range(0, rows, batch_rows):
             writer.write_batch(table.slice(lo, batch_rows))
-    data = sink.getvalue().to_pybytes()
-    assert data.endswith(END_OF_STREAM)
-    return data[: -len(END_OF_STREAM)]
+    data = sink.getvalue()
+    assert data.slice(data.size - len(END_OF_STREAM)).equals(pa.py_buffer(END_OF_STREAM))
+    return data.slice(0, data.size - len(END_OF_STREAM))
 
 
 def write_sequences(docs: DataFrame, path: str, *, id_col: str = "doc_id", text_col: str = "text",
                     tokenizer: str | None = None, end_id: int | None = 1, seq_len: int = 2048,
-                    file_tokens: int = 16_000_000, shards: int | None = None) -> None:
+                    file_tokens: int = 8_000_000, shards: int | None = None) -> None:
     """Encode whole texts (NULL: empty), append ``end_id`` to each, and write
     the ids in ascending ``id_col`` order (NULL first; rows of one id next to
     each other, by text) as Arrow stream files under ``path``.
@@ -86,25 +86,27 @@ def write_sequences(docs: DataFrame, path: str, *, id_col: str = "doc_id", text_
     def files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, shard, part = Encoder.of(tokenizer), TaskContext.get().partitionId(), 0
         kept, ends, names, n = [], [], [], 0
+        width = np.uint16 if enc.vocab_size <= 1 << 16 else np.uint32
+        tail = np.asarray([] if end_id is None else [end_id], width)
 
         def one() -> pa.RecordBatch:
             data = stream_bytes(np.concatenate(kept), np.asarray(ends, np.int64), names, seq_len, enc.vocab_size,
                                 meta={"shard": shard, "part": part})
-            return pa.record_batch([pa.array([data], pa.binary())], ["file"])
+            place = pa.array([0, data.size], pa.int32()).buffers()[1]
+            return pa.record_batch([pa.Array.from_buffers(pa.binary(), 1, [None, place, data])], ["file"])
 
         for batch in bounded(batches, "text"):
             flat, off = enc.encode(batch.column("text"))
+            flat = flat.astype(width)
             for i, name in enumerate(batch.column("doc_id").to_pylist()):
                 own = flat[off[i]: off[i + 1]]
-                size = len(own) + (end_id is not None)
+                size = len(own) + len(tail)
                 if not size:
                     continue  # without an end id an empty text holds no place
                 if n and n + size > file_tokens:
                     yield one()
                     kept, ends, names, n, part = [], [], [], 0, part + 1
-                kept.append(own)
-                if end_id is not None:
-                    kept.append(np.asarray([end_id], np.uint32))
+                kept += [own, tail]
                 n += size
                 ends.append(n)
                 names.append(name)
@@ -149,10 +151,10 @@ def read_sequences(spark: SparkSession, path: str, with_ids: bool = False) -> Da
                 meta, ids, names, ends = file_documents(content.as_buffer())
                 wide = ids.astype("<u4")
                 starts = np.concatenate([[0], ends[:-1]])
-                for lo in range(0, len(ends), 20_000):
-                    own = [wide[a:b].tobytes() for a, b in zip(starts[lo: lo + 20_000], ends[lo: lo + 20_000])]
+                for lo in range(0, len(ends), 2000):
+                    own = [wide[a:b].tobytes() for a, b in zip(starts[lo: lo + 2000], ends[lo: lo + 2000])]
                     cols = [pa.array([meta[k]] * len(own), pa.int64()) for k in ("shard", "part", "tokens")]
-                    cols += [pa.array(names[lo: lo + 20_000], pa.int64()), pa.array(starts[lo: lo + 20_000], pa.int64()),
+                    cols += [pa.array(names[lo: lo + 2000], pa.int64()), pa.array(starts[lo: lo + 2000], pa.int64()),
                              pa.array([len(x) // 4 for x in own], pa.int64()),
                              pa.array([zlib.crc32(x) for x in own], pa.int64())]
                     names_out = ["shard", "part", "tokens", "doc_id", "at", "n_tokens", "ids_crc32"]
