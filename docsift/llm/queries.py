@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import arrow_sequences, langid, mixing, packing, quality, toxicity, warc
+from . import arrow_sequences, fingerprint, langid, mixing, packing, quality, tokencount, toxicity, warc
 from .common import documents, work_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -120,3 +120,13 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = toxicity.fit(docs, documents(spark, sf_dir, "labels").where(_fold(4) != 2))
     return toxicity.score(docs, model).select(
         "doc_id", (_fold(4) == 2).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+@register("op5_token_counts")
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokencount.count_tokens(documents(spark, sf_dir))
+
+
+@register("op7_fingerprints")
+def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.compare_with_edits(documents(spark, sf_dir))

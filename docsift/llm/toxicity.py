@@ -61,48 +61,63 @@ def text_words(texts: pa.Array) -> tuple[np.ndarray, pa.Array, np.ndarray]:
     return coded.indices.to_numpy(), distinct, offsets - offsets[0]
 
 
+def text_bags(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, pa.Array]:
+    """Text number, word number and weight of every distinct word of every
+    text, and the words. A word found ``k`` times weighs ``sqrt(k)``: a text
+    that repeats one word is not judged by it alone."""
+    at, distinct, offsets = text_words(texts)
+    owner = np.repeat(np.arange(len(texts)), np.diff(offsets))
+    pair, times = np.unique(owner * max(len(distinct), 1) + at, return_counts=True)
+    return pair // max(len(distinct), 1), pair % max(len(distinct), 1), np.sqrt(times), distinct
+
+
 @dataclass(frozen=True)
 class ToxicityModel:
     weights: np.ndarray
     bias: float
+    pad: float  # subwords without a vote that every text has besides its own
 
     def score(self, texts: pa.Array) -> np.ndarray:
-        at, distinct, offsets = text_words(texts)
+        owner, word, times, distinct = text_bags(texts)
         grams, counts = subwords(distinct, len(self.weights))
         sums = np.zeros(len(counts))
         if len(grams):
             sums = np.add.reduceat(self.weights[grams], np.cumsum(counts) - counts)
-        total = np.concatenate([[0.0], np.cumsum(sums[at])])
-        number = np.concatenate([[0], np.cumsum(counts[at])])
-        n = number[offsets[1:]] - number[offsets[:-1]]
-        logit = self.bias + (total[offsets[1:]] - total[offsets[:-1]]) / np.maximum(n, 1)
-        return 1 / (1 + np.exp(-np.clip(logit, -40, 40)))
+        total = np.bincount(owner, sums[word] * times, len(texts))
+        n = np.bincount(owner, counts[word] * times, len(texts)) + self.pad
+        return 1 / (1 + np.exp(-np.clip(self.bias + total / n, -40, 40)))
 
 
 def train(texts: list[str], labels: np.ndarray, weights: np.ndarray, *, buckets: int = 1 << 18, dim: int = 6,
-          steps: int = 60, rate: float = 0.5, decay: float = 1e-6, seed: int = 11) -> ToxicityModel:
+          steps: int = 45, rate: float = 0.5, floor: float = 0.05, decay: float = 1e-6, min_texts: int = 5, pad: float = 60,
+          seed: int = 11) -> ToxicityModel:
     """Full-batch Adam on embeddings and softmax together. ``weights``: of
     each row. Without rows of both labels the score is the share of label 1
     (0.5 without rows)."""
     share = float((labels * weights).sum() / weights.sum()) if len(labels) else 0.5
     if not len(labels) or labels.min() == labels.max():
         share = min(max(share, 1e-6), 1 - 1e-6)
-        return ToxicityModel(np.zeros(buckets, np.float32), float(np.log(share / (1 - share))))
+        return ToxicityModel(np.zeros(buckets, np.float32), float(np.log(share / (1 - share))), pad)
     rng = np.random.default_rng(seed)
-    at, distinct, offsets = text_words(pa.array(texts))
+    owner, word, times, distinct = text_bags(pa.array(texts))
     grams, counts = subwords(distinct, buckets)
-    used, grams = np.unique(grams, return_inverse=True)
-    first = np.cumsum(counts) - counts
+    size = (np.bincount(owner, counts[word] * times, len(texts)) + pad).astype(np.float32)[:, None]
+    # texts that hold a subword, counted by its words
+    texts_of = np.bincount(grams, np.repeat(np.bincount(word, minlength=len(counts)), counts), buckets)
+    kept = texts_of[grams] >= min_texts
+    if not kept.any():
+        kept[:] = True
+    by_word = np.repeat(np.arange(len(counts)), counts)[kept]  # words of the kept subwords, in order
+    used, grams = np.unique(grams[kept], return_inverse=True)
+    has, first = np.unique(by_word, return_index=True)
     by_gram = np.argsort(grams, kind="stable")
-    word_of = np.repeat(np.arange(len(counts)), counts)[by_gram]
+    word_of_gram = by_word[by_gram]
     gram_first = np.searchsorted(grams[by_gram], np.arange(len(used)))
-    doc_of = np.repeat(np.arange(len(texts)), np.diff(offsets))
-    by_word = np.argsort(at, kind="stable")
-    doc_by_word = doc_of[by_word]
-    word_first = np.searchsorted(at[by_word], np.arange(len(counts)))
-    size = np.maximum(np.bincount(doc_of, counts[at], minlength=len(texts)), 1).astype(np.float32)[:, None]
-    some = np.diff(offsets) > 0
-    starts = offsets[:-1][some]
+    own, starts = np.unique(owner, return_index=True)
+    sort = np.argsort(word, kind="stable")
+    owner_by_word, times_by_word = owner[sort], times[sort].astype(np.float32)[:, None]
+    word_first = np.searchsorted(word[sort], np.arange(len(counts)))
+    times = times.astype(np.float32)[:, None]
 
     emb = rng.normal(0, 0.1, (len(used), dim)).astype(np.float32)
     soft = rng.normal(0, 0.5, (dim, 2)).astype(np.float32)
@@ -113,9 +128,10 @@ def train(texts: list[str], labels: np.ndarray, weights: np.ndarray, *, buckets:
     mean = [np.zeros_like(p) for p in params]
     square = [np.zeros_like(p) for p in params]
     for step in range(1, steps + 1):
-        word = np.add.reduceat(emb[grams], first)
+        vector = np.zeros((len(counts), dim), np.float32)
+        vector[has] = np.add.reduceat(emb[grams], first)
         doc = np.zeros((len(texts), dim), np.float32)
-        doc[some] = np.add.reduceat(word[at], starts)
+        doc[own] = np.add.reduceat(vector[word] * times, starts)
         doc /= size
         logit = doc @ soft + bias
         logit -= logit.max(1, keepdims=True)
@@ -123,29 +139,30 @@ def train(texts: list[str], labels: np.ndarray, weights: np.ndarray, *, buckets:
         p /= p.sum(1, keepdims=True)
         d = (p - target) * w
         back = (d @ soft.T) / size
-        word_back = np.add.reduceat(back[doc_by_word], word_first)
-        grads = [np.add.reduceat(word_back[word_of], gram_first) + decay * emb, doc.T @ d, d.sum(0)]
+        word_back = np.add.reduceat(back[owner_by_word] * times_by_word, word_first)
+        grads = [np.add.reduceat(word_back[word_of_gram], gram_first) + decay * emb, doc.T @ d, d.sum(0)]
         for i, (x, g) in enumerate(zip(params, grads)):
             mean[i] = 0.9 * mean[i] + 0.1 * g
             square[i] = 0.99 * square[i] + 0.01 * g * g
-            x -= rate * (mean[i] / (1 - 0.9 ** step)) / (np.sqrt(square[i] / (1 - 0.99 ** step)) + 1e-9)
+            scale = np.sqrt(square[i] / (1 - 0.99 ** step))
+            x -= rate * (mean[i] / (1 - 0.9 ** step)) / (scale + floor * scale.max() + 1e-12)
     flat = np.zeros(buckets, np.float32)
     flat[used] = emb @ (soft[:, 1] - soft[:, 0])
-    return ToxicityModel(flat, float(bias[1] - bias[0]))
+    return ToxicityModel(flat, float(bias[1] - bias[0]), pad)
 
 
 def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
-        rows_per_label: int = 2000, max_chars: int = 20_000, **options) -> ToxicityModel:
-    """Train on ``rows_per_label`` rows of each label at most (lowest by a
+        rows_of_label: tuple[int, int] = (6000, 3000), max_chars: int = 4000, **options) -> ToxicityModel:
+    """Train on ``rows_of_label`` rows of label 0 and 1 at most (lowest by a
     hash of their id, longer texts than ``max_chars`` left out), weighted so
     that the labels count as in all of ``labels``. NULL ids and labels are
-    not used, a repeated id has its largest label. The picked ids (at most
-    twice ``rows_per_label``) are broadcast to the documents."""
+    not used, a repeated id has its largest label. The picked ids (as many as
+    that at most) are broadcast to the documents."""
     known = (labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y"))
              .where("id IS NOT NULL AND y IN (0, 1)").groupBy("id").agg(F.max("y").alias("y")))
     totals = {r["y"]: r["n"] for r in known.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     place = F.row_number().over(Window.partitionBy("y").orderBy(F.xxhash64("id"), "id"))
-    picked = known.withColumn("place", place).where(F.col("place") <= rows_per_label).select("id", "y")
+    picked = known.withColumn("place", place).where(F.col("place") <= F.when(F.col("y") == 1, rows_of_label[1]).otherwise(rows_of_label[0])).select("id", "y")
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where(
         F.length("text").between(1, max_chars))
     rows = texts.join(F.broadcast(picked), "id").groupBy("id").agg(
