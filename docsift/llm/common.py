@@ -7,9 +7,10 @@ import posixpath
 import uuid
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir, table_path
@@ -67,9 +68,13 @@ def bounded(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int = 4 <
         yield batch.slice(lo)
 
 
-def words(text: Column) -> Column:
-    """Array of the words ``[^\\x20\\x09-\\x0D]+`` of a text (NULL: none)."""
-    return F.filter(F.split(F.coalesce(text, F.lit("")), WORD_GAP), lambda w: w != "")
+def lower_ascii(texts: pa.Array) -> pa.Array:
+    """A-Z lower-cased, every other byte as it is. NULL becomes empty."""
+    texts = pc.fill_null(texts.cast(pa.large_string()), "")
+    _, offsets, data = texts.buffers()
+    raw = np.frombuffer(data or b"", np.uint8)
+    out = np.where((raw >= 65) & (raw <= 90), raw + 32, raw).astype(np.uint8)
+    return pa.Array.from_buffers(pa.large_string(), len(texts), [None, offsets, pa.py_buffer(out)], offset=texts.offset)
 
 
 def table_of(**columns) -> pa.RecordBatch:

@@ -176,8 +176,8 @@ class Predictor:
         self.model = model
         self.table = letter_table(model.letters)
 
-    def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray]:
-        """Language, score and mean phrase length of every text."""
+    def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
+        """Language, score, mean phrase length and parsed length of every text."""
         m = self.model
         coded = [classes_of(t or "", self.table) for t in texts]
         offsets = np.concatenate([[0], np.cumsum([len(c) for c in coded])])
@@ -194,14 +194,22 @@ class Predictor:
             low = np.partition(cost, min(1, cost.shape[1] - 1), axis=1)
             score[some] = 1 - low[:, 0] / low[:, 1] if cost.shape[1] > 1 else 1.0
             mean[some] = sizes[some] / count[some, best]
-        return names.tolist(), score, mean
+        return names.tolist(), score, mean, sizes
+
+
+def speaks(min_phrase: float = 2.0, min_letters: int = 20):
+    """Condition on the struct ``language``: a language was found and, for
+    texts long enough to tell, its phrases are longer than chance gives."""
+    found = F.col("language.lang_pred") != UNDETERMINED
+    return found & ((F.col("language.letters") < min_letters) | (F.col("language.phrase_chars") >= min_phrase))
 
 
 def predict(docs: DataFrame, model: LanguageModel, *, text_col: str = "text") -> DataFrame:
     """``docs`` with one more column, the struct ``language``: ``lang_pred``
     (the first by code point on ties; ``und`` if the text is NULL or has no
     letter), ``score`` (0 to 1: how much cheaper the best parse is than the
-    second best) and ``phrase_chars`` (mean phrase length of the best parse).
+    second best), ``phrase_chars`` (mean phrase length of the best parse) and
+    ``letters`` (letters and blanks between words that were parsed).
     Row by row, whole texts, no shuffle; other columns are carried along
     (``language`` must not be among them). The model goes to the tasks as a
     broadcast of fixed size (languages times sample)."""
@@ -209,15 +217,15 @@ def predict(docs: DataFrame, model: LanguageModel, *, text_col: str = "text") ->
         raise ValueError("docs already has a column language")
     sent = docs.sparkSession.sparkContext.broadcast(model)
     made = T.StructType([T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()),
-                         T.StructField("phrase_chars", T.DoubleType())])
+                         T.StructField("phrase_chars", T.DoubleType()), T.StructField("letters", T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         predictor = None
         for batch in bounded(batches, text_col):
             predictor = predictor or Predictor(sent.value)
-            names, score, mean = predictor.predict(batch.column(text_col).to_pylist())
-            new = pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(score), pa.array(mean)],
-                                             ["lang_pred", "score", "phrase_chars"])
+            names, score, mean, letters = predictor.predict(batch.column(text_col).to_pylist())
+            new = pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(score), pa.array(mean),
+                                              pa.array(letters)], ["lang_pred", "score", "phrase_chars", "letters"])
             yield pa.record_batch([*batch.columns, new], [*batch.schema.names, "language"])
 
     return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("language", made)]))

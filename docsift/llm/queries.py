@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import arrow_sequences, fingerprint, langid, mixing, packing, quality, tokencount, toxicity, warc
+from . import arrow_sequences, fingerprint, langid, mixing, ngram_join, packing, quality, tokencount, toxicity, warc
 from .common import documents, work_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -130,3 +130,8 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op7_fingerprints")
 def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.compare_with_edits(documents(spark, sf_dir))
+
+
+@register("op8_ngram_jaccard")
+def op8_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.jaccard_classes(documents(spark, sf_dir), width=4, percent=85)

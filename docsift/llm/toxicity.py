@@ -54,7 +54,7 @@ def text_words(texts: pa.Array) -> tuple[np.ndarray, pa.Array, np.ndarray]:
     their ends."""
     lower = pc.utf8_lower(pc.fill_null(texts.cast(pa.large_string()), ""))
     lower = pc.replace_substring_regex(lower, "[\\x00-\\x08\\x0e-\\x1f]", " ")
-    parts = pc.ascii_split_whitespace(pc.utf8_trim(lower, characters=" \t\n\x0b\x0c\r"))
+    parts = pc.ascii_split_whitespace(pc.ascii_trim(lower, characters=" \t\n\x0b\x0c\r"))
     coded = parts.values.dictionary_encode()
     distinct = pc.utf8_trim(coded.dictionary, characters=".,;:!?\"'()[]|*#&%$-")
     offsets = parts.offsets.to_numpy()
