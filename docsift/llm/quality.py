@@ -86,9 +86,14 @@ def _hashes(words: Column) -> Column:
 
 @dataclass(frozen=True)
 class RatioModel:
-    """Log ratios of target to raw probability by bucket."""
+    """Log ratios of target to raw probability by bucket. ``slack``: what
+    sampling alone takes off the mean ratio of a good document that is not
+    among the trusted ones: its own grams are in the raw counts only, and the
+    mean log of a bucket's few target grams lies below the log of their mean.
+    It goes to 0 as the corpus grows."""
 
     ratios: tuple[float, ...]
+    slack: float
 
     def column(self) -> Column:
         """The ratios as one constant array."""
@@ -96,10 +101,10 @@ class RatioModel:
 
 
 def fit(docs: DataFrame, trusted: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
-        buckets: int = 10_000, alpha: float = 1.0) -> RatioModel:
+        buckets: int = 1 << 16, alpha: float = 1.0) -> RatioModel:
     """``trusted``: the ids (``id_col``) of the target's documents; repeated
     and NULL ids count once and never. Both multinomials are smoothed by
-    ``alpha`` a bucket, so an empty corpus or target gives a defined model."""
+    ``alpha`` a bucket. Without trusted words every ratio is 0."""
     marks = trusted.select(F.col(id_col).alias("id")).where("id IS NOT NULL").distinct().withColumn("hit", F.lit(1))
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     # only the marks are built into a hash table; the texts are not sorted
@@ -109,11 +114,15 @@ def fit(docs: DataFrame, trusted: DataFrame, *, id_col: str = "doc_id", text_col
     raw, target = [0] * buckets, [0] * buckets
     for r in counts:  # at most one row per bucket
         raw[r["g"]], target[r["g"]] = r["raw"], r["target"]
-    base = math.log(sum(target) + alpha * buckets) - math.log(sum(raw) + alpha * buckets)
-    return RatioModel(tuple(math.log(t + alpha) - math.log(r + alpha) - base for t, r in zip(target, raw)))
+    n_raw, n_target = sum(raw), sum(target)
+    if not n_target:
+        return RatioModel((0.0,) * buckets, 0.0)
+    base = math.log(n_target + alpha * buckets) - math.log(n_raw + alpha * buckets)
+    return RatioModel(tuple(math.log(t + alpha) - math.log(r + alpha) - base for t, r in zip(target, raw)),
+                      buckets / (2 * n_target) + buckets / n_raw)
 
 
-def score(docs: DataFrame, model: RatioModel, *, text_col: str = "text", threshold: float = -0.035,
+def score(docs: DataFrame, model: RatioModel, *, text_col: str = "text", threshold: float = -0.1,
           min_words: int = 50, max_repeat_percent: int = 50) -> DataFrame:
     """``docs`` with one more column, the struct ``quality``: ``n_words,
     word_chars, n_symbols, n_dup_lines, n_repeat_words`` (long),
@@ -142,6 +151,6 @@ def score(docs: DataFrame, model: RatioModel, *, text_col: str = "text", thresho
         return F.struct(p["n_words"].alias("n_words"), p["word_chars"].alias("word_chars"), symbols.alias("n_symbols"),
                         lines.alias("n_dup_lines"), p["n_repeat_words"].alias("n_repeat_words"),
                         failed.alias("base_failed"), p["ratio"].alias("ratio"),
-                        (~failed & (p["ratio"] >= threshold)).alias("kept"))
+                        (~failed & (p["ratio"] >= threshold - model.slack)).alias("kept"))
 
     return docs.withColumn("quality", _let(part, verdict))
