@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from docsift.llm import langid, mixing, ngram_join, packing, quality
-from docsift.llm.common import documents, work_path
+from docsift.llm.common import documents, free_name, work_path
 from docsift.session import ship_package
 
 
@@ -19,16 +19,16 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     letters that no learned language explains. Learns from the documents with
     a language; if none has one, all documents go."""
     ship_package(spark)
-    columns = [f"`{c}`" for c in docs.columns]
-    return langid.predict(docs, langid.fit(docs)).where(langid.speaks()).select(*columns)
+    mark = free_name(docs.columns, "language")
+    return langid.predict(docs, langid.fit(docs), into=mark).where(langid.speaks(mark)).drop(mark)
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents that fail the base rules or fall below the ratio of
     trusted to raw text (operator 2). Trusted: labelled of good quality."""
     trusted = documents(spark, sf_dir, "labels").where("quality = 1")
-    columns = [f"`{c}`" for c in docs.columns]
-    return quality.score(docs, quality.fit(docs, trusted)).where("quality.kept").select(*columns)
+    mark = free_name(docs.columns, "quality")
+    return quality.score(docs, quality.fit(docs, trusted), into=mark).where(f"`{mark}`.kept").drop(mark)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

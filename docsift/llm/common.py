@@ -79,3 +79,11 @@ def lower_ascii(texts: pa.Array) -> pa.Array:
 
 def table_of(**columns) -> pa.RecordBatch:
     return pa.record_batch(list(columns.values()), list(columns))
+
+
+def free_name(columns: list[str], base: str) -> str:
+    """``base``, with underscores added until no column has that name."""
+    taken = {c.lower() for c in columns}
+    while base.lower() in taken:
+        base += "_"
+    return base

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import bounded
+from .common import bounded, free_name
 
 UNDETERMINED = "und"
 BLANK, UNKNOWN = 0, 1
@@ -197,24 +197,24 @@ class Predictor:
         return names.tolist(), score, mean, sizes
 
 
-def speaks(min_phrase: float = 2.0, min_letters: int = 20):
-    """Condition on the struct ``language``: a language was found and, for
+def speaks(into: str = "language", min_phrase: float = 2.0, min_letters: int = 20):
+    """Condition on :func:`predict`'s struct: a language was found and, for
     texts long enough to tell, its phrases are longer than chance gives."""
-    found = F.col("language.lang_pred") != UNDETERMINED
-    return found & ((F.col("language.letters") < min_letters) | (F.col("language.phrase_chars") >= min_phrase))
+    got = F.col(f"`{into}`")
+    return (got["lang_pred"] != UNDETERMINED) & ((got["letters"] < min_letters) | (got["phrase_chars"] >= min_phrase))
 
 
-def predict(docs: DataFrame, model: LanguageModel, *, text_col: str = "text") -> DataFrame:
-    """``docs`` with one more column, the struct ``language``: ``lang_pred``
+def predict(docs: DataFrame, model: LanguageModel, *, text_col: str = "text", into: str | None = None) -> DataFrame:
+    """``docs`` with one more column ``into``, a struct: ``lang_pred``
     (the first by code point on ties; ``und`` if the text is NULL or has no
     letter), ``score`` (0 to 1: how much cheaper the best parse is than the
     second best), ``phrase_chars`` (mean phrase length of the best parse) and
     ``letters`` (letters and blanks between words that were parsed).
-    Row by row, whole texts, no shuffle; other columns are carried along
-    (``language`` must not be among them). The model goes to the tasks as a
-    broadcast of fixed size (languages times sample)."""
-    if "language" in docs.columns:
-        raise ValueError("docs already has a column language")
+    Row by row, whole texts, no shuffle; other columns are carried along.
+    ``into`` is ``language`` unless given, with underscores added where docs
+    has such a column. The model goes to the tasks as a broadcast of fixed
+    size (languages times sample)."""
+    into = into or free_name(docs.columns, "language")
     sent = docs.sparkSession.sparkContext.broadcast(model)
     made = T.StructType([T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()),
                          T.StructField("phrase_chars", T.DoubleType()), T.StructField("letters", T.LongType())])
@@ -226,6 +226,6 @@ def predict(docs: DataFrame, model: LanguageModel, *, text_col: str = "text") ->
             names, score, mean, letters = predictor.predict(batch.column(text_col).to_pylist())
             new = pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(score), pa.array(mean),
                                               pa.array(letters)], ["lang_pred", "score", "phrase_chars", "letters"])
-            yield pa.record_batch([*batch.columns, new], [*batch.schema.names, "language"])
+            yield pa.record_batch([*batch.columns, new], [*batch.schema.names, into])
 
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("language", made)]))
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(into, made)]))

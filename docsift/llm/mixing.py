@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.ordered import positions
+from .common import free_name
 
 #: Weights of the sources in order, repeating.
 SOURCE_WEIGHTS = (3, 1, 2)
@@ -97,14 +98,16 @@ def _rank(draw: Column, part: Column) -> Column:
 
 
 def sample(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
-           share: float = 1.5, cap: int = 2, weights: tuple[int, ...] = SOURCE_WEIGHTS, seed: str = "mix:") -> DataFrame:
-    """``docs`` with one more column, the struct ``mix``: ``size,
+           share: float = 1.5, cap: int = 2, weights: tuple[int, ...] = SOURCE_WEIGHTS, seed: str = "mix:",
+           into: str | None = None) -> DataFrame:
+    """``docs`` with one more column ``into``, a struct: ``size,
     source_size`` (long), ``target`` (double), ``copies`` (0 .. ``cap``) and
     ``taken`` (``copies * size``). Nothing is dropped. NULL texts have size 0,
     a NULL source is a source of its own, and a document without words is
-    never taken. ``docs`` must not have a column named ``mix``."""
-    if "mix" in docs.columns:
-        raise ValueError("docs already has a column mix")
+    never taken. ``into`` is ``mix`` unless given, with underscores added
+    where docs has such a column."""
+    into = into or free_name(docs.columns, "mix")
+    own, of = into, free_name([*docs.columns, into], "mix_of")
     size = word_count(F.col(f"`{text_col}`"))
     narrow = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{source_col}`").alias("source"), size.alias("size"))
     narrow = narrow.withColumn("class", size_class(F.col("size")))
@@ -112,8 +115,8 @@ def sample(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", s
     classes = inclusions(narrow, goal, cap=cap)
 
     part = F.col("expected") - F.col("whole")
-    of = classes.select(F.col("source").alias("of"), F.col("class").alias("in"), "expected", "whole", "rest")
-    ranked = (narrow.where("size > 0").join(of, F.col("source").eqNullSafe(F.col("of")) & (F.col("class") == F.col("in")))
+    shares = classes.select(F.col("source").alias("of"), F.col("class").alias("in"), "expected", "whole", "rest")
+    ranked = (narrow.where("size > 0").join(shares, F.col("source").eqNullSafe(F.col("of")) & (F.col("class") == F.col("in")))
               .where(part > 0).withColumn("rank", _rank(uniform(F.col("id"), seed), part))
               .groupBy("source", "rank").agg(F.sum("size").alias("size"), F.first("rest").alias("rest")))
     summed = positions(ranked, ["source"], [F.col("rank")], sums={"upto": F.col("size")}, position=None)
@@ -121,23 +124,24 @@ def sample(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", s
     cuts = summed.groupBy("source").agg(F.max(F.when(inside, F.col("rank"))).alias("cut"))
     cuts = cuts.select(F.col("source").alias("at"), "cut")
     table = (classes.join(cuts, F.col("source").eqNullSafe(F.col("at")), "left")
-             .select(F.struct("source", "class", "source_size", "target", "expected", "whole", "cut").alias("mix_of")))
+             .select(F.struct("source", "class", "source_size", "target", "expected", "whole", "cut").alias(of)))
 
     key = F.struct(size.alias("size"), uniform(F.col(f"`{id_col}`"), seed).alias("draw"))
-    rows = docs.withColumn("mix", key)
-    joined = rows.join(table, F.col(f"`{source_col}`").eqNullSafe(F.col("mix_of.source"))
-                       & (size_class(F.col("mix.size")) == F.col("mix_of.class")), "left")
-    frac = F.col("mix_of.expected") - F.col("mix_of.whole")
-    extra = F.when((frac > 0) & (_rank(F.col("mix.draw"), frac) <= F.col("mix_of.cut")), 1).otherwise(0)
-    copies = F.when(F.col("mix.size") > 0, F.col("mix_of.whole") + extra).otherwise(0).cast("int")
-    final = F.struct(F.col("mix.size").alias("size"), F.col("mix_of.source_size").alias("source_size"),
-                     F.col("mix_of.target").alias("target"), copies.alias("copies"),
-                     (copies * F.col("mix.size")).alias("taken"))
-    return joined.select(*[F.col(f"`{c}`") for c in docs.columns], final.alias("mix"))
+    doc, part_of = F.col(f"`{own}`"), F.col(f"`{of}`")
+    joined = docs.withColumn(own, key).join(table, F.col(f"`{source_col}`").eqNullSafe(part_of["source"])
+                                            & (size_class(doc["size"]) == part_of["class"]), "left")
+    frac = part_of["expected"] - part_of["whole"]
+    extra = F.when((frac > 0) & (_rank(doc["draw"], frac) <= part_of["cut"]), 1).otherwise(0)
+    copies = F.when(doc["size"] > 0, part_of["whole"] + extra).otherwise(0).cast("int")
+    final = F.struct(doc["size"].alias("size"), part_of["source_size"].alias("source_size"),
+                     part_of["target"].alias("target"), copies.alias("copies"), (copies * doc["size"]).alias("taken"))
+    return joined.select(*[F.col(f"`{c}`") for c in docs.columns], final.alias(into))
 
 
 def mixture(docs: DataFrame, **options) -> DataFrame:
     """The mix itself: every document's row as often as it is taken."""
-    rows = sample(docs, **options)
-    times = F.explode(F.array_repeat(F.lit(0), F.col("mix.copies")))
-    return rows.where("mix.copies > 0").withColumn("mix", times).select(*[F.col(f"`{c}`") for c in docs.columns])
+    into = free_name(docs.columns, "mix")
+    copies = F.col(f"`{into}`")["copies"]
+    rows = sample(docs, into=into, **options).where(copies > 0)
+    times = F.explode(F.array_repeat(F.lit(0), copies))
+    return rows.withColumn(into, times).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .common import bounded
+from .common import bounded, free_name
 from .tokens import Encoder
 
 
@@ -160,14 +160,13 @@ def pack(rows: DataFrame, *, capacity: int = 4096, length_col: str = "length", p
          islands: int = 3, epochs: int = 2, generations: int = 8, population: int = 6, seed: int = 7) -> DataFrame:
     """``rows`` plus ``sequence_id`` and ``offset``: a place for every row in
     sequences of at most ``capacity``, gapless from 0. Lengths must lie in
-    1..capacity; NULL, zero or longer lengths raise. Other columns, whatever
-    their names, are carried along (``sequence_id`` and ``offset`` must not
-    be among them). An empty table gives an empty table.
+    1..capacity; NULL, zero or longer lengths raise. Other columns are
+    carried along; where they have one of the two names, the new one gets
+    underscores. An empty table gives an empty table.
 
     A problem holds ``problem_rows`` rows on average, whatever the table's
     size or keys, so no task holds more."""
-    if {"sequence_id", "offset"} & set(rows.columns):
-        raise ValueError("rows already has a column sequence_id or offset")
+    sequence_id, offset = (free_name(rows.columns, c) for c in ("sequence_id", "offset"))
     spark = rows.sparkSession
     carried = F.struct(*[F.col(f"`{c}`") for c in rows.columns])
     size = F.col(f"`{length_col}`")
@@ -226,4 +225,6 @@ def pack(rows: DataFrame, *, capacity: int = 4096, length_col: str = "length", p
     narrow = items.select("problem", "length", "no")
     placed = narrow.groupBy("problem").cogroup(best.groupBy("problem")).applyInPandas(
         place, "no long, sequence_id long, offset long")
-    return items.join(placed, "no").select("row.*", "sequence_id", "offset")
+    return items.join(placed, "no").select(
+        *[F.col("row")[c].alias(c) for c in rows.columns], F.col("sequence_id").alias(sequence_id),
+        F.col("offset").alias(offset))

@@ -21,7 +21,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD_GAP
+from .common import WORD_GAP, free_name
 
 #: White space characters of the word rule (fixed values).
 BLANKS = " \t\n\x0b\x0c\r"
@@ -123,13 +123,13 @@ def fit(docs: DataFrame, trusted: DataFrame, *, id_col: str = "doc_id", text_col
 
 
 def score(docs: DataFrame, model: RatioModel, *, text_col: str = "text", threshold: float = -0.1,
-          min_words: int = 50, max_repeat_percent: int = 50) -> DataFrame:
-    """``docs`` with one more column, the struct ``quality``: ``n_words,
+          min_words: int = 50, max_repeat_percent: int = 50, into: str | None = None) -> DataFrame:
+    """``docs`` with one more column ``into``, a struct: ``n_words,
     word_chars, n_symbols, n_dup_lines, n_repeat_words`` (long),
-    ``base_failed, ratio, kept``. Row by row: no shuffle. ``docs`` must not
-    have a column named ``quality``; other names do not matter."""
-    if "quality" in docs.columns:
-        raise ValueError("docs already has a column quality")
+    ``base_failed, ratio, kept``. Row by row: no shuffle. ``into``
+    is ``quality`` unless given, with underscores added where docs has such a
+    column."""
+    into = into or free_name(docs.columns, "quality")
     text = F.col(f"`{text_col}`")
 
     def features(w: Column, h: Column) -> Column:
@@ -153,4 +153,4 @@ def score(docs: DataFrame, model: RatioModel, *, text_col: str = "text", thresho
                         failed.alias("base_failed"), p["ratio"].alias("ratio"),
                         (~failed & (p["ratio"] >= threshold - model.slack)).alias("kept"))
 
-    return docs.withColumn("quality", _let(part, verdict))
+    return docs.withColumn(into, _let(part, verdict))

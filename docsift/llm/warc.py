@@ -37,7 +37,7 @@ RECORD_ID = "urn:x-page:"
 CLOSING_MEMBER = gzip.compress(CLOSING, mtime=0)
 
 _VERSION_LINE = re.compile(rb"WARC/(?:0\.1[78]|1\.[01])\r\n")
-_NEXT = re.compile(rb"\x1f\x8b\x08|(?<=\n)WARC/(?:0\.1[78]|1\.[01])\r\n")
+_NEXT = re.compile(rb"\x1f\x8b\x08|WARC/(?:0\.1[78]|1\.[01])\r\n")
 _PIECE = 1 << 16
 
 
