@@ -13,7 +13,8 @@ columns are word n-grams. Documents link when ``100 * |A & B| >= percent *
    is done; common lines or word pairs alone never make a candidate.
 3. *Blocks.* The others are put with their most frequent prefix shingle and a
    size class, large groups dealt out by hash. Two blocks of neighbouring
-   size classes are multiplied if they share enough prefix shingles.
+   size classes are multiplied if they share enough prefix shingles; of each,
+   only the documents that share enough with the other block take part.
 4. *Product.* A task holds two blocks: incidence over the shingles found
    twice, overlap counts of all pairs by matrix product, size bound. It
    returns one row for each linked document (its number of links and a
@@ -41,14 +42,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import cut_lineage
-from .common import bounded, lower_ascii, table_of
+from .common import bounded, free_name, lower_ascii, table_of
 
 #: Shingles and documents of one block (on average).
 BLOCK_SHINGLES = 200_000
 BLOCK_DOCS = 512
-#: Documents with candidates that may be broadcast (about 64 bytes each);
-#: more are joined by a shuffle.
-BROADCAST_DOCS = 500_000
+#: Rows of the product's plan (a document in a pair of blocks, about 64 bytes)
+#: that may be broadcast to the texts; more are joined by a shuffle.
+BROADCAST_ROWS = 500_000
 _A, _B = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
@@ -100,12 +101,12 @@ def _need(n, percent: int):
 
 def _demand(n, percent: int):
     """Prefix shingles that two partners of such size share at least."""
-    return 1 + (n - _need(n, percent) + 1) // 4
+    return 1 + (n - _need(n, percent) + 1) // 2
 
 
 def _demand_column(n: Column, percent: int) -> Column:
     need = F.ceil(n * percent / 100).cast("long")
-    return (F.floor((n - need + 1) / 4) + 1).cast("long")
+    return (F.floor((n - need + 1) / 2) + 1).cast("long")
 
 
 def _sets(docs: DataFrame, width: int, id_col: str, text_col: str, column: str, emit) -> DataFrame:
@@ -314,25 +315,30 @@ def jaccard_classes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     left = held.select("token", F.col("block").alias("a"), F.col("size").alias("size_a"))
     right = held.select("token", F.col("block").alias("b"), F.col("size").alias("size_b"))
     near = (F.col("a") < F.col("b")) & (F.abs(F.col("size_a") - F.col("size_b")) <= 1)
-    smallest = F.greatest(F.lit(1), F.floor(F.exp(F.least("size_a", "size_b") * step)) - 1)
-    pairs = (left.join(right, "token").where(near).groupBy("a", "b", "size_a", "size_b")
-             .agg(F.count(F.lit(1)).alias("shared")).where(F.col("shared") >= _demand_column(smallest, percent))
-             .select("a", "b"))
-    alone = placed.groupBy("block").agg(F.count(F.lit(1)).alias("docs")).where("docs > 1").select(
-        F.col("block").alias("a"), F.col("block").alias("b"))
-    units = cut_lineage(pairs.union(alone))
-    of_block = units.select(F.col("a").alias("block"), "a", "b").union(
-        units.where("a <> b").select(F.col("b").alias("block"), "a", "b"))
-
-    # whole sets of the documents that are left, once for each unit
-    wanted = placed.select("cls", "block").join(counted, "cls")
-    if placed.count() <= BROADCAST_DOCS:
-        wanted = F.broadcast(wanted)
+    met = cut_lineage(left.join(right, "token").where(near).select("token", "a", "b", "size_a", "size_b"))
+    least = lambda size: _demand_column(F.greatest(F.lit(1), F.floor(F.exp(size * step)) - 1), percent)
+    pairs = met.groupBy("a", "b", "size_a", "size_b").agg(F.count(F.lit(1)).alias("shared")).where(
+        F.col("shared") >= least(F.least("size_a", "size_b"))).select("a", "b")
+    met = met.join(pairs, ["a", "b"])
+    side = lambda own, other: met.select(
+        "token", F.col(own).alias("block"), F.col(other).alias("other"), F.col(f"size_{other}").alias("size_other"))
+    # of each block, only documents that share enough with the other block
+    some = (placed.select("cls", "n", "block", F.explode("tokens").alias("token"))
+            .join(side("a", "b").union(side("b", "a")), ["block", "token"])
+            .groupBy("cls", "n", "block", "other", "size_other").agg(F.count(F.lit(1)).alias("shared"))
+            .where(F.col("shared") >= F.least(_demand_column(F.col("n"), percent), least(F.col("size_other"))))
+            .select("cls", "block", F.least("block", "other").alias("a"), F.greatest("block", "other").alias("b")))
+    large = placed.groupBy("block").agg(F.count(F.lit(1)).alias("docs")).where("docs > 1").select("block")
+    own = placed.join(large, "block").select("cls", "block", F.col("block").alias("a"), F.col("block").alias("b"))
+    work = cut_lineage(some.union(own).join(counted, "cls").select("cls", "block", "a", "b", "copies", "class_id"))
+
+    # whole sets of those documents, once for each product
+    wanted = F.broadcast(work) if work.count() <= BROADCAST_ROWS else work
     whole = _sets(docs, width, id_col, text_col, "binary", lambda sets: pa.array([s.tobytes() for s in sets], pa.binary()))
     whole = whole.withColumnRenamed("doc_id", "own")
-    picked = whole.join(wanted, "cls").where(F.col("own").eqNullSafe(F.col("class_id"))).select(
-        "cls", "block", "copies", "data")
-    work = picked.join(of_block, "block").repartition("a", "b").sortWithinPartitions("a", "b", "cls")
+    work = (whole.join(wanted, "cls").where(F.col("own").eqNullSafe(F.col("class_id")))
+            .select("cls", "block", "copies", "data", "a", "b")
+            .repartition("a", "b").sortWithinPartitions("a", "b", "cls"))
     linked = cut_lineage(work.mapInArrow(_product(percent), "cls long, links long, root long"))
 
     links = linked.groupBy("cls").agg(F.sum("links").alias("links"))
@@ -361,11 +367,11 @@ def one_of_each(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
                 percent: int = 80) -> DataFrame:
     """The rows of ``docs`` that stay when one document of each component
     does: the one with the smallest id (NULL last). Repeated rows stay once,
-    rows without shingles all stay. All columns are kept (none may be named
-    ``set_key``). Texts are shuffled once, by set and id, so a large group of
-    copies does not meet in one task."""
-    if "set_key" in docs.columns:
-        raise ValueError("docs already has a column set_key")
+    rows without shingles all stay. All columns are kept, whatever their
+    names. Texts are shuffled once, by set and id, so a large group of copies
+    does not meet in one task."""
+    mark = free_name(docs.columns, "set_key")
+    kept_id, kept_key = (free_name([*docs.columns, mark], c) for c in ("kept_id", "kept_key"))
     marks = jaccard_classes(docs, id_col=id_col, text_col=text_col, width=width, percent=percent)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "set_key")).alias("first")
     stays = cut_lineage(marks.groupBy("component_key").agg(first).select("first.doc_id", "first.set_key"))
@@ -373,14 +379,14 @@ def one_of_each(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in bounded(batches, text_col):
             key = [_set_key(s) for s in shingle_sets(batch.column(text_col), width)]
-            yield pa.record_batch([*batch.columns, pa.array(key, pa.int64())], [*batch.schema.names, "set_key"])
+            yield pa.record_batch([*batch.columns, pa.array(key, pa.int64())], [*batch.schema.names, mark])
 
-    rows = docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("set_key", T.LongType())]))
+    rows = docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(mark, T.LongType())]))
     own = F.col(f"`{id_col}`").cast("long")
-    rows = rows.withColumn("set_key", F.coalesce("set_key", F.xxhash64(own)))
-    kept = stays.select(F.col("doc_id").alias("kept_id"), F.col("set_key").alias("kept_key"))
-    same = (F.col("set_key") == F.col("kept_key")) & own.eqNullSafe(F.col("kept_id"))
-    return rows.join(kept, same, "left_semi").dropDuplicates([id_col, "set_key"]).drop("set_key")
+    rows = rows.withColumn(mark, F.coalesce(F.col(f"`{mark}`"), F.xxhash64(own)))
+    kept = stays.select(F.col("doc_id").alias(kept_id), F.col("set_key").alias(kept_key))
+    same = (F.col(f"`{mark}`") == F.col(f"`{kept_key}`")) & own.eqNullSafe(F.col(f"`{kept_id}`"))
+    return rows.join(kept, same, "left_semi").dropDuplicates([id_col, mark]).drop(mark)
 
 
 def _set_key(shingles: np.ndarray) -> int | None:
