@@ -17,6 +17,7 @@ from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import as_col, null_safe
 from .text import analyze, normalize
@@ -103,7 +104,7 @@ def wildcard(field, pattern: str, case_insensitive: bool = False) -> Column:
 
 def regexp(field, pattern: str) -> Column:
     """The regular expression must match the whole value."""
-    return as_col(field).rlike(f"^(?:{pattern})$")
+    return as_col(field).rlike(rf"\A(?:{pattern})\z")
 
 
 def fuzzy(field, value: str, max_edits: int = 2) -> Column:
@@ -222,6 +223,66 @@ def not_(p: Column) -> Column:
     return (~p) | p.isNull()
 
 
+# Predicates on one field, and on several.
+_ON_FIELD = ("term", "terms", "range_", "exists", "missing", "prefix", "wildcard", "regexp", "fuzzy", "match",
+             "match_phrase")
+
+
+def _part(name: str):
+    return lambda x: x.getField(name)
+
+
+class on:  # noqa: N801
+    """The predicates bound to a frame, so that fields may hold several
+    values: on an array (or a path into an array of objects) a clause holds if
+    it does for any element. ``P.on(df).term("tags", "red")``; other clauses
+    and plain fields are as in this module."""
+
+    def __init__(self, df: DataFrame):
+        self._df = df
+
+    def _values(self, field):
+        """The array of a field's elements, or None for a plain field."""
+        dtype, ref, many = self._df.schema, None, False
+        if not isinstance(field, str):
+            return None
+        for name in field.split("."):
+            if isinstance(dtype, T.ArrayType):
+                many = True
+                if isinstance(dtype.elementType, T.ArrayType):
+                    ref, dtype = F.flatten(ref), dtype.elementType
+                element = dtype.elementType
+                if not isinstance(element, T.StructType) or name not in element.names:
+                    return None
+                ref, dtype = F.transform(ref, _part(name)), T.ArrayType(element[name].dataType)
+            elif isinstance(dtype, T.StructType) and name in dtype.names:
+                ref = F.col(f"`{name}`") if ref is None else ref.getField(name)
+                dtype = dtype[name].dataType
+            else:
+                return None
+        while isinstance(dtype, T.ArrayType) and isinstance(dtype.elementType, T.ArrayType):
+            ref, dtype, many = F.flatten(ref), dtype.elementType, True
+        return ref if many or isinstance(dtype, T.ArrayType) else None
+
+    def __getattr__(self, name: str):
+        plain = globals()[name]
+        if name == "multi_match":
+            def several(fields, text, operator="or", minimum_should_match=None):
+                return _or([self.match(f, text, operator, minimum_should_match) for f in fields])
+            return several
+        if name not in _ON_FIELD:
+            return plain
+
+        def bound(field, *args, **options):
+            values = self._values(field)
+            if values is None:
+                return plain(field, *args, **options)
+            if name == "missing":  # no element with a value
+                return not_(F.exists(values, lambda x: x.isNotNull()))
+            return F.exists(values, lambda x: null_safe(plain(x, *args, **options)))
+        return bound
+
+
 def nested(array_field, element_predicate) -> Column:
     """An array-of-struct field has at least one element satisfying the
     predicate (a function from the element Column to a boolean Column); the

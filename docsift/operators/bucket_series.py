@@ -141,7 +141,7 @@ def sibling(bt: DataFrame, metric: str, name: str, kind: str, key: str = "key",
     if kind in ("min", "max"):
         best = F.min(m) if kind == "min" else F.max(m)
         rank = m if kind == "min" else -m
-        return bt.agg(best.alias(name), F.min_by(F.col(key), F.struct(rank, F.col(key))).alias(f"{name}_key"))
+        return bt.agg(best.alias(name), F.min_by(F.col(key), _ranked(m, rank, key)).alias(f"{name}_key"))
     if kind == "stats":
         return bt.agg(F.count(m).alias(f"{name}_count"), F.min(m).alias(f"{name}_min"),
                       F.max(m).alias(f"{name}_max"), F.avg(m).alias(f"{name}_avg"),
@@ -151,6 +151,11 @@ def sibling(bt: DataFrame, metric: str, name: str, kind: str, key: str = "key",
     raise ValueError(f"unknown sibling pipeline {kind!r}")
 
 
+def _ranked(m, rank, key: str):
+    """Order of the buckets that have a metric (others take no part)."""
+    return F.when(m.isNotNull(), F.struct(rank, F.col(key)))
+
+
 def siblings(bt: DataFrame, metric: str, name: str, key: str = "key",
              percents: Sequence[float] = (50,)) -> DataFrame:
     """All sibling pipelines in one aggregate over the bucket table: avg, sum,
@@ -158,8 +163,8 @@ def siblings(bt: DataFrame, metric: str, name: str, key: str = "key",
     count and percentiles of ``metric`` across buckets."""
     m = F.col(metric)
     exprs = [F.avg(m).alias(f"{name}_avg"), F.sum(m).alias(f"{name}_sum"), F.count(m).alias(f"{name}_count"),
-             F.min(m).alias(f"{name}_min"), F.min_by(F.col(key), F.struct(m, F.col(key))).alias(f"{name}_min_key"),
-             F.max(m).alias(f"{name}_max"), F.min_by(F.col(key), F.struct(-m, F.col(key))).alias(f"{name}_max_key")]
+             F.min(m).alias(f"{name}_min"), F.min_by(F.col(key), _ranked(m, m, key)).alias(f"{name}_min_key"),
+             F.max(m).alias(f"{name}_max"), F.min_by(F.col(key), _ranked(m, -m, key)).alias(f"{name}_max_key")]
     out = bt.agg(*exprs)
     if not percents:
         return out

@@ -18,6 +18,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.common import as_col, null_safe
+from ..functions.predicates import on
+from ..session import cut_lineage
 from .metrics import Metric, aggregate
 from .ordered import top_n_per_group
 
@@ -47,15 +49,34 @@ class BucketAgg:
     def run(self, df: DataFrame) -> DataFrame:
         raise NotImplementedError
 
+    def keyed(self, df: DataFrame, name: str) -> DataFrame:
+        """``df`` with the bucket's key as column ``name``: a row for each
+        bucket a document is in, none for documents in no bucket."""
+        raise NotImplementedError(f"{type(self).__name__} has no keys to nest")
+
+
+#: Key column while metrics are computed: a document field may be called "key".
+_KEY = "_bucket_key"
+
+
+def _values(df: DataFrame, field_) -> Column | None:
+    """The distinct values of an array field (a document is in one bucket for
+    each), or None for a plain field."""
+    if isinstance(field_, Column):
+        return None
+    values = on(df)._values(field_)
+    return None if values is None else F.array_distinct(values)
+
 
 @dataclass
 class terms(BucketAgg):  # noqa: N801
     """One bucket per distinct value. Default order: doc_count desc, key asc.
-    ``missing`` puts NULLs into a bucket with that key (else they are skipped);
+    An array field has a bucket for each element, with the documents that hold
+    it. ``missing`` puts NULLs into a bucket with that key (else they are skipped);
     ``include``/``exclude`` are whole-value regular expressions;
     ``case_insensitive`` buckets on the lower-cased value."""
     field: object
-    size: int | None = 10
+    size: int | None = None
     metrics: Mapping[str, Metric] = field(default_factory=dict)
     order: Sequence = (("_count", "desc"),)
     min_doc_count: int = 1
@@ -65,25 +86,32 @@ class terms(BucketAgg):  # noqa: N801
     case_insensitive: bool = False
     key_name: str = "key"
 
-    def key_col(self) -> Column:
-        c = as_col(self.field)
+    def key_col(self, c: Column) -> Column:
         if self.case_insensitive:
             c = F.lower(c)
         if self.missing is not None:
             c = F.coalesce(c, F.lit(self.missing))
         return c
 
-    def prepare(self, df: DataFrame) -> DataFrame:
-        k = self.key_name
-        out = df.withColumn(k, self.key_col()).filter(F.col(k).isNotNull())
+    def keyed(self, df: DataFrame, name: str) -> DataFrame:
+        values = _values(df, self.field)
+        if values is None:
+            out = df.withColumn(name, self.key_col(as_col(self.field)))
+        else:
+            # one bucket for each element, a document once in each
+            values = F.array_distinct(F.transform(values, self.key_col))
+            if self.missing is not None:
+                values = F.when(F.size(values) > 0, values).otherwise(F.array(F.lit(self.missing)))
+            out = df.withColumn(name, F.explode(values))
+        out = out.filter(F.col(name).isNotNull())
         if self.include is not None:
-            out = out.filter(F.col(k).cast("string").rlike(f"^(?:{self.include})$"))
+            out = out.filter(F.col(name).cast("string").rlike(rf"\A(?:{self.include})\z"))
         if self.exclude is not None:
-            out = out.filter(~F.col(k).cast("string").rlike(f"^(?:{self.exclude})$"))
+            out = out.filter(~F.col(name).cast("string").rlike(rf"\A(?:{self.exclude})\z"))
         return out
 
     def run(self, df: DataFrame) -> DataFrame:
-        out = aggregate(self.prepare(df), [self.key_name], self.metrics)
+        out = aggregate(self.keyed(df, _KEY), [_KEY], self.metrics).withColumnRenamed(_KEY, self.key_name)
         return _finish(out, self.order, [self.key_name], self.size, self.min_doc_count)
 
 
@@ -92,19 +120,25 @@ class composite(BucketAgg):  # noqa: N801
     """Buckets over several keys, ordered by the key tuple; ``after`` resumes
     after a given key tuple (paging through all buckets)."""
     sources: Sequence  # (name, field or Column)
-    size: int | None = 10
+    size: int | None = None
     after: Sequence | None = None
     metrics: Mapping[str, Metric] = field(default_factory=dict)
 
     def run(self, df: DataFrame) -> DataFrame:
         names = [n for n, _ in self.sources]
-        keyed = df.withColumns({n: as_col(c) for n, c in self.sources})
-        for n in names:
-            keyed = keyed.filter(F.col(n).isNotNull())
-        out = aggregate(keyed, names, self.metrics)
+        hidden = [f"{_KEY}_{i}" for i in range(len(names))]
+        src = df
+        for _, c in self.sources:
+            src = src.filter(as_col(c).isNotNull())
         if self.after is not None:
-            out = out.filter(F.struct(*[F.col(n) for n in names]) >
-                             F.struct(*[F.lit(v).alias(n) for n, v in zip(names, self.after)]))
+            # spelled out, so that the first key's bound reaches the scan
+            keys, bounds = [as_col(c) for _, c in self.sources], [F.lit(v) for v in self.after]
+            later = keys[-1] > bounds[-1]
+            for k, v in zip(keys[-2::-1], bounds[-2::-1]):
+                later = (k > v) | ((k == v) & later)
+            src = src.filter((keys[0] >= bounds[0]) & later)
+        keyed = src.withColumns(dict(zip(hidden, [as_col(c) for _, c in self.sources])))
+        out = aggregate(keyed, hidden, self.metrics).withColumnsRenamed(dict(zip(hidden, names)))
         ordered = out.orderBy(*[F.col(n).asc() for n in names])
         return ordered.limit(self.size) if self.size is not None else ordered
 
@@ -113,18 +147,26 @@ class composite(BucketAgg):  # noqa: N801
 class histogram(BucketAgg):  # noqa: N801
     """Fixed-width numeric buckets: key = floor((x - offset)/interval)*interval + offset.
     ``min_doc_count=0`` also returns the empty buckets between the first and
-    the last non-empty one (generated from a one-row bounds aggregate)."""
+    the last non-empty one (generated from a one-row bounds aggregate). NaN
+    and infinite values are in no bucket."""
     field: object
     interval: float
     offset: float = 0.0
     min_doc_count: int = 1
     metrics: Mapping[str, Metric] = field(default_factory=dict)
 
-    def run(self, df: DataFrame) -> DataFrame:
+    def _numbered(self, df: DataFrame) -> DataFrame:
         x = as_col(self.field).cast("double")
-        idx = F.floor((x - F.lit(self.offset)) / F.lit(self.interval))
-        keyed = df.withColumn("_idx", idx).filter(F.col("_idx").isNotNull())
-        out = aggregate(keyed, ["_idx"], self.metrics)
+        finite = ~F.isnan(x) & (F.abs(x) != F.lit(float("inf")))
+        idx = F.floor((F.when(finite, x) - F.lit(self.offset)) / F.lit(self.interval))
+        return df.withColumn("_idx", idx).filter(F.col("_idx").isNotNull())
+
+    def keyed(self, df: DataFrame, name: str) -> DataFrame:
+        key = F.col("_idx").cast("double") * F.lit(float(self.interval)) + F.lit(float(self.offset))
+        return self._numbered(df).withColumn(name, key).drop("_idx")
+
+    def run(self, df: DataFrame) -> DataFrame:
+        out = aggregate(self._numbered(df), ["_idx"], self.metrics)
         if self.min_doc_count == 0:
             out = _fill_gaps(out)
         elif self.min_doc_count > 1:
@@ -139,7 +181,9 @@ def _fill_gaps(out: DataFrame, idx: str = "_idx") -> DataFrame:
     Buckets are numbered by a bigint index; the index range comes from a
     one-row aggregate and the full range is generated by ``spark.range``,
     which is split across tasks, so a fine interval over a long span never
-    materialises in one row or one task. The bucket table is left-joined on it."""
+    materialises in one row or one task. The bucket table (checkpointed, as
+    the bounds and the result read it) is left-joined on it."""
+    out = cut_lineage(out)
     b = out.agg(F.min(idx).alias("lo"), F.max(idx).alias("hi")).first()
     if b is None or b["lo"] is None:
         return out
@@ -170,6 +214,10 @@ def _micros(ts: Column) -> Column:
     return F.unix_micros(ts.cast("timestamp"))
 
 
+def _floor_div(x: Column, step: int) -> Column:
+    return F.call_function("div", x - F.pmod(x, F.lit(step)), F.lit(step))
+
+
 @dataclass
 class date_histogram(BucketAgg):  # noqa: N801
     """Time buckets. ``calendar_interval`` in minute/hour/day/week/month/
@@ -196,7 +244,9 @@ class date_histogram(BucketAgg):  # noqa: N801
         """Bucket number of a timestamp (consecutive buckets differ by 1)."""
         step = self._step_us()
         if step is not None:
-            return F.floor((_micros(ts) - F.lit(self._origin_us())) / F.lit(step)).cast("bigint")
+            # whole-number division, rounded down also before the origin
+            us = _micros(ts) - F.lit(self._origin_us())
+            return _floor_div(us, step)
         y, m = F.year(ts).cast("bigint"), F.month(ts).cast("bigint")
         if self.calendar_interval == "month":
             return y * 12 + m - 1
@@ -224,6 +274,9 @@ class date_histogram(BucketAgg):  # noqa: N801
             raise ValueError("give calendar_interval or fixed_interval")
         return self.from_index(self.to_index(as_col(self.field)))
 
+    def keyed(self, df: DataFrame, name: str) -> DataFrame:
+        return df.withColumn(name, self.key_col()).filter(F.col(name).isNotNull())
+
     def run(self, df: DataFrame) -> DataFrame:
         keyed = df.withColumn("_idx", self.to_index(as_col(self.field))).filter(F.col("_idx").isNotNull())
         out = aggregate(keyed, ["_idx"], self.metrics)
@@ -235,6 +288,37 @@ class date_histogram(BucketAgg):  # noqa: N801
                    .orderBy("key"))
 
 
+def _labelled(df: DataFrame, labelled: Sequence[tuple[str, Column]], metrics: Mapping[str, Metric]) -> DataFrame:
+    """Buckets given by conditions: ``key``, ``_pos``, ``doc_count`` and the
+    metrics, a row for each, also for empty ones.
+
+    One aggregate without keys holds every bucket's numbers (a metric over the
+    rows of a bucket hides its field elsewhere), and its single row is then
+    turned into one row for each bucket: rows are neither multiplied nor
+    shuffled. Metrics that need a pass of their own (exact percentiles and the
+    like) are computed over labelled copies of the rows."""
+    parts, plain = [], True
+    for pos, (label, cond) in enumerate(labelled):
+        hit = null_safe(cond)
+        own = {n: m.only_where(hit) for n, m in metrics.items()}
+        plain = plain and all(m is not None and m.post(n) is None for n, m in own.items())
+        parts.append((pos, label, hit, own))
+    spark = df.sparkSession
+    if not plain:
+        out = aggregate(_label_explode(df, labelled, _KEY), [_KEY], metrics).withColumnRenamed(_KEY, "key")
+        spec = _spec_table(spark, [(k, i) for i, (k, _) in enumerate(labelled)], "key string, _pos int")
+        return spec.join(out, on="key", how="left").withColumn("doc_count", F.coalesce("doc_count", F.lit(0)))
+    exprs, rows = [], []
+    for pos, label, hit, own in parts:
+        exprs.append(F.count(F.when(hit, 1)).alias(f"_{pos}_n"))
+        fields = [F.lit(label).alias("key"), F.lit(pos).alias("_pos"), F.col(f"_{pos}_n").alias("doc_count")]
+        for n, m in own.items():
+            exprs += m.exprs(f"_{pos}_{n}")
+            fields += [F.col(f"`{c}`").alias(o) for c, o in zip(m.output(f"_{pos}_{n}"), m.output(n))]
+        rows.append(F.struct(*fields))
+    return df.agg(*exprs).select(F.inline(F.array(*rows)))
+
+
 def _label_explode(df: DataFrame, labelled: Sequence[tuple[str, Column]], name: str = "key") -> DataFrame:
     """Explode each row into the names of the (possibly overlapping) buckets it
     belongs to. Rows in no bucket disappear."""
@@ -244,9 +328,8 @@ def _label_explode(df: DataFrame, labelled: Sequence[tuple[str, Column]], name:
 
 
 def _spec_table(spark, rows, schema) -> DataFrame:
-    # Built from the request itself (one row per requested bucket), so its size
-    # is bounded by the spec; broadcasting it is safe at any data size.
-    return F.broadcast(spark.createDataFrame(rows, schema))
+    # built from the request itself: one row per requested bucket
+    return spark.createDataFrame(rows, schema)
 
 
 @dataclass
@@ -259,7 +342,10 @@ class range_(BucketAgg):  # noqa: N801
     metrics: Mapping[str, Metric] = field(default_factory=dict)
     bound_type: str = "double"
 
-    def run(self, df: DataFrame) -> DataFrame:
+    def keyed(self, df: DataFrame, name: str) -> DataFrame:
+        return _label_explode(df, self._conditions(), name)
+
+    def _conditions(self) -> list[tuple[str, Column]]:
         x = as_col(self.field)
         labelled = []
         for key, lo, hi in self.ranges:
@@ -269,11 +355,14 @@ class range_(BucketAgg):  # noqa: N801
             if hi is not None:
                 cond = cond & (x < F.lit(hi))
             labelled.append((key, cond))
-        out = aggregate(_label_explode(df, labelled), ["key"], self.metrics)
-        spec = _spec_table(df.sparkSession, [(k, i, lo, hi) for i, (k, lo, hi) in enumerate(self.ranges)],
-                           f"key string, _pos int, `from` {self.bound_type}, `to` {self.bound_type}")
-        res = spec.join(out, on="key", how="left").withColumn("doc_count", F.coalesce("doc_count", F.lit(0)))
-        return res.orderBy("_pos").drop("_pos")
+        return labelled
+
+    def run(self, df: DataFrame) -> DataFrame:
+        out = _labelled(df, self._conditions(), self.metrics)
+        bound = lambda side: F.element_at(F.array(*[
+            F.lit(r[side]).cast(self.bound_type) for r in self.ranges]), F.col("_pos") + 1)
+        rest = [c for c in out.columns if c not in ("key", "_pos")]
+        return out.orderBy("_pos").select("key", bound(1).alias("from"), bound(2).alias("to"), *rest)
 
 
 def date_range(field, ranges, metrics=None) -> range_:
@@ -288,17 +377,20 @@ class filters(BucketAgg):  # noqa: N801
     other_bucket_key: str | None = None
     metrics: Mapping[str, Metric] = field(default_factory=dict)
 
-    def run(self, df: DataFrame) -> DataFrame:
+    def keyed(self, df: DataFrame, name: str) -> DataFrame:
+        return _label_explode(df, self._conditions(), name)
+
+    def _conditions(self) -> list[tuple[str, Column]]:
         labelled = list(self.named.items())
         if self.other_bucket_key:
             none = F.lit(True)
             for _, c in labelled:
                 none = none & ~null_safe(c)
             labelled.append((self.other_bucket_key, none))
-        out = aggregate(_label_explode(df, labelled), ["key"], self.metrics)
-        spec = _spec_table(df.sparkSession, [(k, i) for i, (k, _) in enumerate(labelled)], "key string, _pos int")
-        res = spec.join(out, on="key", how="left").withColumn("doc_count", F.coalesce("doc_count", F.lit(0)))
-        return res.orderBy("_pos").drop("_pos")
+        return labelled
+
+    def run(self, df: DataFrame) -> DataFrame:
+        return _labelled(df, self._conditions(), self.metrics).orderBy("_pos").drop("_pos")
 
 
 def filter_(cond: Column, metrics=None) -> "single_bucket":
@@ -349,6 +441,7 @@ class sub_terms(BucketAgg):  # noqa: N801
         for n in names:
             keyed = keyed.filter(F.col(n).isNotNull())
         leaf = aggregate(keyed, names, self.metrics).withColumnRenamed("doc_count", f"{names[-1]}_doc_count")
+        leaf = cut_lineage(leaf)  # read once for each level
         out = leaf
         for i, (n, _, size) in enumerate(self.levels):
             path = names[: i + 1]
@@ -384,11 +477,11 @@ class nested_terms(BucketAgg):
     metrics: Mapping[str, Metric] = field(default_factory=dict)
 
     def run(self, child: DataFrame) -> DataFrame:
-        keyed = child.withColumn("key", as_col(self.field)).filter(F.col("key").isNotNull())
+        keyed = child.withColumn(_KEY, as_col(self.field)).filter(F.col(_KEY).isNotNull())
         m = dict(self.metrics)
         from .metrics import cardinality
         m["parent_count"] = cardinality(self.parent_key)
-        out = aggregate(keyed, ["key"], m)
+        out = aggregate(keyed, [_KEY], m).withColumnRenamed(_KEY, "key")
         return _finish(out, (("_count", "desc"),), ["key"], self.size)
 
 
@@ -408,26 +501,113 @@ class adjacency_matrix(BucketAgg):  # noqa: N801
     are not returned."""
     named: Mapping[str, Column]
     separator: str = "&"
+    metrics: Mapping[str, Metric] = field(default_factory=dict)
 
-    def run(self, df: DataFrame) -> DataFrame:
+    def keyed(self, df: DataFrame, name: str) -> DataFrame:
+        return _label_explode(df, self._conditions(), name)
+
+    def _conditions(self) -> list[tuple[str, Column]]:
         names = sorted(self.named)
         labels = [(n, self.named[n]) for n in names]
         for i in range(len(names)):
             for j in range(i + 1, len(names)):
                 a, b = names[i], names[j]
                 labels.append((f"{a}{self.separator}{b}", null_safe(self.named[a]) & null_safe(self.named[b])))
-        out = aggregate(_label_explode(df, labels), ["key"], {})
-        return out.orderBy("key")
+        return labels
+
+    def run(self, df: DataFrame) -> DataFrame:
+        out = _labelled(df, self._conditions(), self.metrics).filter(F.col("doc_count") > 0)
+        return out.drop("_pos").orderBy("key")
+
+
+@dataclass
+class tree(BucketAgg):
+    """Any buckets inside any buckets, to any depth. ``levels`` = (name, bucket
+    spec[, size]): one row for each path of buckets, with each level's key
+    ``<name>``, ``<name>_doc_count`` and its metrics ``<name>_<metric>``.
+    ``size`` keeps the largest buckets of each parent (ties by key).
+
+    Each level is one aggregate over the rows keyed so far, so a document that
+    lies in several buckets of a lower level counts once in the upper one."""
+    levels: Sequence
+
+    def run(self, df: DataFrame) -> DataFrame:
+        names, out = [], None
+        hidden = {level[0]: f"{_KEY}_{i}" for i, level in enumerate(self.levels)}
+        for level in self.levels:
+            name, spec, size = (*level, None)[:3]
+            names.append(hidden[name])
+            df = spec.keyed(df, hidden[name])
+            got = aggregate(df, names, spec.metrics)
+            got = got.withColumnsRenamed({c: f"{name}_{c}" for c in got.columns if c not in names})
+            least = getattr(spec, "min_doc_count", 1)
+            if least > 1:
+                got = got.filter(F.col(f"{name}_doc_count") >= least)
+            if size is not None:
+                got = top_n_per_group(got, names[:-1], [F.col(f"{name}_doc_count").desc(), F.col(names[-1]).asc()], size)
+            out = got if out is None else out.join(got, names[:-1])
+        shown = {h: n for n, h in hidden.items()}
+        return out.withColumnsRenamed(shown).orderBy(*[F.col(n) for n in hidden])
+
+
+@dataclass
+class spec_of(BucketAgg):  # noqa: N801
+    """Any function from rows to a bucket table as a named aggregation, so it
+    can stand in a request with a query (token, rare and significant terms)."""
+    function: object
+    metrics: Mapping[str, Metric] = field(default_factory=dict)
+
+    def run(self, df: DataFrame) -> DataFrame:
+        return self.function(df)
+
+
+@dataclass
+class rare_terms(BucketAgg):  # noqa: N801
+    """Values of a field (one bucket for each element of an array) found in at
+    most ``max_doc_count`` documents."""
+    field: object
+    max_doc_count: int = 1
+    metrics: Mapping[str, Metric] = field(default_factory=dict)
+
+    def keyed(self, df: DataFrame, name: str) -> DataFrame:
+        return terms(self.field).keyed(df, name)
+
+    def run(self, df: DataFrame) -> DataFrame:
+        out = aggregate(self.keyed(df, _KEY), [_KEY], self.metrics).withColumnRenamed(_KEY, "key")
+        return out.filter(F.col("doc_count") <= self.max_doc_count).orderBy("doc_count", "key")
+
+
+@dataclass
+class significant_terms(BucketAgg):  # noqa: N801
+    """Values of a field over-represented among the rows that match
+    ``foreground``, against all rows: score = (fg% - bg%) * fg% / bg%."""
+    field: object
+    foreground: Column
+    size: int | None = None
+    min_doc_count: int = 1
+
+    def run(self, df: DataFrame) -> DataFrame:
+        hit = null_safe(self.foreground)
+        total = df.agg(F.count(F.lit(1)).alias("bg"), F.count(F.when(hit, 1)).alias("fg")).first()
+        flagged = terms(self.field).keyed(df.withColumn("_fg", hit), _KEY)
+        out = flagged.groupBy(F.col(_KEY).alias("key")).agg(
+            F.count(F.when(F.col("_fg"), 1)).alias("doc_count"), F.count(F.lit(1)).alias("bg_count"))
+        fg = F.col("doc_count") / F.lit(float(total["fg"] or "nan"))
+        bg = F.col("bg_count") / F.lit(float(total["bg"] or "nan"))
+        out = out.withColumn("score", (fg - bg) * fg / bg).filter(
+            (F.col("doc_count") >= self.min_doc_count) & (F.col("score") > 0))
+        out = out.orderBy(F.col("score").desc(), F.col("key").asc())
+        return out.limit(self.size) if self.size is not None else out
 
 
 @dataclass
 class sampler(BucketAgg):  # noqa: N801
     """Run sub-aggregations on a sample: the ``shard_size`` best rows by a
     score column (top-k, bounded), or a deterministic hash sample keeping rows
-    with ``pmod(xxhash64(id), modulus) == 0``."""
+    with ``md5(id)`` (its first 8 hex digits) divisible by ``modulus``."""
     inner: BucketAgg
     score: object | None = None
-    shard_size: int = 100
+    shard_size: int | None = None      # rows kept by score; needed with a score
     tie_breaker: str | None = None
     hash_field: str | None = None
     modulus: int = 10
@@ -435,6 +615,8 @@ class sampler(BucketAgg):  # noqa: N801
 
     def sample(self, df: DataFrame) -> DataFrame:
         if self.score is not None:
+            if self.shard_size is None:
+                raise ValueError("sampling by score needs shard_size")
             order = [as_col(self.score).desc_nulls_last()]
             if self.tie_breaker:
                 order.append(F.col(self.tie_breaker).asc())
@@ -442,7 +624,8 @@ class sampler(BucketAgg):  # noqa: N801
             # rows at or below min_score rank last, so dropping them after the
             # limit equals dropping them before it
             return top.filter(as_col(self.score) > self.min_score) if self.min_score is not None else top
-        return df.filter(F.pmod(F.xxhash64(as_col(self.hash_field)), F.lit(self.modulus)) == 0)
+        digits = F.substring(F.md5(as_col(self.hash_field).cast("string")), 1, 8)
+        return df.filter(F.conv(digits, 16, 10).cast("bigint") % F.lit(self.modulus) == 0)
 
     def run(self, df: DataFrame) -> DataFrame:
         return self.inner.run(self.sample(df))
@@ -450,8 +633,6 @@ class sampler(BucketAgg):  # noqa: N801
 
 def top_hits(df: DataFrame, by: Sequence[str], n: int, order: Sequence[Column]) -> DataFrame:
     """Best ``n`` rows per bucket with their ``rank`` (``order`` must end in a
-    unique key). A hot bucket is never ranked by one task: up to Spark's
-    window-group-limit threshold each map task keeps its own best ``n`` per
-    bucket before the shuffle; above it the ranking runs over range slices
-    (:func:`top_n_per_group`)."""
+    unique key), in two rounds (:func:`top_n_per_group`): a hot bucket is
+    ranked by many tasks first."""
     return top_n_per_group(df, by, order, n, rank="rank")

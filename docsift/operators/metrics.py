@@ -14,7 +14,7 @@ multi-valued one gives ``m_<part>`` (e.g. ``m_min``, ``m_p50``).
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -44,6 +44,17 @@ class Metric:
 
     special = False
 
+    def main_exprs(self, name: str) -> list[Column]:
+        """Expressions of a special metric that fit the main aggregate."""
+        return []
+
+    def only_where(self, cond: Column) -> "Metric | None":
+        """The metric over the rows where ``cond`` holds, or None if it
+        cannot be had by hiding a field's value elsewhere."""
+        if self.special or not hasattr(self, "field"):
+            return None
+        return replace(self, field=F.when(cond, as_col(self.field)))
+
 
 @dataclass
 class _Simple(Metric):
@@ -116,11 +127,12 @@ class extended_stats(Metric):  # noqa: N801
 
     def exprs(self, name):
         c = as_col(self.field)
-        sd = F.stddev_pop(c)
+        wide = c.cast("double")  # squares of whole numbers overflow their type
+        sd = F.stddev_pop(wide)
         return [F.count(c).alias(f"{name}_count"), F.min(c).alias(f"{name}_min"),
                 F.max(c).alias(f"{name}_max"), F.avg(c).alias(f"{name}_avg"),
-                F.sum(c).alias(f"{name}_sum"), F.sum(c * c).alias(f"{name}_sum_of_squares"),
-                F.var_pop(c).alias(f"{name}_variance"), sd.alias(f"{name}_std_deviation"),
+                F.sum(c).alias(f"{name}_sum"), F.sum(wide * wide).alias(f"{name}_sum_of_squares"),
+                F.var_pop(wide).alias(f"{name}_variance"), sd.alias(f"{name}_std_deviation"),
                 (F.avg(c) + F.lit(self.sigma) * sd).alias(f"{name}_std_upper"),
                 (F.avg(c) - F.lit(self.sigma) * sd).alias(f"{name}_std_lower")]
 
@@ -187,7 +199,7 @@ class weighted_avg(Metric):  # noqa: N801
     weight: object
 
     def exprs(self, name):
-        v, w = as_col(self.value), as_col(self.weight)
+        v, w = as_col(self.value).cast("double"), as_col(self.weight).cast("double")
         both = v.isNotNull() & w.isNotNull()
         return [(F.sum(F.when(both, v * w)) / F.sum(F.when(both, w))).alias(name)]
 
@@ -218,6 +230,16 @@ class matrix_stats(Metric):  # noqa: N801
                         F.corr(g(a), g(b)).alias(f"{name}_{a}_{b}_correlation")]
         return out
 
+    def output(self, name):
+        fs = list(self.fields)
+        out = [f"{name}_count"]
+        for f in fs:
+            out += [f"{name}_{f}_mean", f"{name}_{f}_variance"]
+        for i, a in enumerate(fs):
+            for b in fs[i + 1:]:
+                out += [f"{name}_{a}_{b}_covariance", f"{name}_{a}_{b}_correlation"]
+        return out
+
 
 
 # --- metrics that need a second aggregate over the same keys ---------------
@@ -262,17 +284,19 @@ class string_stats(Metric):  # noqa: N801
     def compute(self, df: DataFrame, keys: list[str], name: str) -> DataFrame:
         c = as_col(self.field)
         base = df.select(*keys, c.alias("_s")).filter(F.col("_s").isNotNull())
-        lens = base.groupBy(*keys).agg(
-            F.count("*").alias(f"{name}_count"),
-            F.min(F.length("_s")).alias(f"{name}_min_length"),
-            F.max(F.length("_s")).alias(f"{name}_max_length"),
-            F.avg(F.length("_s")).alias(f"{name}_avg_length"))
         chars = (base.select(*keys, F.explode(F.split(F.col("_s"), "")).alias("_ch"))
                      .filter(F.col("_ch") != "")
                      .groupBy(*keys, "_ch").agg(F.count("*").alias("_n")))
-        ent = chars.groupBy(*keys).agg(
+        return chars.groupBy(*keys).agg(
             (F.log2(F.sum("_n")) - F.sum(F.col("_n") * F.log2("_n")) / F.sum("_n")).alias(f"{name}_entropy"))
-        return _join_on_keys(lens, ent, keys, how="left")
+
+    def main_exprs(self, name):
+        c = as_col(self.field)
+        return [F.count(c).alias(f"{name}_count"), F.min(F.length(c)).alias(f"{name}_min_length"),
+                F.max(F.length(c)).alias(f"{name}_max_length"), F.avg(F.length(c)).alias(f"{name}_avg_length")]
+
+    def output(self, name):
+        return [f"{name}_{p}" for p in ("count", "min_length", "max_length", "avg_length", "entropy")]
 
 
 def _join_on_keys(a: DataFrame, b: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
@@ -298,6 +322,8 @@ def aggregate(df: DataFrame, keys: Sequence[str], metrics: Mapping[str, Metric]
         exprs.append(F.count(F.lit(1)).alias(doc_count))
     for n, m in simple.items():
         exprs += m.exprs(n)
+    for n, m in special.items():
+        exprs += m.main_exprs(n)
     if not exprs:
         exprs.append(F.count(F.lit(1)).alias("_n"))
     out = df.groupBy(*keys).agg(*exprs)

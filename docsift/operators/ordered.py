@@ -25,6 +25,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import cut_lineage
 
@@ -91,30 +92,40 @@ def positions(df: DataFrame, partition_by: Sequence[str], order: Sequence[Column
     return res.drop("_pid", "_ocnt", *vals, *[f"_o{v}" for v in vals], *[f"_l{v}" for v in vals])
 
 
+#: Slices of a group in the first round of :func:`top_n_per_group`.
+SLICES = 64
+
+
+def _unhashable(dtype: T.DataType) -> bool:
+    if isinstance(dtype, T.StructType):
+        return any(_unhashable(f.dataType) for f in dtype.fields)
+    if isinstance(dtype, T.ArrayType):
+        return _unhashable(dtype.elementType)
+    return isinstance(dtype, (T.MapType, T.VariantType))
+
+
 def top_n_per_group(df: DataFrame, partition_by: Sequence[str], order: Sequence[Column], n: int,
                     skip: int = 0, rank: str | None = None) -> DataFrame:
     """Rows at positions ``[skip, skip + n)`` of each group in ``order`` (which
     must be unique within a group); ``rank`` names an optional 1-based rank
     column.
 
-    Up to ``spark.sql.optimizer.windowGroupLimitThreshold`` rows per group,
-    a row-number filter is planned as a partial ``WindowGroupLimit`` in every
-    map task, so a hot group sends at most ``skip + n`` rows per task to the
-    final ranking. Beyond it, positions come from range slices
-    (:func:`positions`), so no task ranks a whole group."""
+    Two rounds: first the rows of a group are dealt out to :data:`SLICES`
+    slices by a hash, and each slice keeps its first ``skip + n``; then the
+    slices of a group are ranked together. A hot group is ranked by that many
+    tasks, and the last round of a group reads ``SLICES * (skip + n)`` rows at
+    most, however many tasks there were."""
     pb = list(partition_by)
-    threshold = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
-    if skip + n <= threshold:
-        # the filter must compare the row number itself with a literal for
-        # Spark to infer the WindowGroupLimit
-        w = (Window.partitionBy(*pb) if pb else Window.partitionBy()).orderBy(*order)
-        out = df.withColumn("_rn", F.row_number().over(w))
-        out = out.filter(F.col("_rn") <= skip + n)
-        if skip:
-            out = out.filter(F.col("_rn") > skip)
-    else:
-        out = positions(df, pb, order).withColumn("_rn", F.col("_pos") + 1).drop("_pos")
-        out = out.filter((F.col("_rn") <= skip + n) & (F.col("_rn") > skip))
+    last = skip + n
+    names = [f.name for f in df.schema.fields if not _unhashable(f.dataType)]
+    deal = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in names]), F.lit(SLICES)) if names else F.lit(0)
+    first = Window.partitionBy(*pb, "_slice").orderBy(*order)
+    out = df.withColumn("_slice", deal)
+    out = out.withColumn("_rn", F.row_number().over(first)).filter(F.col("_rn") <= last)
+    w = (Window.partitionBy(*pb) if pb else Window.partitionBy(F.lit(0))).orderBy(*order)
+    out = out.drop("_slice").withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= last)
+    if skip:
+        out = out.filter(F.col("_rn") > skip)
     if rank:
         return out.withColumnRenamed("_rn", rank)
     return out.drop("_rn")

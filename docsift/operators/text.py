@@ -3,9 +3,7 @@ ranking and more-like-this.
 
 Document frequencies are computed from each document's *distinct* tokens, so a
 term is counted once per document. The operators take their input as it is
-partitioned: tokenizing runs in the scan tasks. A text table stored as a few
-unsplittable files can be spread once after reading (:func:`docsift.session.spread`).
-All term statistics are ``groupBy(term)``
+partitioned: tokenizing runs in the scan tasks. All term statistics are ``groupBy(term)``
 aggregates with map-side partial aggregation: frequent terms ("the", in a
 third of all documents) are pre-combined per task before the shuffle.
 """
@@ -27,12 +25,16 @@ BM25_K1 = 1.2
 BM25_B = 0.75
 
 
+#: Liked terms that may be broadcast (a few MB).
+BROADCAST_TERMS = 100_000
+
+
 def doc_terms(df: DataFrame, text_field: str, keep: Sequence[str] = ()) -> DataFrame:
     """One row per (document, distinct token)."""
     return df.select(*keep, F.explode(distinct_tokens(text_field)).alias("term"))
 
 
-def token_terms(df: DataFrame, text_field: str, size: int | None = 10) -> DataFrame:
+def token_terms(df: DataFrame, text_field: str, size: int | None = None) -> DataFrame:
     """Terms buckets over analysed text: bucket = token, a document counts once
     per token. Ordered by doc_count desc, key asc."""
     out = doc_terms(df, text_field).groupBy(F.col("term").alias("key")).agg(F.count("*").alias("doc_count"))
@@ -46,8 +48,8 @@ def rare_terms(df: DataFrame, text_field: str, max_doc_count: int = 1) -> DataFr
     return out.filter(F.col("doc_count") <= max_doc_count).orderBy("doc_count", "key")
 
 
-def significant_terms(df: DataFrame, text_field: str, foreground: Column, size: int | None = 10,
-                      min_doc_count: int = 3) -> DataFrame:
+def significant_terms(df: DataFrame, text_field: str, foreground: Column, size: int | None = None,
+                      min_doc_count: int = 1) -> DataFrame:
     """Tokens over-represented in the foreground set (rows matching
     ``foreground``) against all rows (the background).
 
@@ -132,39 +134,44 @@ def bm25_top_k(df: DataFrame, text_field: str, query: str, k: int, id_field: str
 
 
 def more_like_this(df: DataFrame, text_field: str, id_field: str, like_id, k: int = 10,
-                   max_query_terms: int = 25, min_doc_freq: int = 2, max_doc_freq_ratio: float = 0.5,
+                   max_query_terms: int | None = None, min_doc_freq: int = 1, max_doc_freq_ratio: float = 1.0,
                    min_term_freq: int = 1, minimum_should_match: int = 1) -> DataFrame:
     """Documents sharing the most informative tokens with document ``like_id``.
 
-    1. tokens of the liked document with their term frequency (>= min_term_freq);
-       this set is bounded by the length of one document, so it is broadcast;
-    2. every document's distinct tokens are semi-joined to that set first, so
-       only (document, liked term) pairs are shuffled, not the vocabulary;
-    3. document frequency per liked term, keeping min_doc_freq <= df <=
-       max_doc_freq_ratio * N, and the ``max_query_terms`` best by tf*ln(N/df)
-       (ties by term): a set bounded by that parameter, broadcast;
-    4. the pairs of every other document joined to it and counted per
-       document; ranked by shared count desc, then id.
-
-    The (document, liked term) pairs are checkpointed once and read by both
-    aggregates, so the corpus is tokenized a single time.
+    No term is left out unless asked for (``min_doc_freq``,
+    ``max_doc_freq_ratio``, ``max_query_terms``).
+
+    1. tokens of the liked document with their term frequency. Up to
+       :data:`BROADCAST_TERMS` of them go to the documents as one broadcast
+       array; more are joined as a table;
+    2. every document keeps the liked terms it holds as one array (an
+       intersection, no row per term), checkpointed without its text;
+    3. document frequency per liked term from those arrays, and the terms
+       that pass the limits, best by tf*ln(N/df), ties by term;
+    4. documents ranked by the number of such terms they hold, then id.
     """
-    like_tf = (df.filter(F.col(id_field) == F.lit(like_id))
-                 .select(F.explode(tokens(text_field)).alias("term"))
-                 .groupBy("term").agg(F.count("*").alias("tf"))
-                 .filter(F.col("tf") >= min_term_freq))
+    like = (df.filter(F.col(id_field) == F.lit(like_id))
+              .select(F.explode(tokens(text_field)).alias("term"))
+              .groupBy("term").agg(F.count("*").alias("tf"))
+              .filter(F.col("tf") >= min_term_freq))
+    like = cut_lineage(like)
+    if like.count() <= BROADCAST_TERMS:
+        liked = F.broadcast(like.agg(F.collect_list("term").alias("_liked")))
+        held = df.select(id_field, distinct_tokens(text_field).alias("_own")).join(liked).select(
+            id_field, F.array_intersect("_own", "_liked").alias("_held"))
+    else:
+        held = (doc_terms(df, text_field, keep=[id_field]).join(like, "term").groupBy(id_field)
+                .agg(F.collect_list("term").alias("_held")))
+    held = cut_lineage(held)
     n = df.count()
-    # the pairs feed two aggregates; materialise them once (reliable checkpoint
-    # in spark.checkpoint.dir) instead of tokenizing the corpus twice
-    pairs = cut_lineage(doc_terms(df, text_field, keep=[id_field]).join(F.broadcast(like_tf), "term"))
-    cand = (pairs.groupBy("term", "tf").agg(F.count("*").alias("df"))
-                 .filter((F.col("df") >= min_doc_freq) & (F.col("df") <= F.lit(max_doc_freq_ratio * n)))
-                 .withColumn("w", F.col("tf") * F.log(F.lit(float(n)) / F.col("df")))
-                 .orderBy(F.col("w").desc(), F.col("term").asc())
-                 .limit(max_query_terms)
-                 .select("term"))
-    shared = (pairs.filter(F.col(id_field) != F.lit(like_id)).select(id_field, "term")
-                   .join(F.broadcast(cand), "term")
-                   .groupBy(id_field).agg(F.count("*").alias("shared_terms"))
-                   .filter(F.col("shared_terms") >= minimum_should_match))
+    freq = held.select(F.explode("_held").alias("term")).groupBy("term").agg(F.count("*").alias("df"))
+    cand = (freq.join(like, "term")
+                .filter((F.col("df") >= min_doc_freq) & (F.col("df") <= F.lit(max_doc_freq_ratio * n)))
+                .withColumn("w", F.col("tf") * F.log(F.lit(float(n)) / F.col("df"))))
+    if max_query_terms is not None:
+        cand = cand.orderBy(F.col("w").desc(), F.col("term").asc()).limit(max_query_terms)
+    # at most as many terms as the liked document has
+    hits = held.filter(F.col(id_field) != F.lit(like_id)).select(id_field, F.explode("_held").alias("term"))
+    shared = (hits.join(cand.select("term"), "term").groupBy(id_field).agg(F.count("*").alias("shared_terms"))
+                  .filter(F.col("shared_terms") >= minimum_should_match))
     return shared.orderBy(F.col("shared_terms").desc(), F.col(id_field).asc()).limit(k)

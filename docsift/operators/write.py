@@ -8,29 +8,41 @@ version instead of overwriting the table being read.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.mapping import clean_field_names
 from ..functions.predicates import not_
+from ..session import cut_lineage
+from ..sources.documents import require_same_kinds
 
-# Above this many ids, a driver-side id list is not broadcast by hand: it is
-# joined as a table and AQE decides from its real size.
-ID_LIST_BROADCAST_LIMIT = 100_000
-
+# The bulk protocol's actions.
 ACTIONS = ("index", "create", "update", "delete")
 
 
-def assign_ids(df: DataFrame, id_field: str = "id", method: str = "content") -> DataFrame:
+def assign_ids(df: DataFrame, id_field: str = "id", method: str = "unique") -> DataFrame:
     """Give rows without an id one.
 
-    ``content``: SHA-256 of the row's JSON form (deterministic, so a retried
-    task after an executor loss produces the same ids; identical rows get the
-    same id). ``uuid``: random ids (not stable across task retries)."""
+    ``unique``: every row its own, also identical rows and rows of different
+    calls. The rows are written once to the checkpoint folder, so that their
+    ids stay the same after an executor loss. Ids are text, or negative random
+    numbers in a column of whole numbers.
+    ``content``: SHA-256 of the row's JSON form; identical rows get the same
+    id. ``uuid``: random ids (not stable across task retries)."""
+    kind = df.schema[id_field].dataType if id_field in df.columns else T.StringType()
     if method == "content":
         new = F.sha2(F.to_json(F.struct(*[F.col(c) for c in df.columns if c != id_field])), 256)
+    elif method == "unique":
+        df = cut_lineage(df)
+        place = F.concat(F.lit(uuid.uuid4().hex), F.monotonically_increasing_id().cast("string"))
+        new = F.sha2(place, 256)
+        if isinstance(kind, T.IntegralType):
+            return df.withColumn(id_field, F.coalesce(F.col(id_field).cast("bigint"),
+                                                      -(F.xxhash64(place).bitwiseAND(F.lit((1 << 62) - 1))) - 1))
     elif method == "uuid":
         new = F.expr("uuid()")
     else:
@@ -40,60 +52,80 @@ def assign_ids(df: DataFrame, id_field: str = "id", method: str = "content") ->
     return df.withColumn(id_field, new)
 
 
-def latest_per_id(df: DataFrame, id_field: str, order_field: str | None) -> DataFrame:
-    """One row per id: the one with the greatest ``order_field``.
+def latest_per_id(df: DataFrame, keys: str | Sequence[str], order_field: str | None) -> DataFrame:
+    """One row per id (or per tuple of keys): the one with the greatest
+    ``order_field``; a row without an order value loses to any row with one.
+    Without an order the result fails when ids repeat.
 
     Uses ``max_by`` over a struct (a declarative aggregate with map-side
     partial aggregation) rather than a window, so an id repeated millions of
     times is reduced inside every task before the shuffle."""
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    row = F.struct(*[F.col(f"`{c}`") for c in df.columns if c not in keys])
     if order_field is None:
-        dup = df.groupBy(id_field).count().filter(F.col("count") > 1).limit(1).take(1)
-        if dup:
-            raise ValueError("ids repeat in the batch; give an order column to pick the latest")
-        return df
-    cols = [c for c in df.columns if c != id_field]
-    packed = df.groupBy(id_field).agg(F.max_by(F.struct(*cols), F.col(order_field)).alias("_r"))
-    return packed.select(id_field, *[F.col("_r")[c].alias(c) for c in cols])
+        packed = df.groupBy(*keys).agg(F.first(row).alias("_r"), F.count(F.lit(1)).alias("_n"))
+        repeated = F.raise_error(F.lit("ids repeat in the batch; give an order column to pick the latest"))
+        packed = packed.withColumn("_r", F.when(F.col("_n") > 1, repeated.cast(packed.schema["_r"].dataType))
+                                   .otherwise(F.col("_r")))
+    else:
+        known = F.col(order_field).isNotNull()
+        packed = df.groupBy(*keys).agg(F.max_by(row, F.struct(known, F.col(order_field))).alias("_r"))
+    return packed.select(*[F.col(c) if c in keys else F.col("_r")[c].alias(c) for c in df.columns])
 
 
 def upsert(base: DataFrame, new: DataFrame, id_field: str = "id", order_field: str | None = None,
-           clean_names: bool = True) -> DataFrame:
+           clean_names: bool = True, type_field: str | None = None) -> DataFrame:
     """Index rows into a table: a row whose id exists replaces the stored
-    document, others are appended; rows without id get one (:func:`assign_ids`).
+    document, others are appended; rows without id get one of their own
+    (:func:`assign_ids`). With ``type_field`` a document is replaced only by
+    one of its type. A common field that holds different kinds raises.
 
-    Plan: latest row per id in the batch, anti join of the base with the
-    batch ids (shuffle on id; AQE broadcasts a small batch and splits skew),
-    union by name (a field missing on either side is NULL)."""
+    Plan: latest row per id in the batch, then one full outer join with the
+    base on the id (the batch is read once; AQE splits skewed ids; a base
+    bucketed on the id is read in place)."""
     if clean_names:
         new = clean_field_names(new)
-    if id_field not in new.columns or new.schema[id_field].dataType.simpleString() == "string":
+    rest = [f for f in new.columns if f != id_field]
+    require_same_kinds(base.drop(id_field), new.select(*rest))
+    if id_field not in new.columns or new.schema[id_field].nullable:
         new = assign_ids(new, id_field)
-    new = latest_per_id(new, id_field, order_field)
+    keys = [id_field] + ([type_field] if type_field else [])
+    new = latest_per_id(new, keys, order_field)
     if order_field is not None and order_field not in base.columns:
         new = new.drop(order_field)
-    bt, nt = base.schema[id_field].dataType, new.schema[id_field].dataType
-    if bt != nt:
-        base = base.withColumn(id_field, F.col(id_field).cast("string"))
-        new = new.withColumn(id_field, F.col(id_field).cast("string"))
-    kept = base.join(new.select(id_field), on=id_field, how="left_anti")
-    return kept.unionByName(new, allowMissingColumns=True).select(
-        *base.columns, *[c for c in new.columns if c not in base.columns])
-
-
-def _id_table(spark, ids: Sequence, id_field: str, id_type: str) -> DataFrame:
-    t = spark.createDataFrame([(i,) for i in ids], f"{id_field} {id_type}")
-    return F.broadcast(t) if len(ids) <= ID_LIST_BROADCAST_LIMIT else t
-
-
-def delete_ids(df: DataFrame, ids: Iterable | DataFrame, id_field: str = "id") -> DataFrame:
-    """Remove documents by id; unknown ids are ignored. ``ids`` may be a
-    list (broadcast when small) or a DataFrame with an ``id_field`` column."""
+    if base.schema[id_field].dataType != new.schema[id_field].dataType:
+        whole = all(isinstance(d.schema[id_field].dataType, T.IntegralType) for d in (base, new))
+        kind = "bigint" if whole else "string"
+        base, new = (d.withColumn(id_field, F.col(id_field).cast(kind)) for d in (base, new))
+    packed = lambda d, name: d.select(*keys, F.struct(F.lit(1).alias("_"), *[
+        F.col(f"`{c}`") for c in d.columns if c not in keys]).alias(name))
+    joined = packed(base, "_b").join(packed(new, "_n"), keys, "full_outer")
+    out = []
+    for c in [*base.columns, *[c for c in new.columns if c not in base.columns]]:
+        if c in keys:
+            out.append(F.col(c))
+            continue
+        kept = F.col("_b")[c] if c in base.columns else F.lit(None)
+        came = F.col("_n")[c] if c in new.columns else F.lit(None)
+        out.append(F.when(F.col("_n").isNotNull(), came).otherwise(kept).alias(c))
+    return joined.select(*out)
+
+
+def delete_ids(df: DataFrame, ids: Iterable | DataFrame, id_field: str = "id", type_field: str | None = None,
+               doc_type=None) -> DataFrame:
+    """Remove documents by id; unknown ids are ignored. ``ids`` may be a list
+    (numbers or text; text that is no id of the field's type fails) or a
+    DataFrame with an ``id_field`` column. With ``type_field`` only documents
+    of ``doc_type`` are removed."""
     if isinstance(ids, DataFrame):
         table = ids.select(id_field).distinct()  # pre-aggregated: repeated ids shuffle once
     else:
-        ids = list(ids)
-        table = _id_table(df.sparkSession, ids, id_field, df.schema[id_field].dataType.simpleString())
-    return df.join(table, on=id_field, how="left_anti")
+        text = df.sparkSession.createDataFrame([(str(i),) for i in ids], "_id string")
+        table = text.select(F.col("_id").cast(df.schema[id_field].dataType).alias(id_field)).distinct()
+    if type_field is None:
+        return df.join(table, on=id_field, how="left_anti")
+    kind = df.schema[type_field].dataType
+    return df.join(table.withColumn(type_field, F.lit(doc_type).cast(kind)), on=[id_field, type_field], how="left_anti")
 
 
 def delete_type(df: DataFrame, type_field: str, doc_type) -> DataFrame:
@@ -122,12 +154,23 @@ def apply_actions(base: DataFrame, feed: DataFrame, id_field: str, seq_field: st
     the last create's seq are order-insensitive aggregates (max/max_by) in
     ONE ``groupBy(id)`` with map-side partial aggregation, so an id carrying
     a third of the feed is pre-combined in every task. Only ``create`` rows
-    of ids with a create after L are joined back to find C1. The result is
-    joined to the base with one full outer join on id.
+    of ids with a create after L are joined back to find C1 (the aggregate is
+    checkpointed, so the feed is read twice in all). The result is joined to
+    the base with one full outer join on id.
+
+    ``fields`` are the feed's document fields (default: all but id, sequence
+    and action). Base columns outside them keep their values until a document
+    is replaced; fields the base lacks are added. An unknown action, or an
+    action without sequence number or id, fails the job.
     """
-    fields = list(fields) if fields is not None else [c for c in base.columns if c != id_field]
-    f = feed.select(id_field, seq_field, action_field, *fields)
+    known = (id_field, seq_field, action_field)
+    fields = list(fields) if fields is not None else [c for c in feed.columns if c not in known]
     seq, act = F.col(seq_field), F.col(action_field)
+    valid = act.isin(*ACTIONS) & seq.isNotNull() & F.col(id_field).isNotNull()
+    broken = F.raise_error(F.concat_ws(" ", F.lit("bad action:"), act, F.lit("sequence"), seq.cast("string"), F.lit("id"),
+                                       F.col(id_field).cast("string"))).cast("string")
+    checked = F.when(F.coalesce(valid, F.lit(False)), act).otherwise(broken).alias(action_field)
+    f = feed.select(id_field, seq_field, checked, *fields)
     is_const = act.isin("index", "delete")
     is_create = act == "create"
     aggs = [F.max(F.when(is_const, seq)).alias("_l_seq"),
@@ -136,7 +179,7 @@ def apply_actions(base: DataFrame, feed: DataFrame, id_field: str, seq_field: st
     for i, c in enumerate(fields):
         upd = (act == "update") & F.col(c).isNotNull()
         aggs.append(F.max_by(F.struct(seq.alias("s"), F.col(c).alias("v")), F.when(upd, seq)).alias(f"_u{i}"))
-    last = f.groupBy(id_field).agg(*aggs)
+    last = cut_lineage(f.groupBy(id_field).agg(*aggs))
 
     after_l = lambda s: F.col("_l_seq").isNull() | (s > F.col("_l_seq"))
     need = last.filter(F.col("_c_last").isNotNull() & after_l(F.col("_c_last"))).select(id_field, "_l_seq")
@@ -146,20 +189,22 @@ def apply_actions(base: DataFrame, feed: DataFrame, id_field: str, seq_field: st
                                           F.min_by(F.struct(*[F.col(c) for c in fields]), seq).alias("_c"))
     per_id = last.join(first, on=id_field, how="left")
 
-    b = base.select(id_field, F.struct(*[F.col(c) for c in fields]).alias("_b"), F.lit(True).alias("_in_base"))
+    stored = [c for c in base.columns if c != id_field]
+    b = base.select(id_field, F.struct(F.lit(1).alias("_"), *[F.col(f"`{c}`") for c in stored]).alias("_b"),
+                    F.lit(True).alias("_in_base"))
     j = b.join(per_id, on=id_field, how="full_outer")
     has_l = F.col("_l_seq").isNotNull()
     start_present = F.when(has_l, F.col("_l._act") == "index").otherwise(F.coalesce(F.col("_in_base"), F.lit(False)))
     present = F.when(start_present, F.lit(True)).otherwise(F.col("_c_seq").isNotNull())
-    out_cols = []
+    out_cols = {c: F.when(start_present & ~has_l, F.col("_b")[c]).alias(c) for c in stored}
     for i, c in enumerate(fields):
-        start_v = F.when(has_l, F.col("_l")[c]).otherwise(F.col("_b")[c])
+        start_v = F.when(has_l, F.col("_l")[c]).otherwise(F.col("_b")[c] if c in stored else F.lit(None))
         u = F.col(f"_u{i}")
         u_ok = u.isNotNull() & after_l(u["s"])
         if_present = F.when(u_ok, u["v"]).otherwise(start_v)
         if_created = F.when(u_ok & (u["s"] > F.col("_c_seq")), u["v"]).otherwise(F.col("_c")[c])
-        out_cols.append(F.when(start_present, if_present).otherwise(if_created).alias(c))
-    return j.filter(present).select(id_field, *out_cols)
+        out_cols[c] = F.when(start_present, if_present).otherwise(if_created).alias(c)
+    return j.filter(present).select(id_field, *out_cols.values())
 
 
 def bulk_lines(df: DataFrame, index: str, id_field: str | None = None, action: str = "index",
@@ -224,7 +269,8 @@ def save_bucketed_version(df: DataFrame, name: str, version: str, id_field: str
     spark = df.sparkSession
     n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     table = f"{name}__v{version}"
-    (df.write.mode("errorifexists").format(fmt).bucketBy(n, id_field).sortBy(id_field)
+    # one task per bucket, so a bucket is one file
+    (df.repartition(n, id_field).write.mode("errorifexists").format(fmt).bucketBy(n, id_field).sortBy(id_field)
        .saveAsTable(table))
     spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM {table}")
     return table

@@ -40,14 +40,8 @@ def r6(df: DataFrame) -> DataFrame:
                        for f in df.schema.fields])
 
 
-# Tables whose rows carry long text: tokenizing and regex scans are heavy per
-# row, and each test table is one unsplittable row group, so they are spread
-# over all cores right after the scan (a no-op on many file splits).
-TEXT_TABLES = {"documents", "conversations", "pages", "benchmark"}
-
-
 def t(spark, sf, name):
-    return read_table(spark, sf, name, spread_out=name in TEXT_TABLES)
+    return read_table(spark, sf, name)
 
 
 def docs_with_labels(spark, sf) -> DataFrame:
@@ -421,21 +415,32 @@ def m_matrix(spark, sf):
 # the remaining groups register themselves on import
 from . import registry_aggs  # noqa: E402,F401
 from . import registry_write  # noqa: E402,F401
+from . import registry_hard  # noqa: E402,F401
 
 
-# ================================================================ approximate options (sketches differ
-# between engines, so only the exact forms above carry an oracle)
+# ================================================================ approximate options: sketches differ between
+# engines, so these compare them with the exact values and say whether they keep their stated error
 
-@register("m_cardinality_approx")
+@register("m_cardinality_approx", """
+SELECT o_orderstatus AS key, count(*) AS doc_count, count(DISTINCT o_custkey) AS customers, true AS within FROM orders
+GROUP BY 1
+""")
 def m_cardinality_approx(spark, sf):
-    return execute(t(spark, sf, "orders"), aggs(x=B.terms("o_orderstatus", size=None, metrics={
-        "customers": M.cardinality("o_custkey", approx=True)})))
+    out = execute(t(spark, sf, "orders"), aggs(x=B.terms("o_orderstatus", metrics={
+        "customers": M.cardinality("o_custkey"), "sketch": M.cardinality("o_custkey", approx=True, rsd=0.05)})))
+    off = F.abs(F.col("sketch") - F.col("customers"))
+    return out.select("key", "doc_count", "customers", (off <= 3 * 0.05 * F.col("customers")).alias("within"))
 
 
-@register("m_percentiles_approx")
+@register("m_percentiles_approx", """
+SELECT event_type AS key, count(*) AS doc_count, true AS p25, true AS p50, true AS p75, true AS p95 FROM events GROUP BY 1
+""")
 def m_percentiles_approx(spark, sf):
-    return execute(t(spark, sf, "events"), aggs(x=B.terms("event_type", size=None, metrics={
-        "v": M.percentiles("value", [25, 50, 75, 95], approx=True)})))
+    around = [q for p in (25, 50, 75, 95) for q in (p - 1, p + 1)]
+    out = execute(t(spark, sf, "events"), aggs(x=B.terms("event_type", metrics={
+        "v": M.percentiles("value", [25, 50, 75, 95], approx=True), "x": M.percentiles("value", around)})))
+    return out.select("key", "doc_count", *[F.col(f"v_p{p}").between(F.col(f"x_p{p - 1}"), F.col(f"x_p{p + 1}"))
+                                            .alias(f"p{p}") for p in (25, 50, 75, 95)])
 
 
 @register("m_mad_global", "SELECT round(mad(value), 6) AS v_mad FROM events")

@@ -52,7 +52,7 @@ SELECT c_name, c_nationkey, c_acctbal, c_mktsegment,
 FROM customer
 """)
 def assign_ids(spark, sf):
-    return W.assign_ids(t(spark, sf, "customer").drop("c_custkey"), "id")
+    return W.assign_ids(t(spark, sf, "customer").drop("c_custkey"), "id", method="content")
 
 
 @register("clean_names", "SELECT c_custkey AS c_custkey, c_name AS c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer")
@@ -191,42 +191,45 @@ def stream_indexed_view(spark, sf):
     the events table as a file stream and appends the actions exactly once to
     an action log (its checkpoint under spark.checkpoint.dir); the table is
     the customer base merged with the log on read."""
-    import uuid
-
-    from ..session import checkpoint_base
+    from ..session import scratch_path
     from ..streaming import indexing as S
 
     events = t(spark, sf, "events")
     stream = (spark.readStream.schema(events.schema).option("pathGlobFilter", "events.parquet")
                    .option("recursiveFileLookup", "false").parquet(sf))
-    work = f"{checkpoint_base(spark).rstrip('/')}/streams/indexed-{uuid.uuid4().hex}"
+    work = scratch_path(spark, "indexed")
     q = S.append_actions(_feed_of(stream), f"{work}/log", f"{work}/checkpoint")
-    if not q.awaitTermination(3600):
-        q.stop()
-        raise TimeoutError("the action stream did not drain its input")
+    q.awaitTermination()  # the trigger ends when the input is drained
     if q.exception() is not None:
         raise q.exception()
     return S.current_view(spark, t(spark, sf, "customer"), f"{work}/log", "c_custkey",
                           ["c_name", "c_nationkey", "c_acctbal", "c_mktsegment"])
 
 
-@register("bulk_lines", """
-SELECT n_nationkey::VARCHAR AS _id, 0 AS line_no,
-       to_json({'index': {'_index': 'nation', '_id': n_nationkey::VARCHAR}})::VARCHAR AS line FROM nation
+_ORDER_SQL = ("{'o_orderkey': o_orderkey, 'o_custkey': o_custkey, 'o_orderstatus': o_orderstatus, "
+              "'o_orderpriority': o_orderpriority}")
+
+
+def _bulk_orders(spark, sf):
+    return t(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
+
+
+@register("bulk_lines", f"""
+SELECT o_orderkey::VARCHAR AS _id, 0 AS line_no,
+       to_json({{'index': {{'_index': 'orders', '_id': o_orderkey::VARCHAR}}}})::VARCHAR AS line FROM orders
 UNION ALL
-SELECT n_nationkey::VARCHAR, 1, to_json({'n_nationkey': n_nationkey, 'n_name': n_name, 'n_regionkey': n_regionkey})::VARCHAR
-FROM nation
+SELECT o_orderkey::VARCHAR, 1, to_json({_ORDER_SQL})::VARCHAR FROM orders
 """)
 def bulk_lines(spark, sf):
-    return W.bulk_lines(t(spark, sf, "nation"), "nation", id_field="n_nationkey")
+    return W.bulk_lines(_bulk_orders(spark, sf), "orders", id_field="o_orderkey")
 
 
 @register("bulk_delete_lines", """
-SELECT n_nationkey::VARCHAR AS _id, to_json({'delete': {'_index': 'nation', '_id': n_nationkey::VARCHAR}})::VARCHAR AS line
-FROM nation
+SELECT o_orderkey::VARCHAR AS _id, to_json({'delete': {'_index': 'orders', '_id': o_orderkey::VARCHAR}})::VARCHAR AS line
+FROM orders
 """)
 def bulk_delete_lines(spark, sf):
-    return (W.bulk_pairs(t(spark, sf, "nation"), "nation", id_field="n_nationkey", action="delete")
+    return (W.bulk_pairs(_bulk_orders(spark, sf), "orders", id_field="o_orderkey", action="delete")
             .select("_id", F.col("action_line").alias("line")))
 
 
@@ -271,6 +274,6 @@ def union_pages(spark, sf):
     return D.union_pages([first, second])
 
 
-@register("require_rows", "SELECT * FROM nation WHERE n_regionkey = 1")
+@register("require_rows", "SELECT * FROM orders WHERE o_orderstatus = 'F'")
 def require_rows(spark, sf):
-    return D.require_rows(t(spark, sf, "nation").filter(P.term("n_regionkey", 1)))
+    return D.require_rows(t(spark, sf, "orders").filter(P.term("o_orderstatus", "F")))

@@ -21,8 +21,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.common import as_col, null_safe
-from ..session import cut_lineage
+from ..functions import predicates
+from ..functions.common import as_col
 from ..operators.buckets import BucketAgg
 from ..operators.metrics import Metric, aggregate
 
@@ -32,7 +32,7 @@ from ..operators.metrics import Metric, aggregate
 @dataclass(frozen=True)
 class Request:
     kind: str                    # 'query' | 'partial' | 'sort' | 'fields' | 'aggs'
-    where: Column | None = None
+    where: object = None         # Column, or a function of predicates.on(frame)
     sort: tuple = ()
     fields: tuple | None = None  # (includes, excludes)
     size: int | None = None      # None = all documents
@@ -43,7 +43,7 @@ class Request:
         return combine(self, other)
 
 
-def query(where: Column | None = None, size: int | None = None, rank: tuple | None = None) -> Request:
+def query(where=None, size: int | None = None, rank: tuple | None = None) -> Request:
     """``size=None`` returns all matching documents, ``size=N`` the first N.
 
     ``rank=(text_field, text, id_field)`` gives an unsorted query a relevance
@@ -117,9 +117,11 @@ def combine(x: Request, y: Request) -> Request:
 
 # ---------------------------------------------------------------- execution
 
-def _sort_col(spec) -> Column:
+def _sort_col(spec, schema: T.StructType) -> Column:
     f, order, missing, mode = spec
     c = as_col(f)
+    if mode is None and isinstance(f, str) and isinstance(type_at(schema, f), T.ArrayType):
+        mode = "min" if order == "asc" else "max"  # the element that decides the order
     if mode == "min":
         c = F.array_min(c)
     elif mode == "max":
@@ -142,11 +144,32 @@ def _hashable(dt: T.DataType) -> bool:
     return True
 
 
-def _row_hash(df: DataFrame) -> Column:
-    cols = [F.col(f"`{f.name}`") for f in df.schema.fields if _hashable(f.dataType)]
+def _row_hash(df: DataFrame, names: Sequence[str]) -> Column:
+    cols = [F.col(f"`{f.name}`") for f in df.schema.fields if f.name in names and _hashable(f.dataType)]
     return F.xxhash64(*cols) if cols else F.lit(0)
 
 
+def type_at(schema: T.DataType, path: str) -> T.DataType | None:
+    """Type of a dotted path, through objects and arrays of objects (then an
+    array); None if there is no such field."""
+    many = False
+    for name in path.split("."):
+        while isinstance(schema, T.ArrayType):
+            schema, many = schema.elementType, True
+        if not isinstance(schema, T.StructType) or name not in schema.names:
+            return None
+        schema = schema[name].dataType
+    return T.ArrayType(schema) if many and not isinstance(schema, T.ArrayType) else schema
+
+
+def matching(df: DataFrame, where) -> DataFrame:
+    """Rows that match a condition: a Column, or a function of the frame's
+    predicates (:func:`docsift.functions.predicates.on`)."""
+    if where is None:
+        return df
+    return df.filter(where if isinstance(where, Column) else where(predicates.on(df)))
+
+
 def resolve_fields(schema: T.StructType, includes: Sequence[str], excludes: Sequence[str] = ()) -> list[Column]:
     """Field selection with ``*`` patterns over dotted paths. A struct is kept
     whole when its path matches, or rebuilt with only its matching leaves;
@@ -170,7 +193,17 @@ def resolve_fields(schema: T.StructType, includes: Sequence[str], excludes: Sequ
                     parts.append(sub.alias(f.name))
             if inc and whole:
                 return ref, True
-            return (F.struct(*parts) if parts else None), False
+            return (F.when(ref.isNotNull(), F.struct(*parts)) if parts else None), False
+        if isinstance(dtype, T.ArrayType) and isinstance(dtype.elementType, T.StructType) and not inc:
+            # a path inside an array of objects: the same parts of each element
+            kept = []
+
+            def element(x):
+                sub, whole = walk(dtype.elementType, path, x)
+                kept.append(sub is not None)
+                return sub if sub is not None else x
+            out = F.transform(ref, element)
+            return (out if kept[-1] else None), False
         return (ref, True) if inc else (None, False)
 
     out = []
@@ -184,78 +217,47 @@ def resolve_fields(schema: T.StructType, includes: Sequence[str], excludes: Sequ
 def run_documents(df: DataFrame, req: Request) -> DataFrame:
     if req.kind == "partial":
         raise ValueError("a sort/field selection alone is not executable; add a query")
-    out = df.filter(req.where) if req.where is not None else df
+    out = matching(df, req.where)
     if req.size == 0:
         return out.limit(0)
     if req.rank is not None and not req.sort:
+        from ..operators.text import bm25_scores
         field_, text, id_field = req.rank
-        if req.size is not None:
-            out = _relevance_top(df, req.where, field_, text, id_field, req.size)
-        else:
-            from ..operators.text import bm25_scores
-            # collection statistics come from the whole resource, as in a search index
-            out = bm25_scores(out, field_, text, stats_df=df)
-            out = out.orderBy(F.col("score").desc(), F.col(id_field).asc())
+        # collection statistics (one row) come from the whole resource, as in
+        # a search index; whole rows are ranked, so ids may repeat or be NULL
+        out = bm25_scores(out, field_, text, stats_df=df)
+        out = out.orderBy(F.col("score").desc(), F.col(id_field).asc_nulls_last())
+    chosen = resolve_fields(out.schema, *req.fields) if req.fields is not None else None
     if req.sort:
-        cols = [_sort_col(s) for s in req.sort]
+        cols = [_sort_col(s, out.schema) for s in req.sort]
         if req.size is None:
             # an unsized sort is range-partitioned on its keys, and rows that
             # tie on all of them cannot be split: sorting on a field where one
             # value holds a third of the rows would leave that third to one
-            # task. A hash of the whole row breaks such ties so the range
+            # task. A hash of the returned columns breaks such ties so the range
             # bounds can split them (their relative order is unspecified).
-            cols.append(_row_hash(out).asc())
+            names = out.columns if chosen is None else out.select(*chosen).columns
+            cols.append(_row_hash(out, names).asc())
         out = out.orderBy(*cols)
-    if req.fields is not None:
-        inc, exc = req.fields
-        out = out.select(*resolve_fields(out.schema, inc, exc))
+    if chosen is not None:
+        out = out.select(*chosen)
     if req.size is not None:
         out = out.limit(req.size)
     return out
 
 
-# Fixed value: the largest single-request result size of the original client
-# (10,000 rows); below it the ids of a sized relevance search are pushed to the
-# scan as a literal list.
-ID_PUSHDOWN_LIMIT = 10_000
-
-
-def _relevance_top(df: DataFrame, where: Column | None, text_field: str, text: str, id_field: str,
-                   size: int) -> DataFrame:
-    """The ``size`` best documents by BM25 among those matching ``where``,
-    with collection statistics over the whole resource.
-
-    The corpus is tokenized once: per-document numbers (id, match flag,
-    length, query-term counts; no text) are checkpointed, and both the
-    statistics and the scores read them. The top ``size`` (id, score) rows,
-    a set bounded by the request, are then broadcast and joined back to the
-    documents to return them whole (ids must be unique). Up to
-    ``ID_PUSHDOWN_LIMIT`` ids, the ids also go to the scan as an ``IN``
-    filter, so Parquet statistics skip the row groups (and their text) that
-    hold none of them."""
-    from ..operators.text import bm25_scores
-    hit = null_safe(where) if where is not None else F.lit(True)
-    nums = bm25_scores(df.select(id_field, text_field, hit.alias("_hit")), text_field, text, materialize=True)
-    order = [F.col("score").desc(), F.col(id_field).asc()]
-    top = nums.filter(F.col("_hit")).orderBy(*order).limit(size).select(id_field, "score")
-    docs = df
-    if size <= ID_PUSHDOWN_LIMIT:
-        top = cut_lineage(top)                     # the ids are read twice below
-        ids = [r[0] for r in top.select(id_field).collect()]
-        docs = df.filter(F.col(f"`{id_field}`").isin(ids)) if ids else df.limit(0)
-    return docs.join(F.broadcast(top), id_field).select(*df.columns, "score").orderBy(*order)
-
-
 def run_aggs(df: DataFrame, req: Request) -> DataFrame | dict[str, DataFrame]:
     """One DataFrame per named aggregation (a dict when there are several).
     Metric aggregations listed together are evaluated in one aggregate."""
-    filtered = df.filter(req.where) if req.where is not None else df
+    filtered = matching(df, req.where)
     metric_specs = {n: a for n, a in req.aggs.items() if isinstance(a, Metric)}
     results: dict[str, DataFrame] = {}
     if metric_specs:
         wide = aggregate(filtered, [], metric_specs, doc_count=None)
         for n in metric_specs:
-            results[n] = wide  # metrics share one aggregate (one scan)
+            # metrics share one aggregate (one scan); beside other
+            # aggregations each result holds its own columns only
+            results[n] = wide if len(metric_specs) == len(req.aggs) else wide.select(*metric_specs[n].output(n))
     for n, a in req.aggs.items():
         if isinstance(a, BucketAgg):
             src = df if getattr(a, "ignores_query", False) else filtered
@@ -314,23 +316,27 @@ class Resource:
     # of the table being read)
 
     def index(self, new: DataFrame, id_field: str = "id", order_field: str | None = None) -> DataFrame:
-        """Upsert ``new`` by id (rows without an id get a content id); with a
-        document type the new rows carry it."""
+        """Upsert ``new`` by id (rows without an id get one of their own);
+        with a document type the new rows carry it and replace documents of
+        that type only."""
         from ..functions.mapping import clean_field_names
         from ..operators.write import upsert
         new = clean_field_names(new)
         if self.doc_type is not None:
             new = new.withColumn(self.type_field, F.lit(self.doc_type))
-        return upsert(self.all_documents, new, id_field, order_field, clean_names=False)
+        return upsert(self.all_documents, new, id_field, order_field, clean_names=False,
+                      type_field=self.type_field if self.doc_type is not None else None)
 
     def delete(self, approve: bool = False, ids=None, id_field: str = "id") -> DataFrame | None:
-        """``ids=[...]`` (or a DataFrame of ids): remove those documents.
+        """``ids=[...]`` (or a DataFrame of ids): remove those documents
+        (of the resource's type, if it has one).
         ``approve=True`` with a document type: remove all documents of the
         type (the schema stays). ``approve=True`` without a type: drop the
         catalog table and return None. Anything else is refused."""
         from ..operators.write import delete_ids, delete_type
         if ids is not None:
-            return delete_ids(self.all_documents, ids, id_field)
+            return delete_ids(self.all_documents, ids, id_field,
+                              *((self.type_field, self.doc_type) if self.doc_type is not None else ()))
         if approve is not True:
             raise PermissionError("deleting a whole table or type needs approve=True (or give ids=)")
         if self.doc_type is not None:

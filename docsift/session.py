@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import re
 import tempfile
+import uuid
 import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -108,35 +109,14 @@ def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 
 
-# Table handles already opened in a session: opening a Parquet table (file
-# listing and footer schema) costs a driver round trip, as opening a catalog
-# table once per session would. The handles are lazy DataFrames, reused only
-# by the session that opened them.
-_OPENED: dict[tuple[str, bool], DataFrame] = {}
-
-
-def read_table(spark: SparkSession, sf_dir: str, name: str, spread_out: bool = False) -> DataFrame:
-    """Open a Parquet table; ``spread_out=True`` for tables whose per-row
-    work is heavy (text), see :func:`spread`."""
-    path = table_path(sf_dir, name)
-    df = _OPENED.get((path, spread_out))
-    if df is None or df.sparkSession is not spark:
-        df = spark.read.parquet(path)
-        if spread_out:
-            df = spread(df)
-        _OPENED[(path, spread_out)] = df
-    return df
-
-
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin repartition only when the input has fewer partitions than
-    the cluster has cores (e.g. one unsplittable Parquet row group), so that
-    CPU-heavy per-row work such as tokenizing runs on every core. On large
-    inputs (thousands of file splits) this is a no-op and adds no shuffle.
-
-    Call it on a table scan right after reading: counting the partitions of
-    a plan that contains a shuffle would run that shuffle."""
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh folder under the shared checkpoint folder, removed when the
+    application ends."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hpath)
+    return path
+
+
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(table_path(sf_dir, name))

@@ -31,23 +31,33 @@ def json_table(df: DataFrame, column: str, schema: T.StructType | str,
 def hits_to_table(df: DataFrame, column: str, source_schema: T.StructType | str,
                   keep: Sequence[str] = ()) -> DataFrame:
     """Search replies stored as JSON text -> one row per hit with the hit's
-    ``_id`` and the fields of its ``_source``. Replies without hits give no rows."""
+    ``_id`` and the fields of its ``_source``. A reply with no hits gives no
+    rows; a malformed or truncated reply, or one without a list of hits (an
+    error reply), fails the job."""
     if isinstance(source_schema, str):
         source_schema = T._parse_datatype_string(source_schema)
     hit = T.StructType([T.StructField("_id", T.StringType()), T.StructField("_source", source_schema)])
     reply = T.StructType([T.StructField("hits", T.StructType([T.StructField("hits", T.ArrayType(hit))]))])
-    return (df.select(*keep, F.explode(F.from_json(F.col(column), reply)["hits"]["hits"]).alias("_hit"))
+    whole = T.StructType([*reply.fields, T.StructField("_corrupt_record", T.StringType())])
+    parsed = F.from_json(F.col(column), whole, {"columnNameOfCorruptRecord": "_corrupt_record"})
+    fail = lambda why: F.raise_error(F.concat(F.lit(why), F.substring(F.col(column), 1, 200))).cast(T.ArrayType(hit))
+    hits = F.coalesce(parsed["hits"]["hits"], fail("reply without hits: "))
+    checked = F.when(F.col(column).isNotNull(),
+                     F.when(parsed["_corrupt_record"].isNotNull(), fail("malformed reply: ")).otherwise(hits))
+    return (df.select(*keep, F.explode(checked).alias("_hit"))
               .select(*keep, F.col("_hit._id").alias("_id"), "_hit._source.*"))
 
 
-def read_search_replies(spark: SparkSession, path: str, source_schema: T.StructType | str) -> DataFrame:
-    """Saved search replies, one JSON reply per line in text files under
-    ``path`` -> one row per hit (``_id`` and the ``_source`` fields). Files are
-    split and parsed by the scan tasks; nothing passes through the driver."""
-    return hits_to_table(spark.read.text(path), "value", source_schema)
+def read_search_replies(spark: SparkSession, path: str, source_schema: T.StructType | str,
+                        whole_files: bool = False) -> DataFrame:
+    """Saved search replies under ``path``, one JSON reply per line, or with
+    ``whole_files`` one (perhaps pretty-printed) reply per file -> one row per
+    hit (``_id`` and the ``_source`` fields). Files are parsed by the scan
+    tasks; nothing passes through the driver."""
+    return hits_to_table(spark.read.text(path, wholetext=whole_files), "value", source_schema)
 
 
-def flatten(df: DataFrame, sep: str = "_", explode_arrays: bool = False) -> DataFrame:
+def flatten(df: DataFrame, sep: str = "_") -> DataFrame:
     """Expand nested structs into top-level columns named ``parent<sep>child``.
     Arrays stay arrays. Raises when two flattened names collide."""
     cols = []
@@ -72,26 +82,53 @@ def flatten(df: DataFrame, sep: str = "_", explode_arrays: bool = False) -> Data
 
 
 def union_pages(pages: Sequence[DataFrame]) -> DataFrame:
-    """Concatenate frames by field name; a field absent from a page is NULL there."""
+    """Concatenate frames by field name; a field absent from a page is NULL
+    there. A field of different kinds (say number and text) raises."""
+    for page in pages[1:]:
+        require_same_kinds(pages[0], page)
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), pages)
 
 
+def kind_of(dtype: T.DataType) -> str:
+    """Kind of a type: numbers of any width are one kind."""
+    if isinstance(dtype, T.NumericType):
+        return "number"
+    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType, T.DateType)):
+        return "time"
+    if isinstance(dtype, (T.StringType, T.CharType, T.VarcharType)):
+        return "text"
+    return {T.ArrayType: "array", T.StructType: "object", T.MapType: "object"}.get(type(dtype), dtype.simpleString())
+
+
+def require_same_kinds(a: DataFrame, b: DataFrame) -> None:
+    """Raise, naming the fields, when a common field holds different kinds."""
+    both = {f.name: f.dataType for f in a.schema.fields}
+    bad = [f"{f.name}: {both[f.name].simpleString()} and {f.dataType.simpleString()}" for f in b.schema.fields
+           if f.name in both and kind_of(f.dataType) != kind_of(both[f.name])
+           and not isinstance(f.dataType, T.NullType) and not isinstance(both[f.name], T.NullType)]
+    if bad:
+        raise TypeError("fields with conflicting types: " + "; ".join(bad))
+
+
 def infer_json_fields(df: DataFrame, column: str, keep_conflicts: bool = True) -> DataFrame:
     """Infer the fields of a JSON text column: one row per top-level field
-    with its merged type and the number of distinct types seen.
+    with its merged type and the number of distinct kinds seen (numbers of
+    any width are one kind, JSON null is none).
 
     Runs as a distributed aggregate (partial per task, merged per field), so
     no document goes to the driver. ``n_types > 1`` flags a conflict (one
     field seen with several types), which a typed table must refuse.
     """
     exploded = df.select(F.explode(F.from_json(F.col(column), "map<string,variant>")).alias("key", "value"))
-    typed = exploded.select("key", F.lower(F.schema_of_variant("value")).alias("t"))
-    out = (typed.groupBy(F.col("key").alias("field"))
-                .agg(F.count_distinct("t").alias("n_types"),
-                     F.min("t").alias("type"),
-                     F.count("*").alias("n_docs")))
+    seen = F.schema_of_variant("value")
+    number = seen.rlike("^(TINYINT|SMALLINT|INT|BIGINT|FLOAT|DOUBLE|DECIMAL)")
+    kind = F.when(number, "number").when(seen != "VOID", F.regexp_extract(seen, "^[A-Z]+", 0))
+    out = (exploded.select("key", "value", kind.alias("kind")).groupBy(F.col("key").alias("field"))
+                   .agg(F.count_distinct("kind").alias("n_types"),
+                        F.lower(F.expr("schema_of_variant_agg(value)")).alias("type"),
+                        F.count("*").alias("n_docs")))
     if not keep_conflicts:
-        out = out.filter(F.col("n_types") == 1)
+        out = out.filter(F.col("n_types") <= 1)
     return out
 
 
@@ -104,9 +141,9 @@ def require_rows(df: DataFrame, message: str = "query returned no rows") -> Data
 
 def require_consistent_types(fields: DataFrame) -> DataFrame:
     """Raise when :func:`infer_json_fields` saw a field with several types (a
-    typed table cannot hold it). Only the conflicting field names come back to
-    the driver, a list bounded by the number of fields, not by the data."""
-    bad = [r["field"] for r in fields.filter(F.col("n_types") > 1).select("field").limit(1000).collect()]
-    if bad:
-        raise TypeError(f"fields with conflicting types: {sorted(bad)}")
+    typed table cannot hold it). The driver gets their number and the first
+    one by name; ``fields`` holds them all."""
+    bad = fields.filter(F.col("n_types") > 1).agg(F.count("*").alias("n"), F.min("field").alias("first")).first()
+    if bad["n"]:
+        raise TypeError(f"{bad['n']} fields with conflicting types, the first is {bad['first']}")
     return fields

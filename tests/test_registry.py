@@ -2,6 +2,7 @@
 (DuckDB over the same parquet files)."""
 
 import os
+import re
 import sys
 
 import duckdb
@@ -13,7 +14,7 @@ import __spark_entry__ as entry  # noqa: E402
 from check_oracle import TABLES, rows_of  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
-KEYS = sorted(entry.queries())
+KEYS = sorted(k for k in entry.queries() if k != "pipeline" and not re.match(r"op\d", k))
 
 
 @pytest.fixture(scope="module")
@@ -32,8 +33,8 @@ def test_entry_smoke(spark):
 
 def test_every_query_has_sql_or_is_documented():
     without = set(entry.queries()) - set(entry.oracle_sql())
-    # non-SQL checks: hash sampling (xxhash64 has no SQL twin) and approximate sketches
-    assert without == {"b_sampler_hash", "m_cardinality_approx", "m_percentiles_approx"}
+    # the optional training-data queries without SQL have brute-force tests of their own
+    assert {k for k in without if k != "pipeline" and not k.startswith("op")} == set()
 
 
 @pytest.mark.parametrize("key", KEYS)

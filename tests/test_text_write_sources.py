@@ -82,7 +82,7 @@ def test_upsert(spark):
     new = spark.createDataFrame([(2, "B1", 1), (2, "B2", 2), (3, "c", 1)], "ID long, Name string, seq int")
     out = {r.id: (r.name, r.v) for r in W.upsert(base, new, "id", order_field="seq").collect()}
     assert out == {1: ("a", 1.0), 2: ("B2", None), 3: ("c", None)}
-    with pytest.raises(ValueError):
+    with pytest.raises(Exception, match="ids repeat"):
         W.upsert(base, new.drop("seq"), "id").collect()
     noid = spark.createDataFrame([("x", 5.0)], "name string, v double")
     out = W.upsert(base.withColumn("id", F.col("id").cast("string")), noid, "id").collect()
@@ -96,8 +96,8 @@ def test_deletes_and_ids(spark):
     ids_df = spark.createDataFrame([(3,)], "id long")
     assert sorted(r.id for r in W.delete_ids(df, ids_df).collect()) == [1, 2]
     assert [r.id for r in W.collect_ids(df, F.col("t") == "y").collect()] == [2]
-    a = W.assign_ids(df.drop("id"), "id").collect()
-    b = W.assign_ids(df.drop("id"), "id").collect()
+    a = W.assign_ids(df.drop("id"), "id", method="content").collect()
+    b = W.assign_ids(df.drop("id"), "id", method="content").collect()
     assert [r.id for r in a] == [r.id for r in b]  # deterministic across runs / task retries
 
 
