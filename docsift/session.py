@@ -86,9 +86,15 @@ def checkpoint_dir(spark: SparkSession) -> str:
                 raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
             path = tempfile.mkdtemp(prefix="docsift-ckpt-")
         sc.setCheckpointDir(path)
+        _delete_on_exit(spark, sc.getCheckpointDir())  # this application's own subfolder
     return sc.getCheckpointDir()
 
 
+def _delete_on_exit(spark: SparkSession, path: str) -> None:
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hpath)
+
+
 def checkpoint_base(spark: SparkSession) -> str:
     """The shared folder itself (stable across applications), for state that
     must survive a restart, such as stream checkpoints."""
@@ -113,8 +119,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint folder, removed when the
     application ends."""
     path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hpath)
+    _delete_on_exit(spark, path)
     return path
 
 

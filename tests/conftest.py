@@ -18,6 +18,7 @@ def spark():
     s = build_session("local[4]", 4, extra={
         "spark.sql.warehouse.dir": warehouse,
         "spark.driver.memory": "4g",
+        "spark.checkpoint.dir": f"file://{tempfile.mkdtemp(prefix='docsift-ckpt-')}",
     })
     yield s
     s.stop()

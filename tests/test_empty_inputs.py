@@ -3,6 +3,7 @@ twin (no rows, or one row of NULLs / zeros for global aggregates). The
 non-empty check is the one query that must refuse."""
 
 import os
+import re
 import sys
 import tempfile
 
@@ -35,7 +36,7 @@ def con(empty_dir):
     return c
 
 
-@pytest.mark.parametrize("key", sorted(entry.queries()))
+@pytest.mark.parametrize("key", sorted(k for k in entry.queries() if k != "pipeline" and not re.match(r"op\d", k)))
 def test_query_on_empty_tables(spark, con, empty_dir, key):
     fn = entry.queries()[key]
     if key == "require_rows":
