@@ -126,6 +126,16 @@ def open_sequences(source) -> tuple[pa.Schema, list[pa.RecordBatch]]:
     return reader.schema, list(reader)
 
 
+def sequence(batches: list[pa.RecordBatch], k: int) -> tuple[np.ndarray, pa.Array]:
+    """Ids (a view of the file) and mask of sequence ``k`` of a file, found by
+    its place: all batches but the last have as many rows as the first."""
+    batch, row = divmod(k, batches[0].num_rows)
+    ids, mask = batches[batch].column("input_ids"), batches[batch].column("mask")
+    width = ids.type.list_size
+    at = (ids.offset + row) * width
+    return ids.values.to_numpy()[at: at + width], mask.values.slice(at, width)
+
+
 def file_documents(source) -> tuple[dict, np.ndarray, list, np.ndarray]:
     """Metadata, ids without padding, document ids, and the place after each
     document's last id, of one stream file."""

@@ -60,6 +60,9 @@ def test_stream_file_is_zero_copy(tmp_path):
         assert [b.num_rows for b in batches] == [2, 2]
         assert batches[1].column("input_ids")[1].as_py() == [24] + [0] * 7  # row 3 by its place
         assert batches[1].column("mask")[1].as_py() == [True] + [False] * 7
+        got, mask = A.sequence(batches, 3)
+        assert got.tolist() == [24] + [0] * 7 and mask.to_pylist() == [True] + [False] * 7 and not got.flags.owndata
+        assert A.sequence(batches, 1)[0].tolist() == list(range(8, 16))
         f.seek(0)
         meta, flat, names, ends = A.file_documents(f)
     assert meta == {"shard": 3, "part": 1, "tokens": 25} and flat.tolist() == ids.tolist()
