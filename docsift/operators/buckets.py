@@ -12,13 +12,14 @@ Ordering and ``size`` apply to the reduced bucket table only.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.common import as_col, null_safe
 from ..functions.predicates import on
+from ..functions.text import distinct_tokens
 from ..session import cut_lineage
 from .metrics import Metric, aggregate
 from .ordered import top_n_per_group
@@ -54,6 +55,16 @@ class BucketAgg:
         bucket a document is in, none for documents in no bucket."""
         raise NotImplementedError(f"{type(self).__name__} has no keys to nest")
 
+    def one_key(self, df: DataFrame) -> Column | None:
+        """The key as an expression where a document lies in one bucket at
+        most (NULL: in none), else None. Such aggregations share a scan
+        (:func:`run_together`), as ``finish`` makes the result of their
+        ``_bucket_key, doc_count, metrics`` table."""
+        return None
+
+    def finish(self, out: DataFrame) -> DataFrame:
+        raise NotImplementedError
+
 
 #: Key column while metrics are computed: a document field may be called "key".
 _KEY = "_bucket_key"
@@ -111,10 +122,35 @@ class terms(BucketAgg):  # noqa: N801
         return out
 
     def run(self, df: DataFrame) -> DataFrame:
-        out = aggregate(self.keyed(df, _KEY), [_KEY], self.metrics).withColumnRenamed(_KEY, self.key_name)
+        return self.finish(aggregate(self.keyed(df, _KEY), [_KEY], self.metrics))
+
+    def one_key(self, df: DataFrame) -> Column | None:
+        if type(self) is not terms or _values(df, self.field) is not None:
+            return None
+        key = self.key_col(as_col(self.field))
+        text = key.cast("string")
+        if self.include is not None:
+            key = F.when(text.rlike(rf"\A(?:{self.include})\z"), key)
+        if self.exclude is not None:
+            key = F.when(~text.rlike(rf"\A(?:{self.exclude})\z"), key)
+        return key
+
+    def finish(self, out: DataFrame) -> DataFrame:
+        out = out.withColumnRenamed(_KEY, self.key_name)
         return _finish(out, self.order, [self.key_name], self.size, self.min_doc_count)
 
 
+@dataclass
+class token_buckets(terms):  # noqa: N801
+    """Terms buckets over the word tokens of a text field: a document counts
+    once for each of its tokens."""
+
+    def keyed(self, df: DataFrame, name: str) -> DataFrame:
+        name_ = f"{name}_tokens"
+        held = df.withColumn(name_, distinct_tokens(self.field))
+        return replace(terms(name_), include=self.include, exclude=self.exclude).keyed(held, name).drop(name_)
+
+
 @dataclass
 class composite(BucketAgg):  # noqa: N801
     """Buckets over several keys, ordered by the key tuple; ``after`` resumes
@@ -155,18 +191,21 @@ class histogram(BucketAgg):  # noqa: N801
     min_doc_count: int = 1
     metrics: Mapping[str, Metric] = field(default_factory=dict)
 
-    def _numbered(self, df: DataFrame) -> DataFrame:
+    def one_key(self, df: DataFrame) -> Column:
         x = as_col(self.field).cast("double")
         finite = ~F.isnan(x) & (F.abs(x) != F.lit(float("inf")))
-        idx = F.floor((F.when(finite, x) - F.lit(self.offset)) / F.lit(self.interval))
-        return df.withColumn("_idx", idx).filter(F.col("_idx").isNotNull())
+        return F.floor((F.when(finite, x) - F.lit(self.offset)) / F.lit(self.interval))
 
     def keyed(self, df: DataFrame, name: str) -> DataFrame:
-        key = F.col("_idx").cast("double") * F.lit(float(self.interval)) + F.lit(float(self.offset))
-        return self._numbered(df).withColumn(name, key).drop("_idx")
+        start = self.one_key(df).cast("double") * F.lit(float(self.interval)) + F.lit(float(self.offset))
+        return df.withColumn(name, start).filter(F.col(name).isNotNull())
 
     def run(self, df: DataFrame) -> DataFrame:
-        out = aggregate(self._numbered(df), ["_idx"], self.metrics)
+        numbered = df.withColumn(_KEY, self.one_key(df)).filter(F.col(_KEY).isNotNull())
+        return self.finish(aggregate(numbered, [_KEY], self.metrics))
+
+    def finish(self, out: DataFrame) -> DataFrame:
+        out = out.withColumnRenamed(_KEY, "_idx")
         if self.min_doc_count == 0:
             out = _fill_gaps(out)
         elif self.min_doc_count > 1:
@@ -277,9 +316,15 @@ class date_histogram(BucketAgg):  # noqa: N801
     def keyed(self, df: DataFrame, name: str) -> DataFrame:
         return df.withColumn(name, self.key_col()).filter(F.col(name).isNotNull())
 
+    def one_key(self, df: DataFrame) -> Column:
+        return self.to_index(as_col(self.field))
+
     def run(self, df: DataFrame) -> DataFrame:
-        keyed = df.withColumn("_idx", self.to_index(as_col(self.field))).filter(F.col("_idx").isNotNull())
-        out = aggregate(keyed, ["_idx"], self.metrics)
+        numbered = df.withColumn(_KEY, self.one_key(df)).filter(F.col(_KEY).isNotNull())
+        return self.finish(aggregate(numbered, [_KEY], self.metrics))
+
+    def finish(self, out: DataFrame) -> DataFrame:
+        out = out.withColumnRenamed(_KEY, "_idx")
         if self.min_doc_count == 0:
             out = _fill_gaps(out)
         elif self.min_doc_count > 1:
@@ -319,6 +364,36 @@ def _labelled(df: DataFrame, labelled: Sequence[tuple[str, Column]], metrics: Ma
     return df.agg(*exprs).select(F.inline(F.array(*rows)))
 
 
+def run_together(df: DataFrame, specs: Mapping[str, BucketAgg]) -> dict[str, DataFrame]:
+    """Several bucket aggregations in one scan, by grouping sets: each row is
+    counted for every aggregation inside its task (partial aggregation) before
+    anything is shuffled. The reduced table is checkpointed, as every result
+    reads it. Aggregations that do not fit (rows in several buckets, metrics
+    with a pass of their own) run by themselves."""
+    fit = {}
+    for name, spec in specs.items():
+        key = spec.one_key(df)
+        if key is not None and not any(m.special or m.post(n) for n, m in spec.metrics.items()):
+            fit[name] = key
+    if len(fit) < 2:
+        return {name: spec.run(df) for name, spec in specs.items()}
+    keys = {name: f"{_KEY}_{i}" for i, name in enumerate(fit)}
+    wide = df.withColumns({keys[n]: c for n, c in fit.items()})
+    exprs = [F.count(F.lit(1)).alias("doc_count"), F.grouping_id(*keys.values()).alias("_set")]
+    for i, name in enumerate(fit):
+        for n, m in specs[name].metrics.items():
+            exprs += m.exprs(f"_{i}_{n}")
+    table = cut_lineage(wide.groupingSets([[k] for k in keys.values()], *keys.values()).agg(*exprs))
+    out = {}
+    for i, (name, key) in enumerate(keys.items()):
+        mine = (1 << len(keys)) - 1 - (1 << (len(keys) - 1 - i))  # bits of the keys that are rolled up
+        cols = [F.col(key).alias(_KEY), F.col("doc_count")]
+        for n, m in specs[name].metrics.items():
+            cols += [F.col(f"`{a}`").alias(b) for a, b in zip(m.output(f"_{i}_{n}"), m.output(n))]
+        out[name] = specs[name].finish(table.filter((F.col("_set") == mine) & F.col(key).isNotNull()).select(*cols))
+    return {name: out[name] if name in out else spec.run(df) for name, spec in specs.items()}
+
+
 def _label_explode(df: DataFrame, labelled: Sequence[tuple[str, Column]], name: str = "key") -> DataFrame:
     """Explode each row into the names of the (possibly overlapping) buckets it
     belongs to. Rows in no bucket disappear."""

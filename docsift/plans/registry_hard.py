@@ -450,3 +450,57 @@ def metrics_beside_buckets(spark, sf):
     got = execute(t(spark, sf, "events"), aggs(mean=M.avg("value"), top=M.max_("value"), by=B.terms("event_type")))
     assert got["top"].columns == ["top"]
     return r6(got["mean"])
+
+
+_TOGETHER = {
+    "type": B.terms("event_type", metrics={"mean": M.avg("value")}, exclude="click"),
+    "user": B.terms("user_id", size=7, metrics={"top": M.stats("value")}),
+    "hist": B.histogram("value", 20, min_doc_count=0),
+    "day": B.date_histogram("ts", calendar_interval="day", metrics={"users": M.cardinality("user_id")}),
+}
+
+
+def _together(spark, sf, name):
+    return r6(execute(t(spark, sf, "events"), query(P.range_("value", gte=5)) + aggs(**_TOGETHER))[name])
+
+
+@register("together_terms", """
+SELECT event_type AS key, count(*) AS doc_count, round(avg(value), 6) AS mean FROM events
+WHERE value >= 5 AND event_type <> 'click' GROUP BY 1
+""")
+def together_terms(spark, sf):
+    """Four aggregations over one scan; this one's result."""
+    return _together(spark, sf, "type")
+
+
+@register("together_sized", """
+SELECT user_id AS key, count(*) AS doc_count, count(value) AS top_count, round(min(value), 6) AS top_min,
+       round(max(value), 6) AS top_max, round(avg(value), 6) AS top_avg, round(sum(value), 6) AS top_sum
+FROM events WHERE value >= 5 GROUP BY 1 ORDER BY doc_count DESC, key LIMIT 7
+""")
+def together_sized(spark, sf):
+    return _together(spark, sf, "user")
+
+
+@register("together_days", """
+SELECT date_trunc('day', ts)::TIMESTAMP AS key, count(*) AS doc_count, count(DISTINCT user_id) AS users
+FROM events WHERE value >= 5 GROUP BY 1
+""")
+def together_days(spark, sf):
+    return _together(spark, sf, "day")
+
+
+@register("b_filter", "SELECT count(*) AS doc_count, round(avg(value), 6) AS mean FROM events WHERE event_type = 'click'")
+def b_filter(spark, sf):
+    return r6(execute(t(spark, sf, "events"), aggs(x=B.filter_(P.term("event_type", "click"), {"mean": M.avg("value")}))))
+
+
+@register("b_token_buckets", f"""
+SELECT term AS key, count(*) AS doc_count, count(DISTINCT conv_id) AS convs
+FROM (SELECT conv_id, unnest(list_distinct({toks_sql('text')})) AS term FROM conversations WHERE role = 'user')
+GROUP BY 1 ORDER BY doc_count DESC, key LIMIT 20
+""")
+def b_token_buckets(spark, sf):
+    """Token buckets beside a query, with a metric in each bucket."""
+    spec = B.token_buckets("text", size=20, metrics={"convs": M.cardinality("conv_id")})
+    return execute(t(spark, sf, "conversations"), query(P.term("role", "user")) + aggs(x=spec))

@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 
 from ..functions import predicates
 from ..functions.common import as_col
-from ..operators.buckets import BucketAgg
+from ..operators.buckets import BucketAgg, run_together
 from ..operators.metrics import Metric, aggregate
 
 
@@ -258,10 +258,9 @@ def run_aggs(df: DataFrame, req: Request) -> DataFrame | dict[str, DataFrame]:
             # metrics share one aggregate (one scan); beside other
             # aggregations each result holds its own columns only
             results[n] = wide if len(metric_specs) == len(req.aggs) else wide.select(*metric_specs[n].output(n))
-    for n, a in req.aggs.items():
-        if isinstance(a, BucketAgg):
-            src = df if getattr(a, "ignores_query", False) else filtered
-            results[n] = a.run(src)
+    buckets = {n: a for n, a in req.aggs.items() if isinstance(a, BucketAgg)}
+    results |= run_together(filtered, {n: a for n, a in buckets.items() if not getattr(a, "ignores_query", False)})
+    results |= {n: a.run(df) for n, a in buckets.items() if getattr(a, "ignores_query", False)}
     if len(req.aggs) == 1:
         return next(iter(results.values()))
     if metric_specs and len(metric_specs) == len(req.aggs):
