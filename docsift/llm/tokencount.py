@@ -133,6 +133,8 @@ class Counter:
         size = np.asarray([len(tokens[i]) for i in order], np.int64)
         depth = int(size.max(initial=0))
         n = len(order)
+        if not depth:
+            return np.zeros(n, np.int64)
         grid = np.zeros((n, depth), np.uint32)
         flat = np.frombuffer("".join(tokens[i] for i in order).encode("utf-32-le", "surrogatepass"), np.uint32)
         inside = np.arange(depth) < size[:, None]

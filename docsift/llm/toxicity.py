@@ -27,7 +27,7 @@ SIZES = (3, 4, 5)
 
 def subwords(words: pa.Array, buckets: int) -> tuple[np.ndarray, np.ndarray]:
     """Buckets of the character n-grams of each word (borders included), one
-    word after another, and how many each word has (at least 1)."""
+    word after another, and how many each word has (none if it is empty)."""
     joined = "".join(f"\x02{w}\x03" for w in words.to_pylist())
     codes = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
     start = np.flatnonzero(codes == 2)
@@ -37,7 +37,7 @@ def subwords(words: pa.Array, buckets: int) -> tuple[np.ndarray, np.ndarray]:
     h = np.zeros(len(codes), np.uint64)
     for n in range(1, max(SIZES) + 1):
         moved = np.zeros(len(codes), np.uint64)
-        moved[: len(codes) - n + 1] = codes[n - 1:]
+        moved[: max(len(codes) - n + 1, 0)] = codes[n - 1:]
         h = h * np.uint64(0x100000001B3) + moved + np.uint64(1)
         if n in SIZES:
             marks.append(left >= n)
@@ -56,9 +56,9 @@ def text_words(texts: pa.Array) -> tuple[np.ndarray, pa.Array, np.ndarray]:
     lower = pc.replace_substring_regex(lower, "[\\x00-\\x08\\x0e-\\x1f]", " ")
     parts = pc.ascii_split_whitespace(pc.ascii_trim(lower, characters=" \t\n\x0b\x0c\r"))
     coded = parts.values.dictionary_encode()
-    distinct = pc.utf8_trim(coded.dictionary, characters=".,;:!?\"'()[]|*#&%$-")
+    trimmed = pc.utf8_trim(coded.dictionary, characters=".,;:!?\"'()[]|*#&%$-").dictionary_encode()
     offsets = parts.offsets.to_numpy()
-    return coded.indices.to_numpy(), distinct, offsets - offsets[0]
+    return trimmed.indices.to_numpy()[coded.indices.to_numpy()], trimmed.dictionary, offsets - offsets[0]
 
 
 def text_bags(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, pa.Array]:
@@ -71,6 +71,23 @@ def text_bags(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, pa.A
     return pair // max(len(distinct), 1), pair % max(len(distinct), 1), np.sqrt(times), distinct
 
 
+def _gather_sums(values: np.ndarray, index: np.ndarray, starts: np.ndarray, scale: np.ndarray | None = None,
+                 rows: int = 500_000) -> np.ndarray:
+    """``np.add.reduceat(values[index] * scale, starts)`` in pieces of about
+    ``rows`` gathered rows."""
+    out = np.empty((len(starts), values.shape[1]), values.dtype)
+    lo = 0
+    while lo < len(starts):
+        hi = max(lo + 1, int(np.searchsorted(starts, starts[lo] + rows)))
+        a, b = int(starts[lo]), int(starts[hi]) if hi < len(starts) else len(index)
+        part = values[index[a:b]]
+        if scale is not None:
+            part *= scale[a:b]
+        out[lo:hi] = np.add.reduceat(part, starts[lo:hi] - a)
+        lo = hi
+    return out
+
+
 @dataclass(frozen=True)
 class ToxicityModel:
     weights: np.ndarray
@@ -80,16 +97,14 @@ class ToxicityModel:
     def score(self, texts: pa.Array) -> np.ndarray:
         owner, word, times, distinct = text_bags(texts)
         grams, counts = subwords(distinct, len(self.weights))
-        sums = np.zeros(len(counts))
-        if len(grams):
-            sums = np.add.reduceat(self.weights[grams], np.cumsum(counts) - counts)
+        sums = np.bincount(np.repeat(np.arange(len(counts)), counts), self.weights[grams], len(counts))
         total = np.bincount(owner, sums[word] * times, len(texts))
         n = np.bincount(owner, counts[word] * times, len(texts)) + self.pad
         return 1 / (1 + np.exp(-np.clip(self.bias + total / n, -40, 40)))
 
 
 def train(texts: list[str], labels: np.ndarray, weights: np.ndarray, *, buckets: int = 1 << 18, dim: int = 6,
-          steps: int = 45, rate: float = 0.5, floor: float = 0.05, decay: float = 1e-6, min_texts: int = 5, pad: float = 60,
+          steps: int = 45, rate: float = 1.0, floor: float = 0.05, decay: float = 1e-6, min_texts: int = 5, pad: float = 60,
           seed: int = 11) -> ToxicityModel:
     """Full-batch Adam on embeddings and softmax together. ``weights``: of
     each row. Without rows of both labels the score is the share of label 1
@@ -100,23 +115,28 @@ def train(texts: list[str], labels: np.ndarray, weights: np.ndarray, *, buckets:
         return ToxicityModel(np.zeros(buckets, np.float32), float(np.log(share / (1 - share))), pad)
     rng = np.random.default_rng(seed)
     owner, word, times, distinct = text_bags(pa.array(texts))
-    grams, counts = subwords(distinct, buckets)
+    parts = [subwords(distinct.slice(lo, 50_000), buckets) for lo in range(0, len(distinct), 50_000)]
+    grams = np.concatenate([g.astype(np.int32) for g, _ in parts] or [np.zeros(0, np.int32)])
+    counts = np.concatenate([c for _, c in parts] or [np.zeros(0, np.int64)])
+    del parts
     size = (np.bincount(owner, counts[word] * times, len(texts)) + pad).astype(np.float32)[:, None]
     # texts that hold a subword, counted by its words
     texts_of = np.bincount(grams, np.repeat(np.bincount(word, minlength=len(counts)), counts), buckets)
     kept = texts_of[grams] >= min_texts
     if not kept.any():
         kept[:] = True
-    by_word = np.repeat(np.arange(len(counts)), counts)[kept]  # words of the kept subwords, in order
+    by_word = np.repeat(np.arange(len(counts), dtype=np.int32), counts)[kept]  # words of the kept subwords, in order
     used, grams = np.unique(grams[kept], return_inverse=True)
+    grams = grams.astype(np.int32)
     has, first = np.unique(by_word, return_index=True)
-    by_gram = np.argsort(grams, kind="stable")
+    by_gram = np.argsort(grams, kind="stable").astype(np.int32)
     word_of_gram = by_word[by_gram]
-    gram_first = np.searchsorted(grams[by_gram], np.arange(len(used)))
+    gram_first = np.searchsorted(grams[by_gram], np.arange(len(used), dtype=np.int32))
+    del by_gram, by_word
     own, starts = np.unique(owner, return_index=True)
     sort = np.argsort(word, kind="stable")
     owner_by_word, times_by_word = owner[sort], times[sort].astype(np.float32)[:, None]
-    word_first = np.searchsorted(word[sort], np.arange(len(counts)))
+    seen, word_first = np.unique(word[sort], return_index=True)
     times = times.astype(np.float32)[:, None]
 
     emb = rng.normal(0, 0.1, (len(used), dim)).astype(np.float32)
@@ -129,9 +149,9 @@ def train(texts: list[str], labels: np.ndarray, weights: np.ndarray, *, buckets:
     square = [np.zeros_like(p) for p in params]
     for step in range(1, steps + 1):
         vector = np.zeros((len(counts), dim), np.float32)
-        vector[has] = np.add.reduceat(emb[grams], first)
+        vector[has] = _gather_sums(emb, grams, first)
         doc = np.zeros((len(texts), dim), np.float32)
-        doc[own] = np.add.reduceat(vector[word] * times, starts)
+        doc[own] = _gather_sums(vector, word, starts, times)
         doc /= size
         logit = doc @ soft + bias
         logit -= logit.max(1, keepdims=True)
@@ -139,20 +159,21 @@ def train(texts: list[str], labels: np.ndarray, weights: np.ndarray, *, buckets:
         p /= p.sum(1, keepdims=True)
         d = (p - target) * w
         back = (d @ soft.T) / size
-        word_back = np.add.reduceat(back[owner_by_word] * times_by_word, word_first)
-        grads = [np.add.reduceat(word_back[word_of_gram], gram_first) + decay * emb, doc.T @ d, d.sum(0)]
+        word_back = np.zeros((len(counts), dim), np.float32)
+        word_back[seen] = _gather_sums(back, owner_by_word, word_first, times_by_word)
+        grads = [_gather_sums(word_back, word_of_gram, gram_first) + decay * emb, doc.T @ d, d.sum(0)]
         for i, (x, g) in enumerate(zip(params, grads)):
             mean[i] = 0.9 * mean[i] + 0.1 * g
             square[i] = 0.99 * square[i] + 0.01 * g * g
             scale = np.sqrt(square[i] / (1 - 0.99 ** step))
-            x -= rate * (mean[i] / (1 - 0.9 ** step)) / (scale + floor * scale.max() + 1e-12)
+            x -= (rate, 0.2 * rate, 0.1 * rate)[i] * (mean[i] / (1 - 0.9 ** step)) / (scale + floor * scale.max() + 1e-12)
     flat = np.zeros(buckets, np.float32)
     flat[used] = emb @ (soft[:, 1] - soft[:, 0])
     return ToxicityModel(flat, float(bias[1] - bias[0]), pad)
 
 
 def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
-        rows_of_label: tuple[int, int] = (6000, 3000), max_chars: int = 4000, **options) -> ToxicityModel:
+        rows_of_label: tuple[int, int] = (4000, 2500), max_chars: int = 3000, **options) -> ToxicityModel:
     """Train on ``rows_of_label`` rows of label 0 and 1 at most (lowest by a
     hash of their id, longer texts than ``max_chars`` left out), weighted so
     that the labels count as in all of ``labels``. NULL ids and labels are
