@@ -45,10 +45,11 @@ from ..session import cut_lineage
 from .common import bounded, free_name, lower_ascii, table_of
 
 #: Shingles and documents of one block (on average).
-BLOCK_SHINGLES = 200_000
-BLOCK_DOCS = 512
-#: Rows of the product's plan (a document in a pair of blocks, about 64 bytes)
-#: that may be broadcast to the texts; more are joined by a shuffle.
+BLOCK_SHINGLES = 600_000
+BLOCK_DOCS = 2048
+#: Rows of the product's plan (a document in a pair of blocks), or keys of
+#: documents to drop, about 64 bytes each, that may be broadcast to the texts;
+#: more are joined by a shuffle.
 BROADCAST_ROWS = 500_000
 _A, _B = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
@@ -140,11 +141,11 @@ def link_block(left: list[np.ndarray], right: list[np.ndarray] | None, percent:
     size = np.asarray([len(s) for s in rows], np.int64)
     a = len(left)
     share = slice(0, a) if right is None else slice(a, None)
-    both = size[:a, None] + size[share][None, :]
+    width = len(rows[share])
     if len(rows) <= 6:
-        overlap = np.zeros(both.shape, np.int64)
+        overlap = np.zeros((a, width), np.float32)
         for i in range(a):
-            for j in range(both.shape[1]):
+            for j in range(width):
                 x, y = rows[i], rows[(0 if right is None else a) + j]
                 if (right is not None or j > i) and min(len(x), len(y)) * 100 >= percent * max(len(x), len(y)):
                     overlap[i, j] = len(np.intersect1d(x, y, assume_unique=True))
@@ -165,15 +166,17 @@ def link_block(left: list[np.ndarray], right: list[np.ndarray] | None, percent:
         owner, at = owner[keep], name[at[keep]]
         order = np.argsort(at, kind="stable")
         owner, at = owner[order], at[order]
-        overlap = np.zeros(both.shape, np.float32)
-        for lo in range(0, int(twice.sum()), 4096):
-            i, j = np.searchsorted(at, (lo, lo + 4096))
-            part = np.zeros((len(rows), 4096), np.float32)
+        overlap = np.zeros((a, width), np.float32)  # whole numbers, exact below 2**24
+        for lo in range(0, int(twice.sum()), 1024):
+            i, j = np.searchsorted(at, (lo, lo + 1024))
+            part = np.zeros((len(rows), 1024), np.float32)
             part[owner[i:j], at[i:j] - lo] = 1
             overlap += part[:a] @ part[share].T
-        overlap = overlap.astype(np.int64)
-    linked = (100 + percent) * overlap >= percent * both
-    linked &= overlap > 0
+    linked = np.zeros((a, width), bool)
+    for lo in range(0, a, 256):
+        some = overlap[lo: lo + 256].astype(np.int64)
+        both = size[lo: lo + 256][: len(some), None] + size[share][None, :]
+        linked[lo: lo + 256] = ((100 + percent) * some >= percent * both) & (some > 0)
     if right is None:
         np.fill_diagonal(linked, False)
     return linked
@@ -182,9 +185,14 @@ def link_block(left: list[np.ndarray], right: list[np.ndarray] | None, percent:
 def _parts(linked: np.ndarray) -> np.ndarray:
     """Smallest row number of each row's part in a symmetric link matrix."""
     label = np.arange(len(linked))
+    if not len(label):
+        return label
     while True:
-        low = np.where(linked, label[None, :], len(label)).min(1, initial=len(label))
-        new = np.minimum(label, low)
+        # columns by label: the first link of a row leads to its lowest label
+        order = np.argsort(label, kind="stable")
+        first = linked[:, order].argmax(1)
+        has = linked[np.arange(len(label)), order[first]]
+        new = np.where(has, np.minimum(label, label[order[first]]), label)
         new = new[new]
         if (new == label).all():
             return label
@@ -205,7 +213,7 @@ def _unit(key: np.ndarray, block: np.ndarray, copies: np.ndarray, sets: list[np.
         linked |= linked.T
     else:
         linked = link_block(sets, None, percent)
-    links = linked @ copies
+    links = np.concatenate([linked[lo: lo + 256] @ copies for lo in range(0, len(key), 256)] or [copies[:0]])
     some = np.flatnonzero(links)
     return key[some], links[some], key[_parts(linked)[some]]
 
@@ -293,10 +301,12 @@ def jaccard_classes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     (NULL, empty or blank text) links with nothing: both are its own id. NULL
     ids take part; they are never a class's smallest id unless it has no
     other. Repeated rows are copies of each other."""
-    rows = cut_lineage(_sets(docs, width, id_col, text_col, "array<long>", _prefixes(percent)))
-    some = rows.where("n > 0")
-    counted = some.groupBy("cls").agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("copies"))
-    sets = some.groupBy("cls").agg(F.first("n").alias("n"), F.first("data").alias("tokens"))
+    none = lambda sets: pa.nulls(len(sets), pa.binary())
+    rows = cut_lineage(_sets(docs, width, id_col, text_col, "binary", none).drop("data"))
+    counted = rows.where("n > 0").groupBy("cls").agg(
+        F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("copies"))
+    sets = (_sets(docs, width, id_col, text_col, "array<long>", _prefixes(percent)).where("n > 0")
+            .groupBy("cls").agg(F.first("n").alias("n"), F.first("data").alias("tokens")))
     once = _pruned(sets, percent)
     alive = _pruned(once.select("cls", "n", F.expr("transform(shared, x -> x.token)").alias("tokens")), percent)
 
@@ -367,14 +377,20 @@ def one_of_each(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
                 percent: int = 80) -> DataFrame:
     """The rows of ``docs`` that stay when one document of each component
     does: the one with the smallest id (NULL last). Repeated rows stay once,
-    rows without shingles all stay. All columns are kept, whatever their
-    names. Texts are shuffled once, by set and id, so a large group of copies
-    does not meet in one task."""
+    rows without shingles all stay (repeated ones once). All columns are kept,
+    whatever their names.
+
+    Rows are told to go by their set and id. Up to :data:`BROADCAST_ROWS` such
+    keys are broadcast, so no text is shuffled; more are joined by a shuffle
+    on set and id, so a large group of copies does not meet in one task."""
     mark = free_name(docs.columns, "set_key")
-    kept_id, kept_key = (free_name([*docs.columns, mark], c) for c in ("kept_id", "kept_key"))
+    gone_id, gone_key = (free_name([*docs.columns, mark], c) for c in ("gone_id", "gone_key"))
     marks = jaccard_classes(docs, id_col=id_col, text_col=text_col, width=width, percent=percent)
+    marks = cut_lineage(marks.groupBy("component_key", "doc_id", "set_key").agg(F.count(F.lit(1)).alias("rows")))
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "set_key")).alias("first")
-    stays = cut_lineage(marks.groupBy("component_key").agg(first).select("first.doc_id", "first.set_key"))
+    stays = marks.groupBy("component_key").agg(first).select("component_key", "first")
+    same = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("set_key") == F.col("first.set_key"))
+    marks = cut_lineage(marks.join(stays, "component_key").select("doc_id", "set_key", "rows", same.alias("stays")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in bounded(batches, text_col):
@@ -384,9 +400,16 @@ def one_of_each(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     rows = docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(mark, T.LongType())]))
     own = F.col(f"`{id_col}`").cast("long")
     rows = rows.withColumn(mark, F.coalesce(F.col(f"`{mark}`"), F.xxhash64(own)))
-    kept = stays.select(F.col("doc_id").alias(kept_id), F.col("set_key").alias(kept_key))
-    same = (F.col(f"`{mark}`") == F.col(f"`{kept_key}`")) & own.eqNullSafe(F.col(f"`{kept_id}`"))
-    return rows.join(kept, same, "left_semi").dropDuplicates([id_col, mark]).drop(mark)
+    at = (F.col(f"`{mark}`") == F.col(f"`{gone_key}`")) & own.eqNullSafe(F.col(f"`{gone_id}`"))
+    keys = lambda which: marks.where(which).select(
+        F.col("doc_id").alias(gone_id), F.col("set_key").alias(gone_key))
+    gone, repeated = "not stays or rows > 1", "stays and rows > 1"
+    n = marks.agg(F.count_if(F.expr(gone)).alias("gone"), F.count_if(F.expr(repeated)).alias("repeated")).first()
+    hint = F.broadcast if n["gone"] <= BROADCAST_ROWS else lambda x: x
+    out = rows.join(hint(keys(gone)), at, "left_anti")
+    if n["repeated"]:  # their rows are read apart, and once each
+        out = out.union(rows.join(hint(keys(repeated)), at, "left_semi").dropDuplicates([id_col, mark]))
+    return out.drop(mark)
 
 
 def _set_key(shingles: np.ndarray) -> int | None:

@@ -19,7 +19,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Distinct chunks kept by one Python worker, and the longest chunk kept.
-CACHE_CHUNKS = 600_000
+CACHE_CHUNKS = 400_000
 CACHE_CHUNK_BYTES = 64
 
 

@@ -128,7 +128,9 @@ def test_components_of_chains_and_stars(spark):
     assert [len(g) for g in groups] == [1, 1, 1] and len(set.union(*groups)) == 3 and name[500] not in by
 
 
-def test_one_of_each(spark, hard):
+@pytest.mark.parametrize("limit", [0, 500_000])
+def test_one_of_each(spark, hard, monkeypatch, limit):
+    monkeypatch.setattr(ngram_join, "BROADCAST_ROWS", limit)
     rows = hard.collect()
     sets, root, _ = _join([(r.doc_id, r.text) for r in rows], 5, 80)
     groups = defaultdict(list)
