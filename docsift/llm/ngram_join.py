@@ -9,8 +9,9 @@ columns are word n-grams. Documents link when ``100 * |A & B| >= percent *
    (here: by hash) two partners share at least ``m`` of their first
    ``n - that + m`` ones; ``m`` grows with the set (:func:`_demand`).
 2. *Pruning.* These prefixes are counted over all documents. A document with
-   fewer than ``m`` prefix shingles that occur elsewhere has no partner and
-   is done; common lines or word pairs alone never make a candidate.
+   fewer prefix shingles that occur elsewhere than it shares with a partner of
+   any size (:func:`_demand_any`) has no partner and is done; common lines or
+   word pairs alone never make a candidate.
 3. *Blocks.* The others are put with their most frequent prefix shingle and a
    size class, large groups dealt out by hash. Two blocks of neighbouring
    size classes are multiplied if they share enough prefix shingles; of each,
@@ -105,9 +106,28 @@ def _demand(n, percent: int):
     return 1 + (n - _need(n, percent) + 1) // 2
 
 
+def _need_column(n: Column, percent: int) -> Column:
+    return F.ceil(n * percent / 100).cast("long")
+
+
 def _demand_column(n: Column, percent: int) -> Column:
-    need = F.ceil(n * percent / 100).cast("long")
-    return (F.floor((n - need + 1) / 2) + 1).cast("long")
+    return (F.floor((n - _need_column(n, percent) + 1) / 2) + 1).cast("long")
+
+
+def _demand_any(n: Column, percent: int) -> Column:
+    """Prefix shingles that a set of ``n`` shares at least with a partner of
+    any size. Two sets that share ``both`` shingles share as many prefix
+    shingles as the shorter prefix allows, which may be the smaller set's;
+    larger partners allow ``n``'s own demand."""
+    def shared(size: Column, both: Column) -> Column:
+        return _demand_column(size, percent) + both - _need_column(size, percent)
+
+    def partner(size: Column) -> Column:
+        both = F.ceil((n + size) * percent / (100 + percent)).cast("long")
+        return F.least(both, shared(n, both), shared(size, both))
+
+    smaller = F.array_min(F.transform(F.sequence(_need_column(n, percent), n), partner))
+    return F.least(_demand_column(n, percent), smaller)
 
 
 def _sets(docs: DataFrame, width: int, id_col: str, text_col: str, column: str, emit) -> DataFrame:
@@ -286,7 +306,7 @@ def _pruned(rows: DataFrame, percent: int) -> DataFrame:
     often = posted.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
     shared = posted.join(often, "token").groupBy("cls").agg(
         F.first("n").alias("n"), F.collect_list(F.struct("df", "token")).alias("shared"))
-    return cut_lineage(shared.where(F.size("shared") >= _demand_column(F.col("n"), percent)))
+    return cut_lineage(shared.where(F.size("shared") >= _demand_any(F.col("n"), percent)))
 
 
 def jaccard_classes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = 5,

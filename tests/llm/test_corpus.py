@@ -95,6 +95,30 @@ def test_join_blocks_are_dealt_out(spark, monkeypatch):
     assert sorted((r.doc_id, r.component_id, r.n_links) for r in got.collect()) == [(i, small[root[i]], links[i]) for i in range(len(rows))]
 
 
+@pytest.mark.parametrize("percent", [85, 80])
+def test_pairs_that_just_reach_the_bound(spark, percent):
+    """One pair for all sizes up to 60, words of its own, as few in common as
+    link. Larger sets have longer prefixes, smaller ones show fewer of them."""
+    texts = []
+    for b in range(1, 61):
+        for a in range(1, b + 1):
+            both = -(-percent * (a + b) // (100 + percent))
+            if both <= a:
+                same = [f"c{a}x{b}x{i}" for i in range(both)]
+                texts += [" ".join(same + [f"{side}{a}x{b}x{i}" for i in range(n - both)]) for side, n in (("l", a), ("r", b))]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    got = ngram_join.jaccard_classes(docs, width=1, percent=percent).collect()
+    lost = sorted((r.doc_id, r.n_shingles) for r in got if not r.n_links or r.component_id != r.doc_id // 2 * 2)
+    assert len(got) == len(texts) and lost == []
+
+
+def test_one_word_more_is_a_link(spark):
+    words = "one two three four five six seven eight nine ten".split()
+    docs = spark.createDataFrame([(1, " ".join(words[:9])), (2, " ".join(words))], "doc_id long, text string")
+    got = ngram_join.jaccard_classes(docs, width=4, percent=85).orderBy("doc_id").collect()
+    assert [(r.n_shingles, r.component_id, r.n_links) for r in got] == [(6, 1, 1), (7, 1, 1)]
+
+
 def test_op8_equals_brute_force(spark):
     rows = sorted((r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").collect())
     sets, root, links = _join(rows, 4, 85)
