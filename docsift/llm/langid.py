@@ -9,7 +9,9 @@ Texts are lower-cased, letters outside the samples become one unknown letter,
 and runs of other characters become one blank. A parse starts anew every
 ``block_chars`` characters of that form, so long texts are parsed in many
 lanes at once: all blocks of a batch and all languages step through their
-automata together, one array look-up per character.
+automata together, one array look-up per character. Every letter of the
+samples counts: the most frequent ones have a column in that table, the
+others' transitions (in all a few times the sample) are sorted and searched.
 """
 
 from __future__ import annotations
@@ -35,11 +37,11 @@ def letter_table(letters: str) -> np.ndarray:
     """Class of every code point: 0 for what is no letter, 1 for letters
     outside ``letters``, else a class for each letter (either case)."""
     known = {c: i + 2 for i, c in enumerate(letters)}
-    table = np.zeros(0x110000, np.uint8)
+    table = np.zeros(0x110000, np.min_scalar_type(len(letters) + 2))
     for code in range(0x110000):
         c = chr(code)
         if unicodedata.category(c)[0] == "L":
-            table[code] = known.get(c.lower(), UNKNOWN)
+            table[code] = known.get(c.lower()[0], UNKNOWN)
     return table
 
 
@@ -51,67 +53,111 @@ def classes_of(text: str, table: np.ndarray) -> np.ndarray:
     return out[:-1] if len(out) and out[-1] == BLANK else out
 
 
-def suffix_automaton(symbols: np.ndarray, width: int) -> np.ndarray:
-    """Transitions (state by symbol, -1: none; state 0 is the start) of the
-    automaton that accepts every substring of ``symbols``."""
-    size = 2 * len(symbols) + 1
-    to = np.full((size, width), -1, np.int32)
-    longest, link = [0] * size, [-1] * size
-    last, n = 0, 1
+def transitions(symbols: np.ndarray) -> list[dict[int, int]]:
+    """Next state by symbol, for each state (0 is the start) of the automaton
+    that accepts every substring of ``symbols``."""
+    to: list[dict[int, int]] = [{}]
+    longest, link = [0], [-1]
+    last = 0
     for c in symbols.tolist():
-        cur, n = n, n + 1
-        longest[cur] = longest[last] + 1
+        cur = len(to)
+        to.append({})
+        longest.append(longest[last] + 1)
+        link.append(0)
         p = last
-        while p >= 0 and to[p, c] < 0:
-            to[p, c] = cur
+        while p >= 0 and c not in to[p]:
+            to[p][c] = cur
             p = link[p]
-        if p < 0:
-            link[cur] = 0
-        else:
-            q = int(to[p, c])
+        if p >= 0:
+            q = to[p][c]
             if longest[p] + 1 == longest[q]:
                 link[cur] = q
             else:
-                twin, n = n, n + 1
-                longest[twin] = longest[p] + 1
-                to[twin] = to[q]
-                link[twin] = link[q]
-                while p >= 0 and to[p, c] == q:
-                    to[p, c] = twin
+                twin = len(to)
+                to.append(to[q].copy())
+                longest.append(longest[p] + 1)
+                link.append(link[q])
+                while p >= 0 and to[p].get(c) == q:
+                    to[p][c] = twin
                     p = link[p]
                 link[q] = link[cur] = twin
         last = cur
-    return to[:n]
+    return to
+
+
+def suffix_automaton(symbols: np.ndarray, width: int) -> np.ndarray:
+    """:func:`transitions` of the symbols below ``width`` as a table (state by
+    symbol, -1: none)."""
+    return _table(transitions(symbols), width)
+
+
+def _table(edges: list[dict[int, int]], width: int) -> np.ndarray:
+    to = np.full((len(edges), width), -1, np.int32)
+    for state, out in enumerate(edges):
+        for c, target in out.items():
+            if c < width:
+                to[state, c] = target
+    return to
+
+
+def _fair_phrase(symbols: np.ndarray) -> float:
+    """Least mean phrase length that speaks for a language: the last quarter of
+    its sample is parsed against the rest, and half way (by ratio) from there
+    to 1, where no phrase is known, lies the bound."""
+    cut = len(symbols) * 3 // 4
+    edges, held = transitions(symbols[:cut]), symbols[cut:].tolist()
+    state = count = 0
+    for c in held:
+        if c in edges[state]:
+            state = edges[state][c]
+            continue
+        count += state != 0
+        state = edges[0].get(c, 0)
+        count += state == 0
+    count += state != 0
+    return float(np.sqrt(len(held) / count)) if count else 1.0
 
 
 @dataclass(frozen=True)
 class LanguageModel:
     """Automata of all languages in one table. ``steps[s + c]`` for state
     offset ``s`` and class ``c`` holds the next offset times 4 plus the
-    phrases that end (0 to 2)."""
+    phrases that end (0 to 2). Classes from ``width`` on have no column:
+    ``keys`` are their transitions (offset and class in one number, sorted),
+    ``found`` the steps, ``missed`` (language by class) the steps of all
+    other states. ``fair``: each language's bound of :func:`speaks`."""
 
     languages: tuple[str, ...]
     letters: str
     steps: np.ndarray
     starts: np.ndarray
     prices: np.ndarray
+    fair: np.ndarray
     width: int
     block_chars: int
+    keys: np.ndarray
+    found: np.ndarray
+    missed: np.ndarray
 
     @classmethod
     def build(cls, samples: dict[str, list[str]], sample_chars: int, block_chars: int = 2048,
-              max_letters: int = 120) -> LanguageModel:
+              table_letters: int = 120) -> LanguageModel:
         """``samples``: texts by language; of each language ``sample_chars``
-        characters are used."""
+        characters are used. The ``table_letters`` most frequent letters have
+        a column of the table."""
         names = tuple(sorted(samples))
         seen = Counter(c for t in samples.values() for x in t for c in x.lower() if unicodedata.category(c)[0] == "L")
-        letters = "".join(sorted(c for c, _ in sorted(seen.items(), key=lambda x: (-x[1], x[0]))[:max_letters]))
-        table, width = letter_table(letters), len(letters) + 2
-        parts, starts, prices, base = [], [], [], 0
-        for name in names:
+        ranked = [c for c, _ in sorted(seen.items(), key=lambda x: (-x[1], x[0]))]
+        letters = "".join(sorted(ranked[:table_letters]) + sorted(ranked[table_letters:]))
+        width, rare = min(len(letters), table_letters) + 2, max(len(letters) - table_letters, 0)
+        table = letter_table(letters)
+        parts, starts, prices, fair, base = [], [], [], [], 0
+        keys, found, missed = [], [], np.zeros((len(names), rare), np.int64)
+        for i, name in enumerate(names):
             joined = [np.r_[classes_of(t, table), BLANK] for t in samples[name]]
             symbols = np.concatenate(joined)[:sample_chars] if joined else np.zeros(0, np.int64)
-            to = suffix_automaton(symbols.astype(np.int64), width)
+            edges = transitions(symbols.astype(np.int64))
+            to = _table(edges, width)
             to[:, UNKNOWN] = -1  # unknown letters match nothing
             first = to[0]
             states = np.arange(len(to))
@@ -119,13 +165,31 @@ class LanguageModel:
             ended = np.where(first >= 0, 1, 2)[None, :] - (states == 0)[:, None]
             nxt = np.where(to >= 0, to, back[None, :])
             parts.append((((nxt.astype(np.int64) + base) * width) << 2) + np.where(to >= 0, 0, ended))
+            missed[i] = (base * width << 2) + 2
+            for state, out in enumerate(edges if rare else ()):
+                for c, target in out.items():
+                    if c >= width:
+                        keys.append((base + state) * width * rare + c - width)
+                        found.append((base + target) * width << 2)
+                        if not state:
+                            missed[i, c - width] = found[-1] + 1
             starts.append(base * width)
             prices.append(np.log2(max(len(symbols), 2)))
+            fair.append(_fair_phrase(symbols))
             base += len(to)
         steps = np.concatenate(parts) if parts else np.zeros((0, width), np.int64)
         kind = np.int32 if base * width * 4 < 1 << 31 else np.int64
-        return cls(names, letters, steps.astype(kind).ravel(), np.asarray(starts, kind), np.asarray(prices), width,
-                   block_chars)
+        order = np.argsort(np.asarray(keys, np.int64))
+        return cls(names, letters, steps.astype(kind).ravel(), np.asarray(starts, kind), np.asarray(prices),
+                   np.asarray(fair), width, block_chars, np.asarray(keys, np.int64)[order],
+                   np.asarray(found, np.int64)[order], missed)
+
+    def _searched(self, state: np.ndarray, codes: np.ndarray) -> np.ndarray:
+        """Steps of classes without a column (states: languages by lanes)."""
+        rare = codes.astype(np.int64) - self.width
+        want = state.astype(np.int64) * self.missed.shape[1] + rare
+        at = np.minimum(np.searchsorted(self.keys, want), len(self.keys) - 1)
+        return np.where(self.keys[at] == want, self.found[at], self.missed[:, rare] - (state == self.starts[:, None]))
 
     def phrases(self, codes: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """Phrases (texts by languages) of texts given as classes."""
@@ -145,7 +209,13 @@ class LanguageModel:
         count = np.zeros((langs, lanes), np.int32)
         active = np.searchsorted(-length, -np.arange(1, int(length[0]) + 1), side="right")
         for t, k in enumerate(active.tolist()):
-            got = self.steps[state[:, :k] + codes[at[:k] + t]]
+            c = codes[at[:k] + t]
+            rare = np.flatnonzero(c >= self.width) if len(self.keys) else ()
+            if len(rare):
+                got = self.steps[state[:, :k] + np.where(c < self.width, c, BLANK)]
+                got[:, rare] = self._searched(state[:, rare], c[rare])
+            else:
+                got = self.steps[state[:, :k] + c]
             count[:, :k] += got & 3
             np.right_shift(got, 2, out=state[:, :k])
         count += state != self.starts[:, None]
@@ -197,19 +267,22 @@ class Predictor:
         return names.tolist(), score, mean, sizes
 
 
-def speaks(into: str = "language", min_phrase: float = 2.0, min_letters: int = 20):
+def speaks(into: str = "language", min_phrase: float | None = None, min_letters: int = 20):
     """Condition on :func:`predict`'s struct: a language was found and, for
-    texts long enough to tell, its phrases are longer than chance gives."""
+    texts long enough to tell, its phrases are as long as held-back text of
+    that language lets expect (``fair_phrase``; ``min_phrase`` if given)."""
     got = F.col(f"`{into}`")
-    return (got["lang_pred"] != UNDETERMINED) & ((got["letters"] < min_letters) | (got["phrase_chars"] >= min_phrase))
+    least = got["fair_phrase"] if min_phrase is None else F.lit(min_phrase)
+    return (got["lang_pred"] != UNDETERMINED) & ((got["letters"] < min_letters) | (got["phrase_chars"] >= least))
 
 
 def predict(docs: DataFrame, model: LanguageModel, *, text_col: str = "text", into: str | None = None) -> DataFrame:
     """``docs`` with one more column ``into``, a struct: ``lang_pred``
     (the first by code point on ties; ``und`` if the text is NULL or has no
     letter), ``score`` (0 to 1: how much cheaper the best parse is than the
-    second best), ``phrase_chars`` (mean phrase length of the best parse) and
-    ``letters`` (letters and blanks between words that were parsed).
+    second best), ``phrase_chars`` (mean phrase length of the best parse),
+    ``letters`` (letters and blanks between words that were parsed) and
+    ``fair_phrase`` (the language's bound of :func:`speaks`, 0 for ``und``).
     Row by row, whole texts, no shuffle; other columns are carried along.
     ``into`` is ``language`` unless given, with underscores added where docs
     has such a column. The model goes to the tasks as a broadcast of fixed
@@ -217,7 +290,10 @@ def predict(docs: DataFrame, model: LanguageModel, *, text_col: str = "text", in
     into = into or free_name(docs.columns, "language")
     sent = docs.sparkSession.sparkContext.broadcast(model)
     made = T.StructType([T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()),
-                         T.StructField("phrase_chars", T.DoubleType()), T.StructField("letters", T.LongType())])
+                         T.StructField("phrase_chars", T.DoubleType()), T.StructField("letters", T.LongType()),
+                         T.StructField("fair_phrase", T.DoubleType())])
+
+    fair = dict(zip(model.languages, model.fair.tolist()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         predictor = None
@@ -225,7 +301,7 @@ def predict(docs: DataFrame, model: LanguageModel, *, text_col: str = "text", in
             predictor = predictor or Predictor(sent.value)
             names, score, mean, letters = predictor.predict(batch.column(text_col).to_pylist())
             new = pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(score), pa.array(mean),
-                                              pa.array(letters)], ["lang_pred", "score", "phrase_chars", "letters"])
+                                              pa.array(letters), pa.array([fair.get(x, 0.0) for x in names], pa.float64())], made.names)
             yield pa.record_batch([*batch.columns, new], [*batch.schema.names, into])
 
     return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(into, made)]))

@@ -166,6 +166,41 @@ def test_suffix_automaton_accepts_exactly_the_substrings():
         assert (state >= 0) == (w in text)
 
 
+def _made_up(rng, first, letters, words=1500):
+    """Texts of two-letter words over letters from ``first`` on, some words
+    more frequent than others."""
+    lexicon = ["".join(map(chr, first + rng.integers(0, letters, 2))) for _ in range(words)]
+    share = 1 / np.arange(1, words + 1)
+    return lambda n: "".join(rng.choice(lexicon, n, p=share / share.sum()))
+
+
+def test_every_letter_of_the_samples_is_known(spark):
+    """Scripts of thousands of letters beside one of few."""
+    rng = np.random.default_rng(2)
+    text = {"l1": _made_up(rng, 0x4E00, 3000), "l2": _made_up(rng, 0x7000, 2500), "l3": _made_up(rng, 0x61, 26)}
+    rows = [(i, k, text[k](150)) for i, k in enumerate(list(text) * 40)]
+    schema = "doc_id long, lang string, text string"
+    model = langid.fit(spark.createDataFrame(rows, schema))
+    assert set(model.letters) == {c for _, _, t in rows for c in t}
+    fresh = [(i, k, text[k](100)) for i, k in enumerate(list(text) * 10)] + [(99, "l4", "".join(map(chr, range(0xAC00, 0xAC64))))]
+    got = langid.predict(spark.createDataFrame(fresh, schema), model).withColumn("ok", langid.speaks()).collect()
+    assert all((r.lang == r.language.lang_pred and r.ok) if r.lang != "l4" else not r.ok for r in got)
+
+
+def test_letters_without_a_column_are_parsed_alike(spark):
+    docs = _table(spark, SF, "documents").where("lang is not null").limit(60).collect()
+    samples = {}
+    for r in docs[:30]:
+        samples.setdefault(r.lang, []).append(r.text[:300])
+    texts = [r.text[:700] for r in docs[30:]] + ["", "日本語 Ünß", "a"]
+    got = []
+    for k in (120, 20, 5, 0):
+        model = langid.LanguageModel.build(samples, 1000, 100, k)
+        coded = [langid.classes_of(t, langid.letter_table(model.letters)) for t in texts]
+        got.append(model.phrases(np.concatenate(coded).astype(model.steps.dtype), np.cumsum([0, *map(len, coded)])).tolist())
+    assert got[1:] == got[:1] * 3
+
+
 def test_op4_held_out_accuracy(spark):
     got = queries.QUERIES["op4_language_id"](spark, SF_MORE).join(_table(spark, SF_MORE, "documents").select("doc_id", "lang", "text"), "doc_id").collect()
     held = [r for r in got if r.held_out]
