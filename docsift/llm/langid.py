@@ -2,8 +2,10 @@
 
 For every language a suffix automaton is built of a sample of labelled text.
 A text is parsed from left to right into the longest phrases that occur in
-the sample (an unknown character is a phrase of its own); the language that
-needs the fewest phrases, each priced at ``log2`` of its sample's length, wins.
+the sample (an unknown character is a phrase of its own); the language with
+the cheapest phrases wins. A phrase costs ``log2`` of its sample's length, a
+character that a language does not know ``log2`` of the longest sample's in
+every language, so a small sample gains nothing by what it lacks.
 
 Texts are lower-cased, letters outside the samples become one unknown letter,
 and runs of other characters become one blank. A parse starts anew every
@@ -132,6 +134,7 @@ class LanguageModel:
     steps: np.ndarray
     starts: np.ndarray
     prices: np.ndarray
+    known: np.ndarray  # languages by classes
     fair: np.ndarray
     width: int
     block_chars: int
@@ -153,10 +156,12 @@ class LanguageModel:
         table = letter_table(letters)
         parts, starts, prices, fair, base = [], [], [], [], 0
         keys, found, missed = [], [], np.zeros((len(names), rare), np.int64)
+        known = np.zeros((len(names), len(letters) + 2), bool)
         for i, name in enumerate(names):
             joined = [np.r_[classes_of(t, table), BLANK] for t in samples[name]]
-            symbols = np.concatenate(joined)[:sample_chars] if joined else np.zeros(0, np.int64)
-            edges = transitions(symbols.astype(np.int64))
+            symbols = np.concatenate(joined)[:sample_chars].astype(np.int64) if joined else np.zeros(0, np.int64)
+            known[i, symbols] = True
+            edges = transitions(symbols)
             to = _table(edges, width)
             to[:, UNKNOWN] = -1  # unknown letters match nothing
             first = to[0]
@@ -181,9 +186,19 @@ class LanguageModel:
         kind = np.int32 if base * width * 4 < 1 << 31 else np.int64
         order = np.argsort(np.asarray(keys, np.int64))
         return cls(names, letters, steps.astype(kind).ravel(), np.asarray(starts, kind), np.asarray(prices),
-                   np.asarray(fair), width, block_chars, np.asarray(keys, np.int64)[order],
+                   known, np.asarray(fair), width, block_chars, np.asarray(keys, np.int64)[order],
                    np.asarray(found, np.int64)[order], missed)
 
+    def costs(self, codes: np.ndarray, offsets: np.ndarray, count: np.ndarray) -> np.ndarray:
+        """Prices (texts by languages) of parses with ``count`` phrases;
+        characters unknown to a language count among them."""
+        cost = count * self.prices
+        for i, own in enumerate(self.known):
+            at = np.flatnonzero(~own[codes])
+            unknown = np.bincount(np.searchsorted(offsets, at, side="right") - 1, minlength=len(count))
+            cost[:, i] += unknown * (self.prices.max() - self.prices[i])
+        return cost
+
     def _searched(self, state: np.ndarray, codes: np.ndarray) -> np.ndarray:
         """Steps of classes without a column (states: languages by lanes)."""
         rare = codes.astype(np.int64) - self.width
@@ -258,7 +273,7 @@ class Predictor:
         score, mean = np.zeros(len(texts)), np.zeros(len(texts))
         some = sizes > 0  # a letter, known or not
         if len(m.languages) and some.any():
-            cost = count[some] * m.prices
+            cost = m.costs(codes, offsets, count)[some]
             best = cost.argmin(1)
             names[some] = np.asarray(m.languages, object)[best]
             low = np.partition(cost, min(1, cost.shape[1] - 1), axis=1)

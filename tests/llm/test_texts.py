@@ -201,6 +201,27 @@ def test_letters_without_a_column_are_parsed_alike(spark):
     assert got[1:] == got[:1] * 3
 
 
+@pytest.mark.parametrize("row", ["ok", "a", "no way", "the end of it all"])
+def test_a_language_of_one_short_row_wins_nothing_else(spark, row):
+    docs = _table(spark, SF, "documents").where("lang is not null and length(text) > 200").limit(200).collect()
+    samples = {}
+    for r in docs[:160]:
+        samples.setdefault(r.lang, []).append(r.text[:500])
+    predictor = langid.Predictor(langid.LanguageModel.build({**samples, "tiny": [row]}, 32_000))
+    names, _, mean, _ = predictor.predict([r.text for r in docs[160:]] + [row])
+    assert names == [r.lang for r in docs[160:]] + ["tiny"] and mean[:-1].min() > 2
+
+
+def test_a_smaller_sample_still_wins_its_own_texts(spark):
+    docs = _table(spark, SF, "documents").where("lang is not null and length(text) > 200").limit(200).collect()
+    samples = {}
+    for r in docs[:160]:
+        samples.setdefault(r.lang, []).append(r.text[:500])
+    for small in samples:
+        model = langid.LanguageModel.build({k: v if k != small else [v[0]] for k, v in samples.items()}, 32_000)
+        assert langid.Predictor(model).predict([r.text for r in docs[160:]])[0] == [r.lang for r in docs[160:]]
+
+
 def test_op4_held_out_accuracy(spark):
     got = queries.QUERIES["op4_language_id"](spark, SF_MORE).join(_table(spark, SF_MORE, "documents").select("doc_id", "lang", "text"), "doc_id").collect()
     held = [r for r in got if r.held_out]
