@@ -231,7 +231,7 @@ SELECT lang, count(*) AS n FROM documents WHERE lang = 'en' GROUP BY 1
 def relevance_repeated_ids(spark, sf):
     """Relevance order over repeated and missing ids: whole rows are ranked."""
     docs = t(spark, sf, "documents").withColumn("doc_id", F.when(F.col("doc_id") % 3 > 0, F.col("doc_id") % 7))
-    req = query(P.term("lang", "en"), size=20_000, rank=("text", "esat ndat", "doc_id"))
+    req = query(P.term("lang", "en"), rank=("text", "esat ndat", "doc_id"))
     return execute(docs, req).groupBy("lang").agg(F.count("*").alias("n"))
 
 

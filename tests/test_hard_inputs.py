@@ -158,3 +158,12 @@ def test_checkpoint_folder_is_needed_on_a_cluster():
 def test_sample_by_score_needs_its_size(spark):
     with pytest.raises(ValueError, match="shard_size"):
         B.sampler(B.terms("x"), score="y").sample(spark.range(1))
+
+
+def test_relevance_counts_more_rows_than_any_size(spark, tmp_path):
+    from docsift.plans.registry import QUERIES
+    docs = spark.range(20_060).select(F.col("id").alias("doc_id"), F.lit("esat x").alias("text"),
+                                      F.when(F.col("id") < 20_050, "en").otherwise("de").alias("lang"))
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    got = QUERIES["relevance_repeated_ids"](spark, str(tmp_path)).collect()
+    assert [tuple(r) for r in got] == [("en", 20_050)]
