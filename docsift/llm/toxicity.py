@@ -17,7 +17,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import bounded, table_of
@@ -172,11 +172,22 @@ def train(texts: list[str], labels: np.ndarray, weights: np.ndarray, *, buckets:
     return ToxicityModel(flat, float(bias[1] - bias[0]), pad)
 
 
+def _shortened(id: Column, text: Column, max_chars: int) -> Column:
+    """A text of more than ``max_chars`` characters as a sample of about that
+    many, words drawn by a hash from all over it (a word of over 64 characters
+    in pieces); shorter ones as they are."""
+    pieces = F.regexp_extract_all(text, F.lit(r"([^\x20\x09-\x0D]{1,64})"), F.lit(1))
+    drawn = F.filter(pieces, lambda w, i: F.pmod(F.xxhash64(id, i), F.length(text)) < max_chars)
+    return F.when(F.length(text) <= max_chars, text).otherwise(F.array_join(drawn, " "))
+
+
 def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
         rows_of_label: tuple[int, int] = (4000, 2500), max_chars: int = 3000, **options) -> ToxicityModel:
     """Train on ``rows_of_label`` rows of label 0 and 1 at most (lowest by a
-    hash of their id, longer texts than ``max_chars`` left out), weighted so
-    that the labels count as in all of ``labels``. NULL ids and labels are
+    hash of their id, whatever the length of the text), weighted so that the
+    labels count as in all of ``labels``. Of a text over ``max_chars``
+    characters, words drawn from all over it are used, about that many
+    characters, so the driver gets ``max_chars`` of each row at most. NULL ids and labels are
     not used, a repeated id has its largest label. The picked ids (as many as
     that at most) are broadcast to the documents."""
     known = (labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y"))
@@ -184,10 +195,10 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
     totals = {r["y"]: r["n"] for r in known.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     place = F.row_number().over(Window.partitionBy("y").orderBy(F.xxhash64("id"), "id"))
     picked = known.withColumn("place", place).where(F.col("place") <= F.when(F.col("y") == 1, rows_of_label[1]).otherwise(rows_of_label[0])).select("id", "y")
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where(
-        F.length("text").between(1, max_chars))
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where(F.length("text") > 0)
     rows = texts.join(F.broadcast(picked), "id").groupBy("id").agg(
-        F.min("text").alias("text"), F.min("y").alias("y")).orderBy("id").collect()
+        F.min("text").alias("text"), F.min("y").alias("y")).select(
+        "id", "y", _shortened(F.col("id"), F.col("text"), max_chars).alias("text")).orderBy("id").collect()
     y = np.asarray([r["y"] for r in rows], np.int64)
     share = np.asarray([totals[k] / max((y == k).sum(), 1) for k in y.tolist()], np.float64)
     return train([r["text"] for r in rows], y, share, **options)

@@ -285,6 +285,25 @@ def test_toxicity_of_hard_rows(spark, hard):
     assert toxicity.score(hard.limit(0), one).count() == 0
 
 
+def test_long_texts_are_learned_from(spark):
+    """Every text of label 1 is long; its word is all over it."""
+    long = lambda i: " ".join(f"word{(i * j) % 97}" + (" scoundrel" if j % 9 == 0 else "") for j in range(900))
+    rows = [(i, long(i) if i % 2 else f"kind words of day {i} and word{i % 97}", i % 2) for i in range(1, 81)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = toxicity.fit(docs, docs.select("doc_id", "toxic"), steps=40)
+    s = model.score(pa.array(["you scoundrels " * 3, "a kind day", rows[0][1]]))
+    assert s[0] > s[1] + 0.3 and s[2] > 0.5
+
+
+def test_a_long_text_is_sampled_all_over(spark):
+    text = " ".join(f"w{i}" for i in range(20_000))
+    df = spark.createDataFrame([(1, text), (2, "z" * 200_000), (3, "short  text\n")], "id long, text string")
+    got = [r[0] for r in df.orderBy("id").select(toxicity._shortened(F.col("id"), F.col("text"), 3000)).collect()]
+    at = [int(w[1:]) for w in got[0].split()]
+    assert 1500 < len(got[0]) < 4500 and at == sorted(at) and min(at) < 2000 and max(at) > 18_000
+    assert 0 < len(got[1]) < 6000 and got[2] == "short  text\n"
+
+
 # ---------------------------------------------------------------- fingerprints
 
 def _digest(data):
