@@ -17,7 +17,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import bounded, table_of
@@ -181,6 +181,13 @@ def _shortened(id: Column, text: Column, max_chars: int) -> Column:
     return F.when(F.length(text) <= max_chars, text).otherwise(F.array_join(drawn, " "))
 
 
+def _lowest(known: DataFrame, rows_of_label: tuple[int, int]) -> DataFrame:
+    """Of each label the rows lowest by a hash of their id; each task keeps
+    that many at most."""
+    own = [known.where(F.col("y") == y).orderBy(F.xxhash64("id"), "id").limit(n) for y, n in enumerate(rows_of_label)]
+    return own[0].union(own[1]).select("id", "y")
+
+
 def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
         rows_of_label: tuple[int, int] = (4000, 2500), max_chars: int = 3000, **options) -> ToxicityModel:
     """Train on ``rows_of_label`` rows of label 0 and 1 at most (lowest by a
@@ -193,8 +200,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
     known = (labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y"))
              .where("id IS NOT NULL AND y IN (0, 1)").groupBy("id").agg(F.max("y").alias("y")))
     totals = {r["y"]: r["n"] for r in known.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
-    place = F.row_number().over(Window.partitionBy("y").orderBy(F.xxhash64("id"), "id"))
-    picked = known.withColumn("place", place).where(F.col("place") <= F.when(F.col("y") == 1, rows_of_label[1]).otherwise(rows_of_label[0])).select("id", "y")
+    picked = _lowest(known, rows_of_label)
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where(F.length("text") > 0)
     rows = texts.join(F.broadcast(picked), "id").groupBy("id").agg(
         F.min("text").alias("text"), F.min("y").alias("y")).select(

@@ -295,6 +295,16 @@ def test_long_texts_are_learned_from(spark):
     assert s[0] > s[1] + 0.3 and s[2] > 0.5
 
 
+def test_rows_to_learn_from_are_the_first_of_each_task(spark):
+    known = spark.range(0, 3000, 1, 8).select("id", (F.col("id") % 10 == 0).cast("int").alias("y"))
+    got = toxicity._lowest(known, (40, 25))
+    rows = known.withColumn("h", F.xxhash64("id")).orderBy("h", "id").collect()
+    want = {r.id for y, n in ((0, 40), (1, 25)) for r in [r for r in rows if r.y == y][:n]}
+    assert {r.id for r in got.collect()} == want and got.count() == 65
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("TakeOrderedAndProject") == 2 and "Window" not in plan and "hashpartitioning" not in plan
+
+
 def test_a_long_text_is_sampled_all_over(spark):
     text = " ".join(f"w{i}" for i in range(20_000))
     df = spark.createDataFrame([(1, text), (2, "z" * 200_000), (3, "short  text\n")], "id long, text string")
