@@ -177,7 +177,8 @@ def _shortened(id: Column, text: Column, max_chars: int) -> Column:
     many, words drawn by a hash from all over it (a word of over 64 characters
     in pieces); shorter ones as they are."""
     pieces = F.regexp_extract_all(text, F.lit(r"([^\x20\x09-\x0D]{1,64})"), F.lit(1))
-    drawn = F.filter(pieces, lambda w, i: F.pmod(F.xxhash64(id, i), F.length(text)) < max_chars)
+    drawn = F.element_at(F.transform(F.array(F.length(text)), lambda n: F.filter(  # the length once per text
+        pieces, lambda w, i: F.pmod(F.xxhash64(id, i), n) < max_chars)), 1)
     return F.when(F.length(text) <= max_chars, text).otherwise(F.array_join(drawn, " "))
 
 
