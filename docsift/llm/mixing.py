@@ -52,24 +52,25 @@ def size_class(size: Column) -> Column:
 def targets(sizes: DataFrame, *, share: float = 1.5, cap: int = 2, weights: tuple[int, ...] = SOURCE_WEIGHTS) -> DataFrame:
     """From ``source, size`` rows: ``source, source_size, target``. Sources
     (by code point, NULL last) weigh ``weights`` in turn, and the targets add
-    up to ``share`` (below ``cap``) of all sizes. Windows run over the table
-    of sources only."""
-    per = sizes.groupBy("source").agg(F.sum("size").alias("source_size"))
-    turn = F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1
-    per = per.withColumn("w", F.element_at(F.array(*[F.lit(w) for w in weights]), (turn % len(weights) + 1).cast("int")))
-    per = per.withColumn("level", (cap * F.col("source_size")) / F.col("w"))
-    everything = Window.partitionBy()
-    order = Window.orderBy("level", F.col("source").asc_nulls_last())
-    before = order.rowsBetween(Window.unboundedPreceding, -1)
-    full = F.coalesce(F.sum(cap * F.col("source_size")).over(before), F.lit(0))
-    weight = F.sum("w").over(everything) - F.coalesce(F.sum("w").over(before), F.lit(0))
-    # the water level if exactly the sources before this one are full
-    per = per.withColumn("water", (F.sum("source_size").over(everything) * share - full) / weight)
-    per = per.withColumn("water", F.min(F.when(F.col("water") <= F.col("level"), F.struct("level", "water")))
-                         .over(everything)["water"])
-    top = (cap * F.col("source_size")).cast("double")
-    return per.select("source", "source_size", F.when(F.col("water") * F.col("w") < top, F.col("water") * F.col("w"))
-                      .otherwise(top).alias("target"))
+    up to ``share`` (below ``cap``) of all sizes, whatever sources tie. Places
+    and running sums of the table of sources cross range slices, so it may
+    have any length; its totals and the water level are one row."""
+    by_name = F.col("source").asc_nulls_last()
+    per = positions(sizes.groupBy("source").agg(F.sum("size").alias("source_size")), [], [by_name], position="turn")
+    per = per.withColumn("w", F.element_at(F.array(*[F.lit(w) for w in weights]),
+                                           (F.col("turn") % len(weights) + 1).cast("int")))
+    top = cap * F.col("source_size")
+    per = per.withColumn("level", top / F.col("w"))
+    per = positions(per, [], [F.col("level"), by_name], sums={"tops": top, "ws": F.col("w")}, position=None)
+    total = per.agg(F.sum("source_size").alias("words"), F.sum("w").alias("weight"))
+    # the water level if exactly the sources before this one are full; the first that holds it is right
+    water = (F.col("words") * share - (F.col("tops") - top)) / (F.col("weight") - F.col("ws") + F.col("w"))
+    order = F.struct("level", F.col("source").isNull(), "source")
+    held = per.join(F.broadcast(total)).withColumn("water", water)
+    held = held.agg(F.min_by("water", F.when(F.col("water") <= F.col("level"), order)).alias("water"))
+    part = F.col("water") * F.col("w")
+    return per.join(F.broadcast(held)).select(
+        "source", "source_size", F.when(part < top, part).otherwise(top.cast("double")).alias("target"))
 
 
 def inclusions(sizes: DataFrame, goal: DataFrame, *, cap: int = 2) -> DataFrame:

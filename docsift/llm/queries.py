@@ -68,9 +68,10 @@ s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY so
 w AS (SELECT *, [3, 1, 2][CAST((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS INT)] AS w FROM s),
 l AS (SELECT *, (2 * source_size)::DOUBLE / w AS level FROM w),
 o AS (SELECT *, ((sum(source_size) OVER ())::DOUBLE * 1.5::DOUBLE
-        - coalesce(sum(2 * source_size) OVER b, 0)::DOUBLE) / (sum(w) OVER () - coalesce(sum(w) OVER b, 0))::DOUBLE AS water
+        - coalesce(sum(2 * source_size) OVER b, 0)::DOUBLE) / (sum(w) OVER () - coalesce(sum(w) OVER b, 0))::DOUBLE AS water,
+        row_number() OVER (ORDER BY level, source NULLS LAST) AS place
       FROM l WINDOW b AS (ORDER BY level, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
-t AS (SELECT source, source_size, least((SELECT arg_min(water, level) FROM o WHERE water <= level) * w,
+t AS (SELECT source, source_size, least((SELECT arg_min(water, place) FROM o WHERE water <= level) * w,
         (2 * source_size)::DOUBLE) AS target FROM o),
 c AS (SELECT source, len(bin(size)) AS class, sum(size) AS class_size FROM d GROUP BY ALL),
 u AS (SELECT c.source, class, class_size, source_size, target,

@@ -227,6 +227,16 @@ def test_mix_comes_near_its_targets(spark):
         assert abs(x.taken - x.target) <= x.size / 2 + 1
 
 
+@pytest.mark.parametrize("sizes", [
+    [10] * 6, [10, 30, 20, 30], [7] * 300, [0, 0, 10, 10], [0, 0], [25], [30, 10, 20, 30, 10, 20], [1, 1, 1, 1000], [0, 5, 15, 5, 10]])
+def test_targets_add_up_where_sources_tie(spark, sizes):
+    table = {f"s{i:03}": n for i, n in enumerate(sizes)} | {None: sizes[0]}
+    got = {r.source: r.target for r in mixing.targets(spark.createDataFrame(list(table.items()), "source string, size long")).collect()}
+    want = _targets(table)
+    assert abs(sum(got.values()) - 1.5 * sum(table.values())) < 1e-6
+    assert all(abs(got[s] - want[s]) < 1e-6 and got[s] <= 2 * table[s] + 1e-9 for s in table)
+
+
 def test_mix_of_nothing_and_native_plan(spark, hard):
     assert mixing.sample(hard.limit(0)).count() == 0 and mixing.mixture(hard.limit(0)).columns == hard.columns
     plan = mixing.sample(hard.select("doc_id", "text", "source"))._jdf.queryExecution().toString()
