@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import arrow_sequences, fingerprint, langid, mixing, ngram_join, packing, quality, tokencount, toxicity, warc
+from . import (arrow_sequences, fingerprint, langid, merkle, mixing, ngram_join, packing, permutation_index, quality,
+               tokencount, toxicity, warc)
 from .common import documents, work_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -136,3 +137,70 @@ def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op8_ngram_jaccard")
 def op8_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_classes(documents(spark, sf_dir), width=4, percent=85)
+
+
+@register("op11_permutation_index")
+def op11_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = documents(spark, sf_dir, "embeddings")
+    return permutation_index.neighbours(rows, rows.where("vec_id % 20 = 0"))
+
+
+@register("op12_merkle_manifest", """
+WITH RECURSIVE d AS (
+  SELECT doc_id, source, coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-') || coalesce(strlen(source::VARCHAR) || ':' || source, '-') || coalesce(strlen(lang::VARCHAR) || ':' || lang, '-') || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') AS head, text,
+         list_reduce([4294967295::BIGINT] || list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT),
+           lambda h, b: list_reduce([xor(h, b)] || range(8), lambda x, i: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END))
+         AS inverse FROM documents),
+l AS (
+  SELECT doc_id, source, sha256(head || coalesce(strlen(text::VARCHAR) || ':' || text, '-')) AS leaf, CASE WHEN xor(inverse, 4294967295) % 5 = 0 THEN
+         sha256(head || coalesce(strlen(text) || ':' || translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '-')) END AS other FROM d),
+o AS (
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place,
+         count(*) OVER (PARTITION BY source) AS n FROM l),
+nodes AS (
+  SELECT 0 AS level, source, place, leaf AS h, n FROM o
+  UNION ALL
+  SELECT level + 1, source, place // 16, sha256(string_agg(h, '' ORDER BY place)), any_value((n + 15) // 16)
+  FROM nodes WHERE n > 1 GROUP BY level, source, place // 16),
+s AS (
+  SELECT source, h AS subroot, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS place, count(*) OVER () AS n
+  FROM nodes WHERE n = 1),
+upper AS (
+  SELECT 0 AS level, place, subroot AS h, n FROM s
+  UNION ALL
+  SELECT level + 1, place // 16, sha256(string_agg(h, '' ORDER BY place)), any_value((n + 15) // 16)
+  FROM upper WHERE n > 1 GROUP BY level, place // 16),
+top AS (SELECT h AS root FROM upper WHERE n = 1),
+steps AS (
+  SELECT a.level, a.source, a.place, coalesce(string_agg(b.h, '' ORDER BY b.place) FILTER (WHERE b.place < a.place), '') AS left_h,
+         coalesce(string_agg(b.h, '' ORDER BY b.place) FILTER (WHERE b.place > a.place), '') AS right_h
+  FROM nodes a JOIN nodes b ON a.level = b.level AND a.source IS NOT DISTINCT FROM b.source AND a.place // 16 = b.place // 16
+  WHERE a.n > 1 GROUP BY ALL),
+upper_steps AS (
+  SELECT a.level, a.place, coalesce(string_agg(b.h, '' ORDER BY b.place) FILTER (WHERE b.place < a.place), '') AS left_h,
+         coalesce(string_agg(b.h, '' ORDER BY b.place) FILTER (WHERE b.place > a.place), '') AS right_h
+  FROM upper a JOIN upper b ON a.level = b.level AND a.place // 16 = b.place // 16
+  WHERE a.n > 1 GROUP BY ALL),
+lower_fold AS (
+  SELECT 0 AS level, source, place AS leaf_place, place, coalesce(other, leaf) AS h, '' AS proof FROM o
+  UNION ALL
+  SELECT f.level + 1, f.source, f.leaf_place, f.place // 16, sha256(left_h || f.h || right_h), proof || left_h || right_h
+  FROM lower_fold f JOIN steps t ON f.level = t.level AND f.source IS NOT DISTINCT FROM t.source AND f.place = t.place),
+at_subroot AS (
+  SELECT f.source, leaf_place, arg_max(f.h, f.level) AS h, arg_max(f.proof, f.level) AS proof FROM lower_fold f GROUP BY ALL),
+upper_fold AS (
+  SELECT 0 AS level, a.source, leaf_place, s.place, h, proof FROM at_subroot a JOIN s ON a.source IS NOT DISTINCT FROM s.source
+  UNION ALL
+  SELECT f.level + 1, f.source, f.leaf_place, f.place // 16, sha256(left_h || f.h || right_h), proof || left_h || right_h
+  FROM upper_fold f JOIN upper_steps t ON f.level = t.level AND f.place = t.place),
+folded AS (
+  SELECT source, leaf_place, arg_max(h, level) AS folded_root, sha256(arg_max(proof, level)) AS proof_sha256 FROM upper_fold GROUP BY ALL)
+SELECT doc_id, leaf, subroot, root, proof_sha256, folded_root, folded_root = root AS verified
+FROM o JOIN s ON o.source IS NOT DISTINCT FROM s.source
+JOIN folded f ON o.source IS NOT DISTINCT FROM f.source AND o.place = f.leaf_place, top
+""")
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    lowered = F.translate("text", merkle.UPPER, merkle.LOWER)
+    out = merkle.manifest(documents(spark, sf_dir), changed={"text": lowered}, where=tampered)
+    return out.select(F.col("id").alias("doc_id"), "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
