@@ -68,6 +68,26 @@ def bounded(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int = 4 <
         yield batch.slice(lo)
 
 
+def runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """Consecutive rows with equal ``keys``, one table for each such run."""
+    held: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        codes = [pc.fill_null(pc.dictionary_encode(batch.column(k)).indices, -1).to_numpy(zero_copy_only=False) for k in keys]
+        cuts = [0, *(np.flatnonzero((np.diff(np.stack(codes), axis=1) != 0).any(0)) + 1).tolist(), batch.num_rows]
+        for lo, hi in zip(cuts, cuts[1:]):
+            key = tuple(batch.column(k)[lo].as_py() for k in keys)
+            if held and key != last:
+                yield pa.Table.from_batches(held).combine_chunks()
+                held = []
+            last = key
+            held.append(batch.slice(lo, hi - lo))
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks()
+
+
 def lower_ascii(texts: pa.Array) -> pa.Array:
     """A-Z lower-cased, every other byte as it is. NULL becomes empty."""
     texts = pc.fill_null(texts.cast(pa.large_string()), "")

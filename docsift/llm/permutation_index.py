@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import table_of, work_path
+from .common import runs, table_of, work_path
 
 #: Rows of an index block, queries of a query block, queries ranked at once.
 BLOCK_ROWS, QUERY_ROWS, AT_ONCE = 8192, 4096, 256
@@ -135,36 +135,18 @@ def _packed(dealt: DataFrame, keys: list[str], pivots: Pivots, files: bool) -> D
     names = ["ids", "vectors", "places", "starts", "posted", "posted_places"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, now = [], None
-
-        def done() -> pa.RecordBatch:
-            rows = pa.Table.from_batches(held).combine_chunks()
-            model = sent.value
+        model = sent.value
+        for rows in runs(batches, keys):
             x = rows["vector"].chunk(0).flatten().to_numpy().reshape(-1, model.dimension)
             places = prefixes(x, model)
-            parts = inverted_files(places, len(model.units)) if files else (places[:0],) * 3
+            posted = inverted_files(places, len(model.units)) if files else (places[:0],) * 3
             # a NULL id stands as the largest number, with its row in missing
-            ids = rows["id"].fill_null(np.iinfo(np.int64).max).to_numpy()
-            missing = np.flatnonzero(rows["id"].is_null().to_numpy()).astype(np.int32)
-            data = (ids, x, places, *parts)
-            return table_of(**{k: pa.array([now[i]], pa.int64()) for i, k in enumerate(keys)}, n=pa.array([len(x)], pa.int32()),
-                            missing=pa.array([missing.tobytes()], pa.binary()),
-                            **{k: pa.array([np.ascontiguousarray(v).tobytes()], pa.binary()) for k, v in zip(names, data)})
-
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            at = np.stack([batch.column(k).to_numpy() for k in keys], 1)
-            cuts = [0, *(np.flatnonzero((np.diff(at, axis=0) != 0).any(1)) + 1).tolist(), len(at)]
-            for lo, hi in zip(cuts, cuts[1:]):
-                key = tuple(at[lo])
-                if now is not None and key != now:
-                    yield done()
-                    held = []
-                now = key
-                held.append(batch.slice(lo, hi - lo).select(["id", "vector"]))
-        if held:
-            yield done()
+            ids = rows["id"].chunk(0).fill_null(np.iinfo(np.int64).max).to_numpy()
+            missing = np.flatnonzero(rows["id"].chunk(0).is_null().to_numpy(zero_copy_only=False)).astype(np.int32)
+            data = zip(names, (ids, x, places, *posted))
+            yield table_of(**{k: rows[k].chunk(0)[:1] for k in keys}, n=pa.array([len(x)], pa.int32()),
+                           missing=pa.array([missing.tobytes()], pa.binary()),
+                           **{k: pa.array([np.ascontiguousarray(v).tobytes()], pa.binary()) for k, v in data})
 
     sorted_rows = dealt.repartition(*keys).sortWithinPartitions(*keys, F.col("id").asc_nulls_last(), "vector")
     schema = [f"{k} long" for k in keys] + ["n int", "missing binary"] + [f"{c} binary" for c in names]

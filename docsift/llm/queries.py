@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (arrow_sequences, fingerprint, langid, merkle, mixing, ngram_join, packing, permutation_index, quality,
+from . import (arrow_sequences, divergence, fingerprint, langid, merkle, mixing, ngram_join, packing, permutation_index, quality,
                tokencount, toxicity, warc)
 from .common import documents, work_path
 
@@ -204,3 +204,37 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     lowered = F.translate("text", merkle.UPPER, merkle.LOWER)
     out = merkle.manifest(documents(spark, sf_dir), changed={"text": lowered}, where=tampered)
     return out.select(F.col("id").alias("doc_id"), "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
+@register("op13_source_divergence", """
+WITH d AS (SELECT doc_id, coalesce(lang, '') AS lang, coalesce(source, '') AS source, translate(coalesce(text, ''),
+             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+g AS (SELECT DISTINCT lang, source FROM d),
+o AS (SELECT row, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+      FROM (SELECT *, row_number() OVER () AS row FROM d)),
+k AS (SELECT lang, term, count(*) AS total FROM o GROUP BY lang, term HAVING count(DISTINCT row) >= 10),
+c AS (SELECT o.lang, source, term, count(*) AS n FROM o JOIN k USING (lang, term) GROUP BY ALL),
+v AS (SELECT lang, count(*) AS v, sum(total) AS n FROM k GROUP BY lang),
+s AS (SELECT lang, source, sum(n) AS n FROM c GROUP BY ALL),
+p AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS count,
+         1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 2)) // (coalesce(s.n, 0) + 2 * v.v) AS p,
+         1 + (1000000000::HUGEINT * (k.total + 2)) // (v.n + 2 * v.v) AS q
+  FROM g JOIN k ON g.lang = k.lang JOIN v ON g.lang = v.lang LEFT JOIN s ON g.lang = s.lang AND g.source = s.source
+  LEFT JOIN c ON g.lang = c.lang AND g.source = c.source AND k.term = c.term),
+f AS (
+  SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // (a.p + b.p)) AS value
+  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+pairs AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(f.value, 0)::BIGINT AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source),
+terms AS (
+  SELECT lang, source, 'term' AS part, term AS item, (((p - q) * (p - q)) // (p + q))::BIGINT AS value FROM p WHERE count > 0 AND p > q),
+ranked AS (
+  SELECT *, (row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item))::INT AS rank
+  FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms))
+SELECT * FROM ranked WHERE part = 'pair' OR rank <= 10
+""")
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(documents(spark, sf_dir))
