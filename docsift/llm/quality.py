@@ -1,26 +1,36 @@
 """Quality rules over whole texts, in DataFrame functions only.
 
 * :func:`base_features`: word, symbol, line and repetition counts.
-* :func:`fit`: counts of hashed word 1- and 2-grams in a fixed number of
-  buckets, over all documents (raw corpus) and over the trusted ones
-  (target). Counting pre-aggregates in each task, so at most ``buckets`` rows
-  of each task are shuffled, and the model is one list of ``buckets`` numbers
-  whatever the corpus.
+* :func:`fit`: counts of hashed word 1- and 2-grams over the distinct texts of
+  all documents (raw corpus) and of the trusted ones (target). The number of
+  buckets follows the target's size up to ``max_buckets``. Counting
+  pre-aggregates in each task, so at most that many rows of each task are
+  shuffled; the model is a one-row table of one number a bucket and never
+  passes through the driver or a plan's text.
 * :func:`score`: the log-likelihood ratio between the two multinomials of a
   document's n-grams, divided by their number. Words are compared by 64-bit
   hashes.
 
+A bucket with ``t`` target grams of ``T`` and ``r`` raw ones of ``R`` has the
+ratio ``ln((t + a) / (e + a)) + e / (2 (e + a)^2)`` with ``e = T (r - 1) / (R - 1)``:
+both multinomials at the target's size, smoothed by ``a``. The gram that is being
+scored is left out of the raw counts, and the second term takes out what
+sampling ``t`` around ``e`` adds to the mean of the logarithm. So a document
+that is like the target has a ratio of 0 or more on average whatever the
+corpus, and one threshold serves every size. Copies of a text count once, so
+groups of copies do not outweigh the target.
+
 Empty and NULL texts have no words, a ratio of 0, and fail the base rules.
 """
 
 from __future__ import annotations
 
-import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
 from .common import WORD_GAP, free_name
 
 #: White space characters of the word rule (fixed values).
@@ -86,62 +96,77 @@ def _hashes(words: Column) -> Column:
 
 @dataclass(frozen=True)
 class RatioModel:
-    """Log ratios of target to raw probability by bucket. ``slack``: what
-    sampling alone takes off the mean ratio of a good document that is not
-    among the trusted ones: its own grams are in the raw counts only, and the
-    mean log of a bucket's few target grams lies below the log of their mean.
-    It goes to 0 as the corpus grows."""
+    """One-row table ``ratios``: the log ratio of target to raw probability of
+    each of ``buckets`` buckets."""
 
-    ratios: tuple[float, ...]
-    slack: float
+    table: DataFrame
+    buckets: int
 
     def column(self) -> Column:
         """The ratios as one constant array."""
-        return F.split(F.lit(",".join(map(repr, self.ratios))), ",").cast("array<double>")
+        return self.table.scalar()
+
+
+def _buckets(target_bytes: int, least: int, most: int) -> int:
+    """A power of two: about eight target grams a bucket, as a text has about
+    a gram for each three bytes."""
+    wanted = max(target_bytes // 24, 1)
+    return min(max(1 << (wanted - 1).bit_length(), least), most)
 
 
 def fit(docs: DataFrame, trusted: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
-        buckets: int = 1 << 16, alpha: float = 1.0) -> RatioModel:
+        min_buckets: int = 1 << 10, max_buckets: int = 1 << 17, alpha: float = 1.0) -> RatioModel:
     """``trusted``: the ids (``id_col``) of the target's documents; repeated
-    and NULL ids count once and never. Both multinomials are smoothed by
-    ``alpha`` a bucket. Without trusted words every ratio is 0."""
+    and NULL ids count once and never. A text is of the target if any of its
+    copies is. Without trusted words every ratio is 0. Hashes,
+    ids and lengths are compared to find copies; of each text the
+    document with the smallest id (NULL if there is no other) is counted, and
+    repeated rows of that document count each."""
     marks = trusted.select(F.col(id_col).alias("id")).where("id IS NOT NULL").distinct().withColumn("hit", F.lit(1))
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    # only the marks are built into a hash table; the texts are not sorted
-    both = rows.join(marks.hint("shuffle_hash"), "id", "left")
-    grams = both.select("hit", F.explode(_grams(_hashes(word_array(F.col("text"))), buckets)).alias("g"))
-    counts = grams.groupBy("g").agg(F.count(F.lit(1)).alias("raw"), F.count("hit").alias("target")).collect()
-    raw, target = [0] * buckets, [0] * buckets
-    for r in counts:  # at most one row per bucket
-        raw[r["g"]], target[r["g"]] = r["raw"], r["target"]
-    n_raw, n_target = sum(raw), sum(target)
-    if not n_target:
-        return RatioModel((0.0,) * buckets, 0.0)
-    base = math.log(n_target + alpha * buckets) - math.log(n_raw + alpha * buckets)
-    return RatioModel(tuple(math.log(t + alpha) - math.log(r + alpha) - base for t, r in zip(target, raw)),
-                      buckets / (2 * n_target) + buckets / n_raw)
-
-
-def score(docs: DataFrame, model: RatioModel, *, text_col: str = "text", threshold: float = -0.1,
+    rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text")).where("text IS NOT NULL")
+    keys = rows.select("id", F.xxhash64("text").alias("key"), F.octet_length("text").cast("long").alias("size"))
+    once = cut_lineage(keys.join(marks, "id", "left").groupBy("key", "size").agg(F.min("id").alias("of"), F.max("hit").alias("hit")))
+    size = once.agg(F.sum(F.when(F.col("hit") == 1, F.col("size")))).first()[0]
+    buckets = _buckets(size or 0, min_buckets, max_buckets)
+    # only the ids are built into a hash table; the texts are not sorted
+    reps = once.select("of", "key", "hit").hint("shuffle_hash")
+    same = F.col("id").eqNullSafe(F.col("of")) & (F.xxhash64("text") == F.col("key"))
+    grams = rows.join(reps, same).select("hit", F.explode(_grams(_hashes(word_array(F.col("text"))), buckets)).alias("g"))
+    counts = cut_lineage(grams.groupBy("g").agg(F.count(F.lit(1)).alias("raw"), F.count("hit").alias("target")))
+    total = counts.agg(F.sum("raw").alias("raws"), F.sum("target").alias("targets"))
+    every = docs.sparkSession.range(buckets).toDF("place")
+    known = every.join(counts, F.col("place") == F.col("g"), "left").join(F.broadcast(total))  # one row of totals
+    mean = F.col("targets") * F.greatest(F.coalesce("raw", F.lit(0)) - 1, F.lit(0)) / F.greatest(F.col("raws") - 1, F.lit(1))
+    known = known.select("place", "targets", F.coalesce("target", F.lit(0)).alias("t"), mean.alias("e"))
+    ratio = F.log((F.col("t") + alpha) / (F.col("e") + alpha)) + F.col("e") / (2 * (F.col("e") + alpha) * (F.col("e") + alpha))
+    known = known.select(F.struct("place", F.when(F.col("targets") > 0, ratio).otherwise(F.lit(0.0)).alias("ratio")).alias("x"))
+    # at most max_buckets numbers in one row
+    table = known.agg(F.transform(F.sort_array(F.collect_list("x")), lambda x: x["ratio"]).alias("ratios"))
+    return RatioModel(cut_lineage(table), buckets)
+
+
+def score(docs: DataFrame, model: RatioModel, *, text_col: str = "text", threshold: float = -0.2,
           min_words: int = 50, max_repeat_percent: int = 50, into: str | None = None) -> DataFrame:
     """``docs`` with one more column ``into``, a struct: ``n_words,
     word_chars, n_symbols, n_dup_lines, n_repeat_words`` (long),
-    ``base_failed, ratio, kept``. Row by row: no shuffle. ``into``
+    ``base_failed, ratio, kept``. Row by row: no shuffle. Repeated rows get
+    equal verdicts, an empty table stays empty. ``into``
     is ``quality`` unless given, with underscores added where docs has such a
     column."""
     into = into or free_name(docs.columns, "quality")
     text = F.col(f"`{text_col}`")
 
-    def features(w: Column, h: Column) -> Column:
+    def features(w: Column, h: Column, ratios: Column) -> Column:
         n = F.size(w).cast("long")
         rep = repeat_words(h).cast("long")
-        total = _let(F.struct(_grams(h, len(model.ratios)).alias("g"), model.column().alias("r")), lambda m: F.when(
-            F.size(m["g"]) == 0, F.lit(0.0)).otherwise(F.aggregate(
-                m["g"], F.lit(0.0), lambda a, g: a + F.get(m["r"], g)) / F.size(m["g"])))
+        total = _let(_grams(h, model.buckets), lambda g: F.when(F.size(g) == 0, F.lit(0.0)).otherwise(
+            F.aggregate(g, F.lit(0.0), lambda a, x: a + F.get(ratios, x)) / F.size(g)))
         return F.struct(n.alias("n_words"), F.length(F.array_join(w, "")).cast("long").alias("word_chars"),
                         rep.alias("n_repeat_words"), total.alias("ratio"))
 
-    part = _let(word_array(text), lambda w: _let(_hashes(w), lambda h: features(w, h)))
+    held = free_name([*docs.columns, into], "ratios")
+    both = F.struct(word_array(text).alias("w"), F.col(f"`{held}`").alias("r"))
+    part = _let(both, lambda x: _let(_hashes(x["w"]), lambda h: features(x["w"], h, x["r"])))
     whole = F.coalesce(text, F.lit(""))
     symbols = (F.length(whole) - F.length(F.regexp_replace(whole, SYMBOLS, ""))).cast("long")
     lines = duplicate_lines(text).cast("long")
@@ -151,6 +176,6 @@ def score(docs: DataFrame, model: RatioModel, *, text_col: str = "text", thresho
         return F.struct(p["n_words"].alias("n_words"), p["word_chars"].alias("word_chars"), symbols.alias("n_symbols"),
                         lines.alias("n_dup_lines"), p["n_repeat_words"].alias("n_repeat_words"),
                         failed.alias("base_failed"), p["ratio"].alias("ratio"),
-                        (~failed & (p["ratio"] >= threshold - model.slack)).alias("kept"))
+                        (~failed & (p["ratio"] >= threshold)).alias("kept"))
 
-    return docs.withColumn(into, _let(part, verdict))
+    return docs.withColumn(held, model.column()).withColumn(into, _let(part, verdict)).drop(held)

@@ -62,37 +62,53 @@ def _grams(text, buckets):
     return [x % buckets for x in h] + [_long_hash(p) % buckets for p in zip(h, h[1:])]
 
 
-def _quality(docs, trusted, buckets, threshold=-0.1):
+def _quality(docs, trusted, buckets, threshold=-0.2):
+    first = {}
+    for k, t in docs:
+        if t is not None:
+            first[t] = min((k for k in (first.get(t), k) if k is not None), default=None)
+    hit = {t for k, t in docs if k is not None and k in trusted}
     raw, target = Counter(), Counter()
     for k, t in docs:
-        raw.update(g := _grams(t, buckets))
-        if k in trusted:
-            target.update(g)
+        if t is not None and first[t] == k:
+            raw.update(g := _grams(t, buckets))
+            if t in hit:
+                target.update(g)
     nr, nt = raw.total(), target.total()
-    slack = buckets / (2 * nt) + buckets / nr if nt else 0
     out = []
     for k, t in docs:
         g = _grams(t, buckets)
-        ratio = sum(math.log((target[x] + 1) / (nt + buckets) * (nr + buckets) / (raw[x] + 1)) for x in g) / len(g) if g and nt else 0.0
+        ratio = 0.0
+        for x in g if nt else ():
+            mean = nt * max(raw[x] - 1, 0) / max(nr - 1, 1)
+            ratio += (math.log((target[x] + 1) / (mean + 1)) + mean / (2 * (mean + 1) ** 2)) / len(g)
         b = _base(t)
         failed = b[0] < 50 or 100 * b[4] > 50 * b[0]
-        out.append((k, *b, failed, not failed and ratio >= threshold - slack, ratio))
+        out.append((k, *b, failed, not failed and ratio >= threshold, ratio))
     return out
 
 
+def _power_of_two(texts):
+    """Buckets for a target of these texts: some eight grams in each."""
+    size = max(sum(len(t.encode()) for t in set(texts)) // 24, 1)
+    return min(max(1 << (size - 1).bit_length(), 1 << 10), 1 << 17)
+
+
 def test_op2_equals_brute_force(spark):
     docs = [(r.doc_id, r.text) for r in _table(spark, SF, "documents").collect()]
     trusted = {r.doc_id for r in _table(spark, SF, "labels").collect() if r.quality == 1}
     got = {r.doc_id: r for r in queries.QUERIES["op2_quality_rules"](spark, SF).collect()}
-    for k, *base, failed, kept, ratio in _quality(docs, trusted, 1 << 16):
+    buckets = _power_of_two(t for k, t in docs if k in trusted)
+    for k, *base, failed, kept, ratio in _quality(docs, trusted, buckets):
         r = got[k]
         assert [r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed] == [*base, failed]
         assert abs(r.ratio - ratio) < 1e-9 and r.kept == kept
 
 
 def test_quality_of_hard_rows(spark, hard):
+    hard = hard.withColumn("ratios", F.lit("own"))
     trusted = spark.createDataFrame([(11, "x"), (11, "y"), (None, "z")], "doc_id long, text string")
-    model = quality.fit(hard, trusted, buckets=64)
+    model = quality.fit(hard, trusted, min_buckets=64, max_buckets=64)
     got = quality.score(hard, model)
     assert got.columns == [*hard.columns, "quality_"]
     docs = [(r.doc_id, r.text) for r in hard.collect()]
@@ -101,13 +117,26 @@ def test_quality_of_hard_rows(spark, hard):
     key = lambda r: (r[0] is not None, r[0] or 0, r[1:])
     assert sorted(rows, key=key) == sorted([(*w[:8], round(w[8], 9)) for w in want], key=key)
     assert quality.score(hard.limit(0), model).count() == 0
-    none = quality.fit(hard.limit(0), trusted, buckets=8)
-    assert set(none.ratios) == {0.0} and none.slack == 0
+    none = quality.fit(hard.limit(0), trusted)
+    assert none.buckets == 1 << 10 and none.table.first()["ratios"] == [0.0] * (1 << 10)
+
+
+def test_one_threshold_serves_every_size(spark):
+    """Documents like the trusted ones stay and junk goes, whatever the size."""
+    rng = np.random.default_rng(7)
+    good, junk = [f"w{i}" for i in range(200)], [f"j{i}" for i in range(30)]
+    for many in (160, 1600):
+        rows = [(i, " ".join(rng.choice(junk if i % 8 == 0 else good, 120))) for i in range(many)]
+        docs = spark.createDataFrame(rows + [(many + i, rows[9][1]) for i in range(30)], "doc_id long, text string")
+        trusted = docs.where("doc_id % 8 in (2, 3) and doc_id < " + str(many))
+        got = quality.score(docs, quality.fit(docs, trusted)).collect()
+        wrong = [(r.doc_id, r.quality.ratio) for r in got if r.quality.kept != (r.doc_id >= many or r.doc_id % 8 != 0)]
+        assert not wrong
 
 
 def test_quality_is_native(spark):
     docs = _table(spark, SF, "documents")
-    plan = quality.score(docs, quality.fit(docs, _table(spark, SF, "labels"), buckets=16))._jdf.queryExecution().toString()
+    plan = quality.score(docs, quality.fit(docs, _table(spark, SF, "labels")))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
 
 
