@@ -8,18 +8,21 @@ character that a language does not know ``log2`` of the longest sample's in
 every language, so a small sample gains nothing by what it lacks.
 
 Texts are lower-cased, letters outside the samples become one unknown letter,
-and runs of other characters become one blank. A parse starts anew every
-``block_chars`` characters of that form, so long texts are parsed in many
-lanes at once: all blocks of a batch and all languages step through their
-automata together, one array look-up per character. Every letter of the
-samples counts: the most frequent ones have a column in that table, the
-others' transitions (in all a few times the sample) are sorted and searched.
+and runs of other characters become one blank. Long texts are parsed in many
+lanes of ``block_chars`` characters at once, one array look-up per character.
+A lane begins at the automaton's start; the phrase that runs into it from the
+lane before is then followed until both parses meet in one state, which they
+do after some phrases, and the lane's count is put right by the difference. So
+the count is that of one parse of the whole text, whatever its length.
+
+Every letter of the samples counts: a language's most frequent letters have a
+column in its table, the others' transitions (in all a few times the sample)
+are sorted and searched.
 """
 
 from __future__ import annotations
 
 import unicodedata
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -87,21 +90,6 @@ def transitions(symbols: np.ndarray) -> list[dict[int, int]]:
     return to
 
 
-def suffix_automaton(symbols: np.ndarray, width: int) -> np.ndarray:
-    """:func:`transitions` of the symbols below ``width`` as a table (state by
-    symbol, -1: none)."""
-    return _table(transitions(symbols), width)
-
-
-def _table(edges: list[dict[int, int]], width: int) -> np.ndarray:
-    to = np.full((len(edges), width), -1, np.int32)
-    for state, out in enumerate(edges):
-        for c, target in out.items():
-            if c < width:
-                to[state, c] = target
-    return to
-
-
 def _fair_phrase(symbols: np.ndarray) -> float:
     """Least mean phrase length that speaks for a language: the last quarter of
     its sample is parsed against the rest, and half way (by ratio) from there
@@ -120,136 +108,198 @@ def _fair_phrase(symbols: np.ndarray) -> float:
     return float(np.sqrt(len(held) / count)) if count else 1.0
 
 
+@dataclass(frozen=True)
+class Automaton:
+    """One language's automaton. ``columns`` gives each letter class its
+    column: 0 the blank, 1 what the sample lacks, then its letters. A state's
+    offset is its number times ``width``; ``steps[offset + column]`` holds the
+    next offset times 4 plus the phrases that end (0 to 2). Columns from
+    ``width`` on are not in that table: ``keys`` are their transitions (state
+    and column in one number, sorted), ``found`` the steps, ``missed`` the
+    steps of all other states. ``fair``: its bound of :func:`speaks`."""
+
+    columns: np.ndarray
+    width: int
+    steps: np.ndarray
+    price: float
+    fair: float
+    keys: np.ndarray
+    found: np.ndarray
+    missed: np.ndarray
+
+    @classmethod
+    def build(cls, symbols: np.ndarray, classes: int, table_letters: int) -> Automaton:
+        """Of a sample given as classes; ``table_letters`` letters have a
+        column of the table."""
+        often = np.bincount(symbols, minlength=classes)
+        often[[BLANK, UNKNOWN]] = 0
+        own = np.argsort(-often, kind="stable")[: np.count_nonzero(often)]
+        columns = np.full(classes, UNKNOWN, np.int32)
+        columns[BLANK] = BLANK
+        columns[own] = np.arange(2, len(own) + 2)
+        width, rare = min(len(own), table_letters) + 2, max(len(own) - table_letters, 0)
+        edges = transitions(columns[symbols])
+        first = np.full(width, -1, np.int64)
+        for c, target in edges[0].items():
+            if c < width:
+                first[c] = target
+        kind = np.int32 if len(edges) * width * 4 < 1 << 31 else np.int64
+        steps = np.empty((len(edges), width), kind)
+        steps[:] = np.where(first >= 0, (first * width << 2) + 1, 2)
+        steps[0, first < 0] = 1
+        keys, found, missed = [], [], np.full(rare, 2, np.int64)
+        for state, out in enumerate(edges):
+            for c, target in out.items():
+                if c < width:
+                    steps[state, c] = target * width << 2
+                    continue
+                keys.append(state * rare + c - width)
+                found.append(target * width << 2)
+                if not state:
+                    missed[c - width] = found[-1] + 1
+        order = np.argsort(np.asarray(keys, np.int64))
+        return cls(columns, width, steps.ravel(), float(np.log2(max(len(symbols), 2))), _fair_phrase(columns[symbols]),
+                   np.asarray(keys, np.int64)[order], np.asarray(found, np.int64)[order], missed)
+
+    def step(self, state: np.ndarray, column: np.ndarray) -> np.ndarray:
+        """Next offsets times 4 plus the phrases that end."""
+        if not len(self.keys):
+            return self.steps[state + column]
+        got = self.steps[state + np.where(column < self.width, column, BLANK)]
+        at = np.flatnonzero(column >= self.width)
+        if len(at):
+            rare, own = column[at].astype(np.int64) - self.width, state[at].astype(np.int64)
+            want = own // self.width * len(self.missed) + rare
+            place = np.minimum(np.searchsorted(self.keys, want), len(self.keys) - 1)
+            got[at] = np.where(self.keys[place] == want, self.found[place], self.missed[rare] - (own == 0))
+        return got
+
+    def _lanes(self, columns: np.ndarray, at: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Phrases that end in each lane, and the state at its end."""
+        order = np.argsort(-length, kind="stable")
+        at, length = at[order], length[order]
+        state, count = np.zeros(len(at), self.steps.dtype), np.zeros(len(at), np.int32)
+        active = np.searchsorted(-length, -np.arange(1, int(length[0]) + 1), side="right") if len(at) else at
+        for t, k in enumerate(active.tolist()):
+            got = self.step(state[:k], columns[at[:k] + t])
+            count[:k] += got & 3
+            np.right_shift(got, 2, out=state[:k])
+        back = np.empty_like(order)
+        back[order] = np.arange(len(order))
+        return count[back], state[back]
+
+    def _follow(self, columns: np.ndarray, at: np.ndarray, length: np.ndarray, state: np.ndarray
+                ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """A parse that comes into each lane in ``state`` beside the one that
+        begins there, until they meet: by how many more phrases end, whether
+        they met, and where not, the state at the end."""
+        more, met, last = np.zeros(len(at), np.int64), state == 0, state.copy()
+        live = np.flatnonzero(~met)
+        own = np.zeros(len(live), self.steps.dtype)
+        came = state[live]
+        t = 0
+        while len(live):
+            c = columns[at[live] + t]
+            one, two = self.step(came, c), self.step(own, c)
+            more[live] += (one & 3).astype(np.int64) - (two & 3)
+            came, own, t = one >> 2, two >> 2, t + 1
+            same, over = came == own, length[live] == t
+            met[live[same]] = True
+            last[live[over & ~same]] = came[over & ~same]
+            stay = ~same & ~over
+            live, came, own = live[stay], came[stay], own[stay]
+        return more, met, last
+
+    def phrases(self, codes: np.ndarray, offsets: np.ndarray, block_chars: int) -> np.ndarray:
+        """Phrases of texts given as classes."""
+        columns = self.columns[codes]
+        sizes = np.diff(offsets)
+        blocks = -(-sizes // block_chars)
+        owner = np.repeat(np.arange(len(sizes)), blocks)
+        number = np.arange(len(owner)) - np.repeat(np.cumsum(blocks) - blocks, blocks)
+        at = offsets[owner] + number * block_chars
+        length = np.minimum(sizes[owner] - number * block_chars, block_chars)
+        count, end = self._lanes(columns, at, length)
+        count = count.astype(np.int64)
+        added, into = np.zeros(len(at), np.int64), np.flatnonzero(number > 0)
+        true_end = end.copy()
+        while len(into):  # lanes whose way in is not yet followed, or has changed
+            more, met, last = self._follow(columns, at[into], length[into], true_end[into - 1])
+            added[into] = more
+            now = np.where(met, end[into], last)
+            after = into[now != true_end[into]] + 1
+            true_end[into] = now
+            after = after[after < len(at)]
+            into = after[number[after] > 0]
+        tail = np.flatnonzero(np.r_[number[1:] == 0, True]) if len(at) else into
+        count += added
+        count[tail] += true_end[tail] != 0
+        return np.bincount(owner, count, minlength=len(sizes)).astype(np.int64)
+
+
 @dataclass(frozen=True)
 class LanguageModel:
-    """Automata of all languages in one table. ``steps[s + c]`` for state
-    offset ``s`` and class ``c`` holds the next offset times 4 plus the
-    phrases that end (0 to 2). Classes from ``width`` on have no column:
-    ``keys`` are their transitions (offset and class in one number, sorted),
-    ``found`` the steps, ``missed`` (language by class) the steps of all
-    other states. ``fair``: each language's bound of :func:`speaks`."""
+    """The automata of all languages over the ``letters`` of all samples."""
 
     languages: tuple[str, ...]
     letters: str
-    steps: np.ndarray
-    starts: np.ndarray
-    prices: np.ndarray
-    known: np.ndarray  # languages by classes
-    fair: np.ndarray
-    width: int
+    automata: tuple[Automaton, ...]
     block_chars: int
-    keys: np.ndarray
-    found: np.ndarray
-    missed: np.ndarray
 
     @classmethod
     def build(cls, samples: dict[str, list[str]], sample_chars: int, block_chars: int = 2048,
               table_letters: int = 120) -> LanguageModel:
         """``samples``: texts by language; of each language ``sample_chars``
-        characters are used. The ``table_letters`` most frequent letters have
-        a column of the table."""
+        characters are used. Languages are built one at a time."""
         names = tuple(sorted(samples))
-        seen = Counter(c for t in samples.values() for x in t for c in x.lower() if unicodedata.category(c)[0] == "L")
-        ranked = [c for c, _ in sorted(seen.items(), key=lambda x: (-x[1], x[0]))]
-        letters = "".join(sorted(ranked[:table_letters]) + sorted(ranked[table_letters:]))
-        width, rare = min(len(letters), table_letters) + 2, max(len(letters) - table_letters, 0)
+        letters = "".join(sorted({c for t in samples.values() for x in t for c in x.lower() if unicodedata.category(c)[0] == "L"}))
         table = letter_table(letters)
-        parts, starts, prices, fair, base = [], [], [], [], 0
-        keys, found, missed = [], [], np.zeros((len(names), rare), np.int64)
-        known = np.zeros((len(names), len(letters) + 2), bool)
-        for i, name in enumerate(names):
+        automata = []
+        for name in names:
             joined = [np.r_[classes_of(t, table), BLANK] for t in samples[name]]
             symbols = np.concatenate(joined)[:sample_chars].astype(np.int64) if joined else np.zeros(0, np.int64)
-            known[i, symbols] = True
-            edges = transitions(symbols)
-            to = _table(edges, width)
-            to[:, UNKNOWN] = -1  # unknown letters match nothing
-            first = to[0]
-            states = np.arange(len(to))
-            back = np.where(first >= 0, first, 0)
-            ended = np.where(first >= 0, 1, 2)[None, :] - (states == 0)[:, None]
-            nxt = np.where(to >= 0, to, back[None, :])
-            parts.append((((nxt.astype(np.int64) + base) * width) << 2) + np.where(to >= 0, 0, ended))
-            missed[i] = (base * width << 2) + 2
-            for state, out in enumerate(edges if rare else ()):
-                for c, target in out.items():
-                    if c >= width:
-                        keys.append((base + state) * width * rare + c - width)
-                        found.append((base + target) * width << 2)
-                        if not state:
-                            missed[i, c - width] = found[-1] + 1
-            starts.append(base * width)
-            prices.append(np.log2(max(len(symbols), 2)))
-            fair.append(_fair_phrase(symbols))
-            base += len(to)
-        steps = np.concatenate(parts) if parts else np.zeros((0, width), np.int64)
-        kind = np.int32 if base * width * 4 < 1 << 31 else np.int64
-        order = np.argsort(np.asarray(keys, np.int64))
-        return cls(names, letters, steps.astype(kind).ravel(), np.asarray(starts, kind), np.asarray(prices),
-                   known, np.asarray(fair), width, block_chars, np.asarray(keys, np.int64)[order],
-                   np.asarray(found, np.int64)[order], missed)
+            automata.append(Automaton.build(symbols, len(letters) + 2, table_letters))
+        return cls(names, letters, tuple(automata), block_chars)
+
+    @property
+    def fair(self) -> dict[str, float]:
+        return {n: a.fair for n, a in zip(self.languages, self.automata)}
+
+    def phrases(self, codes: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """Phrases (texts by languages) of texts given as classes."""
+        if not self.automata:
+            return np.zeros((len(offsets) - 1, 0), np.int64)
+        return np.stack([a.phrases(codes, offsets, self.block_chars) for a in self.automata], 1)
 
     def costs(self, codes: np.ndarray, offsets: np.ndarray, count: np.ndarray) -> np.ndarray:
         """Prices (texts by languages) of parses with ``count`` phrases;
         characters unknown to a language count among them."""
-        cost = count * self.prices
-        for i, own in enumerate(self.known):
-            at = np.flatnonzero(~own[codes])
+        prices = np.asarray([a.price for a in self.automata])
+        cost = count * prices
+        for i, a in enumerate(self.automata):
+            at = np.flatnonzero(a.columns[codes] == UNKNOWN)
             unknown = np.bincount(np.searchsorted(offsets, at, side="right") - 1, minlength=len(count))
-            cost[:, i] += unknown * (self.prices.max() - self.prices[i])
+            cost[:, i] += unknown * (prices.max() - a.price)
         return cost
 
-    def _searched(self, state: np.ndarray, codes: np.ndarray) -> np.ndarray:
-        """Steps of classes without a column (states: languages by lanes)."""
-        rare = codes.astype(np.int64) - self.width
-        want = state.astype(np.int64) * self.missed.shape[1] + rare
-        at = np.minimum(np.searchsorted(self.keys, want), len(self.keys) - 1)
-        return np.where(self.keys[at] == want, self.found[at], self.missed[:, rare] - (state == self.starts[:, None]))
-
-    def phrases(self, codes: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-        """Phrases (texts by languages) of texts given as classes."""
-        sizes = np.diff(offsets)
-        blocks = -(-sizes // self.block_chars)
-        owner = np.repeat(np.arange(len(sizes)), blocks)
-        number = np.arange(len(owner)) - np.repeat(np.cumsum(blocks) - blocks, blocks)
-        at = offsets[owner] + number * self.block_chars
-        length = np.minimum(sizes[owner] - number * self.block_chars, self.block_chars)
-        order = np.argsort(-length, kind="stable")
-        at, length, owner = at[order], length[order], owner[order]
-        lanes, langs = len(at), len(self.languages)
-        out = np.zeros((len(sizes), langs), np.int64)
-        if not lanes or not langs:
-            return out
-        state = np.repeat(self.starts[:, None], lanes, 1)
-        count = np.zeros((langs, lanes), np.int32)
-        active = np.searchsorted(-length, -np.arange(1, int(length[0]) + 1), side="right")
-        for t, k in enumerate(active.tolist()):
-            c = codes[at[:k] + t]
-            rare = np.flatnonzero(c >= self.width) if len(self.keys) else ()
-            if len(rare):
-                got = self.steps[state[:, :k] + np.where(c < self.width, c, BLANK)]
-                got[:, rare] = self._searched(state[:, rare], c[rare])
-            else:
-                got = self.steps[state[:, :k] + c]
-            count[:, :k] += got & 3
-            np.right_shift(got, 2, out=state[:, :k])
-        count += state != self.starts[:, None]
-        for i in range(langs):
-            out[:, i] = np.bincount(owner, count[i], minlength=len(sizes))
-        return out
-
 
 def fit(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-        sample_rows: int = 64, row_chars: int = 500, block_chars: int = 2048) -> LanguageModel:
+        sample_rows: int = 64, row_chars: int = 500, total_rows: int = 1024, block_chars: int = 2048) -> LanguageModel:
     """Learn from ``docs`` (rows to learn from) with a non-NULL language and
     text: of each language the ``sample_rows`` rows lowest by a hash of their
-    id, ``row_chars`` characters of each. Each task sends that many rows of a
-    language at most; the driver gets ``sample_rows * row_chars`` characters
-    of each language. A model without languages calls everything ``und``."""
-    rows = docs.select(F.col(lang_col).cast("string").alias("lang"), F.substring(F.col(text_col), 1, row_chars).alias("text"),
-                       F.xxhash64(F.col(id_col)).alias("h")).where("lang IS NOT NULL AND length(text) > 0")
+    id, and of each a window of ``row_chars`` characters at a place drawn by a
+    hash from the whole text. With many languages a language has fewer rows, so
+    that all have about ``total_rows``, but one at least. Each task sends that
+    many rows of a language at most. A model without languages calls
+    everything ``und``."""
+    text, lang = F.col(f"`{text_col}`"), F.col(f"`{lang_col}`").cast("string").alias("lang")
+    known = docs.where(lang.isNotNull() & (F.length(text) > 0))
+    languages = known.select(lang).distinct().count()
+    share = max(1, min(sample_rows, total_rows // max(languages, 1)))
+    at = F.pmod(F.xxhash64(F.col(f"`{id_col}`"), F.lit("window")), F.greatest(F.length(text) - row_chars, F.lit(0)) + 1)
+    rows = known.select(lang, text.substr((at + 1).cast("int"), F.lit(row_chars)).alias("text"), F.xxhash64(F.col(f"`{id_col}`")).alias("h"))
     place = F.row_number().over(Window.partitionBy("lang").orderBy("h", "text"))
-    picked = rows.withColumn("place", place).where(F.col("place") <= sample_rows).collect()
+    picked = rows.withColumn("place", place).where(F.col("place") <= share).collect()
     samples: dict[str, list[str]] = {}
     for r in sorted(picked, key=lambda r: r["place"]):
         samples.setdefault(r["lang"], []).append(r["text"])
@@ -268,7 +318,7 @@ class Predictor:
         offsets = np.concatenate([[0], np.cumsum([len(c) for c in coded])])
         sizes = np.diff(offsets)
         codes = np.concatenate(coded) if coded else np.zeros(0, np.uint8)
-        count = m.phrases(codes.astype(m.steps.dtype), offsets)
+        count = m.phrases(codes, offsets)
         names = np.full(len(texts), UNDETERMINED, object)
         score, mean = np.zeros(len(texts)), np.zeros(len(texts))
         some = sizes > 0  # a letter, known or not
@@ -300,15 +350,15 @@ def predict(docs: DataFrame, model: LanguageModel, *, text_col: str = "text", in
     ``fair_phrase`` (the language's bound of :func:`speaks`, 0 for ``und``).
     Row by row, whole texts, no shuffle; other columns are carried along.
     ``into`` is ``language`` unless given, with underscores added where docs
-    has such a column. The model goes to the tasks as a broadcast of fixed
-    size (languages times sample)."""
+    has such a column. The model goes to the tasks as a broadcast of bounded
+    size (:func:`fit`'s sample, some 120 numbers for each of its characters)."""
     into = into or free_name(docs.columns, "language")
     sent = docs.sparkSession.sparkContext.broadcast(model)
     made = T.StructType([T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()),
                          T.StructField("phrase_chars", T.DoubleType()), T.StructField("letters", T.LongType()),
                          T.StructField("fair_phrase", T.DoubleType())])
 
-    fair = dict(zip(model.languages, model.fair.tolist()))
+    fair = model.fair
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         predictor = None

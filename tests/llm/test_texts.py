@@ -148,50 +148,51 @@ def test_quality_drops_junk_and_keeps_clean(spark):
 
 # ---------------------------------------------------------------- languages
 
-def _cross_parse(text, samples, table, block):
-    """Phrases of a text by plain substring search."""
+def _cross_parse(text, samples, table):
+    """Phrases of a whole text by plain substring search."""
     mark = lambda x: "".join(map(chr, x + 65))
     codes = mark(langid.classes_of(text, table))
     out = []
     for sample in samples:
-        count = 0
-        for lo in range(0, len(codes), block):
-            part, at = codes[lo: lo + block], 0
-            while at < len(part):
-                n = 0
-                while at + n < len(part) and part[at + n] != mark(np.asarray([langid.UNKNOWN])) and part[at: at + n + 1] in sample:
-                    n += 1
-                at += max(n, 1)
-                count += 1
+        count = at = 0
+        while at < len(codes):
+            n = 0
+            while at + n < len(codes) and codes[at + n] != mark(np.asarray([langid.UNKNOWN])) and codes[at: at + n + 1] in sample:
+                n += 1
+            at += max(n, 1)
+            count += 1
         out.append(count)
     return out
 
 
-def test_phrases_equal_substring_search(spark):
+@pytest.mark.parametrize("block", [3, 17, 100, 5000])
+def test_phrases_equal_substring_search(spark, block):
+    """Lanes are put together to one parse, also where a phrase is longer than a lane."""
     docs = _table(spark, SF, "documents").where("lang is not null").collect()
     samples = {}
     for r in docs[:40]:
         samples.setdefault(r.lang, []).append(r.text[:300])
-    model = langid.LanguageModel.build(samples, 1000, block_chars=100)
+    model = langid.LanguageModel.build(samples, 1000, block_chars=block)
     table = langid.letter_table(model.letters)
     plain = ["".join(map(chr, np.concatenate([np.r_[langid.classes_of(t, table), 0] for t in samples[k]])[:1000] + 65)) for k in model.languages]
     texts = [r.text[:700] for r in docs[40:70]] + ["", "日本語 Ünß", "1 2 3", "a", "É" * 250]
+    texts += [t for x in samples.values() for t in x[:2]]  # one phrase as long as the text
     coded = [langid.classes_of(t, table) for t in texts]
     off = np.concatenate([[0], np.cumsum([len(c) for c in coded])])
-    got = model.phrases(np.concatenate(coded).astype(model.steps.dtype), off)
-    assert got.tolist() == [_cross_parse(t, plain, table, 100) for t in texts]
+    got = model.phrases(np.concatenate(coded), off)
+    assert got.tolist() == [_cross_parse(t, plain, table) for t in texts]
 
 
 def test_suffix_automaton_accepts_exactly_the_substrings():
     rng = np.random.default_rng(3)
     s = rng.integers(0, 3, 60)
-    to = langid.suffix_automaton(s, 3)
+    to = langid.transitions(s)
     text = "".join(map(str, s))
     for _ in range(500):
         w = "".join(map(str, rng.integers(0, 3, rng.integers(1, 8))))
         state = 0
         for c in w:
-            state = to[state, int(c)] if state >= 0 else -1
+            state = to[state].get(int(c), -1) if state >= 0 else -1
         assert (state >= 0) == (w in text)
 
 
@@ -226,10 +227,29 @@ def test_letters_without_a_column_are_parsed_alike(spark):
     for k in (120, 20, 5, 0):
         model = langid.LanguageModel.build(samples, 1000, 100, k)
         coded = [langid.classes_of(t, langid.letter_table(model.letters)) for t in texts]
-        got.append(model.phrases(np.concatenate(coded).astype(model.steps.dtype), np.cumsum([0, *map(len, coded)])).tolist())
+        got.append(model.phrases(np.concatenate(coded), np.cumsum([0, *map(len, coded)])).tolist())
     assert got[1:] == got[:1] * 3
 
 
+def test_a_long_text_is_parsed_as_one(spark):
+    """Fifty times the same text has some fifty times its phrases."""
+    docs = [r.text for r in _table(spark, SF, "documents").where("lang = 'en' and length(text) > 500").limit(20).collect()]
+    model = langid.LanguageModel.build({"en": docs[:10], "xx": ["zz zz"]}, 5000, 64)
+    predictor = langid.Predictor(model)
+    _, _, short, _ = predictor.predict([docs[12]])
+    _, _, long, size = predictor.predict([" ".join([docs[12]] * 50)])
+    assert abs(short[0] - long[0]) < 0.05 and size[0] > 49 * len(docs[12]) * 0.8
+
+
+def test_many_languages_share_the_sample(spark):
+    """Hundreds of languages: fewer rows each, a model of bounded size."""
+    rows = [(i, f"l{i % 300}", chr(0x4E00 + 7 * (i % 300)) * 3 + f" word{i % 300} text") for i in range(1200)]
+    model = langid.fit(spark.createDataFrame(rows, "doc_id long, lang string, text string"), total_rows=600)
+    assert len(model.languages) == 300 and sum(a.steps.nbytes for a in model.automata) < 20 << 20
+    names = langid.Predictor(model).predict([t for _, _, t in rows[:300]])[0]
+    assert names == [k for _, k, _ in rows[:300]]
+
+
 @pytest.mark.parametrize("row", ["ok", "a", "no way", "the end of it all"])
 def test_a_language_of_one_short_row_wins_nothing_else(spark, row):
     docs = _table(spark, SF, "documents").where("lang is not null and length(text) > 200").limit(200).collect()
