@@ -21,7 +21,7 @@ from ..functions.common import as_col, null_safe
 from ..functions.predicates import on
 from ..functions.text import distinct_tokens
 from ..session import cut_lineage
-from .metrics import Metric, aggregate
+from .metrics import Metric, aggregate, bind
 from .ordered import top_n_per_group
 
 
@@ -79,6 +79,19 @@ def _values(df: DataFrame, field_) -> Column | None:
     return None if values is None else F.array_distinct(values)
 
 
+def bound_cond(df: DataFrame, cond) -> Column:
+    """A condition for this frame: a Column, or a function of the frame's
+    predicates (:func:`docsift.functions.predicates.on`), which know fields
+    with several values."""
+    return cond if isinstance(cond, Column) else cond(on(df))
+
+
+def _keyed_values(df: DataFrame, name: str, values: Column, key) -> DataFrame:
+    """A row for each distinct key of a document's values; none without."""
+    keys = F.array_distinct(F.filter(F.transform(values, key), lambda k: k.isNotNull()))
+    return df.withColumn(name, F.explode(keys))
+
+
 @dataclass
 class terms(BucketAgg):  # noqa: N801
     """One bucket per distinct value. Default order: doc_count desc, key asc.
@@ -191,18 +204,26 @@ class histogram(BucketAgg):  # noqa: N801
     min_doc_count: int = 1
     metrics: Mapping[str, Metric] = field(default_factory=dict)
 
-    def one_key(self, df: DataFrame) -> Column:
-        x = as_col(self.field).cast("double")
+    def _index(self, x: Column) -> Column:
+        x = x.cast("double")
         finite = ~F.isnan(x) & (F.abs(x) != F.lit(float("inf")))
         return F.floor((F.when(finite, x) - F.lit(self.offset)) / F.lit(self.interval))
 
+    def one_key(self, df: DataFrame) -> Column | None:
+        return None if _values(df, self.field) is not None else self._index(as_col(self.field))
+
+    def _numbered(self, df: DataFrame, name: str) -> DataFrame:
+        values = _values(df, self.field)
+        if values is not None:
+            return _keyed_values(df, name, values, self._index)
+        return df.withColumn(name, self._index(as_col(self.field))).filter(F.col(name).isNotNull())
+
     def keyed(self, df: DataFrame, name: str) -> DataFrame:
-        start = self.one_key(df).cast("double") * F.lit(float(self.interval)) + F.lit(float(self.offset))
-        return df.withColumn(name, start).filter(F.col(name).isNotNull())
+        start = F.col(name).cast("double") * F.lit(float(self.interval)) + F.lit(float(self.offset))
+        return self._numbered(df, name).withColumn(name, start)
 
     def run(self, df: DataFrame) -> DataFrame:
-        numbered = df.withColumn(_KEY, self.one_key(df)).filter(F.col(_KEY).isNotNull())
-        return self.finish(aggregate(numbered, [_KEY], self.metrics))
+        return self.finish(aggregate(self._numbered(df, _KEY), [_KEY], self.metrics))
 
     def finish(self, out: DataFrame) -> DataFrame:
         out = out.withColumnRenamed(_KEY, "_idx")
@@ -314,14 +335,21 @@ class date_histogram(BucketAgg):  # noqa: N801
         return self.from_index(self.to_index(as_col(self.field)))
 
     def keyed(self, df: DataFrame, name: str) -> DataFrame:
-        return df.withColumn(name, self.key_col()).filter(F.col(name).isNotNull())
+        if _values(df, self.field) is None:
+            return df.withColumn(name, self.key_col()).filter(F.col(name).isNotNull())
+        return self._numbered(df, name).withColumn(name, self.from_index(F.col(name)))
+
+    def one_key(self, df: DataFrame) -> Column | None:
+        return None if _values(df, self.field) is not None else self.to_index(as_col(self.field))
 
-    def one_key(self, df: DataFrame) -> Column:
-        return self.to_index(as_col(self.field))
+    def _numbered(self, df: DataFrame, name: str) -> DataFrame:
+        values = _values(df, self.field)
+        if values is not None:
+            return _keyed_values(df, name, values, self.to_index)
+        return df.withColumn(name, self.to_index(as_col(self.field))).filter(F.col(name).isNotNull())
 
     def run(self, df: DataFrame) -> DataFrame:
-        numbered = df.withColumn(_KEY, self.one_key(df)).filter(F.col(_KEY).isNotNull())
-        return self.finish(aggregate(numbered, [_KEY], self.metrics))
+        return self.finish(aggregate(self._numbered(df, _KEY), [_KEY], self.metrics))
 
     def finish(self, out: DataFrame) -> DataFrame:
         out = out.withColumnRenamed(_KEY, "_idx")
@@ -345,7 +373,7 @@ def _labelled(df: DataFrame, labelled: Sequence[tuple[str, Column]], metrics: Ma
     parts, plain = [], True
     for pos, (label, cond) in enumerate(labelled):
         hit = null_safe(cond)
-        own = {n: m.only_where(hit) for n, m in metrics.items()}
+        own = {n: bind(df, m).only_where(hit) for n, m in metrics.items()}
         plain = plain and all(m is not None and m.post(n) is None for n, m in own.items())
         parts.append((pos, label, hit, own))
     spark = df.sparkSession
@@ -364,6 +392,34 @@ def _labelled(df: DataFrame, labelled: Sequence[tuple[str, Column]], metrics: Ma
     return df.agg(*exprs).select(F.inline(F.array(*rows)))
 
 
+class Results(Mapping):
+    """Results of several named aggregations, each planned when it is asked
+    for. The first is a plan of its own, so reading one costs one scan of its
+    own fields. With the second, all those not yet read are computed together
+    in one scan (:func:`run_together`)."""
+
+    def __init__(self, df: DataFrame, specs: Mapping[str, BucketAgg], ready: Mapping[str, DataFrame]):
+        self._df, self._specs, self._ready = df, dict(specs), dict(ready)
+        self._names = [*self._ready, *self._specs]
+        self._asked = False
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._ready:
+            if self._asked:
+                left = {n: s for n, s in self._specs.items() if n not in self._ready}
+                self._ready |= run_together(self._df, left)
+            else:
+                self._ready[name] = self._specs[name].run(self._df)
+                self._asked = True
+        return self._ready[name]
+
+    def __iter__(self):
+        return iter(self._names)
+
+    def __len__(self) -> int:
+        return len(self._names)
+
+
 def run_together(df: DataFrame, specs: Mapping[str, BucketAgg]) -> dict[str, DataFrame]:
     """Several bucket aggregations in one scan, by grouping sets: each row is
     counted for every aggregation inside its task (partial aggregation) before
@@ -418,22 +474,26 @@ class range_(BucketAgg):  # noqa: N801
     bound_type: str = "double"
 
     def keyed(self, df: DataFrame, name: str) -> DataFrame:
-        return _label_explode(df, self._conditions(), name)
+        return _label_explode(df, self._conditions(df), name)
 
-    def _conditions(self) -> list[tuple[str, Column]]:
-        x = as_col(self.field)
-        labelled = []
-        for key, lo, hi in self.ranges:
+    def _conditions(self, df: DataFrame) -> list[tuple[str, Column]]:
+        values = _values(df, self.field)
+
+        def inside(x: Column, lo, hi) -> Column:
             cond = x.isNotNull()
             if lo is not None:
                 cond = cond & (x >= F.lit(lo))
             if hi is not None:
                 cond = cond & (x < F.lit(hi))
-            labelled.append((key, cond))
-        return labelled
+            return cond
+
+        if values is None:
+            return [(key, inside(as_col(self.field), lo, hi)) for key, lo, hi in self.ranges]
+        any_ = lambda lo, hi: F.exists(values, lambda x: null_safe(inside(x, lo, hi)))
+        return [(key, any_(lo, hi)) for key, lo, hi in self.ranges]
 
     def run(self, df: DataFrame) -> DataFrame:
-        out = _labelled(df, self._conditions(), self.metrics)
+        out = _labelled(df, self._conditions(df), self.metrics)
         bound = lambda side: F.element_at(F.array(*[
             F.lit(r[side]).cast(self.bound_type) for r in self.ranges]), F.col("_pos") + 1)
         rest = [c for c in out.columns if c not in ("key", "_pos")]
@@ -447,16 +507,17 @@ def date_range(field, ranges, metrics=None) -> range_:
 @dataclass
 class filters(BucketAgg):  # noqa: N801
     """Named filter buckets (may overlap); ``other_bucket_key`` collects the
-    rows matching none. Every named bucket is returned, empty ones with 0."""
-    named: Mapping[str, Column]
+    rows matching none. Every named bucket is returned, empty ones with 0. A
+    condition may be a function of the frame's predicates."""
+    named: Mapping[str, object]
     other_bucket_key: str | None = None
     metrics: Mapping[str, Metric] = field(default_factory=dict)
 
     def keyed(self, df: DataFrame, name: str) -> DataFrame:
-        return _label_explode(df, self._conditions(), name)
+        return _label_explode(df, self._conditions(df), name)
 
-    def _conditions(self) -> list[tuple[str, Column]]:
-        labelled = list(self.named.items())
+    def _conditions(self, df: DataFrame) -> list[tuple[str, Column]]:
+        labelled = [(n, bound_cond(df, c)) for n, c in self.named.items()]
         if self.other_bucket_key:
             none = F.lit(True)
             for _, c in labelled:
@@ -465,26 +526,30 @@ class filters(BucketAgg):  # noqa: N801
         return labelled
 
     def run(self, df: DataFrame) -> DataFrame:
-        return _labelled(df, self._conditions(), self.metrics).orderBy("_pos").drop("_pos")
+        return _labelled(df, self._conditions(df), self.metrics).orderBy("_pos").drop("_pos")
 
 
-def filter_(cond: Column, metrics=None) -> "single_bucket":
+def filter_(cond, metrics=None) -> "single_bucket":
     return single_bucket(cond, metrics or {})
 
 
 @dataclass
 class single_bucket(BucketAgg):  # noqa: N801
     """One bucket: the rows matching ``cond`` (``filter``), or with the field
-    missing (``missing``). One row: doc_count + metrics."""
-    cond: Column
+    missing (``missing``). One row: doc_count + metrics. ``cond`` may be a
+    function of the frame's predicates."""
+    cond: object
     metrics: Mapping[str, Metric] = field(default_factory=dict)
 
     def run(self, df: DataFrame) -> DataFrame:
-        return aggregate(df.filter(self.cond), [], self.metrics)
+        return aggregate(df.filter(bound_cond(df, self.cond)), [], self.metrics)
 
 
 def missing(field_, metrics=None) -> single_bucket:
-    return single_bucket(as_col(field_).isNull(), metrics or {})
+    """Documents without a value in the field; an array without a value in any
+    element has none."""
+    cond = (lambda p: p.missing(field_)) if isinstance(field_, str) else field_.isNull()
+    return single_bucket(cond, metrics or {})
 
 
 @dataclass
@@ -572,26 +637,43 @@ def nested_array_terms(df: DataFrame, array_field: str, element_field: str, pare
 class adjacency_matrix(BucketAgg):  # noqa: N801
     """Co-occurrence of named filters: a bucket per filter ``A`` and per pair
     ``A&B`` (names in sorted order) with the number of rows matching both.
-    Each row emits at most F + F(F-1)/2 labels for F filters; empty buckets
-    are not returned."""
-    named: Mapping[str, Column]
+    Empty buckets are not returned. A condition may be a function of the
+    frame's predicates.
+
+    Without metrics a row becomes one mask of the filters that it matches. Rows
+    are counted by mask (inside the tasks first), and only the table of
+    distinct masks is turned into pairs: no row is multiplied, and no row
+    evaluates a pair. With metrics, each pair is a condition of its own."""
+    named: Mapping[str, object]
     separator: str = "&"
     metrics: Mapping[str, Metric] = field(default_factory=dict)
 
     def keyed(self, df: DataFrame, name: str) -> DataFrame:
-        return _label_explode(df, self._conditions(), name)
+        return _label_explode(df, self._conditions(df), name)
 
-    def _conditions(self) -> list[tuple[str, Column]]:
-        names = sorted(self.named)
-        labels = [(n, self.named[n]) for n in names]
-        for i in range(len(names)):
-            for j in range(i + 1, len(names)):
-                a, b = names[i], names[j]
-                labels.append((f"{a}{self.separator}{b}", null_safe(self.named[a]) & null_safe(self.named[b])))
+    def _conditions(self, df: DataFrame) -> list[tuple[str, Column]]:
+        own = {n: null_safe(bound_cond(df, c)) for n, c in sorted(self.named.items())}
+        labels = list(own.items())
+        for i, (a, x) in enumerate(labels[:]):
+            labels += [(f"{a}{self.separator}{b}", x & own[b]) for b in list(own)[i + 1:]]
         return labels
 
+    def _by_mask(self, df: DataFrame) -> DataFrame:
+        names = sorted(self.named)
+        bits = [F.when(null_safe(bound_cond(df, self.named[n])), F.lit(i)) for i, n in enumerate(names)]
+        mask = F.array_compact(F.array(*bits)).alias("mask")
+        counted = df.select(mask).groupBy("mask").agg(F.count(F.lit(1)).alias("n"))
+        label = lambda i: F.element_at(F.array(*[F.lit(n) for n in names]), i + 1)
+        pair = lambda i: F.transform(F.filter("mask", lambda j: j > i),
+                                     lambda j: F.concat(label(i), F.lit(self.separator), label(j)))
+        keys = F.flatten(F.transform("mask", lambda i: F.concat(F.array(label(i)), pair(i))))
+        return (counted.select(F.explode(keys).alias("key"), "n").groupBy("key")
+                .agg(F.sum("n").alias("doc_count")).orderBy("key"))
+
     def run(self, df: DataFrame) -> DataFrame:
-        out = _labelled(df, self._conditions(), self.metrics).filter(F.col("doc_count") > 0)
+        if not self.metrics:
+            return self._by_mask(df)
+        out = _labelled(df, self._conditions(df), self.metrics).filter(F.col("doc_count") > 0)
         return out.drop("_pos").orderBy("key")
 
 

@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.common import as_col
+from ..functions.predicates import on
 from .ordered import join_on_keys
 from .quantiles import check_fractions, exact_quantiles, value_counts
 
@@ -194,20 +195,22 @@ class percentile_ranks(Metric):  # noqa: N801
 
 @dataclass
 class weighted_avg(Metric):  # noqa: N801
-    """sum(value*weight)/sum(weight) over rows where both are present."""
+    """sum(value*weight)/sum(weight) over rows where both are present; NULL
+    where the weights add up to 0."""
     value: object
     weight: object
 
     def exprs(self, name):
         v, w = as_col(self.value).cast("double"), as_col(self.weight).cast("double")
         both = v.isNotNull() & w.isNotNull()
-        return [(F.sum(F.when(both, v * w)) / F.sum(F.when(both, w))).alias(name)]
+        return [F.try_divide(F.sum(F.when(both, v * w)), F.sum(F.when(both, w))).alias(name)]
 
 
 @dataclass
 class matrix_stats(Metric):  # noqa: N801
     """Count, mean, sample variance per field and sample covariance /
-    correlation per pair, over rows where all fields are present."""
+    correlation per pair, over rows where all fields are present. The
+    correlation with a field that does not vary is NULL."""
     fields: Sequence[str]
 
     def _rows(self):
@@ -227,7 +230,8 @@ class matrix_stats(Metric):  # noqa: N801
             for j in range(i + 1, len(fs)):
                 a, b = fs[i], fs[j]
                 out += [F.covar_samp(g(a), g(b)).alias(f"{name}_{a}_{b}_covariance"),
-                        F.corr(g(a), g(b)).alias(f"{name}_{a}_{b}_correlation")]
+                        F.try_divide(F.covar_pop(g(a), g(b)), F.stddev_pop(g(a)) * F.stddev_pop(g(b)))
+                        .alias(f"{name}_{a}_{b}_correlation")]
         return out
 
     def output(self, name):
@@ -242,6 +246,58 @@ class matrix_stats(Metric):  # noqa: N801
 
 
 
+# --- fields with several values ---------------------------------------------
+
+@dataclass
+class _ArrayStats(Metric):
+    """A plain metric of an array field: each element is a value. Elements are
+    reduced inside the document, so the metric stays in the main aggregate."""
+    of: Metric
+    values: Column
+
+    def exprs(self, name):
+        v = F.filter(self.values, lambda x: x.isNotNull())
+        double = F.transform(v, lambda x: x.cast("double"))
+        total = F.sum(F.when(F.size(v) > 0, F.aggregate(double, F.lit(0.0), lambda a, x: a + x)))
+        n = F.coalesce(F.sum(F.greatest(F.size(v), F.lit(0)).cast("long")), F.lit(0))
+        mean = F.try_divide(total, n)
+        part = {"count": n, "value_count": n, "min": F.min(F.array_min(v)), "max": F.max(F.array_max(v)), "sum": total, "avg": mean}
+        if isinstance(self.of, _Simple):
+            return [part[self.of.fn].alias(name)]
+        return [part[p].alias(f"{name}_{p}") for p in ("count", "min", "max", "avg", "sum")]
+
+    def output(self, name):
+        return self.of.output(name)
+
+    def only_where(self, cond):
+        return replace(self, values=F.when(cond, self.values))
+
+
+@dataclass
+class _Exploded(Metric):
+    """Any other metric of an array field: over a row for each element."""
+    of: Metric
+    values: Column
+    special = True
+
+    def compute(self, df: DataFrame, keys: list[str], name: str) -> DataFrame:
+        rows = df.select(*[F.col(f"`{k}`") for k in keys], F.explode(self.values).alias("_element"))
+        return aggregate(rows, keys, {name: replace(self.of, field="_element")}, doc_count=None)
+
+    def output(self, name):
+        return self.of.output(name)
+
+
+def bind(df: DataFrame, metric: Metric) -> Metric:
+    """``metric`` for this frame: on a field with several values (an array, or
+    a path into an array of objects) each element is a value, and documents
+    are still counted once."""
+    values = on(df)._values(getattr(metric, "field", None))
+    if values is None or isinstance(metric, (_ArrayStats, _Exploded)):
+        return metric
+    return (_ArrayStats if isinstance(metric, (_Simple, stats)) else _Exploded)(metric, values)
+
+
 # --- metrics that need a second aggregate over the same keys ---------------
 
 @dataclass
@@ -314,7 +370,7 @@ def aggregate(df: DataFrame, keys: Sequence[str], metrics: Mapping[str, Metric]
     """Group ``df`` by the (already computed) key columns and evaluate all
     metrics in one aggregate; special metrics are joined on the keys."""
     keys = list(keys)
-    metrics = dict(metrics or {})
+    metrics = {n: bind(df, m) for n, m in (metrics or {}).items()}
     simple = {n: m for n, m in metrics.items() if not m.special}
     special = {n: m for n, m in metrics.items() if m.special}
     exprs = []

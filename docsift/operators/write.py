@@ -11,7 +11,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -78,11 +78,14 @@ def upsert(base: DataFrame, new: DataFrame, id_field: str = "id", order_field: s
     """Index rows into a table: a row whose id exists replaces the stored
     document, others are appended; rows without id get one of their own
     (:func:`assign_ids`). With ``type_field`` a document is replaced only by
-    one of its type. A common field that holds different kinds raises.
+    one of its type. A common field that holds different kinds raises, and so
+    does (when the result is read) an id of the batch that the base holds more
+    than once: which of its rows to replace is not defined.
 
     Plan: latest row per id in the batch, then one full outer join with the
     base on the id (the batch is read once; AQE splits skewed ids; a base
-    bucketed on the id is read in place)."""
+    bucketed on the id is read in place). The check counts the rows of an id
+    where the join has them side by side."""
     if clean_names:
         new = clean_field_names(new)
     rest = [f for f in new.columns if f != id_field]
@@ -99,7 +102,12 @@ def upsert(base: DataFrame, new: DataFrame, id_field: str = "id", order_field: s
         base, new = (d.withColumn(id_field, F.col(id_field).cast(kind)) for d in (base, new))
     packed = lambda d, name: d.select(*keys, F.struct(F.lit(1).alias("_"), *[
         F.col(f"`{c}`") for c in d.columns if c not in keys]).alias(name))
-    joined = packed(base, "_b").join(packed(new, "_n"), keys, "full_outer")
+    # the window has the join's partitioning and order: no shuffle or sort of its own
+    held = packed(base, "_b").withColumn("_rows", F.count(F.lit(1)).over(Window.partitionBy(*keys)))
+    joined = held.join(packed(new, "_n"), keys, "full_outer")
+    refused = F.raise_error(F.concat(F.lit("the table holds an id more than once: "), F.col(id_field).cast("string")))
+    twice = F.col("_n").isNotNull() & (F.col("_rows") > 1)
+    joined = joined.withColumn("_n", F.when(twice, refused.cast(joined.schema["_n"].dataType)).otherwise(F.col("_n")))
     out = []
     for c in [*base.columns, *[c for c in new.columns if c not in base.columns]]:
         if c in keys:

@@ -15,6 +15,7 @@ from ..operators import bucket_series as S
 from ..operators import buckets as B
 from ..operators import metrics as M
 from ..operators import write as W
+from ..operators.ordered import positions
 from ..session import cut_lineage, scratch_path
 from ..sources import documents as D
 from .registry import docs_with_labels, r6, register, t
@@ -225,14 +226,26 @@ def sorted_subset_all(spark, sf):
     return execute(t(spark, sf, "documents"), query() + (sort_on(("n_chars", "desc")) + select_fields(["doc_id"])))
 
 
-@register("relevance_repeated_ids", """
-SELECT lang, count(*) AS n FROM documents WHERE lang = 'en' GROUP BY 1
+@register("relevance_repeated_ids", f"""
+WITH d AS (SELECT row_number() OVER () AS row, CASE WHEN doc_id % 3 > 0 THEN doc_id % 7 END AS doc_id, lang, n_chars,
+             {toks_sql('text')} AS toks FROM documents),
+st AS (SELECT count(*) AS n, avg(len(toks)) AS avgdl, sum(list_contains(toks, 'esat')::INT) AS df0,
+              sum(list_contains(toks, 'ndat')::INT) AS df1 FROM d),
+tf AS (SELECT *, len(list_filter(toks, lambda w: w = 'esat'))::DOUBLE AS tf0,
+              len(list_filter(toks, lambda w: w = 'ndat'))::DOUBLE AS tf1 FROM d WHERE lang = 'en'),
+s AS (SELECT doc_id, n_chars,
+        ln(1 + (n - df0 + 0.5) / (df0 + 0.5)) * tf0 * 2.2 / (tf0 + 1.2 * (0.25 + 0.75 * len(toks) / avgdl))
+      + ln(1 + (n - df1 + 0.5) / (df1 + 0.5)) * tf1 * 2.2 / (tf1 + 1.2 * (0.25 + 0.75 * len(toks) / avgdl)) AS score FROM tf, st),
+r AS (SELECT *, row_number() OVER (ORDER BY round(score, 9) DESC, doc_id NULLS LAST) AS place FROM s)
+SELECT doc_id, round(score, 6) AS score, place FROM r WHERE place <= 200
 """)
 def relevance_repeated_ids(spark, sf):
-    """Relevance order over repeated and missing ids: whole rows are ranked."""
+    """Relevance order over repeated and missing ids: whole rows are ranked,
+    and the first 200 come with their places."""
     docs = t(spark, sf, "documents").withColumn("doc_id", F.when(F.col("doc_id") % 3 > 0, F.col("doc_id") % 7))
-    req = query(P.term("lang", "en"), rank=("text", "esat ndat", "doc_id"))
-    return execute(docs, req).groupBy("lang").agg(F.count("*").alias("n"))
+    req = query(P.term("lang", "en"), size=200, rank=("text", "esat ndat", "doc_id")) + select_fields(["doc_id", "score"])
+    top = positions(execute(docs, req), [], [F.round("score", 9).desc(), F.col("doc_id").asc_nulls_last()], position="place")
+    return r6(top.withColumn("place", F.col("place") + 1))
 
 
 # ================================================================ hard values
@@ -461,7 +474,9 @@ _TOGETHER = {
 
 
 def _together(spark, sf, name):
-    return r6(execute(t(spark, sf, "events"), query(P.range_("value", gte=5)) + aggs(**_TOGETHER))[name])
+    got = execute(t(spark, sf, "events"), query(P.range_("value", gte=5)) + aggs(**_TOGETHER))
+    got["user" if name == "type" else "type"]  # planned by itself; with the next one all others share a scan
+    return r6(got[name])
 
 
 @register("together_terms", """
@@ -504,3 +519,135 @@ def b_token_buckets(spark, sf):
     """Token buckets beside a query, with a metric in each bucket."""
     spec = B.token_buckets("text", size=20, metrics={"convs": M.cardinality("conv_id")})
     return execute(t(spark, sf, "conversations"), query(P.term("role", "user")) + aggs(x=spec))
+
+
+# ================================================================ several values in a field
+
+_ITEMS = """items AS (SELECT l_orderkey AS k, list(l_quantity) AS qty, list(l_shipdate) AS day, list(l_returnflag) AS flag
+  FROM lineitem GROUP BY 1),
+o AS (SELECT o_orderkey, o_orderpriority, qty, day, flag FROM orders LEFT JOIN items ON k = o_orderkey)"""
+
+
+def _orders_with_values(spark, sf):
+    """Orders with arrays of their lines' quantities, days and flags."""
+    lines = t(spark, sf, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
+        F.collect_list(F.struct(F.col("l_quantity").alias("qty"), F.col("l_shipdate").alias("day"), F.col("l_returnflag").alias("flag"))).alias("items"))
+    return t(spark, sf, "orders").select("o_orderkey", "o_orderpriority").join(lines, "o_orderkey", "left")
+
+
+@register("m_stats_array", f"""
+WITH {_ITEMS}, e AS (SELECT unnest(qty) AS q FROM o)
+SELECT count(q) AS v_count, min(q) AS v_min, max(q) AS v_max, round(avg(q), 6) AS v_avg, round(sum(q), 6) AS v_sum,
+       round(var_pop(q), 6) AS x_variance, count(DISTINCT q) AS n FROM e
+""")
+def m_stats_array(spark, sf):
+    """Each element of an array counts as a value."""
+    got = execute(_orders_with_values(spark, sf), aggs(v=M.stats("items.qty"), x=M.extended_stats("items.qty"), n=M.cardinality("items.qty")))
+    return r6(got.select("v_count", "v_min", "v_max", "v_avg", "v_sum", "x_variance", "n"))
+
+
+@register("m_percentiles_array", f"""
+WITH {_ITEMS}, e AS (SELECT o_orderpriority AS key, unnest(qty) AS q FROM o),
+d AS (SELECT o_orderpriority AS key, count(*) AS doc_count FROM o GROUP BY 1)
+SELECT key, doc_count, round(quantile_cont(q, 0.5), 6) AS p_p50, round(quantile_cont(q, 0.9), 6) AS p_p90, round(avg(q), 6) AS mean
+FROM d JOIN e USING (key) GROUP BY key, doc_count
+""")
+def m_percentiles_array(spark, sf):
+    """Values count each, documents once."""
+    spec = B.terms("o_orderpriority", metrics={"p": M.percentiles("items.qty", [50, 90]), "mean": M.avg("items.qty")})
+    return r6(execute(_orders_with_values(spark, sf), aggs(x=spec)))
+
+
+@register("b_histogram_array", f"""
+WITH {_ITEMS}, e AS (SELECT DISTINCT o_orderkey, floor(unnest(qty) / 10) * 10 AS key FROM o)
+SELECT key::DOUBLE AS key, count(*) AS doc_count FROM e GROUP BY 1
+""")
+def b_histogram_array(spark, sf):
+    """A document is in the bucket of each of its values, once."""
+    return execute(_orders_with_values(spark, sf), aggs(x=B.histogram("items.qty", 10)))
+
+
+@register("b_date_histogram_array", f"""
+WITH {_ITEMS}, e AS (SELECT DISTINCT o_orderkey, date_trunc('year', unnest(day))::TIMESTAMP AS key FROM o)
+SELECT key, count(*) AS doc_count FROM e GROUP BY 1
+""")
+def b_date_histogram_array(spark, sf):
+    return execute(_orders_with_values(spark, sf), aggs(x=B.date_histogram("items.day", calendar_interval="year")))
+
+
+@register("b_range_array", f"""
+WITH {_ITEMS}, r(key, lo, hi) AS (VALUES ('low', NULL, 10.0), ('mid', 10.0, 40.0), ('high', 40.0, NULL), ('none', 500.0, NULL))
+SELECT key, lo::DOUBLE AS "from", hi::DOUBLE AS "to",
+       count(*) FILTER (WHERE len(list_filter(qty, lambda q: (lo IS NULL OR q >= lo) AND (hi IS NULL OR q < hi))) > 0) AS doc_count
+FROM o, r GROUP BY ALL
+""")
+def b_range_array(spark, sf):
+    ranges = [("low", None, 10.0), ("mid", 10.0, 40.0), ("high", 40.0, None), ("none", 500.0, None)]
+    return execute(_orders_with_values(spark, sf), aggs(x=B.range_("items.qty", ranges)))
+
+
+@register("b_filters_array", f"""
+WITH {_ITEMS}, c AS (SELECT *, coalesce(list_contains(flag, 'R'), false) AS r, coalesce(list_max(qty) >= 45, false) AS big FROM o)
+SELECT 'returned' AS key, count(*) AS doc_count, round(avg(list_sum(qty)), 6) AS mean FROM c WHERE r
+UNION ALL SELECT 'big', count(*), round(avg(list_sum(qty)), 6) FROM c WHERE big
+UNION ALL SELECT 'else', count(*), round(avg(list_sum(qty)), 6) FROM c WHERE NOT r AND NOT big
+""")
+def b_filters_array(spark, sf):
+    """Conditions bound to the frame hold if they do for any element."""
+    named = {"returned": lambda p: p.term("items.flag", "R"), "big": lambda p: p.range_("items.qty", gte=45)}
+    df = _orders_with_values(spark, sf).withColumn("total", F.when(F.col("items").isNotNull(), F.aggregate("items", F.lit(0.0), lambda a, x: a + x["qty"])))
+    return r6(execute(df, aggs(x=B.filters(named, other_bucket_key="else", metrics={"mean": M.avg("total")}))))
+
+
+@register("b_adjacency_array", f"""
+WITH {_ITEMS}, c AS (SELECT coalesce(list_contains(flag, 'A'), false) AS a, coalesce(list_contains(flag, 'N'), false) AS n,
+                            coalesce(list_contains(flag, 'R'), false) AS r FROM o),
+k AS (SELECT CASE WHEN a THEN 'A' END AS k FROM c UNION ALL SELECT CASE WHEN n THEN 'N' END FROM c UNION ALL SELECT CASE WHEN r THEN 'R' END FROM c
+  UNION ALL SELECT CASE WHEN a AND n THEN 'A&N' END FROM c UNION ALL SELECT CASE WHEN a AND r THEN 'A&R' END FROM c
+  UNION ALL SELECT CASE WHEN n AND r THEN 'N&R' END FROM c)
+SELECT k AS key, count(*) AS doc_count FROM k WHERE k IS NOT NULL GROUP BY 1
+""")
+def b_adjacency_array(spark, sf):
+    named = {f: (lambda p, f=f: p.term("items.flag", f)) for f in "RAN"}
+    return execute(_orders_with_values(spark, sf), aggs(x=B.adjacency_matrix(named)))
+
+
+@register("b_missing_empty_array", f"WITH {_ITEMS} SELECT count(*) AS doc_count FROM o WHERE qty IS NULL OR len(list_filter(qty, lambda q: q > 30)) = 0")
+def b_missing_empty_array(spark, sf):
+    """An empty array is missing, as it is for a search."""
+    df = _orders_with_values(spark, sf).withColumn("large", F.filter("items", lambda x: x["qty"] > 30))
+    return execute(df, aggs(x=B.missing("large")))
+
+
+@register("fields_excluded_in_array", f"""
+WITH {_ITEMS} SELECT o_orderkey, list_aggregate(flag, 'count') AS n, list_contains(flag, 'R') AS r, false AS has_qty FROM o WHERE flag IS NOT NULL
+""")
+def fields_excluded_in_array(spark, sf):
+    """Excludes win inside an array of objects that is included whole."""
+    df = _orders_with_values(spark, sf).where("items IS NOT NULL")
+    out = execute(df, query() + select_fields(["*"], ["items.qty", "o_orderpriority"]))
+    element = out.schema["items"].dataType.elementType
+    return out.select("o_orderkey", F.size("items").cast("long").alias("n"), F.exists("items", lambda x: x["flag"] == "R").alias("r"),
+                      F.lit("qty" in element.names).alias("has_qty"))
+
+
+# ================================================================ values without variation
+
+@register("m_weights_of_zero", """
+SELECT l_returnflag AS key, count(*) AS doc_count, round(sum(l_quantity * w) / nullif(sum(w), 0), 6) AS mean
+FROM (SELECT *, CASE WHEN l_returnflag = 'R' THEN 0 ELSE l_linenumber END AS w FROM lineitem) GROUP BY 1
+""")
+def m_weights_of_zero(spark, sf):
+    df = t(spark, sf, "lineitem").withColumn("w", F.when(F.col("l_returnflag") == "R", 0).otherwise(F.col("l_linenumber")))
+    return r6(execute(df, aggs(x=B.terms("l_returnflag", metrics={"mean": M.weighted_avg("l_quantity", "w")}))))
+
+
+@register("m_matrix_constant", """
+SELECT count(*) AS m_count, round(covar_samp(l_quantity, 7), 6) AS m_l_quantity_c_covariance, NULL::DOUBLE AS m_l_quantity_c_correlation,
+       round(corr(l_quantity, l_discount), 6) AS m_l_quantity_l_discount_correlation FROM lineitem
+""")
+def m_matrix_constant(spark, sf):
+    """A field that does not vary has no correlation."""
+    df = t(spark, sf, "lineitem").withColumn("c", F.lit(7.0))
+    got = execute(df, aggs(m=M.matrix_stats(["l_quantity", "c", "l_discount"])))
+    return r6(got.select("m_count", "m_l_quantity_c_covariance", "m_l_quantity_c_correlation", "m_l_quantity_l_discount_correlation"))

@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 
 from ..functions import predicates
 from ..functions.common import as_col
-from ..operators.buckets import BucketAgg, run_together
+from ..operators.buckets import BucketAgg, Results
 from ..operators.metrics import Metric, aggregate
 
 
@@ -179,31 +179,33 @@ def resolve_fields(schema: T.StructType, includes: Sequence[str], excludes: Sequ
         return any(fnmatch.fnmatchcase(path, p) or (p.endswith(".*") and fnmatch.fnmatchcase(path, p[:-2]))
                    for p in pats)
 
-    def walk(dtype, path: str, ref: Column):
-        """Returns (column or None, whole) where whole = nothing was dropped."""
-        inc, exc = matches(path, includes), matches(path, excludes)
+    def walk(dtype, path: str, ref: Column, above: bool = False):
+        """Returns (column or None, whole) where whole = nothing was dropped;
+        ``above``: an object that holds this field is included."""
+        inc, exc = above or matches(path, includes), matches(path, excludes)
         if exc:
             return None, False
         if isinstance(dtype, T.StructType):
             parts, whole = [], True
             for f in dtype.fields:
-                sub, sub_whole = walk(f.dataType, f"{path}.{f.name}", ref.getField(f.name))
+                sub, sub_whole = walk(f.dataType, f"{path}.{f.name}", ref.getField(f.name), inc)
                 whole = whole and sub_whole
                 if sub is not None:
                     parts.append(sub.alias(f.name))
             if inc and whole:
                 return ref, True
             return (F.when(ref.isNotNull(), F.struct(*parts)) if parts else None), False
-        if isinstance(dtype, T.ArrayType) and isinstance(dtype.elementType, T.StructType) and not inc:
+        if isinstance(dtype, T.ArrayType) and isinstance(dtype.elementType, T.StructType):
             # a path inside an array of objects: the same parts of each element
             kept = []
 
             def element(x):
-                sub, whole = walk(dtype.elementType, path, x)
-                kept.append(sub is not None)
+                sub, whole = walk(dtype.elementType, path, x, inc)
+                kept.append((sub is not None, whole))
                 return sub if sub is not None else x
             out = F.transform(ref, element)
-            return (out if kept[-1] else None), False
+            some, whole = kept[-1]
+            return (ref, True) if inc and whole else (out if some else None, False)
         return (ref, True) if inc else (None, False)
 
     out = []
@@ -246,8 +248,9 @@ def run_documents(df: DataFrame, req: Request) -> DataFrame:
     return out
 
 
-def run_aggs(df: DataFrame, req: Request) -> DataFrame | dict[str, DataFrame]:
-    """One DataFrame per named aggregation (a dict when there are several).
+def run_aggs(df: DataFrame, req: Request) -> DataFrame | Mapping[str, DataFrame]:
+    """One DataFrame per named aggregation (a mapping when there are several,
+    in which each is planned when it is read).
     Metric aggregations listed together are evaluated in one aggregate."""
     filtered = matching(df, req.where)
     metric_specs = {n: a for n, a in req.aggs.items() if isinstance(a, Metric)}
@@ -259,13 +262,11 @@ def run_aggs(df: DataFrame, req: Request) -> DataFrame | dict[str, DataFrame]:
             # aggregations each result holds its own columns only
             results[n] = wide if len(metric_specs) == len(req.aggs) else wide.select(*metric_specs[n].output(n))
     buckets = {n: a for n, a in req.aggs.items() if isinstance(a, BucketAgg)}
-    results |= run_together(filtered, {n: a for n, a in buckets.items() if not getattr(a, "ignores_query", False)})
     results |= {n: a.run(df) for n, a in buckets.items() if getattr(a, "ignores_query", False)}
-    if len(req.aggs) == 1:
-        return next(iter(results.values()))
-    if metric_specs and len(metric_specs) == len(req.aggs):
-        return next(iter(results.values()))
-    return results
+    found = Results(filtered, {n: a for n, a in buckets.items() if n not in results}, results)
+    if len(req.aggs) == 1 or len(metric_specs) == len(req.aggs):
+        return found[next(iter(req.aggs))]
+    return found
 
 
 def execute(df: DataFrame, req: Request):

@@ -83,9 +83,14 @@ def flatten(df: DataFrame, sep: str = "_") -> DataFrame:
 
 def union_pages(pages: Sequence[DataFrame]) -> DataFrame:
     """Concatenate frames by field name; a field absent from a page is NULL
-    there. A field of different kinds (say number and text) raises."""
-    for page in pages[1:]:
-        require_same_kinds(pages[0], page)
+    there. A field of different kinds (say number and text) in any two pages
+    raises, naming it."""
+    seen: dict[str, T.StructField] = {}
+    for page in pages:
+        require_same_kinds(T.StructType(list(seen.values())), page.schema)
+        for f in page.schema.fields:
+            if f.name not in seen or isinstance(seen[f.name].dataType, T.NullType):
+                seen[f.name] = f
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), pages)
 
 
@@ -100,10 +105,11 @@ def kind_of(dtype: T.DataType) -> str:
     return {T.ArrayType: "array", T.StructType: "object", T.MapType: "object"}.get(type(dtype), dtype.simpleString())
 
 
-def require_same_kinds(a: DataFrame, b: DataFrame) -> None:
+def require_same_kinds(a: DataFrame | T.StructType, b: DataFrame | T.StructType) -> None:
     """Raise, naming the fields, when a common field holds different kinds."""
-    both = {f.name: f.dataType for f in a.schema.fields}
-    bad = [f"{f.name}: {both[f.name].simpleString()} and {f.dataType.simpleString()}" for f in b.schema.fields
+    a, b = (x if isinstance(x, T.StructType) else x.schema for x in (a, b))
+    both = {f.name: f.dataType for f in a.fields}
+    bad = [f"{f.name}: {both[f.name].simpleString()} and {f.dataType.simpleString()}" for f in b.fields
            if f.name in both and kind_of(f.dataType) != kind_of(both[f.name])
            and not isinstance(f.dataType, T.NullType) and not isinstance(both[f.name], T.NullType)]
     if bad:

@@ -160,10 +160,57 @@ def test_sample_by_score_needs_its_size(spark):
         B.sampler(B.terms("x"), score="y").sample(spark.range(1))
 
 
-def test_relevance_counts_more_rows_than_any_size(spark, tmp_path):
+def test_relevance_ranks_more_rows_than_any_size(spark, tmp_path):
+    from docsift.functions import predicates as P
     from docsift.plans.registry import QUERIES
-    docs = spark.range(20_060).select(F.col("id").alias("doc_id"), F.lit("esat x").alias("text"),
-                                      F.when(F.col("id") < 20_050, "en").otherwise("de").alias("lang"))
+    from docsift.plans.search import execute, query
+    docs = spark.range(20_060).select(F.col("id").alias("doc_id"), F.concat(F.lit("esat x"), F.when(F.col("id") % 9 == 0, " esat").otherwise("")).alias("text"),
+                                      F.when(F.col("id") < 20_050, "en").otherwise("de").alias("lang"), F.lit(1).alias("n_chars"))
     docs.write.parquet(str(tmp_path / "documents.parquet"))
-    got = QUERIES["relevance_repeated_ids"](spark, str(tmp_path)).collect()
-    assert [tuple(r) for r in got] == [("en", 20_050)]
+    got = [r.doc_id for r in execute(docs, query(P.term("lang", "en"), rank=("text", "esat", "doc_id"))).collect()]
+    assert got == sorted(range(20_050), key=lambda i: (i % 9 != 0, i))
+    first = QUERIES["relevance_repeated_ids"](spark, str(tmp_path)).collect()
+    want = sorted(((i % 9 != 0, i % 3 == 0, i % 7) for i in range(20_050)))[:200]
+    assert [r.place for r in sorted(first, key=lambda r: r.place)] == list(range(1, 201))
+    assert sorted((r.doc_id is None, r.doc_id or 0) for r in first) == sorted((n, 0 if n else d) for _, n, d in want)
+
+
+def test_upsert_refuses_ids_that_the_table_repeats(spark):
+    from docsift.operators import write as W
+    base = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (None, "d"), (None, "e")], "id long, v string")
+    new = spark.createDataFrame([(2, "n"), (3, "m")], "id long, v string")
+    got = sorted(((r.id, r.v) for r in W.upsert(base, new).collect()), key=str)
+    assert got == sorted([(1, "a"), (1, "b"), (2, "n"), (None, "d"), (None, "e"), (3, "m")], key=str)
+    with pytest.raises(Exception, match="more than once: 1"):
+        W.upsert(base, spark.createDataFrame([(1, "n")], "id long, v string")).collect()
+
+
+def test_pages_that_conflict_pairwise(spark):
+    from docsift.sources.documents import union_pages
+    one = spark.createDataFrame([(1,)], "id long")
+    two, three = one.withColumn("x", F.lit(7)), one.withColumn("x", F.lit("7"))
+    with pytest.raises(TypeError, match="x: int and string"):
+        union_pages([one, two, three])
+    assert union_pages([one, one.withColumn("x", F.lit(None)), three]).schema["x"].dataType.simpleString() == "string"
+
+
+def test_included_objects_lose_their_excluded_parts(spark):
+    from docsift.plans.search import execute, query, select_fields
+    df = spark.sql("SELECT 1 AS id, named_struct('a', 1, 'b', 2) AS o, array(named_struct('a', 1, 'b', 2)) AS items")
+    pick = lambda inc, exc=(): execute(df, query() + select_fields(inc, exc)).schema.simpleString()
+    assert pick(["*"], ["items.a"]) == "struct<id:int,o:struct<a:int,b:int>,items:array<struct<b:int>>>"
+    assert pick(["items", "o"], ["o.b"]) == "struct<o:struct<a:int>,items:array<struct<a:int,b:int>>>"
+    assert pick(["items.*"], ["items.b"]) == "struct<items:array<struct<a:int>>>"
+    assert pick(["*"], ["items.*"]) == "struct<id:int,o:struct<a:int,b:int>>"
+
+
+def test_several_results_are_planned_when_read(spark):
+    from docsift.operators import buckets as B
+    from docsift.plans.search import aggs, execute
+    df = spark.range(100).selectExpr("id % 3 AS a", "id % 5 AS b", "id % 7 AS c")
+    got = execute(df, aggs(a=B.terms("a"), b=B.terms("b"), c=B.terms("c")))
+    assert list(got) == ["a", "b", "c"] and len(got) == 3 and "c" in got
+    assert "Expand" not in got["a"]._jdf.queryExecution().toString()
+    assert {n: got[n].count() for n in got} == {"a": 3, "b": 5, "c": 7}
+    with pytest.raises(KeyError):
+        got["d"]
