@@ -179,10 +179,25 @@ def multi_match(fields: Sequence, text: str, operator: str = "or",
     return out
 
 
+def holds_text(dtype: T.DataType) -> bool:
+    """Text, or an array of it."""
+    while isinstance(dtype, T.ArrayType):
+        dtype = dtype.elementType
+    return isinstance(dtype, T.StringType)
+
+
 def any_field(df: DataFrame, text: str, operator: str = "or") -> Column:
-    """Free text over every string column of the frame."""
-    fields = [f.name for f in df.schema.fields if f.dataType.simpleString() == "string"]
-    return multi_match(fields, text, operator)
+    """Free text over every field of text, arrays of text among them. For
+    conditions on several fields see :func:`query_string`."""
+    fields = [f.name for f in df.schema.fields if holds_text(f.dataType)]
+    return on(df).multi_match(fields, text, operator) if fields else match_none()
+
+
+def query_string(text: str, fields: Sequence[str] | None = None, operator: str = "or"):
+    """A condition in the notation of :mod:`docsift.functions.query_string`,
+    to be given to ``query``."""
+    from .query_string import query_string as read
+    return read(text, fields, operator)
 
 
 def _and(conds):

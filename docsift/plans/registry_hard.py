@@ -651,3 +651,59 @@ def m_matrix_constant(spark, sf):
     df = t(spark, sf, "lineitem").withColumn("c", F.lit(7.0))
     got = execute(df, aggs(m=M.matrix_stats(["l_quantity", "c", "l_discount"])))
     return r6(got.select("m_count", "m_l_quantity_c_covariance", "m_l_quantity_c_correlation", "m_l_quantity_l_discount_correlation"))
+
+
+# ================================================================ query strings
+
+@register("q_query_string", f"""
+WITH d AS (SELECT conv_id, turn, {toks_sql('text')} AS toks, role, text FROM conversations)
+SELECT conv_id, turn FROM d
+WHERE (role = 'user' AND (list_contains(toks, 'esat') OR len(list_filter(toks, lambda w: starts_with(w, 'nda'))) > 0))
+   OR (contains(' ' || array_to_string(toks, ' ') || ' ', ' the and ') AND NOT role = 'user')
+   OR len(list_filter(toks, lambda w: levenshtein(w, 'thats') <= 1)) > 0
+""")
+def q_query_string(spark, sf):
+    """Fields, words, forms, phrases, edits and brackets in one string."""
+    text = '(role:user AND (text:esat OR text:nda*)) OR text:"the and" AND NOT role:user OR text:thats~1'
+    return execute(t(spark, sf, "conversations"), query(P.query_string(text)) + select_fields(["conv_id", "turn"]))
+
+
+@register("q_query_string_words", f"""
+WITH d AS (SELECT conv_id, turn, {toks_sql('text')} AS toks, {toks_sql('role')} AS roles FROM conversations)
+SELECT conv_id, turn FROM d
+WHERE (list_contains(toks, 'in') OR list_contains(roles, 'in')) AND NOT (list_contains(toks, 'the') OR list_contains(roles, 'the'))
+""")
+def q_query_string_words(spark, sf):
+    """Words without a field are looked for in all text; signs require and forbid."""
+    return execute(t(spark, sf, "conversations"), query(P.query_string("+in -the user")) + select_fields(["conv_id", "turn"]))
+
+
+@register("q_query_string_values", """
+SELECT event_id FROM events
+WHERE value >= 10 AND value < 40 AND event_type IN ('click', 'purchase') AND NOT user_id > 100
+  AND (ts < TIMESTAMP '2024-01-06' OR ts >= TIMESTAMP '2024-01-20' AND ts <= TIMESTAMP '2024-01-25 12:00:00') AND value IS NOT NULL
+""")
+def q_query_string_values(spark, sf):
+    """Ranges of numbers and times; a date is a whole day."""
+    text = ("value:[10 TO 40} event_type:(click OR purchase) NOT user_id:>100 "
+            "(ts:<=2024-01-05 OR ts:[2024-01-20 TO 2024-01-25T12:00:00]) _exists_:value")
+    return execute(t(spark, sf, "events"), query(P.query_string(text, operator="and")) + select_fields(["event_id"]))
+
+
+@register("q_query_string_array", f"""
+WITH {_ITEMS} SELECT o_orderkey FROM o
+WHERE (list_contains(flag, 'R') AND list_max(qty) > 45 OR qty IS NULL) AND NOT starts_with(o_orderpriority, '1')
+""")
+def q_query_string_array(spark, sf):
+    """On arrays a condition holds if it does for any element; whole values."""
+    text = "(items.flag:R AND items.qty:>45 OR NOT _exists_:items.qty) -o_orderpriority.keyword:1*"
+    return execute(_orders_with_values(spark, sf), query(P.query_string(text)) + select_fields(["o_orderkey"]))
+
+
+@register("q_any_field_array", f"""
+WITH {_ITEMS} SELECT o_orderkey FROM o WHERE list_contains(flag, 'R') OR o_orderpriority LIKE '%URGENT%'
+""")
+def q_any_field_array(spark, sf):
+    """Free text looks into arrays of text too."""
+    df = _orders_with_values(spark, sf).withColumn("flags", F.col("items.flag"))
+    return execute(df, query(P.any_field(df, "r urgent")) + select_fields(["o_orderkey"]))
