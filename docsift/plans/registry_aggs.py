@@ -12,6 +12,8 @@ from ..operators import bucket_series as S
 from ..operators import buckets as B
 from ..operators import metrics as M
 from ..operators import text as X
+from ..operators.postings import PostingsIndex
+from ..session import scratch_path
 from .registry import docs_with_labels, r6, register, t
 from .search import aggs, execute, query, select_fields
 
@@ -407,7 +409,7 @@ def b_sampler_hash(spark, sf):
     return execute(t(spark, sf, "documents"), aggs(x=spec))
 
 
-@register("q_more_like", f"""
+_MORE_LIKE = f"""
 WITH toks AS (SELECT doc_id, {toks_sql('text')} AS t FROM documents),
 n AS (SELECT count(*) AS n FROM documents),
 like_tf AS (SELECT term, count(*) AS tf FROM (SELECT unnest(t) AS term FROM toks WHERE doc_id = 1) GROUP BY 1),
@@ -418,12 +420,23 @@ shared AS (SELECT d.doc_id, count(*) AS shared_terms
            FROM (SELECT doc_id, unnest(list_distinct(t)) AS term FROM toks WHERE doc_id <> 1) d
            JOIN cand USING (term) GROUP BY 1)
 SELECT * FROM shared ORDER BY shared_terms DESC, doc_id LIMIT 10
-""")
+"""
+
+
+@register("q_more_like", _MORE_LIKE)
 def q_more_like(spark, sf):
     return X.more_like_this(t(spark, sf, "documents"), "text", "doc_id", 1, k=10, max_query_terms=25, min_doc_freq=2,
                             max_doc_freq_ratio=0.5)
 
 
+@register("i_more_like", _MORE_LIKE)
+def i_more_like(spark, sf):
+    """The same from the liked document's postings."""
+    docs = t(spark, sf, "documents")
+    index = PostingsIndex.build(docs, scratch_path(spark, "postings"), "text", "doc_id", buckets=16)
+    return index.more_like_this(docs, "text", "doc_id", 1, k=10, max_query_terms=25, min_doc_freq=2, max_doc_freq_ratio=0.5)
+
+
 # ================================================================ bucket series
 
 def _per_day(spark, sf):

@@ -16,10 +16,11 @@ from ..operators import buckets as B
 from ..operators import metrics as M
 from ..operators import write as W
 from ..operators.ordered import positions
+from ..operators.postings import PostingsIndex
 from ..session import cut_lineage, scratch_path
 from ..sources import documents as D
 from .registry import docs_with_labels, r6, register, t
-from .registry_aggs import toks_sql
+from .registry_aggs import bm25_sql, toks_sql
 from .search import Resource, aggs, execute, query, select_fields, sort_on
 
 # ================================================================ writes
@@ -707,3 +708,63 @@ def q_any_field_array(spark, sf):
     """Free text looks into arrays of text too."""
     df = _orders_with_values(spark, sf).withColumn("flags", F.col("items.flag"))
     return execute(df, query(P.any_field(df, "r urgent")) + select_fields(["o_orderkey"]))
+
+
+# ================================================================ text index
+
+def _index(spark, sf, docs=None):
+    docs = t(spark, sf, "documents") if docs is None else docs
+    return PostingsIndex.build(docs, scratch_path(spark, "postings"), "text", "doc_id", buckets=16, slice_docs=64)
+
+
+_CHANGED = "(SELECT doc_id, CASE WHEN doc_id % 10 = 4 THEN 'esat of the new ' || text ELSE text END AS text FROM documents WHERE doc_id % 10 <> 3)"
+
+
+def _changed_index(spark, sf):
+    """The index after a feed that changes a tenth of the documents and
+    removes another."""
+    docs = t(spark, sf, "documents").select("doc_id", "text")
+    index = _index(spark, sf, docs)
+    last = F.col("doc_id") % 10
+    feed = docs.where(last.isin(3, 4)).select("doc_id", F.lit(1).alias("seq"), F.when(last == 3, "delete").otherwise("index").alias("action"),
+                                              F.concat(F.lit("esat of the new "), "text").alias("text"))
+    index.refresh(docs, feed, "text", "doc_id")
+    return index
+
+
+@register("i_bm25", bm25_sql("documents", "doc_id", "text", ["esat", "ndat", "ated"], 10))
+def i_bm25(spark, sf):
+    """Ranked from the postings of three terms."""
+    return r6(_index(spark, sf).bm25_top_k("esat ndat ated", 10).withColumnRenamed("id", "doc_id"))
+
+
+@register("i_bm25_changed", bm25_sql(_CHANGED, "doc_id", "text", ["esat", "new"], 50))
+def i_bm25_changed(spark, sf):
+    """After a feed of actions: statistics and postings of the live documents."""
+    return r6(_changed_index(spark, sf).bm25_top_k("esat new", 50).withColumnRenamed("id", "doc_id"))
+
+
+@register("i_bm25_compacted", bm25_sql(_CHANGED, "doc_id", "text", ["esat", "new"], 50))
+def i_bm25_compacted(spark, sf):
+    small = _changed_index(spark, sf).compact(scratch_path(spark, "postings"))
+    return r6(small.bm25_top_k("esat new", 50).withColumnRenamed("id", "doc_id"))
+
+
+@register("i_phrase", f"""
+SELECT doc_id FROM documents WHERE contains(' ' || array_to_string({toks_sql('text')}, ' ') || ' ', ' of the ')
+""")
+def i_phrase(spark, sf):
+    """Words that follow each other, from their places."""
+    return _index(spark, sf).phrase("Of the").withColumnRenamed("id", "doc_id")
+
+
+@register("i_match_and", f"SELECT doc_id FROM documents WHERE list_has_all({toks_sql('text')}, ['in', 'the', 'esat'])")
+def i_match_and(spark, sf):
+    return _index(spark, sf).match("in the esat", operator="and").withColumnRenamed("id", "doc_id")
+
+
+@register("i_match_changed", f"""
+SELECT doc_id FROM {_CHANGED} WHERE len(list_intersect(list_distinct({toks_sql('text')}), ['esat', 'ndat', 'ated', 'new'])) >= 2
+""")
+def i_match_changed(spark, sf):
+    return _changed_index(spark, sf).match("esat ndat ated new", minimum_should_match=2).withColumnRenamed("id", "doc_id")
