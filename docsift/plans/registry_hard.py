@@ -768,3 +768,41 @@ SELECT doc_id FROM {_CHANGED} WHERE len(list_intersect(list_distinct({toks_sql('
 """)
 def i_match_changed(spark, sf):
     return _changed_index(spark, sf).match("esat ndat ated new", minimum_should_match=2).withColumnRenamed("id", "doc_id")
+
+
+# ================================================================ documents set aside
+
+_BROKEN = """e AS (SELECT event_id, value, CASE event_id % 12 WHEN 0 THEN substr(props, 1, 4) WHEN 1 THEN '[' || props || ']'
+  WHEN 2 THEN '{"k": "x' || event_id || '"}' WHEN 3 THEN NULL WHEN 4 THEN '{"k": null, "tag": "t"}'
+  WHEN 5 THEN CASE WHEN event_id % 24 = 5 THEN '{"k": 0.5, "tag": [1]}' ELSE '{"k": 0.5}' END ELSE props END AS doc FROM events)"""
+
+
+def _broken_documents(spark, sf):
+    rest = F.col("event_id") % 12
+    doc = (F.when(rest == 0, F.substring("props", 1, 4)).when(rest == 1, F.concat(F.lit("["), "props", F.lit("]")))
+           .when(rest == 2, F.concat(F.lit('{"k": "x'), "event_id", F.lit('"}'))).when(rest == 3, F.lit(None))
+           .when(rest == 4, F.lit('{"k": null, "tag": "t"}')).when(F.col("event_id") % 24 == 5, F.lit('{"k": 0.5, "tag": [1]}')).when(rest == 5, F.lit('{"k": 0.5}'))
+           .otherwise(F.col("props")))
+    return D.typed_documents(t(spark, sf, "events").withColumn("doc", doc), "doc", ["event_id"])
+
+
+@register("infer_json_quarantine", f"""
+WITH {_BROKEN} SELECT CASE event_id % 12 WHEN 0 THEN 'malformed' WHEN 1 THEN 'not an object' WHEN 3 THEN 'no document'
+  WHEN 2 THEN 'conflict: k is string, elsewhere number' ELSE 'conflict: tag is array, elsewhere string' END AS reason,
+  count(*) AS n, min(event_id) AS first FROM e
+WHERE event_id % 12 < 4 OR event_id % 24 = 5 GROUP BY 1
+""")
+def infer_json_quarantine(spark, sf):
+    """Every document is a row or set aside with its reason."""
+    out = _broken_documents(spark, sf).rejected
+    return out.groupBy("reason").agg(F.count("*").alias("n"), F.min("event_id").alias("first"))
+
+
+@register("json_typed", f"""
+WITH {_BROKEN} SELECT event_id, CASE WHEN event_id % 12 = 5 THEN 0.5 WHEN event_id % 12 <> 4 THEN (props->>'$.k')::DOUBLE END AS k,
+  CASE WHEN event_id % 12 = 4 THEN 't' END AS tag FROM events WHERE event_id % 12 >= 4 AND event_id % 24 <> 5
+""")
+def json_typed(spark, sf):
+    """Typed columns of the documents that agree: whole numbers and fractions are one kind."""
+    out = _broken_documents(spark, sf)
+    return out.rows.select("event_id", F.col("k").cast("double").alias("k"), "tag")

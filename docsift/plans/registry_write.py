@@ -9,8 +9,12 @@ from pyspark.sql import functions as F
 from ..functions import predicates as P
 from ..functions.mapping import clean_field_names, parse_timestamp
 from ..operators import write as W
+from ..operators.versioned import BucketedTable
+from ..session import scratch_path
 from ..sources import documents as D
+from .paging import read_page
 from .registry import r6, register, t
+from .search import query, select_fields, sort_on
 
 # ================================================================ writes
 
@@ -30,7 +34,7 @@ def _changed_orders(spark, sf):
     return batch.toDF(*[c.upper() for c in batch.columns])
 
 
-@register("upsert_by_id", """
+_UPSERT_SQL = """
 WITH new AS (
   SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice * 1.2 AS o_totalprice, o_orderdate, o_orderpriority
   FROM orders WHERE o_orderstatus = 'P'
@@ -39,7 +43,10 @@ WITH new AS (
   FROM orders WHERE o_orderstatus = 'F')
 SELECT o_orderkey, o_custkey, o_orderstatus, round(o_totalprice, 6) AS o_totalprice, o_orderdate, o_orderpriority
 FROM (SELECT * FROM orders WHERE o_orderkey NOT IN (SELECT o_orderkey FROM new) UNION ALL SELECT * FROM new)
-""")
+"""
+
+
+@register("upsert_by_id", _UPSERT_SQL)
 def upsert_by_id(spark, sf):
     out = W.upsert(t(spark, sf, "orders"), _changed_orders(spark, sf), id_field="o_orderkey", order_field="seq")
     return r6(out)
@@ -277,3 +284,57 @@ def union_pages(spark, sf):
 @register("require_rows", "SELECT * FROM orders WHERE o_orderstatus = 'F'")
 def require_rows(spark, sf):
     return D.require_rows(t(spark, sf, "orders").filter(P.term("o_orderstatus", "F")))
+
+
+# ================================================================ tables that change by buckets
+
+def _table(spark, sf, name, id_field):
+    return BucketedTable.create(t(spark, sf, name), scratch_path(spark, name), id_field, buckets=8)
+
+
+@register("upsert_by_bucket", _UPSERT_SQL)
+def upsert_by_bucket(spark, sf):
+    """The touched buckets are written anew, the others are shared with the
+    version before."""
+    return r6(_table(spark, sf, "orders", "o_orderkey").upsert(_changed_orders(spark, sf), "seq").df)
+
+
+@register("delete_by_bucket", "SELECT * FROM orders WHERE o_orderkey NOT IN (1, 2, 3, 999999999)")
+def delete_by_bucket(spark, sf):
+    return _table(spark, sf, "orders", "o_orderkey").delete([1, 2, 3, 999999999]).df
+
+
+@register("actions_by_bucket", _FOLD_SQL)
+def actions_by_bucket(spark, sf):
+    fields = ["c_name", "c_nationkey", "c_acctbal", "c_mktsegment"]
+    return _table(spark, sf, "customer", "c_custkey").apply(_feed(spark, sf), seq_field="seq", action_field="action", fields=fields).df
+
+
+@register("older_version", "SELECT count(*) AS n, round(sum(o_totalprice), 2) AS total FROM orders")
+def older_version(spark, sf):
+    """A version is read as it was, whatever was written since."""
+    first = _table(spark, sf, "orders", "o_orderkey")
+    later = first.delete(list(range(100))).upsert(_changed_orders(spark, sf), "seq")
+    out = later.at(first.version).df.agg(F.count("*").alias("n"), F.sum("o_totalprice").alias("total"))
+    return out.withColumn("total", F.round("total", 2))
+
+
+@register("pages_joined", """
+WITH o AS (SELECT o_orderkey, CASE WHEN o_orderstatus <> 'P' THEN o_orderpriority END AS priority, count(*) OVER () AS n FROM orders
+           WHERE o_orderkey % 2 = 0)
+SELECT o_orderkey, priority, (row_number() OVER (ORDER BY priority DESC NULLS LAST, o_orderkey) - 1) // greatest(n // 3, 1) AS page FROM o
+""")
+def pages_joined(spark, sf):
+    """Page after page of a sorted query, with ties and NULLs, and a write in
+    between that the pinned version does not see."""
+    o = t(spark, sf, "orders").withColumn("priority", F.when(F.col("o_orderstatus") != "P", F.col("o_orderpriority")))
+    table = BucketedTable.create(o, scratch_path(spark, "orders"), "o_orderkey", buckets=8)
+    req = query(F.col("o_orderkey") % 2 == 0) + (sort_on(("priority", "desc")) + select_fields(["o_orderkey", "priority"]))
+    size = max(o.where(F.col("o_orderkey") % 2 == 0).count() // 3, 1)
+    page = read_page(table, req, size)
+    pages, latest = [page.rows], table.delete([2, 4, 6])
+    while page.cursor:
+        page = read_page(latest, req, size, page.cursor)
+        pages.append(page.rows)
+    numbered = [p.withColumn("page", F.lit(i).cast("long")) for i, p in enumerate(pages)]
+    return D.union_pages(numbered)

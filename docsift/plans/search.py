@@ -117,15 +117,19 @@ def combine(x: Request, y: Request) -> Request:
 
 # ---------------------------------------------------------------- execution
 
-def _sort_col(spec, schema: T.StructType) -> Column:
-    f, order, missing, mode = spec
+def sort_column(spec, schema: T.StructType) -> Column:
+    """What a sort key compares: the field, or of an array the element that
+    decides the order."""
+    f, order, _, mode = spec
     c = as_col(f)
     if mode is None and isinstance(f, str) and isinstance(type_at(schema, f), T.ArrayType):
-        mode = "min" if order == "asc" else "max"  # the element that decides the order
-    if mode == "min":
-        c = F.array_min(c)
-    elif mode == "max":
-        c = F.array_max(c)
+        mode = "min" if order == "asc" else "max"
+    return F.array_min(c) if mode == "min" else F.array_max(c) if mode == "max" else c
+
+
+def _sort_col(spec, schema: T.StructType) -> Column:
+    _, order, missing, _ = spec
+    c = sort_column(spec, schema)
     if missing is None:
         missing = "last"
     if order == "asc":

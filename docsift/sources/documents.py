@@ -4,12 +4,15 @@ flattening nested objects, concatenating pages by field name, schema inference."
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import cut_lineage
+
 
 def load(spark: SparkSession, source, fmt: str = "parquet") -> DataFrame:
     """``source`` may be a DataFrame, a catalog table name or a path."""
@@ -21,11 +24,26 @@ def load(spark: SparkSession, source, fmt: str = "parquet") -> DataFrame:
 
 
 def json_table(df: DataFrame, column: str, schema: T.StructType | str,
-               keep: Sequence[str] = ()) -> DataFrame:
+               keep: Sequence[str] = (), malformed: str = "fail") -> DataFrame:
     """Parse a JSON text column with a declared schema and expand its fields
-    into columns, next to the ``keep`` columns."""
-    parsed = F.from_json(F.col(column), schema)
-    return df.select(*keep, parsed.alias("_doc")).select(*keep, "_doc.*")
+    into columns, next to the ``keep`` columns. A text that is no JSON object,
+    or holds a value of another type than declared, fails the job; with
+    ``malformed="null"`` what cannot be read is NULL. To set such documents
+    aside instead, see :func:`typed_documents`."""
+    if malformed not in ("fail", "null"):
+        raise ValueError(f"malformed must be fail or null, got {malformed!r}")
+    schema = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
+    if malformed == "null":
+        return df.select(*keep, F.from_json(F.col(column), schema).alias("_doc")).select(*keep, "_doc.*")
+    text = F.col(column)
+    whole = T.StructType([*schema.fields, T.StructField("_corrupt_record", T.StringType())])
+    parsed = F.from_json(text, whole, {"columnNameOfCorruptRecord": "_corrupt_record"})
+    none = F.lit(None).cast(schema)
+    # an array would be read as its first object, other values as NULL
+    broken = parsed["_corrupt_record"].isNotNull() | ~F.ltrim(text).startswith("{")
+    fail = F.raise_error(F.concat(F.lit("malformed document: "), F.substring(text, 1, 200))).cast(schema)
+    doc = F.when(text.isNull(), none).when(broken, fail).otherwise(F.struct(*[parsed[f.name].alias(f.name) for f in schema.fields]))
+    return df.select(*keep, doc.alias("_doc")).select(*keep, "_doc.*")
 
 
 def hits_to_table(df: DataFrame, column: str, source_schema: T.StructType | str,
@@ -138,6 +156,70 @@ def infer_json_fields(df: DataFrame, column: str, keep_conflicts: bool = True) -
     return out
 
 
+def _kind_of_value(value: Column) -> Column:
+    """Kind of a JSON value; NULL for null."""
+    seen = F.schema_of_variant(value)
+    number = seen.rlike("^(TINYINT|SMALLINT|INT|BIGINT|FLOAT|DOUBLE|DECIMAL)")
+    return F.when(number, "number").when(seen != "VOID", F.lower(F.regexp_extract(seen, "^[A-Z]+", 0)))
+
+
+@dataclass(frozen=True)
+class TypedDocuments:
+    """``rows``: a column for each field; ``rejected``: the documents that are
+    not among them, as text, with a ``reason``; ``types``: each field's type."""
+    rows: DataFrame
+    rejected: DataFrame
+    types: dict[str, str]
+
+
+def typed_documents(df: DataFrame, column: str, keep: Sequence[str] = ()) -> TypedDocuments:
+    """A typed table from JSON documents whose fields are not known before.
+
+    A field's kind is the one that most documents give it (ties: the first by
+    name); numbers of any width are one kind, and its type is the least one
+    that holds all values of that kind. Every document is either a row or set
+    aside with a reason: ``no document`` (NULL), ``malformed``, ``not an
+    object``, or ``conflict: ...`` with the first field (by name) that is of
+    another kind. So rows and rejected documents add up to the input.
+
+    Two aggregates over the fields, with partial sums in each task; the driver
+    gets the fields' names, kinds and types, as the table's schema needs. The
+    parsed documents are written once to the checkpoint folder."""
+    text = F.col(f"`{column}`").cast("string")
+    kept = [F.col(f"`{c}`") for c in keep]
+    doc = F.try_parse_json(text)
+    parsed = df.select(*kept, text.alias("_text"), doc.isNull().alias("_broken"), F.try_variant_get(doc, "$", "map<string,variant>").alias("_fields"))
+    parsed = cut_lineage(parsed.withColumn("_text", F.col("_text")))
+    plain = F.when(F.col("_text").isNull(), "no document").when(F.col("_broken"), "malformed").when(F.col("_fields").isNull(), "not an object")
+    each = parsed.where(plain.isNull()).select(F.explode("_fields").alias("field", "value")).withColumn("kind", _kind_of_value(F.col("value")))
+    seen = each.groupBy("field", "kind").agg(F.count(F.lit(1)).alias("n"), F.expr("schema_of_variant_agg(value)").alias("type")).collect()
+    best: dict[str, tuple] = {}
+    kinds: dict[str, set] = {}
+    for r in seen:
+        best.setdefault(r["field"], (0, "", "STRING"))
+        if r["kind"] is not None:
+            kinds.setdefault(r["field"], set()).add(r["kind"])
+            best[r["field"]] = min(best[r["field"]], (-r["n"], r["kind"], r["type"]))
+    mixed = {f: best[f][1] for f, k in kinds.items() if len(k) > 1}
+    reason = plain
+    if mixed:
+        own = F.create_map(*[F.lit(x) for pair in sorted(mixed.items()) for x in pair])
+        wrong = F.filter(F.array_sort(F.map_keys("_fields")), lambda f: F.coalesce(
+            _kind_of_value(F.element_at("_fields", f)) != F.element_at(own, f), F.lit(False)))
+        first = F.get(wrong, 0)
+        conflict = F.concat(F.lit("conflict: "), first, F.lit(" is "), _kind_of_value(F.element_at("_fields", first)),
+                            F.lit(", elsewhere "), F.element_at(own, first))
+        reason = plain.when(F.size(wrong) > 0, conflict)
+    parsed = parsed.withColumn("_reason", reason)
+    types = {f: t.replace("OBJECT<", "STRUCT<").replace("VOID", "STRING") for f, (_, _, t) in sorted(best.items())}
+    clash = [n for n in types if [x.lower() for x in [*keep, *types]].count(n.lower()) > 1]
+    if clash:
+        raise ValueError(f"fields that only differ in case, or are kept columns: {sorted(clash)}")
+    values = [F.element_at("_fields", F.lit(f)).cast(t).alias(f) for f, t in types.items()]
+    return TypedDocuments(parsed.where("_reason IS NULL").select(*kept, *values),
+                          parsed.where("_reason IS NOT NULL").select(*kept, F.col("_text").alias("document"), F.col("_reason").alias("reason")), types)
+
+
 def require_rows(df: DataFrame, message: str = "query returned no rows") -> DataFrame:
     """Raise when the result is empty (looks at one row only)."""
     if not df.limit(1).take(1):

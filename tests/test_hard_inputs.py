@@ -214,3 +214,30 @@ def test_several_results_are_planned_when_read(spark):
     assert {n: got[n].count() for n in got} == {"a": 3, "b": 5, "c": 7}
     with pytest.raises(KeyError):
         got["d"]
+
+
+def test_documents_are_rows_or_set_aside(spark):
+    from docsift.sources.documents import typed_documents
+    texts = [None, "", "{", "3", "[1]", "null", '{"a":1,"b":{"x":1}}', '{"a":2.5,"b":{"x":2,"y":"z"}}', '{"a":"t"}', '{"a":null,"c":[1,2]}', '{"b":7,"c":["u"]}', "{}"]
+    df = spark.createDataFrame(list(enumerate(texts)), "n int, doc string")
+    got = typed_documents(df, "doc", ["n"])
+    why = {r.n: r.reason for r in got.rejected.collect()}
+    assert why == {0: "no document", 1: "malformed", 2: "malformed", 3: "not an object", 4: "not an object", 5: "not an object",
+                   8: "conflict: a is string, elsewhere number", 10: "conflict: b is number, elsewhere object"}
+    rows = {r.n: (float(r.a) if r.a is not None else None, r.b and r.b.x) for r in got.rows.collect()}
+    assert rows == {6: (1.0, 1), 7: (2.5, 2), 9: (None, None), 11: (None, None)} and list(got.types) == ["a", "b", "c"]
+    assert [r.document for r in got.rejected.where("n = 2").collect()] == ["{"]
+    none = typed_documents(df.limit(0), "doc")
+    assert none.rows.count() == none.rejected.count() == 0 and none.types == {}
+    with pytest.raises(ValueError, match="case"):
+        typed_documents(spark.createDataFrame([('{"a":1,"A":2}',)], "doc string"), "doc")
+
+
+@pytest.mark.parametrize("text", ['{"k":', '{"k":"x"}', "[1]", "7", '[{"k":1}]'])
+def test_a_table_of_json_refuses_what_it_cannot_read(spark, text):
+    from docsift.sources.documents import json_table
+    df = spark.createDataFrame([('{"k":1}',), (text,), (None,)], "doc string")
+    with pytest.raises(Exception, match="malformed document"):
+        json_table(df, "doc", "k int").collect()
+    assert [r.k for r in json_table(df, "doc", "k int", malformed="null").collect()][0] == 1
+    assert [r.k for r in json_table(df.where("doc IS NULL OR doc = '{\"k\":1}'"), "doc", "k int").collect()] == [1, None]
