@@ -21,8 +21,8 @@ from ..functions.common import as_col, null_safe
 from ..functions.predicates import on
 from ..functions.text import distinct_tokens
 from ..session import cut_lineage
-from .metrics import Metric, aggregate, bind
-from .ordered import top_n_per_group
+from .metrics import Metric, aggregate, bind, sum_, value_count
+from .ordered import join_on_keys, top_n_per_group
 
 
 def _order_cols(order, key_cols: Sequence[str]) -> list[Column]:
@@ -65,6 +65,10 @@ class BucketAgg:
     def finish(self, out: DataFrame) -> DataFrame:
         raise NotImplementedError
 
+    def shown_key(self, c: Column) -> Column:
+        """The bucket's key from :meth:`one_key`'s value."""
+        return c
+
 
 #: Key column while metrics are computed: a document field may be called "key".
 _KEY = "_bucket_key"
@@ -212,6 +216,9 @@ class histogram(BucketAgg):  # noqa: N801
     def one_key(self, df: DataFrame) -> Column | None:
         return None if _values(df, self.field) is not None else self._index(as_col(self.field))
 
+    def shown_key(self, c: Column) -> Column:
+        return c.cast("double") * F.lit(float(self.interval)) + F.lit(float(self.offset))
+
     def _numbered(self, df: DataFrame, name: str) -> DataFrame:
         values = _values(df, self.field)
         if values is not None:
@@ -342,6 +349,9 @@ class date_histogram(BucketAgg):  # noqa: N801
     def one_key(self, df: DataFrame) -> Column | None:
         return None if _values(df, self.field) is not None else self.to_index(as_col(self.field))
 
+    def shown_key(self, c: Column) -> Column:
+        return self.from_index(c)
+
     def _numbered(self, df: DataFrame, name: str) -> DataFrame:
         values = _values(df, self.field)
         if values is not None:
@@ -610,15 +620,40 @@ class nested_terms(BucketAgg):
     """Buckets over the elements of a nested collection stored as its own
     (child) table: doc_count counts elements, ``parent_count`` counts distinct
     parents (``reverse_nested``). ``run`` takes the child table, already
-    restricted to the parents of interest by the caller (e.g. a semi join)."""
+    restricted to the parents of interest by the caller (e.g. a semi join).
+
+    ``parent_metrics`` are metrics of the parents of a bucket's elements, each
+    parent counted once per bucket, however many of its elements are in it.
+    Their fields come from the table ``parents`` by ``parent_key``, or stand in
+    the child rows (the same in all rows of a parent). Two steps: one row for
+    each (bucket, parent), then the aggregate; a hot bucket is many parents,
+    so it is spread in the first and pre-combined in the second."""
     field: object
     parent_key: str
     size: int | None = None
     metrics: Mapping[str, Metric] = field(default_factory=dict)
+    parent_metrics: Mapping[str, Metric] = field(default_factory=dict)
+    parents: DataFrame | None = None
+
+    def _of_parents(self, keyed: DataFrame) -> DataFrame:
+        """Bucket, element count, parent count and the parents' metrics."""
+        fields = [] if self.parents is not None else [c for c in keyed.columns if c not in (_KEY, self.parent_key)]
+        used = [c for c in fields if c in {getattr(m, "field", None) for m in self.parent_metrics.values()}
+                | {getattr(m, a, None) for m in self.parent_metrics.values() for a in ("value", "weight")}]
+        once = keyed.groupBy(_KEY, self.parent_key).agg(F.count(F.lit(1)).alias("_elements"), *[F.first(c).alias(c) for c in used])
+        if self.parents is not None:
+            once = once.join(self.parents.dropDuplicates([self.parent_key]), self.parent_key, "left")
+        own = {"_elements": sum_("_elements"), "parent_count": value_count(self.parent_key), **self.parent_metrics}
+        return aggregate(once, [_KEY], own, doc_count=None).withColumnRenamed("_elements", "doc_count")
 
     def run(self, child: DataFrame) -> DataFrame:
         keyed = child.withColumn(_KEY, as_col(self.field)).filter(F.col(_KEY).isNotNull())
         m = dict(self.metrics)
+        if self.parent_metrics:
+            out = self._of_parents(keyed)
+            if m:
+                out = join_on_keys(out, aggregate(keyed, [_KEY], m, doc_count=None), [_KEY])
+            return _finish(out.withColumnRenamed(_KEY, "key"), (("_count", "desc"),), ["key"], self.size)
         from .metrics import cardinality
         m["parent_count"] = cardinality(self.parent_key)
         out = aggregate(keyed, [_KEY], m).withColumnRenamed(_KEY, "key")
@@ -626,11 +661,14 @@ class nested_terms(BucketAgg):
 
 
 def nested_array_terms(df: DataFrame, array_field: str, element_field: str, parent_key: str,
-                       size: int | None = None) -> DataFrame:
+                       size: int | None = None, metrics: Mapping[str, Metric] | None = None,
+                       parent_metrics: Mapping[str, Metric] | None = None) -> DataFrame:
     """Same as :class:`nested_terms` when the elements are an array-of-struct
-    column of the parent: explode, then bucket."""
+    column of the parent: explode, then bucket. Parents' fields are those of
+    ``df``."""
     child = df.select(parent_key, F.explode(array_field).alias("_e")).select(parent_key, "_e.*")
-    return nested_terms(element_field, parent_key, size).run(child)
+    parents = df.drop(array_field) if parent_metrics else None
+    return nested_terms(element_field, parent_key, size, metrics or {}, parent_metrics or {}, parents).run(child)
 
 
 @dataclass
@@ -684,11 +722,50 @@ class tree(BucketAgg):
     ``<name>``, ``<name>_doc_count`` and its metrics ``<name>_<metric>``.
     ``size`` keeps the largest buckets of each parent (ties by key).
 
-    Each level is one aggregate over the rows keyed so far, so a document that
+    Where a document lies in one bucket of each level at most, and the metrics
+    can be put together (counts, sums, smallest and largest values, means),
+    the rows are aggregated once, by the keys of all levels; each parent is
+    made of its children in that reduced table, which is checkpointed. Else
+    each level is one aggregate over the rows keyed so far, so a document that
     lies in several buckets of a lower level counts once in the upper one."""
     levels: Sequence
 
+    def _rolled_up(self, df: DataFrame) -> DataFrame | None:
+        """All levels from one scan, or None."""
+        specs = [(level[0], level[1], (*level, None)[2]) for level in self.levels]
+        keys, parts = [spec.one_key(df) for _, spec, _ in specs], {}
+        for name, spec, _ in specs:
+            for n, m in spec.metrics.items():
+                parts[name, n] = bind(df, m).partials(f"{name}_{n}")
+        if len(specs) < 2 or any(k is None for k in keys) or any(p is None for p in parts.values()):
+            return None
+        hidden = [f"{_KEY}_{i}" for i in range(len(specs))]
+        rows = df.withColumns(dict(zip(hidden, keys))).filter(F.col(hidden[0]).isNotNull())
+        every = [p for own in parts.values() for p in own]
+        # a row without a bucket of a lower level still counts in the upper ones
+        leaf = cut_lineage(rows.groupBy(*hidden).agg(F.count(F.lit(1)).alias("_n"), *[e.alias(c) for c, e, _ in every]))
+        out = None
+        for i, (name, spec, size) in enumerate(specs):
+            path = hidden[: i + 1]
+            own = [p for (level, _), p in parts.items() if level == name for p in p]
+            got = leaf.filter(F.col(path[-1]).isNotNull()) if i == 0 else leaf.filter(" AND ".join(f"{p} IS NOT NULL" for p in path))
+            got = got.groupBy(*path).agg(F.sum("_n").alias(f"{name}_doc_count"), *[add(c).alias(c) for c, _, add in own])
+            metrics = [c for n, m in spec.metrics.items() for c in bind(df, m).merged(f"{name}_{n}")]
+            got = got.select(*path, f"{name}_doc_count", *metrics)
+            least = getattr(spec, "min_doc_count", 1)
+            if least > 1:
+                got = got.filter(F.col(f"{name}_doc_count") >= least)
+            if size is not None:
+                got = top_n_per_group(got, path[:-1], [F.col(f"{name}_doc_count").desc(), F.col(path[-1]).asc()], size)
+            out = got if out is None else out.join(got, path[:-1])
+        shown = [spec.shown_key(F.col(h)).alias(name) for h, (name, spec, _) in zip(hidden, specs)]
+        out = out.select(*shown, *[c for c in out.columns if c not in hidden])
+        return out.orderBy(*[F.col(name) for name, _, _ in specs])
+
     def run(self, df: DataFrame) -> DataFrame:
+        rolled = self._rolled_up(df)
+        if rolled is not None:
+            return rolled
         names, out = [], None
         hidden = {level[0]: f"{_KEY}_{i}" for i, level in enumerate(self.levels)}
         for level in self.levels:

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from ..functions.common import as_col
 from ..functions.predicates import on
-from .ordered import join_on_keys
+from .ordered import join_on_keys, top_n_per_group
 from .quantiles import check_fractions, exact_quantiles, value_counts
 
 
@@ -45,6 +45,16 @@ class Metric:
 
     special = False
 
+    def partials(self, name: str) -> list[tuple[str, Column, object]] | None:
+        """Parts that parents can be made of (:meth:`merged`) from their
+        children's: name, aggregate expression, and the function that adds
+        parts up. None if the metric cannot be put together."""
+        return None
+
+    def merged(self, name: str) -> list[Column]:
+        """The metric from its parts."""
+        raise NotImplementedError
+
     def main_exprs(self, name: str) -> list[Column]:
         """Expressions of a special metric that fit the main aggregate."""
         return []
@@ -57,6 +67,17 @@ class Metric:
         return replace(self, field=F.when(cond, as_col(self.field)))
 
 
+def _parts(name: str, c: Column) -> dict[str, tuple]:
+    return {"count": (f"_{name}_count", F.count(c), F.sum), "sum": (f"_{name}_sum", F.sum(c), F.sum),
+            "min": (f"_{name}_min", F.min(c), F.min), "max": (f"_{name}_max", F.max(c), F.max)}
+
+
+def _from_parts(name: str, part: str) -> Column:
+    if part == "avg":
+        return F.try_divide(F.col(f"_{name}_sum"), F.col(f"_{name}_count")).cast("double")
+    return F.col(f"_{name}_{part}")
+
+
 @dataclass
 class _Simple(Metric):
     fn: str
@@ -67,6 +88,13 @@ class _Simple(Metric):
         f = {"avg": F.avg, "sum": F.sum, "min": F.min, "max": F.max, "value_count": F.count}[self.fn]
         return [f(c).alias(name)]
 
+    def partials(self, name):
+        every = _parts(name, as_col(self.field))
+        return [every[p] for p in {"avg": ("sum", "count"), "value_count": ("count",)}.get(self.fn, (self.fn,))]
+
+    def merged(self, name):
+        return [_from_parts(name, "count" if self.fn == "value_count" else self.fn).alias(name)]
+
 
 def avg(field) -> Metric:
     return _Simple("avg", field)
@@ -118,6 +146,12 @@ class stats(Metric):  # noqa: N801
     def output(self, name):
         return [f"{name}_{p}" for p in ("count", "min", "max", "avg", "sum")]
 
+    def partials(self, name):
+        return list(_parts(name, as_col(self.field)).values())
+
+    def merged(self, name):
+        return [_from_parts(name, p).alias(f"{name}_{p}") for p in ("count", "min", "max", "avg", "sum")]
+
 
 @dataclass
 class extended_stats(Metric):  # noqa: N801
@@ -300,6 +334,33 @@ def bind(df: DataFrame, metric: Metric) -> Metric:
 
 # --- metrics that need a second aggregate over the same keys ---------------
 
+@dataclass
+class top_hits(Metric):  # noqa: N801
+    """The best ``n`` rows as an array of objects, best first, in any bucket
+    and at any level of a tree. ``order``: (field, ``asc`` or ``desc``) keys,
+    missing values last; rows that tie on all of them are taken by a hash of
+    the row. ``fields``: what is kept of a row (default: all). Rows of a hot
+    bucket are ranked by many tasks, each keeps ``n`` (:func:`top_n_per_group`),
+    so an array is made of ``n`` rows, never of a bucket's."""
+    n: int
+    order: Sequence
+    fields: Sequence[str] | None = None
+    special = True
+
+    def compute(self, df: DataFrame, keys: list[str], name: str) -> DataFrame:
+        shown = [f.name for f in df.schema.fields if f.name not in keys and not f.name.startswith("_bucket_key")]
+        kept = [F.col(f"`{c}`") for c in (self.fields or shown)]
+        by = [as_col(f).alias(f"_by{i}") for i, (f, _) in enumerate(self.order)]
+        row = F.struct(*kept).alias("_row")
+        rows = df.select(*[F.col(f"`{k}`") for k in keys], *by, row, F.xxhash64(F.to_json(F.struct(row))).alias("_tie"))
+        order = [F.col(f"_by{i}").desc_nulls_last() if o == "desc" else F.col(f"_by{i}").asc_nulls_last()
+                 for i, (_, o) in enumerate(self.order)]
+        best = top_n_per_group(rows, keys, [*order, F.col("_tie")], self.n, rank="_rank")
+        # n rows at most; compared by rank alone, as a row may hold maps
+        listed = F.array_sort(F.collect_list(F.struct("_rank", "_row")), lambda a, b: a["_rank"] - b["_rank"])
+        return best.groupBy(*keys).agg(F.transform(listed, lambda x: x["_row"]).alias(name))
+
+
 @dataclass
 class median_absolute_deviation(Metric):  # noqa: N801
     """median(|x - median(x)|) per group (exact; ``approx=True`` for sketches).

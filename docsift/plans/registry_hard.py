@@ -806,3 +806,59 @@ def json_typed(spark, sf):
     """Typed columns of the documents that agree: whole numbers and fractions are one kind."""
     out = _broken_documents(spark, sf)
     return out.rows.select("event_id", F.col("k").cast("double").alias("k"), "tag")
+
+
+# ================================================================ parents, best rows, levels
+
+@register("b_reverse_nested_metrics", """
+WITH e AS (SELECT DISTINCT l_returnflag AS key, l_orderkey FROM lineitem),
+p AS (SELECT key, count(*) AS parent_count, round(sum(o_totalprice), 2) AS total, round(max(o_totalprice), 6) AS top
+      FROM e JOIN orders ON l_orderkey = o_orderkey GROUP BY 1),
+d AS (SELECT l_returnflag AS key, count(*) AS doc_count, round(avg(l_quantity), 6) AS mean FROM lineitem GROUP BY 1)
+SELECT * FROM d JOIN p USING (key)
+""")
+def b_reverse_nested_metrics(spark, sf):
+    """Orders under the buckets of their lines, each once per bucket."""
+    lines = t(spark, sf, "lineitem").withColumnRenamed("l_orderkey", "o_orderkey").join(t(spark, sf, "orders").select("o_orderkey"), "o_orderkey", "left_semi")
+    spec = B.nested_terms("l_returnflag", "o_orderkey", metrics={"mean": M.avg("l_quantity")},
+                          parent_metrics={"total": M.sum_("o_totalprice"), "top": M.max_("o_totalprice")}, parents=t(spark, sf, "orders"))
+    out = spec.run(lines)
+    return r6(out.withColumn("total", F.round("total", 2)))
+
+
+@register("b_top_hits_in_tree", """
+WITH x AS (SELECT event_type AS type, date_trunc('week', ts)::TIMESTAMP AS week, event_id, value FROM events),
+a AS (SELECT type, count(*) AS type_doc_count FROM x GROUP BY 1),
+b AS (SELECT type, week, count(*) AS week_doc_count FROM x GROUP BY 1, 2),
+r AS (SELECT *, row_number() OVER (PARTITION BY type, week ORDER BY value DESC, event_id) AS place FROM x)
+SELECT r.type, type_doc_count, r.week, week_doc_count, place, event_id, value
+FROM r JOIN a USING (type) JOIN b ON r.type = b.type AND r.week = b.week WHERE place <= 2
+""")
+def b_top_hits_in_tree(spark, sf):
+    """Best rows as a metric of a level inside another."""
+    hits = M.top_hits(2, [("value", "desc"), ("event_id", "asc")], ["event_id", "value"])
+    spec = B.tree([("type", B.terms("event_type")), ("week", B.date_histogram("ts", calendar_interval="week", metrics={"best": hits}))])
+    out = execute(t(spark, sf, "events"), aggs(x=spec))
+    return out.select("type", "type_doc_count", "week", "week_doc_count", F.posexplode("week_best").alias("place", "hit")).select(
+        "type", "type_doc_count", "week", "week_doc_count", (F.col("place") + 1).cast("bigint").alias("place"), "hit.event_id", "hit.value")
+
+
+@register("b_levels_rolled_up", """
+WITH x AS (SELECT l_returnflag AS flag, CASE WHEN l_quantity <> 7 THEN floor(l_quantity / 10)::DOUBLE * 10 END AS band, date_trunc('year', l_shipdate)::TIMESTAMP AS year,
+                  l_extendedprice AS p, l_discount AS d FROM lineitem),
+a AS (SELECT flag, count(*) AS flag_doc_count, round(avg(p), 6) AS flag_mean, max(d) AS flag_top FROM x GROUP BY 1),
+g AS (SELECT flag, band, count(*) AS band_doc_count, count(p) AS band_p_count, min(p) AS band_p_min, max(p) AS band_p_max,
+             round(avg(p), 6) AS band_p_avg, round(sum(p), 2) AS band_p_sum FROM x WHERE band IS NOT NULL GROUP BY flag, band),
+b AS (SELECT * FROM g QUALIFY row_number() OVER (PARTITION BY flag ORDER BY band_doc_count DESC, band) <= 3),
+c AS (SELECT flag, band, year, count(*) AS year_doc_count, round(sum(d), 6) AS year_d FROM x WHERE band IS NOT NULL GROUP BY 1, 2, 3)
+SELECT * FROM c JOIN b USING (flag, band) JOIN a USING (flag)
+""")
+def b_levels_rolled_up(spark, sf):
+    """Three levels with metrics from one scan; a row in no lower bucket
+    still counts in the upper one."""
+    df = t(spark, sf, "lineitem").withColumn("qty", F.when(F.col("l_quantity") != 7, F.col("l_quantity")))
+    spec = B.tree([("flag", B.terms("l_returnflag", metrics={"mean": M.avg("l_extendedprice"), "top": M.max_("l_discount")})),
+                   ("band", B.histogram("qty", 10, metrics={"p": M.stats("l_extendedprice")}), 3),
+                   ("year", B.date_histogram("l_shipdate", calendar_interval="year", metrics={"d": M.sum_("l_discount")}))])
+    out = r6(execute(df, aggs(x=spec)))
+    return out.withColumn("band_p_sum", F.round("band_p_sum", 2))

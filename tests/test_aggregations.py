@@ -183,3 +183,70 @@ def test_nested_array_terms_equal_child_table(spark):
     want = {(r.flag, r.n, r.p) for r in child.groupBy("flag").agg(F.count("*").alias("n"),
                                                                   F.countDistinct("oid").alias("p")).collect()}
     assert a == b == want
+
+
+def test_levels_are_made_of_one_scan(spark):
+    rows = [(i, f"a{i % 3}" if i % 7 else None, None if i % 5 == 0 else i % 4, float(i) if i % 6 else None) for i in range(200)]
+    df = spark.createDataFrame(rows, "id int, a string, b int, v double")
+    spec = lambda extra: B.tree([
+        ("a", B.terms("a", metrics={"m": M.avg("v"), "n": M.value_count("v")})),
+        ("b", B.histogram("b", 2, metrics={"s": M.stats("v"), **extra}), 1)])
+    assert spec({})._rolled_up(df) is not None and spec({"p": M.percentiles("v", [50])})._rolled_up(df) is None
+    one = {(r.a, r.b): r for r in spec({}).run(df).collect()}
+    many = {(r.a, r.b): r for r in spec({"p": M.percentiles("v", [50])}).run(df).drop("b_p_p50").collect()}
+    assert one.keys() == many.keys() and len(one) == 3
+    for k, r in one.items():
+        for c in r.asDict():
+            assert r[c] == many[k][c] or abs(r[c] - many[k][c]) < 1e-9, (k, c)
+    # rows without a bucket of the lower level count in the upper one
+    assert {r.a: r.a_doc_count for r in one.values()} == {f"a{j}": sum(1 for x in rows if x[1] == f"a{j}") for j in range(3)}
+    assert spec({}).run(df.limit(0)).count() == 0
+
+
+def test_levels_with_several_values_count_documents_once(spark):
+    df = spark.createDataFrame([(1, ["x", "y"], 3), (2, ["x"], 4), (3, [], 5)], "id int, tags array<string>, v int")
+    spec = B.tree([("tag", B.terms("tags", metrics={"s": M.sum_("v")})), ("v", B.terms("v"))])
+    assert spec._rolled_up(df) is None
+    got = {(r.tag, r.v): (r.tag_doc_count, r.tag_s, r.v_doc_count) for r in spec.run(df).collect()}
+    assert got == {("x", 3): (2, 7, 1), ("x", 4): (2, 7, 1), ("y", 3): (1, 3, 1)}
+
+
+def test_best_rows_of_a_hot_bucket(spark):
+    df = spark.range(3000).selectExpr("id", "if(id % 10 = 0, 'cold', 'hot') AS k", "if(id % 4 = 0, NULL, id % 100) AS v")
+    spec = B.terms("k", metrics={"best": M.top_hits(3, [("v", "desc"), ("id", "asc")], ["id"]), "n": M.value_count("v")})
+    got = {r.key: [x.id for x in r.best] for r in spec.run(df).collect()}
+    rows = [(i, "cold" if i % 10 == 0 else "hot", None if i % 4 == 0 else i % 100) for i in range(3000)]
+    want = {k: [i for i, _, _ in sorted((r for r in rows if r[1] == k), key=lambda r: (r[2] is None, -(r[2] or 0), r[0]))[:3]] for k in ("hot", "cold")}
+    assert got == want
+    whole = B.terms("k", metrics={"best": M.top_hits(1, [("v", "asc"), ("id", "asc")])}).run(df).first().best
+    assert len(whole) == 1 and set(whole[0].asDict()) == {"id", "k", "v"}
+    top = M.aggregate(df, [], {"best": M.top_hits(2, [("id", "desc")], ["id"])}, doc_count=None).first().best
+    assert [x.id for x in top] == [2999, 2998]
+
+
+def test_parents_count_once_in_a_bucket(spark):
+    child = spark.createDataFrame([(1, "a"), (1, "a"), (1, "b"), (2, "a"), (None, "a"), (9, "c"), (3, None)], "pid int, k string")
+    parents = spark.createDataFrame([(1, 10.0), (2, 5.0), (2, 5.0), (4, 99.0)], "pid int, v double")
+    spec = B.nested_terms("k", "pid", metrics={"n": M.value_count("pid")}, parent_metrics={"s": M.sum_("v"), "m": M.avg("v")}, parents=parents)
+    got = {r.key: (r.doc_count, r.parent_count, r.s, r.m, r.n) for r in spec.run(child).collect()}
+    assert got == {"a": (4, 2, 15.0, 7.5, 3), "b": (1, 1, 10.0, 10.0, 1), "c": (1, 1, None, None, 1)}
+    inside = child.where("pid is not null").join(parents.dropDuplicates(), "pid", "left")
+    got = {r.key: r.s for r in B.nested_terms("k", "pid", parent_metrics={"s": M.sum_("v")}).run(inside).collect()}
+    assert got == {"a": 15.0, "b": 10.0, "c": None}
+
+
+def test_masks_equal_pairs_of_conditions(spark):
+    df = spark.range(400).selectExpr("id", "if(id % 11 = 0, NULL, id % 30) AS v")
+    named = {f"f{i}": (lambda p, i=i: p.range_("v", gte=i, lt=i + 7)) for i in range(25)}
+    got = {r.key: r.doc_count for r in B.adjacency_matrix(named).run(df).collect()}
+    want = {}
+    for i in range(400):
+        v = None if i % 11 == 0 else i % 30
+        hit = sorted(n for n, k in ((f"f{j}", j) for j in range(25)) if v is not None and k <= v < k + 7)
+        for a in range(len(hit)):
+            want[hit[a]] = want.get(hit[a], 0) + 1
+            for b in hit[a + 1:]:
+                want[f"{hit[a]}&{b}"] = want.get(f"{hit[a]}&{b}", 0) + 1
+    assert got == want
+    plan = B.adjacency_matrix(named).run(df)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Generate") < plan.rindex("Aggregate")  # masks are counted before they are turned into pairs
