@@ -39,7 +39,7 @@ from .common import bounded, runs, table_of
 
 SCALE, ALPHA = 1_000_000_000, 2
 #: Rows (term, group) of a part, groups of a block, columns and cells of a matrix.
-PART_ROWS, GROUPS, COLUMNS, CELLS = 200_000, 128, 512, 1 << 23
+PART_ROWS, GROUPS, COLUMNS, CELLS = 32_768, 128, 512, 1 << 23
 
 
 # ------------------------------------------------------------ counts
