@@ -9,7 +9,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from docsift.llm import langid, mixing, ngram_join, packing, quality, queries
+from test_texts import _power_of_two, _quality
+
+from docsift.llm import langid, mixing, ngram_join, packing, queries
 from docsift.llm.tokens import Encoder
 
 SF = "/root/testdata/sf0.001"
@@ -365,8 +367,9 @@ def test_pipeline_stages(spark, pipeline, tmp_path):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     trusted = spark.read.parquet(f"{SF}/labels.parquet").where("quality = 1")
     key = lambda r: (r.doc_id, r.text, r.lang, r.source, r.n_chars)
+    path = None
     for i, (name, stage) in enumerate(pipeline.STAGES):
-        path = str(tmp_path / name)
+        source, path = path, str(tmp_path / name)
         stage(spark, docs, SF).write.parquet(path)
         out = spark.read.parquet(path)
         before, after = docs.collect(), out.collect()
@@ -377,7 +380,9 @@ def test_pipeline_stages(spark, pipeline, tmp_path):
             want = [r for r in before if _speaks(model, r.text)]
             assert Counter(map(key, after)) == Counter(map(key, want))
         elif name == "quality_rules":
-            verdict = {r.doc_id: r["quality"].kept for r in quality.score(docs, quality.fit(docs, trusted)).collect()}
+            good = {r.doc_id for r in trusted.collect()}
+            buckets = _power_of_two(r.text for r in before if r.doc_id in good and r.text is not None)
+            verdict = {w[0]: w[7] for w in _quality([(r.doc_id, r.text) for r in before], good, buckets)}
             assert Counter(map(key, after)) == Counter(key(r) for r in before if verdict[r.doc_id]) and len(after) < len(before)
         elif name == "near_duplicates":
             rows = sorted((r.doc_id, r.text) for r in before)
@@ -387,7 +392,10 @@ def test_pipeline_stages(spark, pipeline, tmp_path):
                 first.setdefault(r, d)
             assert sorted(r.doc_id for r in after) == sorted(first.values()) and len(after) < len(before)
         elif name == "mix_sources":
-            copies = {r.doc_id: r["mix"].copies for r in mixing.sample(docs).collect()}
+            con = duckdb.connect()
+            con.sql(f"CREATE VIEW documents AS SELECT * FROM '{source}/*.parquet'")
+            taken = con.sql(queries.SQL["op9_pareto_mixing"]).fetchall()
+            copies = {r[0]: r[4] // r[1] if r[1] else 0 for r in taken}
             want = Counter()
             for r in before:
                 want[key(r)] += copies[r.doc_id]
