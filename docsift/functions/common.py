@@ -12,8 +12,3 @@ def as_col(c) -> Column:
 def null_safe(cond: Column) -> Column:
     """A missing field never matches: NULL becomes FALSE."""
     return F.coalesce(cond, F.lit(False))
-
-
-def let(value: Column, body) -> Column:
-    """``body`` of ``value``, which is computed once per row."""
-    return F.element_at(F.transform(F.array(value), body), 1)

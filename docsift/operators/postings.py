@@ -28,16 +28,19 @@ from __future__ import annotations
 
 import math
 import zlib
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.common import let
 from ..functions.text import analyze, tokens
+from ..session import ship_package
 from .text import BM25_B, BM25_K1
 from .write import apply_actions
 
@@ -47,24 +50,110 @@ NAMED_SLICES = 1000
 FAN = 64
 
 
-def _entries(docs: DataFrame) -> DataFrame:
-    """``id, length, term, places`` of ``id, text`` rows: one row for each
-    document and distinct token. Tokens are sorted with their places inside
-    the row, so nothing but the result is shuffled."""
-    pairs = let(tokens("text"), lambda t: F.array_sort(F.transform(t, lambda w, i: F.struct(w.alias("t"), i.alias("i")))))
-
-    def grouped(s: Column) -> Column:
-        n = F.size(s)
-        first = lambda i: (i == 0) | (F.get(s, i)["t"] != F.get(s, i - 1)["t"])
-        starts = F.when(n > 0, F.filter(F.sequence(F.lit(0), n - 1), first)).otherwise(F.array().cast("array<int>"))
-
-        def entry(a: Column, k: Column, at: Column) -> Column:
-            end = F.coalesce(F.get(at, k + 1), n)
-            return F.struct(F.get(s, a)["t"].alias("term"), F.transform(F.slice(s, a + 1, end - a), lambda x: x["i"]).alias("places"))
-        return let(starts, lambda at: F.transform(at, lambda a, k: entry(a, k, at)))
-
-    held = docs.select("id", pairs.alias("s")).select("id", F.size("s").alias("length"), let(F.col("s"), grouped).alias("e"))
-    return held.select("id", "length", F.inline("e"))
+def _lists(values: pa.Array, ends: np.ndarray) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]), pa.int32()), values)
+
+
+def _spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Places ``start, start + 1, ...`` of runs, one run after the other."""
+    return np.arange(int(sizes.sum())) + np.repeat(starts - (np.cumsum(sizes) - sizes), sizes)
+
+
+def pack(batch: pa.RecordBatch, buckets: int) -> pa.RecordBatch:
+    """Postings of a batch of ``id, slice, tokens`` rows, a row for each
+    (bucket, deal): its terms, how many entries each has, and the entries one
+    after the other."""
+    lists = batch.column("tokens")
+    length = pc.fill_null(pc.list_value_length(lists), 0).to_numpy().astype(np.int64)
+    coded = lists.flatten().dictionary_encode()
+    words, code = coded.dictionary, coded.indices.to_numpy().astype(np.int64)
+    doc = np.repeat(np.arange(len(length)), length)
+    place = _spread(np.zeros(len(length), np.int64), length)
+    slice_ = batch.column("slice").to_numpy()
+    bucket = np.asarray([zlib.crc32(w.encode()) % buckets for w in words.to_pylist()], np.int64)
+    group = bucket[code] * FAN + slice_[doc] % FAN
+    order = np.lexsort((doc, code, group))  # stable: places stay in order
+    key = np.stack([group[order], code[order], doc[order]])
+    first = np.flatnonzero(np.r_[True, (np.diff(key, axis=1) != 0).any(0)]) if len(order) else np.zeros(0, np.int64)
+    tf = np.diff(np.r_[first, len(order)])
+    group, code, doc = key[:, first]
+    run = np.flatnonzero(np.r_[True, (np.diff(group) != 0) | (np.diff(code) != 0)]) if len(first) else first
+    head = np.flatnonzero(np.r_[True, np.diff(group) != 0]) if len(first) else first
+    ends = np.r_[head[1:], len(first)][: len(head)]
+    ints = lambda x: pa.array(x.astype(np.int32))
+    runs_end = np.searchsorted(run, ends)
+    columns = {
+        "bucket": ints(group[head] // FAN), "deal": ints(group[head] % FAN),
+        "terms": _lists(words.take(pa.array(code[run])).cast(pa.string()), runs_end),
+        "counts": _lists(ints(np.diff(np.r_[run, len(first)])), runs_end),
+        "ids": _lists(batch.column("id").take(pa.array(doc)), ends), "slices": _lists(ints(slice_[doc]), ends),
+        "tfs": _lists(ints(tf), ends), "lengths": _lists(ints(length[doc]), ends),
+        "places": _lists(ints(place[order]), np.r_[first[ends[:-1]], len(order)] if len(head) else ends)}
+    return pa.record_batch(list(columns.values()), list(columns))
+
+
+def merge(rows: pa.Table) -> pa.RecordBatch:
+    """The blocks of one (bucket, deal) from its packed rows."""
+    flat = {c: pa.concat_arrays([x.flatten() for x in rows[c].chunks]) for c in ("terms", "counts", "ids", "slices", "tfs", "lengths", "places")}
+    counts, tf = flat["counts"].to_numpy(), flat["tfs"].to_numpy().astype(np.int64)
+    coded = flat["terms"].dictionary_encode()
+    by_name = pc.sort_indices(coded.dictionary).to_numpy()
+    rank = np.empty(len(by_name), np.int64)
+    rank[by_name] = np.arange(len(by_name))
+    term = np.repeat(rank[coded.indices.to_numpy()], counts)
+    keys = pa.table({"t": term, "s": flat["slices"], "i": flat["ids"]})
+    order = pc.sort_indices(keys, [("t", "ascending"), ("s", "ascending"), ("i", "ascending")]).to_numpy()
+    term, slice_ = term[order], flat["slices"].to_numpy()[order]
+    start = np.flatnonzero(np.r_[True, (np.diff(term) != 0) | (np.diff(slice_) != 0)])
+    ends = np.r_[start[1:], len(order)]
+    at = (np.cumsum(tf) - tf)[order]
+    tf = tf[order]
+    length = flat["lengths"].to_numpy()[order]
+    places = flat["places"].take(pa.array(_spread(at, tf)))
+    ints = lambda x: pa.array(x.astype(np.int32))
+    columns = {
+        "bucket": pa.array([rows["bucket"][0].as_py()] * len(start), pa.int32()),
+        "term": coded.dictionary.take(pa.array(by_name[term[start]])), "slice": ints(slice_[start]), "n": ints(ends - start),
+        "top_tf": ints(np.maximum.reduceat(tf, start)), "least_length": ints(np.minimum.reduceat(length, start)),
+        "ids": _lists(flat["ids"].take(pa.array(order)), ends), "tfs": _lists(ints(tf), ends), "lengths": _lists(ints(length), ends),
+        "places": _lists(_lists(places, np.cumsum(tf)), ends)}
+    return pa.record_batch(list(columns.values()), list(columns))
+
+
+def _blocks(docs: DataFrame, buckets: int, slices: int) -> DataFrame:
+    """The blocks of ``id, text`` rows. Texts are split by the same expression
+    as everywhere; tasks then sort Arrow batches of tokens, and what is
+    shuffled is packed by (bucket, deal)."""
+    kind = docs.schema["id"].dataType.simpleString()
+
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                yield pack(batch, buckets)
+
+    def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, now = [], None
+        for batch in batches:  # sorted by bucket and deal
+            at = np.stack([batch.column(c).to_numpy() for c in ("bucket", "deal")], 1) if batch.num_rows else np.zeros((0, 2))
+            cuts = np.r_[0, np.flatnonzero((np.diff(at, axis=0) != 0).any(1)) + 1, len(at)]
+            for lo, hi in zip(cuts[:-1], cuts[1:]):
+                if lo == hi:
+                    continue
+                if held and tuple(at[lo]) != now:
+                    yield merge(pa.Table.from_batches(held))
+                    held = []
+                now = tuple(at[lo])
+                held.append(batch.slice(lo, hi - lo))
+        if held:
+            yield merge(pa.Table.from_batches(held))
+
+    slice_ = F.pmod(F.xxhash64("id"), F.lit(slices)).cast("int").alias("slice")
+    rows = docs.select("id", slice_, tokens("text").alias("tokens"))
+    rows = rows.mapInArrow(packed, f"bucket int, deal int, terms array<string>, counts array<int>, ids array<{kind}>, slices array<int>, "
+                                   "tfs array<int>, lengths array<int>, places array<int>")
+    return rows.repartition("bucket", "deal").sortWithinPartitions("bucket", "deal").mapInArrow(
+        merged, f"bucket int, term string, slice int, n int, top_tf int, least_length int, ids array<{kind}>, tfs array<int>, "
+                "lengths array<int>, places array<array<int>>")
 
 
 @dataclass
@@ -81,6 +170,7 @@ class PostingsIndex:
         """Index a table. Ids must be unique and not NULL (else the build
         fails); a NULL text has no tokens. ``slice_docs``: documents of a
         slice, so rows of a block at most, about."""
+        ship_package(docs.sparkSession)
         index = cls(docs.sparkSession, path)
         rows = _named(docs, id_field, text_field)
         slices = max(1, -(-rows.count() // slice_docs))
@@ -98,6 +188,7 @@ class PostingsIndex:
     def add(self, docs: DataFrame, gone: DataFrame, text_field: str, id_field: str = "id") -> None:
         """One more segment: ``docs`` as they are now, after the documents
         named in ``gone`` (old states of ``docs`` among them) were taken out."""
+        ship_package(self.spark)
         last = self._segments()[-1]
         new = _named(docs, id_field, text_field)
         ids = gone.select(F.col(f"`{id_field}`").alias("id")).union(new.select("id")).distinct()
@@ -105,16 +196,7 @@ class PostingsIndex:
 
     def _write(self, rows: DataFrame, gone: DataFrame, segment: int, buckets: int, slices: int) -> None:
         at = lambda table: f"{self.path.rstrip('/')}/{table}/segment={segment}"
-        slice_ = F.pmod(F.xxhash64("id"), F.lit(slices)).cast("int")
-        bucket = F.pmod(F.crc32(F.col("term").cast("binary")), F.lit(buckets)).cast("int")
-        dealt = (_entries(rows).withColumn("slice", slice_).withColumn("bucket", bucket)
-                 .withColumn("deal", F.pmod("slice", F.lit(FAN))).repartition("bucket", "deal"))
-        entry = F.struct("id", F.size("places").alias("tf"), "length", "places")
-        # grouped where the shuffle has put them
-        blocks = dealt.groupBy("bucket", "deal", "term", "slice").agg(F.sort_array(F.collect_list(entry)).alias("e"))
-        blocks = blocks.select(
-            "bucket", "term", "slice", F.size("e").alias("n"), F.array_max("e.tf").alias("top_tf"), F.array_min("e.length").alias("least_length"),
-            F.col("e.id").alias("ids"), F.col("e.tf").alias("tfs"), F.col("e.length").alias("lengths"), F.col("e.places").alias("places"))
+        blocks = _blocks(rows, buckets, slices)
         blocks.sortWithinPartitions("bucket", "term", "slice").write.mode("overwrite").partitionBy("bucket").parquet(at("postings"))
         sized = rows.select("id", F.size(tokens("text")).alias("length"))
         sized.groupBy("id").agg(F.count(F.lit(1)).alias("n"), F.first("length").alias("length")).select(

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from docsift.functions import predicates as P
 from docsift.operators import text as X
-from docsift.operators.postings import PostingsIndex, _entries
+from docsift.operators.postings import PostingsIndex, _blocks
 from docsift.operators.write import apply_actions
 
 WORDS = ["the", "ant", "Bee", "cat", "dog", "éa", "x1", "日本"]
@@ -117,6 +117,23 @@ def test_unfinished_segments_are_not_read(docs, spark, tmp_path):
     assert PostingsIndex(spark, path).match("the").count() == before
 
 
-def test_entries_hold_every_place(spark):
-    got = {r.term: r.places for r in _entries(spark.createDataFrame([(1, "b a, B c a")], "id long, text string")).collect()}
-    assert got == {"a": [1, 4], "b": [0, 2], "c": [3]}
+def test_blocks_hold_every_place(spark):
+    docs = spark.createDataFrame([(1, "b a, B c a"), (2, None), (3, "a"), (4, "")], "id long, text string")
+    got = {(r.term, i): p for r in _blocks(docs, 3, 2).collect() for i, p in zip(r.ids, r.places)}
+    assert got == {("a", 1): [1, 4], ("b", 1): [0, 2], ("c", 1): [3], ("a", 3): [0]}
+    assert {(r.bucket, r.slice, r.n) for r in _blocks(docs, 1, 1).collect()} == {(0, 0, 2), (0, 0, 1)}
+
+
+def test_packed_rows_of_many_batches_merge(spark):
+    docs = spark.range(2000).selectExpr("id", "concat('t', id % 7, ' t', id % 3, ' t', id % 7) AS text").repartition(5)
+    got = {}
+    for r in _blocks(docs, 2, 100).collect():
+        assert r.ids == sorted(r.ids) and r.n == len(r.ids) and r.top_tf == max(r.tfs) and set(r.lengths) == {3}
+        for i, tf, p in zip(r.ids, r.tfs, r.places):
+            assert (r.term, i) not in got and tf == len(p)
+            got[r.term, i] = p
+    want = {}
+    for i in range(2000):
+        for n, w in enumerate((f"t{i % 7}", f"t{i % 3}", f"t{i % 7}")):
+            want.setdefault((w, i), []).append(n)
+    assert got == want
