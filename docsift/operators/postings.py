@@ -59,10 +59,18 @@ def _spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.arange(int(sizes.sum())) + np.repeat(starts - (np.cumsum(sizes) - sizes), sizes)
 
 
+def _binaries(values: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """Runs of numbers as bytes."""
+    offsets = pa.array((np.concatenate([[0], ends]) * values.itemsize).astype(np.int32))
+    return pa.Array.from_buffers(pa.binary(), len(ends), [None, offsets.buffers()[1], pa.py_buffer(np.ascontiguousarray(values))])
+
+
 def pack(batch: pa.RecordBatch, buckets: int) -> pa.RecordBatch:
     """Postings of a batch of ``id, slice, tokens`` rows, a row for each
-    (bucket, deal): its terms, how many entries each has, and the entries one
-    after the other."""
+    (bucket, deal): its documents, its terms, how many entries each has, and the
+    entries one after the other: the document's number in the row, how often
+    the term occurs and where, in 2 bytes each, 4 where a text or the batch is
+    too long for that."""
     lists = batch.column("tokens")
     length = pc.fill_null(pc.list_value_length(lists), 0).to_numpy().astype(np.int64)
     coded = lists.flatten().dictionary_encode()
@@ -82,40 +90,55 @@ def pack(batch: pa.RecordBatch, buckets: int) -> pa.RecordBatch:
     ends = np.r_[head[1:], len(first)][: len(head)]
     ints = lambda x: pa.array(x.astype(np.int32))
     runs_end = np.searchsorted(run, ends)
+    # the documents of each group, and the place of an entry's document among them
+    pair, own = np.unique(group * max(len(length), 1) + doc, return_inverse=True)
+    of, held = np.divmod(pair, max(len(length), 1))
+    from_ = np.searchsorted(of, group[head])
+    docs_end = np.r_[from_[1:], len(pair)][: len(head)]
+    number = own - np.repeat(from_, ends - head)
+    small = np.uint16 if max(length.max(initial=0), len(length)) < 1 << 16 else np.uint32
     columns = {
         "bucket": ints(group[head] // FAN), "deal": ints(group[head] % FAN),
         "terms": _lists(words.take(pa.array(code[run])).cast(pa.string()), runs_end),
         "counts": _lists(ints(np.diff(np.r_[run, len(first)])), runs_end),
-        "ids": _lists(batch.column("id").take(pa.array(doc)), ends), "slices": _lists(ints(slice_[doc]), ends),
-        "tfs": _lists(ints(tf), ends), "lengths": _lists(ints(length[doc]), ends),
-        "places": _lists(ints(place[order]), np.r_[first[ends[:-1]], len(order)] if len(head) else ends)}
+        "ids": _lists(batch.column("id").take(pa.array(held)), docs_end), "slices": _lists(ints(slice_[held]), docs_end),
+        "lengths": _lists(ints(length[held]), docs_end), "width": pa.array([np.dtype(small).itemsize] * len(head), pa.int32()),
+        "docs": _binaries(number.astype(small), ends), "tfs": _binaries(tf.astype(small), ends),
+        "places": _binaries(place[order].astype(small), np.r_[first[ends[:-1]], len(order)] if len(head) else ends)}
     return pa.record_batch(list(columns.values()), list(columns))
 
 
 def merge(rows: pa.Table) -> pa.RecordBatch:
     """The blocks of one (bucket, deal) from its packed rows."""
-    flat = {c: pa.concat_arrays([x.flatten() for x in rows[c].chunks]) for c in ("terms", "counts", "ids", "slices", "tfs", "lengths", "places")}
-    counts, tf = flat["counts"].to_numpy(), flat["tfs"].to_numpy().astype(np.int64)
+    flat = {c: pa.concat_arrays([x.flatten() for x in rows[c].chunks]) for c in ("terms", "counts", "ids", "slices", "lengths")}
+    kinds = [np.dtype(f"u{w}") for w in rows["width"].to_pylist()]
+    numbers = {c: [np.frombuffer(x.as_buffer(), k) for x, k in zip(rows[c], kinds)] for c in ("docs", "tfs", "places")}
+    before = np.cumsum([0, *pc.list_value_length(rows["ids"]).to_pylist()])
+    doc = np.concatenate([x.astype(np.int64) + b for x, b in zip(numbers["docs"], before)])
+    tf = np.concatenate(numbers["tfs"]).astype(np.int64)
+    place = np.concatenate([x.astype(np.int32) for x in numbers["places"]])
+    counts, slice_, length = (flat[c].to_numpy() for c in ("counts", "slices", "lengths"))
+    ids = flat["ids"].take(pa.array(doc))
     coded = flat["terms"].dictionary_encode()
     by_name = pc.sort_indices(coded.dictionary).to_numpy()
     rank = np.empty(len(by_name), np.int64)
     rank[by_name] = np.arange(len(by_name))
     term = np.repeat(rank[coded.indices.to_numpy()], counts)
-    keys = pa.table({"t": term, "s": flat["slices"], "i": flat["ids"]})
+    keys = pa.table({"t": term, "s": slice_[doc], "i": ids})
     order = pc.sort_indices(keys, [("t", "ascending"), ("s", "ascending"), ("i", "ascending")]).to_numpy()
-    term, slice_ = term[order], flat["slices"].to_numpy()[order]
+    term, doc = term[order], doc[order]
+    slice_, length = slice_[doc], length[doc]
     start = np.flatnonzero(np.r_[True, (np.diff(term) != 0) | (np.diff(slice_) != 0)])
     ends = np.r_[start[1:], len(order)]
     at = (np.cumsum(tf) - tf)[order]
     tf = tf[order]
-    length = flat["lengths"].to_numpy()[order]
-    places = flat["places"].take(pa.array(_spread(at, tf)))
+    places = pa.array(place[_spread(at, tf)])
     ints = lambda x: pa.array(x.astype(np.int32))
     columns = {
         "bucket": pa.array([rows["bucket"][0].as_py()] * len(start), pa.int32()),
         "term": coded.dictionary.take(pa.array(by_name[term[start]])), "slice": ints(slice_[start]), "n": ints(ends - start),
         "top_tf": ints(np.maximum.reduceat(tf, start)), "least_length": ints(np.minimum.reduceat(length, start)),
-        "ids": _lists(flat["ids"].take(pa.array(order)), ends), "tfs": _lists(ints(tf), ends), "lengths": _lists(ints(length), ends),
+        "ids": _lists(ids.take(pa.array(order)), ends), "tfs": _lists(ints(tf), ends), "lengths": _lists(ints(length), ends),
         "places": _lists(_lists(places, np.cumsum(tf)), ends)}
     return pa.record_batch(list(columns.values()), list(columns))
 
@@ -150,7 +173,7 @@ def _blocks(docs: DataFrame, buckets: int, slices: int) -> DataFrame:
     slice_ = F.pmod(F.xxhash64("id"), F.lit(slices)).cast("int").alias("slice")
     rows = docs.select("id", slice_, tokens("text").alias("tokens"))
     rows = rows.mapInArrow(packed, f"bucket int, deal int, terms array<string>, counts array<int>, ids array<{kind}>, slices array<int>, "
-                                   "tfs array<int>, lengths array<int>, places array<int>")
+                                   "lengths array<int>, width int, docs binary, tfs binary, places binary")
     return rows.repartition("bucket", "deal").sortWithinPartitions("bucket", "deal").mapInArrow(
         merged, f"bucket int, term string, slice int, n int, top_tf int, least_length int, ids array<{kind}>, tfs array<int>, "
                 "lengths array<int>, places array<array<int>>")

@@ -433,7 +433,7 @@ def q_more_like(spark, sf):
 def i_more_like(spark, sf):
     """The same from the liked document's postings."""
     docs = t(spark, sf, "documents")
-    index = PostingsIndex.build(docs, scratch_path(spark, "postings"), "text", "doc_id", buckets=16)
+    index = PostingsIndex.build(docs, scratch_path(spark, "postings"), "text", "doc_id")
     return index.more_like_this(docs, "text", "doc_id", 1, k=10, max_query_terms=25, min_doc_freq=2, max_doc_freq_ratio=0.5)
 
 

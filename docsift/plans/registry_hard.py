@@ -714,7 +714,7 @@ def q_any_field_array(spark, sf):
 
 def _index(spark, sf, docs=None):
     docs = t(spark, sf, "documents") if docs is None else docs
-    return PostingsIndex.build(docs, scratch_path(spark, "postings"), "text", "doc_id", buckets=16, slice_docs=64)
+    return PostingsIndex.build(docs, scratch_path(spark, "postings"), "text", "doc_id")
 
 
 _CHANGED = "(SELECT doc_id, CASE WHEN doc_id % 10 = 4 THEN 'esat of the new ' || text ELSE text END AS text FROM documents WHERE doc_id % 10 <> 3)"
