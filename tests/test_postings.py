@@ -2,12 +2,14 @@
 
 import random
 
+import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 import pytest
 from pyspark.sql import functions as F
 
 from docsift.functions import predicates as P
 from docsift.operators import text as X
-from docsift.operators.postings import PostingsIndex, _blocks
+from docsift.operators.postings import PostingsIndex, _blocks, merge, pack
 from docsift.operators.write import apply_actions
 
 WORDS = ["the", "ant", "Bee", "cat", "dog", "éa", "x1", "日本"]
@@ -137,3 +139,20 @@ def test_packed_rows_of_many_batches_merge(spark):
         for n, w in enumerate((f"t{i % 7}", f"t{i % 3}", f"t{i % 7}")):
             want.setdefault((w, i), []).append(n)
     assert got == want
+
+
+def test_very_long_texts_are_packed_wider():
+    """Places beyond 65,535 and batches with and without such texts."""
+    kind = pa.schema([("id", pa.int64()), ("slice", pa.int32()), ("tokens", pa.list_(pa.string()))])
+    texts = {1: ["a"] * 70_000 + ["b"], 2: ["b", "a"], 3: None, 4: ["a"]}
+    batches = [pa.record_batch([pa.array(ids), pa.array([i % 2 for i in ids], pa.int32()), pa.array([texts[i] for i in ids], pa.list_(pa.string()))], schema=kind)
+               for ids in ([1, 3], [2, 4])]
+    packed = [pack(b, 1) for b in batches]
+    assert [set(p.column("width").to_pylist()) for p in packed] == [{4}, {2}]
+    got = {}
+    for deal in (0, 1):
+        rows = pa.Table.from_batches(packed).filter(pa.compute.field("deal") == deal)
+        for r in merge(rows).to_pylist():
+            assert r["lengths"] == [len(texts[i]) for i in r["ids"]] and r["slice"] == deal
+            got |= {(r["term"], i): p for i, p in zip(r["ids"], r["places"])}
+    assert got == {("a", 1): list(range(70_000)), ("b", 1): [70_000], ("a", 2): [1], ("b", 2): [0], ("a", 4): [0]}
