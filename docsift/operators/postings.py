@@ -48,6 +48,8 @@ from .write import apply_actions
 NAMED_SLICES = 1000
 #: Tasks that share one bucket when postings are written.
 FAN = 64
+#: Tokens that a task sorts and packs at once (some 100 MB).
+PACKED_TOKENS = 1 << 20
 
 
 def _lists(values: pa.Array, ends: np.ndarray) -> pa.ListArray:
@@ -151,8 +153,12 @@ def _blocks(docs: DataFrame, buckets: int, slices: int) -> DataFrame:
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows:
-                yield pack(batch, buckets)
+            size = pc.fill_null(pc.list_value_length(batch.column("tokens")), 0).to_numpy()
+            part = (np.cumsum(size, dtype=np.int64) - 1) // PACKED_TOKENS
+            cuts = np.r_[0, np.flatnonzero(np.diff(part) > 0) + 1, batch.num_rows]
+            for lo, hi in zip(cuts[:-1], cuts[1:]):
+                if lo < hi:
+                    yield pack(batch.slice(lo, hi - lo), buckets)
 
     def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, now = [], None
