@@ -47,7 +47,7 @@ from .write import apply_actions
 #: Slices that are named in the scan's filter; more are joined.
 NAMED_SLICES = 1000
 #: Tasks that share one bucket when postings are written.
-FAN = 64
+FAN = 16
 #: Tokens that a task sorts and packs at once (some 100 MB).
 PACKED_TOKENS = 1 << 20
 
