@@ -820,9 +820,9 @@ SELECT * FROM d JOIN p USING (key)
 """)
 def b_reverse_nested_metrics(spark, sf):
     """Orders under the buckets of their lines, each once per bucket."""
-    lines = t(spark, sf, "lineitem").withColumnRenamed("l_orderkey", "o_orderkey").join(t(spark, sf, "orders").select("o_orderkey"), "o_orderkey", "left_semi")
+    lines, orders = B.by_parent(t(spark, sf, "lineitem").withColumnRenamed("l_orderkey", "o_orderkey"), t(spark, sf, "orders"), "o_orderkey")
     spec = B.nested_terms("l_returnflag", "o_orderkey", metrics={"mean": M.avg("l_quantity")},
-                          parent_metrics={"total": M.sum_("o_totalprice"), "top": M.max_("o_totalprice")}, parents=t(spark, sf, "orders"))
+                          parent_metrics={"total": M.sum_("o_totalprice"), "top": M.max_("o_totalprice")}, parents=orders)
     out = spec.run(lines)
     return r6(out.withColumn("total", F.round("total", 2)))
 

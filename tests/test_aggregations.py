@@ -1,5 +1,6 @@
 import datetime as dt
 import math
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -250,3 +251,33 @@ def test_masks_equal_pairs_of_conditions(spark):
     assert got == want
     plan = B.adjacency_matrix(named).run(df)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.index("Generate") < plan.rindex("Aggregate")  # masks are counted before they are turned into pairs
+
+
+def test_rows_dealt_by_parent(spark, monkeypatch):
+    """As many tasks as the rows ask for, whatever AQE would merge; the semi join and the buckets shuffle the rows no more."""
+    monkeypatch.setattr(B, "ROWS_BY_PARENT", 100)
+    for n in (90, 900):
+        child = spark.range(n).selectExpr("id % 70 AS pid", "concat('k', id % 3) AS k", "id AS q")
+        parents = spark.range(60).selectExpr("id AS pid", "id * 2 AS v")
+        dealt, own = B.by_parent(child, parents.union(parents.limit(3)), "pid")
+        assert own.rdd.getNumPartitions() == -(-(n + 63) // 100)
+        spec = B.nested_terms("k", "pid", metrics={"q": M.avg("q")}, parent_metrics={"s": M.sum_("v"), "top": M.max_("v")}, parents=parents)
+        want = spec.run(child.join(parents.select("pid"), "pid", "left_semi")).collect()
+        assert spec.run(dealt).collect() == want and replace(spec, parents=own).run(dealt).collect() == want
+        assert max(r.n for r in dealt.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()) <= 400
+    assert [df.count() for df in B.by_parent(spark.range(0), spark.range(0), "id")] == [0, 0]
+
+
+def test_reverse_nested_metrics_deal_lines_by_order(spark, tmp_path, monkeypatch):
+    from docsift.plans.registry_hard import b_reverse_nested_metrics
+
+    monkeypatch.setattr(B, "ROWS_BY_PARENT", 50)
+    spark.range(300).selectExpr("id DIV 4 AS l_orderkey", "element_at(array('A', 'N', 'R'), CAST(id % 3 AS INT) + 1) AS l_returnflag",
+                                "CAST(id % 50 AS DOUBLE) AS l_quantity").write.parquet(str(tmp_path / "lineitem.parquet"))
+    spark.range(60).selectExpr("id AS o_orderkey", "CAST(id AS DOUBLE) AS o_totalprice").write.parquet(str(tmp_path / "orders.parquet"))
+    out = b_reverse_nested_metrics(spark, str(tmp_path))
+    plan = spark.sparkContext._jvm.PythonSQLUtils.explainString(out._jdf.queryExecution(), "formatted")
+    assert ", 8), REPARTITION_BY_NUM" in plan
+    assert {(r.key, r.doc_count, r.parent_count, r.total, r.top) for r in out.collect()} == {
+        (f, len(e), len(set(e)), float(sum(set(e))), float(max(e))) for f, e in
+        (("ANR"[j], [i // 4 for i in range(240) if i % 3 == j]) for j in range(3))}
