@@ -4,7 +4,8 @@
 
 * ``postings``: a row for each (term, slice of documents) with the documents'
   ids, the term's frequency and places in each, their lengths, and the block's
-  largest frequency and smallest length. Partitioned by ``bucket`` (a hash of
+  largest frequency and smallest length; several such rows, each of other
+  documents, where a task's share is too much to merge at once. Partitioned by ``bucket`` (a hash of
   the term) and sorted by term, so a query opens its own terms' buckets only and
   Parquet skips row groups of other terms. Slices are hashes of the document
   id: a term that a third of all documents hold is as many rows as there are
@@ -29,6 +30,7 @@ from __future__ import annotations
 import math
 import zlib
 from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass
 from functools import reduce
 
@@ -46,10 +48,16 @@ from .write import apply_actions
 
 #: Slices that are named in the scan's filter; more are joined.
 NAMED_SLICES = 1000
-#: Tasks that share one bucket when postings are written.
+#: Tasks that share one bucket when postings are written, at least.
 FAN = 16
+#: Slices that such a task writes at most: a larger index has more of them.
+DEALT_SLICES = 16
 #: Tokens that a task sorts and packs at once (some 100 MB).
 PACKED_TOKENS = 1 << 20
+#: Tokens whose packed rows are merged at once (some 150 MB).
+MERGED_TOKENS = 1 << 20
+#: Bytes of the Arrow batches that these tasks read (Spark's own limit: 64 MB).
+BATCH_BYTES = 16 << 20
 
 
 def _lists(values: pa.Array, ends: np.ndarray) -> pa.ListArray:
@@ -67,7 +75,7 @@ def _binaries(values: np.ndarray, ends: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.binary(), len(ends), [None, offsets.buffers()[1], pa.py_buffer(np.ascontiguousarray(values))])
 
 
-def pack(batch: pa.RecordBatch, buckets: int) -> pa.RecordBatch:
+def pack(batch: pa.RecordBatch, buckets: int, deals: int = FAN) -> pa.RecordBatch:
     """Postings of a batch of ``id, slice, tokens`` rows, a row for each
     (bucket, deal): its documents, its terms, how many entries each has, and the
     entries one after the other: the document's number in the row, how often
@@ -81,7 +89,7 @@ def pack(batch: pa.RecordBatch, buckets: int) -> pa.RecordBatch:
     place = _spread(np.zeros(len(length), np.int64), length)
     slice_ = batch.column("slice").to_numpy()
     bucket = np.asarray([zlib.crc32(w.encode()) % buckets for w in words.to_pylist()], np.int64)
-    group = bucket[code] * FAN + slice_[doc] % FAN
+    group = bucket[code] * deals + slice_[doc] % deals
     order = np.lexsort((doc, code, group))  # stable: places stay in order
     key = np.stack([group[order], code[order], doc[order]])
     first = np.flatnonzero(np.r_[True, (np.diff(key, axis=1) != 0).any(0)]) if len(order) else np.zeros(0, np.int64)
@@ -100,7 +108,7 @@ def pack(batch: pa.RecordBatch, buckets: int) -> pa.RecordBatch:
     number = own - np.repeat(from_, ends - head)
     small = np.uint16 if max(length.max(initial=0), len(length)) < 1 << 16 else np.uint32
     columns = {
-        "bucket": ints(group[head] // FAN), "deal": ints(group[head] % FAN),
+        "bucket": ints(group[head] // deals), "deal": ints(group[head] % deals),
         "terms": _lists(words.take(pa.array(code[run])).cast(pa.string()), runs_end),
         "counts": _lists(ints(np.diff(np.r_[run, len(first)])), runs_end),
         "ids": _lists(batch.column("id").take(pa.array(held)), docs_end), "slices": _lists(ints(slice_[held]), docs_end),
@@ -111,7 +119,7 @@ def pack(batch: pa.RecordBatch, buckets: int) -> pa.RecordBatch:
 
 
 def merge(rows: pa.Table) -> pa.RecordBatch:
-    """The blocks of one (bucket, deal) from its packed rows."""
+    """The blocks of packed rows of one (bucket, deal)."""
     flat = {c: pa.concat_arrays([x.flatten() for x in rows[c].chunks]) for c in ("terms", "counts", "ids", "slices", "lengths")}
     kinds = [np.dtype(f"u{w}") for w in rows["width"].to_pylist()]
     numbers = {c: [np.frombuffer(x.as_buffer(), k) for x, k in zip(rows[c], kinds)] for c in ("docs", "tfs", "places")}
@@ -148,8 +156,12 @@ def merge(rows: pa.Table) -> pa.RecordBatch:
 def _blocks(docs: DataFrame, buckets: int, slices: int) -> DataFrame:
     """The blocks of ``id, text`` rows. Texts are split by the same expression
     as everywhere; tasks then sort Arrow batches of tokens, and what is
-    shuffled is packed by (bucket, deal)."""
+    shuffled is packed by (bucket, deal). Deals are as many as the slices ask
+    for, and a (bucket, deal) of more than ``MERGED_TOKENS`` tokens is merged in
+    parts, each with blocks of its own documents: what a task holds does not
+    grow with the collection."""
     kind = docs.schema["id"].dataType.simpleString()
+    deals = max(FAN, -(-slices // DEALT_SLICES))
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -158,21 +170,25 @@ def _blocks(docs: DataFrame, buckets: int, slices: int) -> DataFrame:
             cuts = np.r_[0, np.flatnonzero(np.diff(part) > 0) + 1, batch.num_rows]
             for lo, hi in zip(cuts[:-1], cuts[1:]):
                 if lo < hi:
-                    yield pack(batch.slice(lo, hi - lo), buckets)
+                    yield pack(batch.slice(lo, hi - lo), buckets, deals)
 
     def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, now = [], None
+        held, now, size = [], None, 0
         for batch in batches:  # sorted by bucket and deal
             at = np.stack([batch.column(c).to_numpy() for c in ("bucket", "deal")], 1) if batch.num_rows else np.zeros((0, 2))
-            cuts = np.r_[0, np.flatnonzero((np.diff(at, axis=0) != 0).any(1)) + 1, len(at)]
+            upto = np.r_[0, np.cumsum(pc.binary_length(batch.column("places")).to_numpy() // batch.column("width").to_numpy(), dtype=np.int64)]
+            part = (upto[1:] - 1) // MERGED_TOKENS
+            cuts = np.r_[0, np.flatnonzero((np.diff(at, axis=0) != 0).any(1) | (np.diff(part) > 0)) + 1, len(at)]
             for lo, hi in zip(cuts[:-1], cuts[1:]):
                 if lo == hi:
                     continue
-                if held and tuple(at[lo]) != now:
+                more = int(upto[hi] - upto[lo])
+                if held and (tuple(at[lo]) != now or size + more > MERGED_TOKENS):
                     yield merge(pa.Table.from_batches(held))
-                    held = []
+                    held, size = [], 0
                 now = tuple(at[lo])
                 held.append(batch.slice(lo, hi - lo))
+                size += more
         if held:
             yield merge(pa.Table.from_batches(held))
 
@@ -226,7 +242,8 @@ class PostingsIndex:
     def _write(self, rows: DataFrame, gone: DataFrame, segment: int, buckets: int, slices: int) -> None:
         at = lambda table: f"{self.path.rstrip('/')}/{table}/segment={segment}"
         blocks = _blocks(rows, buckets, slices)
-        blocks.sortWithinPartitions("bucket", "term", "slice").write.mode("overwrite").partitionBy("bucket").parquet(at("postings"))
+        with _batches_of(self.spark, BATCH_BYTES):
+            blocks.sortWithinPartitions("bucket", "term", "slice").write.mode("overwrite").partitionBy("bucket").parquet(at("postings"))
         sized = rows.select("id", F.size(tokens("text")).alias("length"))
         sized.groupBy("id").agg(F.count(F.lit(1)).alias("n"), F.first("length").alias("length")).select(
             F.when((F.col("n") == 1) & F.col("id").isNotNull(), F.col("id")).otherwise(
@@ -406,5 +423,17 @@ class PostingsIndex:
         return shared.orderBy(F.col("shared_terms").desc(), F.col("id")).limit(k).withColumnRenamed("id", id_field)
 
 
+@contextmanager
+def _batches_of(spark: SparkSession, size: int) -> Iterator[None]:
+    """Arrow batches of so many bytes at most for the jobs inside."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, str(size))
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
 def _named(docs: DataFrame, id_field: str, text_field: str) -> DataFrame:
     return docs.select(F.col(f"`{id_field}`").alias("id"), F.col(f"`{text_field}`").cast(T.StringType()).alias("text"))

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from docsift.functions import predicates as P
+from docsift.operators import postings
 from docsift.operators import text as X
 from docsift.operators.postings import PostingsIndex, _blocks, merge, pack
 from docsift.operators.write import apply_actions
@@ -156,3 +157,70 @@ def test_very_long_texts_are_packed_wider():
             assert r["lengths"] == [len(texts[i]) for i in r["ids"]] and r["slice"] == deal
             got |= {(r["term"], i): p for i, p in zip(r["ids"], r["places"])}
     assert got == {("a", 1): list(range(70_000)), ("b", 1): [70_000], ("a", 2): [1], ("b", 2): [0], ("a", 4): [0]}
+
+
+def _held(monkeypatch):
+    """Tokens of each call of :func:`merge`, in this process."""
+    sizes = []
+
+    def noted(rows):
+        out = merge(rows)
+        sizes.append(sum(sum(tfs) for tfs in out.column("tfs").to_pylist()))
+        return out
+
+    monkeypatch.setattr(postings, "merge", noted)
+    return sizes
+
+
+class _Frame:
+    """Stands for the frames of ``_blocks``: keeps the functions that it gives to the tasks."""
+
+    def __init__(self, schema):
+        self.schema, self.steps = schema, []
+
+    def mapInArrow(self, step, schema):
+        self.steps.append(step)
+        return self
+
+    def select(self, *_):
+        return self
+
+    repartition = sortWithinPartitions = select
+
+
+@pytest.mark.parametrize("docs_of_a_slice", [1000, 50])
+def test_merged_tokens_do_not_grow_with_the_collection(spark, monkeypatch, docs_of_a_slice):
+    monkeypatch.setattr(postings, "PACKED_TOKENS", 200)
+    monkeypatch.setattr(postings, "MERGED_TOKENS", 1000)
+    sizes = _held(monkeypatch)
+    kind = pa.schema([("id", pa.int64()), ("slice", pa.int32()), ("tokens", pa.list_(pa.string()))])
+    most = {}
+    for n in (2_000, 20_000):
+        slices = n // docs_of_a_slice
+        frame = _blocks(_Frame(spark.range(1).schema), 1, slices)
+        rows = pa.record_batch([pa.array(range(n)), pa.array([i % slices for i in range(n)], pa.int32()), pa.array([["the", f"w{i % 9}"] for i in range(n)])], schema=kind)
+        packed = pa.Table.from_batches(list(frame.steps[0](iter([rows])))).sort_by([("bucket", "ascending"), ("deal", "ascending")])
+        sizes.clear()
+        blocks = pa.Table.from_batches(list(frame.steps[1](iter(packed.combine_chunks().to_batches(max_chunksize=70)))))
+        most[n] = max(sizes)
+        # every posting once, whatever is merged together
+        got = sorted((t, i) for t, ids in zip(blocks["term"].to_pylist(), blocks["ids"].to_pylist()) for i in ids)
+        assert got == sorted([("the", i) for i in range(n)] + [(f"w{i % 9}", i) for i in range(n)])
+        assert sum(blocks["n"].to_pylist()) == 2 * n
+    assert most[20_000] <= 1000 and most[2_000] <= 1000
+
+
+def test_blocks_merged_in_parts_answer_alike(spark, docs, monkeypatch, tmp_path):
+    """Several blocks of one term and slice."""
+    blocks = _blocks(docs.select("id", F.col("body").alias("text")), 2, 3).collect()
+    rows = [(b.term, b.slice, 1, tf, n, [i], [tf], [n], [p], b.bucket) for b in blocks for i, tf, n, p in zip(b.ids, b.tfs, b.lengths, b.places)]
+    whole = PostingsIndex.build(docs, str(tmp_path / "whole"), "body", buckets=2, slice_docs=103)
+    split = PostingsIndex.build(docs, str(tmp_path / "split"), "body", buckets=2, slice_docs=103)
+    kind = "term string, slice int, n int, top_tf int, least_length int, ids array<long>, tfs array<int>, lengths array<int>, places array<array<int>>, bucket int"
+    spark.createDataFrame(rows, kind).write.mode("overwrite").partitionBy("bucket").parquet(str(tmp_path / "split" / "postings" / "segment=0"))
+    for text in ("the cat", "rare", "a b a", "bee dog x1"):
+        assert split.bm25_top_k(text, 7).collect() == whole.bm25_top_k(text, 7).collect()
+        for f in ("match", "phrase"):
+            assert sorted(getattr(split, f)(text).collect()) == sorted(getattr(whole, f)(text).collect())
+    assert split.more_like_this(docs, "body", "id", 4).collect() == whole.more_like_this(docs, "body", "id", 4).collect()
+    assert split.compact(str(tmp_path / "one"))._postings().count() == whole._postings().count()
